@@ -1,0 +1,36 @@
+"""Broadcast only behind a size check."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+# Reference tables hold hundreds of rows (384 stations, 11 lines, 66 routes);
+# a million rows of five narrow columns is still a few tens of MB per executor.
+MAX_BROADCAST_ROWS = 1_000_000
+
+
+_checked: dict[tuple[str, int, int], bool] = {}
+
+
+def fits_broadcast(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> bool:
+    """True when ``df`` has at most ``max_rows`` rows.
+
+    ``limit(max_rows + 1).count()`` stops early, so the check costs at most
+    ``max_rows`` rows of reading however big the table turns out to be. The
+    answer is remembered per application and plan, so a plan that joins the
+    same reference table five times (or every micro-batch) counts it once.
+    """
+    if df.isStreaming:
+        return False
+    key = (df.sparkSession.sparkContext.applicationId, df.semanticHash(), max_rows)
+    if key not in _checked:
+        _checked[key] = df.limit(max_rows + 1).count() <= max_rows
+    return _checked[key]
+
+
+def checked_broadcast(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> tuple[DataFrame, bool]:
+    """(broadcast-hinted df, True) when small enough, else (df, False)."""
+    if fits_broadcast(df, max_rows):
+        return F.broadcast(df), True
+    return df, False
