@@ -241,3 +241,158 @@ def unpositioned_q(spark, sf_dir):
     pos = positioned_q(spark, sf_dir)
     return (pos.where(F.col("latitude").isNull() | F.col("longitude").isNull())
             .groupBy("location_type").agg(F.count(F.lit(1)).alias("cnt")))
+
+
+# ---------------------------------------------------------------- V1-V8, J7
+
+from ..operators import health as H  # noqa: E402
+from ..operators import views as V  # noqa: E402
+
+# Fixed parameter: the lines picked in the dashboard's filter for V2, V3, V6.
+PICKED_LINES = ("america", "asia", "europe", "middle east")
+_PICKED_SQL = ", ".join(f"'{x}'" for x in PICKED_LINES)
+SAMPLE_LINE = "europe"
+FRESHNESS_NOW = dt.datetime(2024, 2, 1, 0, 0, 0)
+
+
+def _positions(spark, sf_dir):
+    return train_positions_q(spark, sf_dir)
+
+
+@register("line_picker", with_ctes(["lines"], "SELECT line_id, line_name, colour_hex FROM lines"))
+def line_picker_q(spark, sf_dir):
+    return V.line_picker(standin.lines(spark, sf_dir))
+
+
+@register("trains_on_lines", with_ctes(["positions"], f"""
+    SELECT vehicle_id, line_id, line_name, direction, destination_name, current_location, location_type,
+           time_to_station, towards, timestamp_utc, latitude, longitude,
+           colour_hex, colour_r, colour_g, colour_b
+    FROM positions WHERE line_id IN ({_PICKED_SQL})"""))
+def trains_on_q(spark, sf_dir):
+    return V.trains_on(_positions(spark, sf_dir), PICKED_LINES)
+
+
+@register("header_metrics", with_ctes(["positions"], """
+    SELECT count(*) AS active_trains, count(DISTINCT line_id) AS lines_active,
+           CASE WHEN count(*) = 0 THEN 'No data' WHEN max(timestamp_utc) IS NULL THEN 'N/A'
+                ELSE strftime(max(timestamp_utc), '%Y-%m-%d %H:%M:%S') END AS last_update
+    FROM positions"""))
+def header_q(spark, sf_dir):
+    return V.header_metrics(_positions(spark, sf_dir))
+
+
+@register("route_colours", with_ctes(["lines"], """
+    SELECT line_id, colour_hex, [colour_r, colour_g, colour_b, 180] AS colour FROM lines"""))
+def route_colours_q(spark, sf_dir):
+    return V.route_colours(standin.lines(spark, sf_dir))
+
+
+@register("route_paths", with_ctes(["routes", "lines"], """
+    SELECT line_id, direction, generate_subscripts(segs, 1) - 1 AS segment, unnest(segs) AS path,
+           [coalesce(r, 128), coalesce(g, 128), coalesce(b, 128), 180] AS colour
+    FROM segments""", extra={
+        "first_colour": """SELECT line_id, arg_min(colour_hex, line_name) AS colour_hex FROM lines GROUP BY line_id""",
+        "segments": f"""
+        SELECT r.line_id, r.direction,
+               CASE WHEN json_type(r.coordinates, '$[0][0]') = 'ARRAY'
+                    THEN from_json(r.coordinates, '[[["DOUBLE"]]]')
+                    ELSE [from_json(r.coordinates, '[["DOUBLE"]]')] END AS segs,
+               CAST(('0x' || substr(c.colour_hex, 2, 2)) AS INTEGER) AS r,
+               CAST(('0x' || substr(c.colour_hex, 4, 2)) AS INTEGER) AS g,
+               CAST(('0x' || substr(c.colour_hex, 6, 2)) AS INTEGER) AS b
+        FROM routes r LEFT JOIN first_colour c ON c.line_id = r.line_id
+        WHERE r.line_id IN ({_PICKED_SQL}) AND r.direction = 'inbound'"""}))
+def route_paths_q(spark, sf_dir):
+    return V.route_paths(standin.routes(spark, sf_dir), standin.lines(spark, sf_dir), PICKED_LINES)
+
+
+@register("train_markers", with_ctes(["positions"], """
+    SELECT vehicle_id, line_id, line_name, longitude, latitude,
+           [colour_r, colour_g, colour_b, 220] AS colour FROM positions"""))
+def train_markers_q(spark, sf_dir):
+    return V.train_markers(_positions(spark, sf_dir))
+
+
+@register("trains_per_line", with_ctes(["positions"], """
+    SELECT line_name, count(*) AS trains FROM positions WHERE line_name IS NOT NULL GROUP BY line_name"""))
+def trains_per_line_q(spark, sf_dir):
+    return V.trains_per_line(_positions(spark, sf_dir))
+
+
+# ---------------------------------------------------------------- H1-H10
+
+@register("raw_volume", with_ctes(["arrivals"], """
+    SELECT count(*) AS total_rows, count(DISTINCT ingestion_id) AS batches FROM arrivals"""))
+def raw_volume_q(spark, sf_dir):
+    return H.raw_volume(standin.arrivals(spark, sf_dir))
+
+
+@register("active_trains", with_ctes(["positions"], """
+    SELECT count(*) AS active_trains, count(DISTINCT line_id) AS lines_active FROM positions"""))
+def active_trains_q(spark, sf_dir):
+    return H.active_trains(_positions(spark, sf_dir))
+
+
+@register("line_sample", with_ctes(["positions"], f"""
+    SELECT line_name, vehicle_id, current_location, latitude, longitude FROM positions
+    WHERE line_id = '{SAMPLE_LINE}'
+    ORDER BY line_name ASC NULLS FIRST, vehicle_id ASC NULLS FIRST, current_location ASC NULLS FIRST,
+             latitude ASC NULLS FIRST, longitude ASC NULLS FIRST
+    LIMIT 10"""))
+def line_sample_q(spark, sf_dir):
+    return H.line_sample(_positions(spark, sf_dir), SAMPLE_LINE)
+
+
+@register("position_sample", with_ctes(["positions"], """
+    SELECT line_name, vehicle_id, current_location, location_type, latitude, longitude, colour_hex
+    FROM positions
+    ORDER BY line_name ASC NULLS FIRST, vehicle_id ASC NULLS FIRST, current_location ASC NULLS FIRST,
+             location_type ASC NULLS FIRST, latitude ASC NULLS FIRST, longitude ASC NULLS FIRST,
+             colour_hex ASC NULLS FIRST
+    LIMIT 20"""))
+def position_sample_q(spark, sf_dir):
+    return H.position_sample(_positions(spark, sf_dir))
+
+
+@register("predictions_per_line", with_ctes(["arrivals"], """
+    SELECT line_id, count(*) AS predictions FROM arrivals GROUP BY line_id"""))
+def predictions_per_line_q(spark, sf_dir):
+    return H.predictions_per_line(standin.arrivals(spark, sf_dir))
+
+
+@register("location_type_counts", with_ctes(["positions"], """
+    SELECT location_type, count(*) AS cnt FROM positions GROUP BY location_type"""))
+def location_type_counts_q(spark, sf_dir):
+    return H.location_type_counts(_positions(spark, sf_dir))
+
+
+@register("table_counts", with_ctes(["arrivals", "stations", "lines", "routes", "positions"], """
+    SELECT 'RAW_ARRIVALS' AS table_name, count(*) AS row_count FROM arrivals
+    UNION ALL SELECT 'REF_STATIONS', count(*) FROM stations
+    UNION ALL SELECT 'REF_LINES', count(*) FROM lines
+    UNION ALL SELECT 'REF_LINE_ROUTES', count(*) FROM routes
+    UNION ALL SELECT 'TRAIN_POSITIONS', count(*) FROM positions"""))
+def table_counts_q(spark, sf_dir):
+    t = _tables(spark, sf_dir)
+    return H.table_counts({
+        "RAW_ARRIVALS": t["raw"], "REF_STATIONS": t["stations"], "REF_LINES": t["lines"],
+        "REF_LINE_ROUTES": t["routes"],
+        "TRAIN_POSITIONS": P.train_positions(t["raw"], t["stations"], t["lines"]),
+    })
+
+
+@register("freshness", with_ctes(["arrivals"], f"""
+    SELECT max(timestamp_utc) AS latest_ingestion,
+           epoch_us(date_trunc('second', TIMESTAMP '{FRESHNESS_NOW:%Y-%m-%d %H:%M:%S}')) // 1000000
+           - epoch_us(date_trunc('second', max(timestamp_utc))) // 1000000 AS lag_seconds
+    FROM arrivals"""))
+def freshness_q(spark, sf_dir):
+    return H.freshness(standin.arrivals(spark, sf_dir), FRESHNESS_NOW)
+
+
+@register("route_lengths", with_ctes(["routes"], """
+    SELECT line_id, direction, length(coordinates) AS coord_length FROM routes
+    ORDER BY line_id, direction LIMIT 5"""))
+def route_lengths_q(spark, sf_dir):
+    return H.route_lengths(standin.routes(spark, sf_dir))
