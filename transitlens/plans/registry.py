@@ -396,3 +396,100 @@ def freshness_q(spark, sf_dir):
     ORDER BY line_id, direction LIMIT 5"""))
 def route_lengths_q(spark, sf_dir):
     return H.route_lengths(standin.routes(spark, sf_dir))
+
+
+# ---------------------------------------------------------------- S1-S11
+
+from ..session import scratch_path  # noqa: E402
+from ..sources import ingest as I  # noqa: E402
+from ..sources import refdata as R  # noqa: E402
+
+# Fixed parameters: the stamp of one ingest run for S5.
+RUN_ID = "0b7e4a52-6f1c-4d8e-9a3b-2c5d7e9f1a00"
+RUN_SECOND = dt.datetime(2024, 2, 1, 12, 0, 0)
+
+
+def _good_and_rejected(spark, sf_dir, ingestion_id=None, timestamp_utc=None):
+    return I.raw_from_payloads(standin.payloads(spark, sf_dir), ingestion_id, timestamp_utc)
+
+
+@register("predictions_parsed", with_ctes(["arrivals"], """
+    SELECT ingestion_id, line_id, vehicle_id, current_location,
+           CAST(time_to_station AS VARCHAR) AS time_to_station_text, event_id FROM arrivals"""))
+def predictions_parsed_q(spark, sf_dir):
+    preds = I.explode_predictions(standin.payloads(spark, sf_dir))
+    m = F.col("prediction")
+    return preds.select("ingestion_id", "line_id", m["vehicleId"].alias("vehicle_id"),
+                        m["currentLocation"].alias("current_location"),
+                        m["timeToStation"].alias("time_to_station_text"),
+                        m["id"].cast("long").alias("event_id"))
+
+
+@register("predictions_rejected", with_ctes(["arrivals"], """
+    SELECT ingestion_id, line_id, CAST(NULL AS VARCHAR) AS reject_reason,
+           CAST(NULL AS VARCHAR) AS prediction_json FROM arrivals WHERE false"""))
+def predictions_rejected_q(spark, sf_dir):
+    return _good_and_rejected(spark, sf_dir)[1]
+
+
+@register("raw_arrivals", with_ctes(["arrivals"], "SELECT * FROM arrivals"))
+def raw_arrivals_q(spark, sf_dir):
+    return _good_and_rejected(spark, sf_dir)[0]
+
+
+@register("expected_arrival", with_ctes(["arrivals"], """
+    SELECT event_id, vehicle_id, line_id, expected_arrival FROM arrivals"""))
+def expected_arrival_q(spark, sf_dir):
+    return _good_and_rejected(spark, sf_dir)[0].select("event_id", "vehicle_id", "line_id", "expected_arrival")
+
+
+@register("batch_stamp", with_ctes(["arrivals"], f"""
+    SELECT '{RUN_ID}' AS ingestion_id, TIMESTAMP '{RUN_SECOND:%Y-%m-%d %H:%M:%S}' AS timestamp_utc,
+           count(*) AS row_count FROM arrivals"""))
+def batch_stamp_q(spark, sf_dir):
+    good, _ = _good_and_rejected(spark, sf_dir, RUN_ID, RUN_SECOND)
+    return good.groupBy("ingestion_id", "timestamp_utc").agg(F.count(F.lit(1)).alias("row_count"))
+
+
+@register("append_by_name", with_ctes(["arrivals"], "SELECT * FROM arrivals"))
+def append_by_name_q(spark, sf_dir):
+    good, _ = _good_and_rejected(spark, sf_dir)
+    # Upper-case names in reverse order: the sink matches them by name.
+    shuffled = good.select(*[F.col(c).alias(c.upper()) for c in reversed(good.columns)])
+    path = scratch_path(spark, "raw_arrivals")
+    I.append_raw(shuffled, path)
+    return I.read_raw(spark, path).drop("ingest_date")
+
+
+@register("ingest_report", with_ctes(["arrivals"], """
+    SELECT ingestion_id, count(*) AS rows_inserted, CAST(0 AS BIGINT) AS rows_errored
+    FROM arrivals GROUP BY ingestion_id"""))
+def ingest_report_q(spark, sf_dir):
+    good, rejected = _good_and_rejected(spark, sf_dir)
+    return I.ingest_report(good, rejected)
+
+
+@register("ref_stations", with_ctes(["stations"], "SELECT * FROM stations"))
+def ref_stations_q(spark, sf_dir):
+    return R.load_stations(standin.stop_documents(spark, sf_dir))
+
+
+@register("ref_line_routes", with_ctes(["routes"], "SELECT * FROM routes"))
+def ref_line_routes_q(spark, sf_dir):
+    return R.load_routes(standin.route_documents(spark, sf_dir))
+
+
+@register("ref_lines", with_ctes(["lines"], "SELECT * FROM lines"))
+def ref_lines_q(spark, sf_dir):
+    return standin.lines(spark, sf_dir)
+
+
+@register("load_summary", with_ctes(["stations", "routes", "lines"], """
+    SELECT s.n AS stations, r.n AS routes, l.n AS lines,
+           printf('Reference data loaded: %d stations, %d routes, %d lines', s.n, r.n, l.n) AS summary
+    FROM (SELECT count(*) AS n FROM stations) s, (SELECT count(*) AS n FROM routes) r,
+         (SELECT count(*) AS n FROM lines) l"""))
+def load_summary_q(spark, sf_dir):
+    return R.load_summary(R.load_stations(standin.stop_documents(spark, sf_dir)),
+                          R.load_routes(standin.route_documents(spark, sf_dir)),
+                          standin.lines(spark, sf_dir))

@@ -139,3 +139,65 @@ def reference_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
         "lines": lines(spark, sf_dir),
         "routes": routes(spark, sf_dir),
     }
+
+
+# ---------------------------------------------------------------- source documents
+# The loaders (ingest S1-S7, refdata S8-S9) read API-shaped JSON. These build
+# that JSON from the stand-in tables, so that parsing it back must give the
+# stand-in tables again. Each document holds a bounded number of entries.
+
+PAYLOAD_ID_SPAN = 500     # event ids per payload chunk: at most 100 per line
+
+
+def _iso(ts: Column) -> Column:
+    return F.date_format(ts, "yyyy-MM-dd'T'HH:mm:ss")
+
+
+def payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Landing records: (ingestion_id, timestamp_utc, line_id, body) where
+    body is the JSON array the arrivals API would return for that line, with
+    at most PAYLOAD_ID_SPAN / LINE_COUNT predictions each."""
+    raw = arrivals(spark, sf_dir)
+    pred = F.to_json(F.struct(
+        F.col("event_id").cast("string").alias("id"),
+        F.col("vehicle_id").alias("vehicleId"),
+        F.col("line_id").alias("lineId"),
+        F.col("line_name").alias("lineName"),
+        F.col("station_naptan_id").alias("naptanId"),
+        F.col("station_name").alias("stationName"),
+        F.col("platform_name").alias("platformName"),
+        F.col("direction").alias("direction"),
+        F.col("destination_name").alias("destinationName"),
+        F.col("destination_naptan_id").alias("destinationNaptanId"),
+        F.col("current_location").alias("currentLocation"),
+        F.col("towards").alias("towards"),
+        F.col("time_to_station").alias("timeToStation"),
+        F.when(F.col("expected_arrival").isNotNull(),
+               F.concat(_iso(F.col("expected_arrival")), F.lit("Z"))).alias("expectedArrival"),
+    ), {"ignoreNullFields": "false"})
+    chunk = F.floor(F.col("event_id") / PAYLOAD_ID_SPAN).alias("chunk")
+    return (
+        raw.groupBy("ingestion_id", _iso(F.col("timestamp_utc")).alias("timestamp_utc"), "line_id", chunk)
+        .agg(F.concat(F.lit("["), F.array_join(F.collect_list(pred), ","), F.lit("]")).alias("body"))
+        .drop("chunk")
+    )
+
+
+def stop_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(line_id, body): stop points of a line as the API lists them, in
+    chunks of at most ten stations."""
+    st = stations(spark, sf_dir)
+    stop = F.to_json(F.struct(
+        F.col("naptan_id").alias("naptanId"), F.col("station_name").alias("commonName"),
+        F.col("latitude").alias("lat"), F.col("longitude").alias("lon")))
+    chunk = F.floor(F.substring("naptan_id", 2, 9).cast("int") / 10).alias("chunk")
+    return (st.groupBy("line_id", chunk)
+            .agg(F.concat(F.lit("["), F.array_join(F.collect_list(stop), ","), F.lit("]")).alias("body"))
+            .drop("chunk"))
+
+
+def route_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(line_id, direction, body): route sequence documents with lineStrings."""
+    return routes(spark, sf_dir).select(
+        "line_id", "direction",
+        F.to_json(F.struct(F.array(F.col("coordinates")).alias("lineStrings"))).alias("body"))
