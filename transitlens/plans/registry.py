@@ -493,3 +493,50 @@ def load_summary_q(spark, sf_dir):
     return R.load_summary(R.load_stations(standin.stop_documents(spark, sf_dir)),
                           R.load_routes(standin.route_documents(spark, sf_dir)),
                           standin.lines(spark, sf_dir))
+
+
+# ---------------------------------------------------------------- M1-M5
+
+from ..streaming import live as M  # noqa: E402
+
+AVAILABLE_NOW = {"availableNow": True}
+
+
+def _landing(spark, sf_dir) -> str:
+    """Write the stand-in payloads as landing files (one record per line)."""
+    path = scratch_path(spark, "landing")
+    standin.payloads(spark, sf_dir).write.json(path)
+    return path
+
+
+def _ingested(spark, sf_dir) -> tuple[str, str]:
+    base = scratch_path(spark, "live")
+    raw_dir = f"{base}/raw"
+    M.run_available(M.start_ingest(spark, _landing(spark, sf_dir), raw_dir, f"{base}/ckpt", AVAILABLE_NOW))
+    return base, raw_dir
+
+
+@register("stream_raw_arrivals", with_ctes(["arrivals"], "SELECT * FROM arrivals"))
+def stream_raw_q(spark, sf_dir):
+    _, raw_dir = _ingested(spark, sf_dir)
+    return spark.read.parquet(raw_dir).drop("ingest_date")
+
+
+@register("stream_latest", with_ctes(["latest"], "SELECT * FROM latest"))
+def stream_latest_q(spark, sf_dir):
+    base, raw_dir = _ingested(spark, sf_dir)
+    out = f"{base}/latest"
+    M.run_available(M.start_view(spark, raw_dir, out, f"{base}/ckpt", lambda latest: latest, AVAILABLE_NOW))
+    return M.read_snapshot(spark, out)
+
+
+@register("stream_positions", with_ctes(["positions"], "SELECT * FROM positions"))
+def stream_positions_q(spark, sf_dir):
+    base, raw_dir = _ingested(spark, sf_dir)
+    stations_path, lines_path = f"{base}/ref_stations", f"{base}/ref_lines"
+    R.replace_table(R.load_stations(standin.stop_documents(spark, sf_dir)), stations_path)
+    R.replace_table(standin.lines(spark, sf_dir), lines_path)
+    out = f"{base}/positions"
+    M.run_available(M.start_positions(spark, raw_dir, stations_path, lines_path, out,
+                                      f"{base}/ckpt", AVAILABLE_NOW))
+    return M.read_snapshot(spark, out)
