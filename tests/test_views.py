@@ -1,0 +1,72 @@
+"""Dashboard datasets."""
+
+import datetime as dt
+
+from transitlens.operators import views as V
+from transitlens.schemas import REF_LINE_ROUTES
+
+
+def _routes(spark, rows):
+    return spark.createDataFrame(rows, REF_LINE_ROUTES)
+
+
+def test_route_depths_and_grey(spark, fixture_lines):
+    routes = _routes(spark, [
+        ("x", "inbound", "[[1.5,51.25],[0.5,51.5]]"),
+        ("y", "inbound", "[[[0.5,1.0],[1.0,2.0]],[[2.0,3.0],[3.0,4.0]],[[5.0,6.0],[7.0,8.0]]]"),
+        ("x", "inbound", "[]"),
+        ("x", "inbound", None),
+        ("x", "outbound", "[[9.0,9.0],[8.0,8.0]]"),
+        ("z", "inbound", "[[1.0,1.0],[2.0,2.0]]"),
+    ])
+    rows = V.route_paths(routes, fixture_lines, ["x", "y", "z"]).collect()
+    by_line = {}
+    for r in rows:
+        by_line.setdefault(r.line_id, []).append(r)
+    assert len(by_line["x"]) == 1 and by_line["x"][0].path == [[1.5, 51.25], [0.5, 51.5]]
+    assert by_line["x"][0].colour == [179, 99, 5, 180]
+    assert sorted(r.segment for r in by_line["y"]) == [0, 1, 2]
+    assert by_line["z"][0].colour == [128, 128, 128, 180]
+
+
+def test_empty_selection_gives_nothing(spark, fixture_lines):
+    routes = _routes(spark, [("x", "inbound", "[[1.0,1.0]]")])
+    assert V.route_paths(routes, fixture_lines, []).count() == 0
+
+
+def _pos(spark, rows):
+    schema = ("vehicle_id string, line_id string, line_name string, direction string, destination_name string, "
+              "current_location string, location_type string, time_to_station int, station_name string, "
+              "towards string, timestamp_utc timestamp_ntz, latitude double, longitude double, "
+              "colour_hex string, colour_r int, colour_g int, colour_b int")
+    return spark.createDataFrame(rows, schema)
+
+
+def _p(v, line, name, ts=dt.datetime(2024, 1, 1, 12, 0, 5, 900000), r=1):
+    return (v, line, name, "inbound", "d", "At A", "AT_STATION", 1, "s", "t", ts, 1.0, 2.0, "#010203", r, 2, 3)
+
+
+def test_header_metrics(spark):
+    pos = _pos(spark, [_p("a", "x", "X"), _p("b", "x", "X"), _p("c", "y", "Y")])
+    r = V.header_metrics(pos).first()
+    assert (r.active_trains, r.lines_active, r.last_update) == (3, 2, "2024-01-01 12:00:05")
+    r = V.header_metrics(pos.limit(0)).first()
+    assert (r.active_trains, r.lines_active, r.last_update) == (0, 0, "No data")
+    r = V.header_metrics(_pos(spark, [_p("a", "x", "X", ts=None)])).first()
+    assert r.last_update == "N/A"
+
+
+def test_trains_on_lines_and_per_line(spark):
+    pos = _pos(spark, [_p("a", "x", "X"), _p("b", "x", "X"), _p("c", "y", "Y"), _p("d", "z", None)])
+    assert V.trains_on(pos, ["x"]).count() == 2
+    assert V.trains_on(pos, []).count() == 0
+    assert [(r.line_name, r.trains) for r in V.trains_per_line(pos).collect()] == [("X", 2), ("Y", 1)]
+
+
+def test_markers_null_safe(spark):
+    pos = _pos(spark, [_p("a", "x", "X", r=None)])
+    assert V.train_markers(pos).first().colour == [None, 2, 3, 220]
+
+
+def test_line_picker_ordered_by_name(spark, fixture_lines):
+    assert [r.line_id for r in V.line_picker(fixture_lines).collect()] == ["x", "y"]

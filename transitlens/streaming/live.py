@@ -20,6 +20,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from ..operators.latest import latest_per_vehicle
@@ -27,7 +28,8 @@ from ..plans.positions import positions_from_latest
 from ..schemas import RAW_WITH_TIE
 from ..sources import ingest as I
 
-RAW_STREAM_SCHEMA = RAW_WITH_TIE.add("ingest_date", "date")
+# A new StructType: StructType.add would change RAW_WITH_TIE itself.
+RAW_STREAM_SCHEMA = T.StructType(RAW_WITH_TIE.fields + [T.StructField("ingest_date", T.DateType())])
 POINTERS = "_pointers"
 
 
