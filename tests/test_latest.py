@@ -46,6 +46,13 @@ def test_missing_vehicle_ids_collapse_per_line(spark):
         ("", "x"): 1}
 
 
+def test_null_tie_loses_in_both_forms(spark):
+    from transitlens.operators.latest import latest_by_aggregate
+    raw = make_raw(spark, [raw_row(t=10, event_id=None), raw_row(t=10, event_id=5)])
+    assert [r.event_id for r in latest_per_vehicle(raw).collect()] == [5]
+    assert [r.event_id for r in latest_by_aggregate(raw).collect()] == [5]
+
+
 def test_hash_tie_when_no_event_id(spark):
     raw = make_raw(spark, [raw_row(t=10, event_id=1), raw_row(t=10, event_id=2)]).drop("event_id")
     out = latest_per_vehicle(raw)
@@ -68,3 +75,13 @@ def test_independent_of_input_order_and_partitioning(spark):
     a = latest_per_vehicle(raw)
     b = latest_per_vehicle(raw.orderBy(F.rand(7)).repartition(13))
     assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+
+
+def test_aggregate_form_equals_window_form(spark):
+    from transitlens.operators.latest import latest_by_aggregate
+    raw = standin.arrivals(spark, "/root/testdata/sf0.01")
+    # Also with NULL timestamps in the mix (they win: DESC NULLS FIRST).
+    raw = raw.withColumn("timestamp_utc", F.when(F.col("event_id") % 13 != 0, F.col("timestamp_utc")))
+    a = latest_per_vehicle(raw)
+    b = latest_by_aggregate(raw).select(*a.columns)
+    assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0

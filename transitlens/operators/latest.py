@@ -2,25 +2,27 @@
 
 The reference keeps row 1 of
 ``ROW_NUMBER() OVER (PARTITION BY vehicle, line ORDER BY timestamp_utc DESC,
-time_to_station ASC)``. Here it is one grouped ``max_by`` over a null-free
-ordering struct:
+time_to_station ASC)``. Two equal forms (a test holds them equal):
 
-* it pre-aggregates map-side, so a hot key (e.g. every row with a missing
-  vehicle id, B4) reaches the shuffle as one row per map task, never as a
-  third of the table in one task;
-* it is accepted by Structured Streaming (complete / update mode), where a
-  row_number window is not, so batch and live share one definition.
+* batch: that very window. Catalyst turns ``row_number() = 1`` into a
+  *partial* WindowGroupLimit before the exchange and a final one after it, so
+  every map task sends at most one row per key: a hot key (e.g. every row
+  with a missing vehicle id, B4) never brings a third of the table to one
+  task. It measured faster than the aggregate form at sf0.1.
+* streaming: one grouped ``max_by`` over a null-free ordering struct (a
+  row_number window is refused on a stream); it pre-aggregates map-side in
+  the same way and keeps one state row per key.
 
 Ordering, most significant first (A1, A3, T3, T4):
 1. timestamp_utc DESC NULLS FIRST  -> (ts IS NULL, ts) larger wins
 2. time_to_station ASC NULLS LAST  -> (t IS NOT NULL, ~t) larger wins
-3. tie-break ASC                   -> ~tie larger wins
+3. tie-break ASC NULLS LAST        -> (tie IS NOT NULL, ~tie) larger wins
 (``~x`` = -x - 1 reverses the order without the overflow of -Long.MinValue.)
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..schemas import TIE_COLUMN
@@ -31,7 +33,7 @@ KEYS = ["vehicle_id", "line_id"]
 def tie_key(df: DataFrame) -> Column:
     """Last sort key: the stand-in's event id, else a hash of the whole row."""
     if TIE_COLUMN in df.columns:
-        return F.coalesce(F.col(TIE_COLUMN), F.lit(0).cast("long"))
+        return F.col(TIE_COLUMN)
     return F.xxhash64(*[F.col(c) for c in df.columns])
 
 
@@ -43,12 +45,27 @@ def ordering(df: DataFrame) -> Column:
         F.coalesce(ts, epoch).alias("ts"),
         t.isNotNull().alias("t_known"),
         F.bitwise_not(F.coalesce(t, F.lit(0)).cast("long")).alias("neg_t"),
-        F.bitwise_not(tie_key(df)).alias("neg_tie"),
+        tie_key(df).isNotNull().alias("tie_known"),
+        F.bitwise_not(F.coalesce(tie_key(df), F.lit(0).cast("long"))).alias("neg_tie"),
     )
 
 
+def window_order(df: DataFrame) -> list[Column]:
+    """The same ordering as sort keys of a window (NULL order spelled out, T3)."""
+    return [F.col("timestamp_utc").desc_nulls_first(), F.col("time_to_station").asc_nulls_last(),
+            tie_key(df).asc_nulls_last()]
+
+
 def latest_per_vehicle(raw: DataFrame) -> DataFrame:
     """One row per (vehicle_id, line_id): the latest prediction, all columns kept."""
+    if raw.isStreaming:
+        return latest_by_aggregate(raw)
+    w = Window.partitionBy(*KEYS).orderBy(*window_order(raw))
+    return raw.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") == 1).drop("_rn")
+
+
+def latest_by_aggregate(raw: DataFrame) -> DataFrame:
+    """The aggregate form (streaming; equal to the window form)."""
     payload = [c for c in raw.columns if c not in KEYS]
     best = F.max_by(F.struct(*[F.col(c) for c in payload]), ordering(raw)).alias("best")
     return raw.groupBy(*KEYS).agg(best).select(*KEYS, *[F.col(f"best.{c}").alias(c) for c in payload])

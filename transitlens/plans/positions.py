@@ -21,7 +21,7 @@ from ..functions import location as L
 from ..operators.latest import latest_per_vehicle
 from ..operators.station_match import (best_station_per_name, line_colours, match_station,
                                        next_stop, prepare_stations)
-from ..schemas import PARSED_BASE, TRAIN_POSITIONS
+from ..schemas import PARSED_BASE, TIE_COLUMN, TRAIN_POSITIONS
 
 # (prefix of the joined station columns, name column) per name match.
 NAME_MATCHES = [
@@ -88,7 +88,19 @@ def _fresh_raw(raw: DataFrame, max_age: dt.timedelta | None, now) -> tuple[DataF
     now_col = F.lit(now).cast("timestamp_ntz") if now is not None else F.current_timestamp().cast("timestamp_ntz")
     cutoff = now_col - F.make_dt_interval(secs=F.lit(max_age.total_seconds()))
     keep = F.col("timestamp_utc") >= cutoff
-    return raw.where(keep | F.col("timestamp_utc").isNull()), keep
+    pre = keep | F.col("timestamp_utc").isNull()
+    if "ingest_date" in raw.columns:
+        # Raw written by append_raw is partitioned by ingest date: prune days.
+        pre = pre & ((F.col("ingest_date") >= F.to_date(cutoff)) | F.col("ingest_date").isNull())
+    return raw.where(pre), keep
+
+
+def prune_raw(raw: DataFrame) -> DataFrame:
+    """Only the columns the view reads (plus the W1 tie-break, if any). Done
+    before W1, so unused raw columns are neither scanned (ReadSchema) nor
+    carried through its shuffle or kept in streaming state."""
+    keep = [c for c in PARSED_BASE + [TIE_COLUMN, "ingest_date"] if c in raw.columns]
+    return raw.select(*keep)
 
 
 def positions_from_latest(latest: DataFrame, stations: DataFrame, lines: DataFrame,
@@ -99,6 +111,11 @@ def positions_from_latest(latest: DataFrame, stations: DataFrame, lines: DataFra
     return line_colours(placed, lines).select(*TRAIN_POSITIONS)
 
 
+def latest_for_view(raw: DataFrame) -> DataFrame:
+    """W1 over the pruned raw columns (the live view's state)."""
+    return latest_per_vehicle(prune_raw(raw))
+
+
 def train_positions(raw: DataFrame, stations: DataFrame, lines: DataFrame, unique: bool = False,
                     max_age: dt.timedelta | None = None, now=None) -> DataFrame:
     """The TRAIN_POSITIONS view.
@@ -108,7 +125,7 @@ def train_positions(raw: DataFrame, stations: DataFrame, lines: DataFrame, uniqu
     ``max_age`` drops vehicles whose latest prediction is older than
     ``now - max_age`` (``now`` defaults to the current time).
     """
-    raw, keep = _fresh_raw(raw, max_age, now)
+    raw, keep = _fresh_raw(prune_raw(raw), max_age, now)
     latest = latest_per_vehicle(raw)
     if keep is not None:
         latest = latest.where(keep)

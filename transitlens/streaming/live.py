@@ -24,7 +24,7 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from ..operators.latest import latest_per_vehicle
-from ..plans.positions import positions_from_latest
+from ..plans.positions import positions_from_latest, prune_raw
 from ..schemas import RAW_WITH_TIE
 from ..sources import ingest as I
 
@@ -83,10 +83,12 @@ def read_snapshot(spark: SparkSession, out_dir: str) -> DataFrame:
 
 
 def start_view(spark: SparkSession, raw_dir: str, out_dir: str, checkpoint: str,
-               build: Callable[[DataFrame], DataFrame], trigger: dict | None = None) -> StreamingQuery:
+               build: Callable[[DataFrame], DataFrame], trigger: dict | None = None,
+               prune: Callable[[DataFrame], DataFrame] = lambda df: df) -> StreamingQuery:
     """M2 + M4: latest-per-vehicle state; each trigger rebuilds the view from
-    the complete state with ``build`` and writes it as a snapshot."""
-    latest = latest_per_vehicle(read_raw_stream(spark, raw_dir).drop("ingest_date"))
+    the complete state with ``build`` and writes it as a snapshot. ``prune``
+    selects the raw columns the state keeps."""
+    latest = latest_per_vehicle(prune(read_raw_stream(spark, raw_dir).drop("ingest_date")))
 
     def refresh_batch(state: DataFrame, batch_id: int) -> None:
         write_snapshot(build(state), out_dir, f"b{batch_id:012d}")
@@ -105,7 +107,7 @@ def start_positions(spark: SparkSession, raw_dir: str, stations_path: str, lines
     def build(latest: DataFrame) -> DataFrame:
         return positions_from_latest(latest, spark.read.parquet(stations_path),
                                      spark.read.parquet(lines_path), unique)
-    return start_view(spark, raw_dir, out_dir, checkpoint, build, trigger)
+    return start_view(spark, raw_dir, out_dir, checkpoint, build, trigger, prune=prune_raw)
 
 
 def refresh(spark: SparkSession, raw_dir: str, stations_path: str, lines_path: str,
