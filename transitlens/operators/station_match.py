@@ -45,10 +45,7 @@ def _join_renamed(df: DataFrame, stations: DataFrame, prefix: str, cond_of, how:
     Spark reuses one broadcast exchange for all of them."""
     left, right = df.alias("p"), stations.alias(prefix)
     joined = left.join(right, cond_of(prefix), how)
-    return joined.select(
-        *[F.col(f"p.{c}") for c in df.columns],
-        *[F.col(f"{prefix}.{c}").alias(f"{prefix}_{c}") for c in STATION_FIELDS],
-    )
+    return joined.selectExpr("p.*", *[f"{prefix}.{c} AS {prefix}_{c}" for c in STATION_FIELDS])
 
 
 def match_station(df: DataFrame, stations: DataFrame, name_col: str, prefix: str,

@@ -40,7 +40,9 @@ def register(key: str, sql: str | None = None):
 
 
 def _tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    return standin.reference_tables(spark, sf_dir)
+    """raw, stations, lines (routes only where a key needs them)."""
+    return {"raw": standin.arrivals(spark, sf_dir), "stations": standin.stations(spark, sf_dir),
+            "lines": standin.lines(spark, sf_dir)}
 
 
 def _parsed(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -377,7 +379,7 @@ def table_counts_q(spark, sf_dir):
     t = _tables(spark, sf_dir)
     return H.table_counts({
         "RAW_ARRIVALS": t["raw"], "REF_STATIONS": t["stations"], "REF_LINES": t["lines"],
-        "REF_LINE_ROUTES": t["routes"],
+        "REF_LINE_ROUTES": standin.routes(spark, sf_dir),
         "TRAIN_POSITIONS": P.train_positions(t["raw"], t["stations"], t["lines"]),
     })
 

@@ -18,6 +18,10 @@ BASE_CONF = {
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
+    # Every Column call otherwise records its Python call site in the JVM
+    # (several py4j round trips each): plan construction, not execution, is
+    # what that costs, and it is paid again for every streaming micro-batch.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 

@@ -23,8 +23,20 @@ NULL_TIME_EVERY = 97          # event_id % 97 = 0 has an unknown time_to_station
 LINE_COUNT = 5                # event_id % 5 picks the region (line)
 
 
+# Declared schemas of the source tables read here: a read with a schema
+# needs no footer-inference job (one Spark job per read otherwise).
+SOURCE_SCHEMAS = {
+    "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string",
+    "region": "r_regionkey int, r_name string",
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+}
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(table_path(sf_dir, name))
+    reader = spark.read
+    if name in SOURCE_SCHEMAS:
+        reader = reader.schema(SOURCE_SCHEMAS[name])
+    return reader.parquet(table_path(sf_dir, name))
 
 
 def _nation_label(k: Column) -> Column:
