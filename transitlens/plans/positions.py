@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from ..functions import geometry as G
 from ..functions import location as L
 from ..operators.latest import latest_per_vehicle
-from ..operators.station_match import (best_station_per_name, line_colours, match_station,
+from ..operators.station_match import (best_station_table, join_best, line_colours, match_station,
                                        next_stop, prepare_stations)
 from ..schemas import PARSED_BASE, TIE_COLUMN, TRAIN_POSITIONS
 
@@ -48,12 +48,20 @@ def parse_location(latest: DataFrame) -> DataFrame:
 def with_station_matches(parsed: DataFrame, stations: DataFrame, unique: bool = False) -> DataFrame:
     """J1-J5 in the reference's order: at, approaching, next stop, from, to."""
     st, small = prepare_stations(stations)
+    if unique:
+        best = best_station_table(parsed, st, [n for _, n in NAME_MATCHES], small)
+
+        def match(df, name_col, prefix):
+            return join_best(df, best, name_col, prefix)
+    else:
+        def match(df, name_col, prefix):
+            return match_station(df, st, name_col, prefix, small)
     out = parsed
     for prefix, name_col in NAME_MATCHES[:2]:
-        out = (best_station_per_name if unique else match_station)(out, st, name_col, prefix, small)
+        out = match(out, name_col, prefix)
     out = next_stop(out, st, "s_dest", small)
     for prefix, name_col in NAME_MATCHES[2:]:
-        out = (best_station_per_name if unique else match_station)(out, st, name_col, prefix, small)
+        out = match(out, name_col, prefix)
     return out
 
 
