@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 MAX_BROADCAST_ROWS = 1_000_000
 
 
-_checked: dict[tuple[str, int, int], bool] = {}
+_checked: dict[tuple, bool] = {}
 
 
 def fits_broadcast(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> bool:
@@ -18,12 +18,14 @@ def fits_broadcast(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> bool:
 
     ``limit(max_rows + 1).count()`` stops early, so the check costs at most
     ``max_rows`` rows of reading however big the table turns out to be. The
-    answer is remembered per application and plan, so a plan that joins the
-    same reference table five times (or every micro-batch) counts it once.
+    answer is remembered per application, plan and set of input files, so a
+    plan that joins the same reference table five times (or every micro-batch)
+    counts it once, while a reload (new files) is checked again.
     """
     if df.isStreaming:
         return False
-    key = (df.sparkSession.sparkContext.applicationId, df.semanticHash(), max_rows)
+    key = (df.sparkSession.sparkContext.applicationId, df.semanticHash(),
+           tuple(sorted(df.inputFiles())), max_rows)
     if key not in _checked:
         _checked[key] = df.limit(max_rows + 1).count() <= max_rows
     return _checked[key]

@@ -41,6 +41,24 @@ def build_session(master: str = "local[8]", shuffle_partitions: int = 8,
     return spark
 
 
+def cluster_conf(executors: int, cores_per_executor: int) -> dict[str, str]:
+    """Settings for a large cluster (pass as ``extra`` to ``build_session``).
+
+    Shuffle partitions start at 4 per core and AQE coalesces them towards
+    128 MB; file splits of 256 MB keep map tasks few but within memory; the
+    RocksDB state store keeps the live view's per-vehicle state off heap.
+    """
+    cores = executors * cores_per_executor
+    return {
+        "spark.sql.shuffle.partitions": str(4 * cores),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
+        "spark.sql.files.maxPartitionBytes": "256m",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "512m",
+        "spark.sql.streaming.stateStore.providerClass":
+            "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    }
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The shared folder the cluster names in ``spark.checkpoint.dir``.
 
