@@ -101,45 +101,3 @@ def line_colours(df: DataFrame, lines: DataFrame) -> DataFrame:
     cols = lines.select("line_id", "colour_hex", "colour_r", "colour_g", "colour_b")
     cols, _ = checked_broadcast(cols)
     return df.join(cols, "line_id", "left")
-
-
-def best_station_table(df: DataFrame, stations: DataFrame, name_cols: list[str],
-                       small: bool | None = None) -> DataFrame:
-    """Unique option: at most one station per (line_id, name), for the names
-    of all ``name_cols`` at once.
-
-    Preference: name equal ignoring case, then the shortest station name,
-    then the smallest naptan id. Built on the distinct (line, name) pairs, a
-    map-side partial aggregate, so its size is that of the name vocabulary,
-    not of the data. Columns: bt_line, bt_name, bt_naptan_id, bt_station_name,
-    bt_latitude, bt_longitude.
-    """
-    if small is None:
-        stations, small = prepare_stations(stations)
-    names = None
-    for c in name_cols:
-        part = df.select(F.col("line_id").alias("bt_nl"), F.col(c).alias("bt_name"))
-        names = part if names is None else names.unionByName(part)
-    s = _prefixed(stations, "bt")
-    cand = names.where(F.col("bt_name").isNotNull()).distinct().join(
-        s, (F.col("bt_nl") == F.col("bt_line_id"))
-        & name_matches(F.col("bt_station_name"), F.col("bt_name")))
-    rank = F.struct(
-        (F.lower(F.col("bt_station_name")) != F.lower(F.col("bt_name"))).alias("inexact"),
-        F.length("bt_station_name").alias("len"),
-        F.col("bt_naptan_id").alias("naptan"),
-    )
-    value = F.struct(*[F.col(f"bt_{c}").alias(c) for c in STATION_FIELDS])
-    return (cand.groupBy("bt_nl", "bt_name").agg(F.min_by(value, rank).alias("b"))
-            .select(F.col("bt_nl").alias("bt_line"), "bt_name",
-                    *[F.col(f"b.{c}").alias(f"bt_{c}") for c in STATION_FIELDS]))
-
-
-def join_best(df: DataFrame, best: DataFrame, name_col: str, prefix: str) -> DataFrame:
-    """Equi-join ``best_station_table`` back on (line_id, name); adds the
-    ``{prefix}_*`` station columns. The same ``best`` joined several times
-    is one exchange, reused."""
-    left, right = df.alias("p"), best.alias("b")
-    cond = (F.col("p.line_id") == F.col("b.bt_line")) & (F.col(f"p.{name_col}") == F.col("b.bt_name"))
-    return left.join(right, cond, "left").selectExpr(
-        "p.*", *[f"b.bt_{c} AS {prefix}_{c}" for c in STATION_FIELDS])

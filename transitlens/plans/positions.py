@@ -19,8 +19,7 @@ from pyspark.sql import functions as F
 from ..functions import geometry as G
 from ..functions import location as L
 from ..operators.latest import latest_per_vehicle
-from ..operators.station_match import (best_station_table, join_best, line_colours, match_station,
-                                       next_stop, prepare_stations)
+from ..operators.station_match import line_colours, match_station, next_stop, prepare_stations
 from ..schemas import PARSED_BASE, TIE_COLUMN, TRAIN_POSITIONS
 
 # (prefix of the joined station columns, name column) per name match.
@@ -46,23 +45,39 @@ def parse_location(latest: DataFrame) -> DataFrame:
 
 
 def with_station_matches(parsed: DataFrame, stations: DataFrame, unique: bool = False) -> DataFrame:
-    """J1-J5 in the reference's order: at, approaching, next stop, from, to."""
+    """J1-J5 in the reference's order: at, approaching, next stop, from, to.
+
+    ``unique=True`` then keeps, per (vehicle, line), the row whose stations
+    rank best for their names (see ``_match_rank``). The rows of one vehicle
+    are the full product of its per-join matches, so the lexicographic
+    minimum over the per-join ranks is exactly the best station of every name
+    at once. The joins are map-side and W1 left the rows hash-partitioned by
+    (vehicle_id, line_id), so this regrouping needs no new shuffle.
+    """
     st, small = prepare_stations(stations)
-    if unique:
-        best = best_station_table(parsed, st, [n for _, n in NAME_MATCHES], small)
-
-        def match(df, name_col, prefix):
-            return join_best(df, best, name_col, prefix)
-    else:
-        def match(df, name_col, prefix):
-            return match_station(df, st, name_col, prefix, small)
     out = parsed
     for prefix, name_col in NAME_MATCHES[:2]:
-        out = match(out, name_col, prefix)
+        out = match_station(out, st, name_col, prefix, small)
     out = next_stop(out, st, "s_dest", small)
     for prefix, name_col in NAME_MATCHES[2:]:
-        out = match(out, name_col, prefix)
-    return out
+        out = match_station(out, st, name_col, prefix, small)
+    if not unique:
+        return out
+    rank = F.struct(*[_match_rank(prefix, name_col) for prefix, name_col in NAME_MATCHES],
+                    F.col("s_dest_naptan_id"))
+    best = F.min_by(F.struct(*[F.col(c) for c in out.columns]), rank).alias("best")
+    return out.groupBy("vehicle_id", "line_id").agg(best).select("best.*")
+
+
+def _match_rank(prefix: str, name_col: str) -> Column:
+    """Preference among stations matching one name: the name itself (ignoring
+    case), then the shortest station name, then the smallest naptan id."""
+    name, station = F.col(name_col), F.col(f"{prefix}_station_name")
+    return F.struct(
+        (F.lower(station) != F.lower(name)).alias("inexact"),
+        F.length(station).alias("len"),
+        F.col(f"{prefix}_naptan_id").alias("naptan"),
+    ).alias(prefix)
 
 
 def _position(axis: str, fraction: Column) -> Column:
