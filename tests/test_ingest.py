@@ -102,3 +102,16 @@ def test_landing_files_roundtrip(spark, tmp_path):
     _payloads(spark, [json.dumps([FULL]), "not json"]).write.json(path)
     good, rej = I.raw_from_payloads(I.read_predictions(spark, path))
     assert good.count() == 1 and rej.count() == 1
+
+
+def test_ingest_run(spark, tmp_path):
+    landing, raw, rej = (str(tmp_path / n) for n in ("landing", "raw", "rej"))
+    _payloads(spark, [json.dumps([FULL, FULL]), json.dumps([dict(FULL, timeToStation="x")])]).write.json(landing)
+    with pytest.raises(RuntimeError):
+        I.ingest_run(spark, landing, raw, rej)
+    assert I.read_raw(spark, raw).count() == 2 and spark.read.parquet(rej).count() == 1
+    empty = str(tmp_path / "empty")
+    _payloads(spark, ["[]"]).write.json(empty)
+    assert I.ingest_run(spark, empty, str(tmp_path / "raw2")) == {"rows_inserted": 0, "rows_errored": 0}
+    import os
+    assert not os.path.exists(str(tmp_path / "raw2"))

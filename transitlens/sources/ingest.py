@@ -173,3 +173,23 @@ def append_raw(df: DataFrame, path: str) -> None:
 
 def read_raw(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
+
+
+def ingest_run(spark: SparkSession, landing_path: str, raw_path: str, rejects_path: str | None = None,
+               ingestion_id=None, timestamp_utc=None, strict: bool = True) -> dict:
+    """One batch ingest run (S1-S7): parse the landing records, append the
+    good rows by name, keep the rejected rows aside, report the counts.
+
+    A run with no prediction at all writes nothing. With ``strict`` a run
+    with rejected rows raises after the good rows are appended, as the
+    reference's ingest exits non-zero after its commit.
+    """
+    good, rejected = raw_from_payloads(read_predictions(spark, landing_path), ingestion_id, timestamp_utc)
+    totals = check_report(ingest_report(good, rejected), strict=False)
+    if totals["rows_inserted"]:
+        append_raw(good, raw_path)
+    if rejects_path and totals["rows_errored"]:
+        rejected.write.mode("append").parquet(rejects_path)
+    if strict and totals["rows_errored"]:
+        raise RuntimeError(f"ingest rejected {totals['rows_errored']} rows")
+    return totals
