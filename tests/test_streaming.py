@@ -81,3 +81,20 @@ def test_refresh_after_reference_reload(spark):
     R.replace_table(standin.stations(spark, SF).where("line_id <> 'asia'"), f"{base}/stations2")
     M.refresh(spark, raw_dir, f"{base}/stations2", ln_path, out)
     assert M.read_snapshot(spark, out).where("line_id = 'asia'").count() == 0
+
+
+def test_live_max_age_drops_stale_vehicles(spark):
+    base = scratch_path(spark, "fresh-test")
+    raw_dir, out = f"{base}/raw", f"{base}/positions"
+    st_path, ln_path = f"{base}/stations", f"{base}/lines"
+    # Stand-in timestamps are in January 2024: all older than a day at trigger time.
+    from transitlens.sources import ingest as I
+    I.append_raw(standin.arrivals(spark, SF), raw_dir)
+    R.replace_table(standin.stations(spark, SF), st_path)
+    R.replace_table(standin.lines(spark, SF), ln_path)
+    import datetime as dt
+    M.run_available(M.start_positions(spark, raw_dir, st_path, ln_path, out, f"{base}/ckpt", NOW,
+                                      max_age=dt.timedelta(days=1)))
+    assert M.read_snapshot(spark, out).count() == 0
+    M.run_available(M.start_positions(spark, raw_dir, st_path, ln_path, f"{base}/all", f"{base}/ckpt2", NOW))
+    assert M.read_snapshot(spark, f"{base}/all").count() == 764

@@ -15,6 +15,7 @@ M5  no watermark and no dedup: raw is append-only and the ordering struct of
 
 from __future__ import annotations
 
+import datetime as dt
 import time
 from collections.abc import Callable
 
@@ -101,10 +102,19 @@ def start_view(spark: SparkSession, raw_dir: str, out_dir: str, checkpoint: str,
 
 def start_positions(spark: SparkSession, raw_dir: str, stations_path: str, lines_path: str,
                     out_dir: str, checkpoint: str, trigger: dict | None = None,
-                    unique: bool = False) -> StreamingQuery:
+                    unique: bool = False, max_age: dt.timedelta | None = None) -> StreamingQuery:
     """M3/M4: TRAIN_POSITIONS kept live. The reference tables are read again
-    in every micro-batch, so a reload (S8-S10) shows at the next trigger."""
+    in every micro-batch, so a reload (S8-S10) shows at the next trigger.
+
+    ``max_age`` drops vehicles whose latest prediction is older than the
+    trigger time minus ``max_age`` from the snapshot (B2). It filters the
+    output; the state keeps one row per key either way.
+    """
     def build(latest: DataFrame) -> DataFrame:
+        if max_age is not None:
+            cutoff = F.current_timestamp().cast("timestamp_ntz") - F.make_dt_interval(
+                secs=F.lit(max_age.total_seconds()))
+            latest = latest.where(F.col("timestamp_utc") >= cutoff)
         return positions_from_latest(latest, spark.read.parquet(stations_path),
                                      spark.read.parquet(lines_path), unique)
     return start_view(spark, raw_dir, out_dir, checkpoint, build, trigger, prune=prune_raw)
