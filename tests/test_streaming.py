@@ -98,3 +98,16 @@ def test_live_max_age_drops_stale_vehicles(spark):
     assert M.read_snapshot(spark, out).count() == 0
     M.run_available(M.start_positions(spark, raw_dir, st_path, ln_path, f"{base}/all", f"{base}/ckpt2", NOW))
     assert M.read_snapshot(spark, f"{base}/all").count() == 764
+
+
+def test_ingest_in_bounded_batches_with_archive(spark, landing_parts):
+    base = scratch_path(spark, "bounded")
+    landing, raw_dir, ckpt, archive = (f"{base}/{n}" for n in ("landing", "raw", "ckpt", "archive"))
+    os.makedirs(landing)
+    _feed(landing, landing_parts, range(len(landing_parts)))
+    n_files = len(os.listdir(landing))
+    qs = M.start_ingest(spark, landing, raw_dir, ckpt, NOW, max_files_per_trigger=2,
+                        clean_source="archive", archive_dir=archive)
+    M.run_available(qs)
+    assert qs[0].lastProgress is not None and qs[0].lastProgress["batchId"] >= (n_files + 1) // 2 - 1
+    assert _same(spark.read.parquet(raw_dir).drop("ingest_date"), standin.arrivals(spark, SF))

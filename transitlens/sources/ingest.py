@@ -41,12 +41,23 @@ ID_KEY = "id"
 
 
 def read_predictions(spark: SparkSession, path: str, streaming: bool = False,
-                     max_files_per_trigger: int | None = None) -> DataFrame:
-    """Landing records (one API response each) as a batch or stream."""
+                     max_files_per_trigger: int | None = None, clean_source: str | None = None,
+                     archive_dir: str | None = None) -> DataFrame:
+    """Landing records (one API response each) as a batch or stream.
+
+    Streaming options: ``max_files_per_trigger`` turns a backlog into several
+    bounded micro-batches; ``clean_source`` ('archive' with ``archive_dir``,
+    or 'delete') moves processed landing files away so the listing of the
+    landing folder does not grow without end.
+    """
     if streaming:
         reader = spark.readStream.schema(LANDING_SCHEMA)
         if max_files_per_trigger:
             reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
+        if clean_source:
+            reader = reader.option("cleanSource", clean_source)
+            if archive_dir:
+                reader = reader.option("sourceArchiveDir", archive_dir)
         return reader.json(path)
     return spark.read.schema(LANDING_SCHEMA).json(path)
 

@@ -39,11 +39,15 @@ def _trigger(writer, trigger: dict | None):
 
 
 def start_ingest(spark: SparkSession, landing_dir: str, raw_dir: str, checkpoint: str,
-                 trigger: dict | None = None, rejects_dir: str | None = None) -> list[StreamingQuery]:
+                 trigger: dict | None = None, rejects_dir: str | None = None,
+                 max_files_per_trigger: int | None = None, clean_source: str | None = None,
+                 archive_dir: str | None = None) -> list[StreamingQuery]:
     """M1: landing -> parse -> flatten -> append by name to ``raw_dir``
-    (partitioned by ingest date). Rejected rows go to ``rejects_dir``."""
+    (partitioned by ingest date). Rejected rows go to ``rejects_dir``.
+    See ``ingest.read_predictions`` for the source options."""
     flat = I.flatten_predictions(I.explode_predictions(
-        I.read_predictions(spark, landing_dir, streaming=True)))
+        I.read_predictions(spark, landing_dir, streaming=True, max_files_per_trigger=max_files_per_trigger,
+                           clean_source=clean_source, archive_dir=archive_dir)))
     good = (I.align_by_name(flat.where(F.col("reject_reason").isNull()))
             .withColumn("ingest_date", F.to_date("timestamp_utc")))
     queries = [
@@ -59,8 +63,13 @@ def start_ingest(spark: SparkSession, landing_dir: str, raw_dir: str, checkpoint
     return queries
 
 
-def read_raw_stream(spark: SparkSession, raw_dir: str) -> DataFrame:
-    return spark.readStream.schema(RAW_STREAM_SCHEMA).parquet(raw_dir)
+def read_raw_stream(spark: SparkSession, raw_dir: str, max_files_per_trigger: int | None = None) -> DataFrame:
+    """The raw table as a stream. A file-sink folder is read through its
+    commit log, so only committed files are seen and nothing is listed."""
+    reader = spark.readStream.schema(RAW_STREAM_SCHEMA)
+    if max_files_per_trigger:
+        reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
+    return reader.parquet(raw_dir)
 
 
 def write_snapshot(df: DataFrame, out_dir: str, snapshot: str) -> None:
