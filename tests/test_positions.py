@@ -113,3 +113,19 @@ def test_max_age_drops_stale(spark, fixture_stations, fixture_lines):
     out = train_positions(raw, fixture_stations, fixture_lines, max_age=dt.timedelta(days=5),
                           now=dt.datetime(2024, 1, 21))
     assert [r.vehicle_id for r in out.collect()] == ["new"]
+
+
+def test_max_age_prunes_ingest_date_partitions(spark, fixture_stations, fixture_lines, tmp_path):
+    import datetime as dt
+    from transitlens.sources import ingest as I
+    path = str(tmp_path / "raw")
+    days = [dt.datetime(2024, 1, d) for d in (1, 10, 20)]
+    I.append_raw(make_raw(spark, [raw_row(vehicle=f"v{i}", loc="At Oval", ts=d, event_id=i)
+                                  for i, d in enumerate(days)]), path)
+    raw = I.read_raw(spark, path)
+    out = train_positions(raw, fixture_stations, fixture_lines, max_age=dt.timedelta(days=5),
+                          now=dt.datetime(2024, 1, 21))
+    assert [r.vehicle_id for r in out.collect()] == ["v2"]
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    scan = [ln for ln in plan.splitlines() if "FileScan" in ln and "ingest_date" in ln]
+    assert scan and "PartitionFilters: [" in scan[0] and "ingest_date" in scan[0].split("PartitionFilters: [")[1]
