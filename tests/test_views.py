@@ -70,3 +70,17 @@ def test_markers_null_safe(spark):
 
 def test_line_picker_ordered_by_name(spark, fixture_lines):
     assert [r.line_id for r in V.line_picker(fixture_lines).collect()] == ["x", "y"]
+
+
+def test_routes_stored_as_variant(spark, fixture_lines):
+    from pyspark.sql import functions as F
+
+    from transitlens.operators import health as H
+    text = _routes(spark, [("x", "inbound", "[[[1.5,51.25],[0.5,51.5]],[[2.5,52.0],[3.5,52.5]]]")])
+    variant = text.withColumn("coordinates", F.parse_json("coordinates"))
+    a = V.route_paths(text, fixture_lines, ["x"]).collect()
+    b = V.route_paths(variant, fixture_lines, ["x"]).collect()
+    assert a == b and len(a) == 2
+    # A VARIANT is measured by its own JSON text, which writes numbers in its own form.
+    want = len(variant.select(F.to_json("coordinates").alias("j")).first().j)
+    assert H.route_lengths(variant).first().coord_length == want

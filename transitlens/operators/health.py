@@ -76,5 +76,6 @@ def freshness(raw: DataFrame, now: dt.datetime | Column | None = None) -> DataFr
 
 def route_lengths(routes: DataFrame, n: int = 5) -> DataFrame:
     """H9: length of the route JSON text, a sample of n (ordered)."""
-    return (routes.select("line_id", "direction", F.length("coordinates").alias("coord_length"))
+    from .views import coordinates_text
+    return (routes.select("line_id", "direction", F.length(coordinates_text(routes)).alias("coord_length"))
             .orderBy("line_id", "direction").limit(n))

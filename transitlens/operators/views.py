@@ -10,6 +10,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import VariantType
 
 from ..functions import geometry as G
 from .broadcast import checked_broadcast
@@ -44,6 +45,14 @@ def route_colours(lines: DataFrame, alpha: int = G.ROUTE_ALPHA) -> DataFrame:
     return lines.select("line_id", "colour_hex", G.hex_rgb(F.col("colour_hex"), alpha).alias("colour"))
 
 
+def coordinates_text(routes: DataFrame) -> F.Column:
+    """The route coordinates as JSON text, whether the column holds text or a
+    VARIANT (the table declares VARIANT, the loader writes text)."""
+    if isinstance(routes.schema["coordinates"].dataType, VariantType):
+        return F.to_json(F.col("coordinates"))
+    return F.col("coordinates")
+
+
 def route_segments(coordinates) -> F.Column:
     """V6: a route's list of paths. Depth-3 JSON is a list of segments, depth-2
     JSON one path (T6: from_json with the depth-3 schema is NULL on depth-2)."""
@@ -58,7 +67,8 @@ def route_paths(routes: DataFrame, lines: DataFrame, ids: Sequence[str],
     The line colour is the first match in line-name order; unknown lines
     are grey. Empty paths are dropped (T6).
     """
-    sel = routes.where(_in_lines(ids) & (F.col("direction") == direction))
+    sel = routes.where(_in_lines(ids) & (F.col("direction") == direction)).withColumn(
+        "coordinates", coordinates_text(routes))
     first = (lines.groupBy("line_id")
              .agg(F.min_by("colour_hex", F.struct("line_name", "colour_hex")).alias("colour_hex")))
     first, _ = checked_broadcast(first)
