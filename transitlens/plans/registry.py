@@ -291,7 +291,7 @@ def route_colours_q(spark, sf_dir):
 
 
 @register("route_paths", with_ctes(["routes", "lines"], """
-    SELECT line_id, direction, generate_subscripts(segs, 1) - 1 AS segment, unnest(segs) AS path,
+    SELECT line_id, direction, CAST(generate_subscripts(segs, 1) - 1 AS INTEGER) AS segment, unnest(segs) AS path,
            [coalesce(r, 128), coalesce(g, 128), coalesce(b, 128), 180] AS colour
     FROM segments""", extra={
         "first_colour": """SELECT line_id, arg_min(colour_hex, line_name) AS colour_hex FROM lines GROUP BY line_id""",
@@ -394,7 +394,7 @@ def freshness_q(spark, sf_dir):
 
 
 @register("route_lengths", with_ctes(["routes"], """
-    SELECT line_id, direction, length(coordinates) AS coord_length FROM routes
+    SELECT line_id, direction, CAST(length(coordinates) AS INTEGER) AS coord_length FROM routes
     ORDER BY line_id, direction LIMIT 5"""))
 def route_lengths_q(spark, sf_dir):
     return H.route_lengths(standin.routes(spark, sf_dir))
