@@ -62,14 +62,17 @@ def cluster_conf(executors: int, cores_per_executor: int) -> dict[str, str]:
 def shared_dir(spark: SparkSession) -> str:
     """The shared folder the cluster names in ``spark.checkpoint.dir``.
 
-    Read from the session. Only when it is unset (local tests, the driver's
-    smoke run) a fresh local folder is made and registered, so checkpoints and
-    written tables never land in a machine-local folder on a real cluster.
+    Read from the session. Only when it is unset on a local master (tests,
+    local runs) a fresh local folder is made and registered; on a cluster an
+    unset value is an error, so checkpoints and written tables never land in
+    a machine-local folder.
     """
     conf_dir = spark.conf.get("spark.checkpoint.dir", None)
     if not conf_dir:
         conf_dir = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
     if not conf_dir:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
         conf_dir = tempfile.mkdtemp(prefix="transitlens-ckpt-")
         spark.conf.set("spark.checkpoint.dir", conf_dir)
     spark.sparkContext.setCheckpointDir(conf_dir)
