@@ -30,6 +30,10 @@ def build_session(master: str = "local[8]", shuffle_partitions: int = 8,
     builder = SparkSession.builder.master(master).appName(app_name)
     conf = dict(BASE_CONF)
     conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
+    if master.startswith("local"):
+        # Local mode runs every task in the driver JVM: give it a heap that
+        # lets sorts and shuffles stay in memory (the default is 1 GB).
+        conf["spark.driver.memory"] = "8g"
     conf.update(extra or {})
     for k, v in conf.items():
         builder = builder.config(k, v)
