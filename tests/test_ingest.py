@@ -77,10 +77,16 @@ def test_run_stamp_literals(spark):
 def test_report_and_strict_mode(spark):
     good, rejected = I.raw_from_payloads(_payloads(spark, [json.dumps([FULL, dict(FULL, timeToStation="x")])]))
     rep = I.ingest_report(good, rejected)
-    assert [(r.rows_inserted, r.rows_errored) for r in rep.collect()] == [(1, 1)]
+    assert [(r.rows_inserted, r.rows_errored, r.payloads_skipped) for r in rep.collect()] == [(1, 1, 0)]
     with pytest.raises(RuntimeError):
         I.check_report(rep)
-    assert I.check_report(rep, strict=False) == {"rows_inserted": 1, "rows_errored": 1}
+    assert I.check_report(rep, strict=False) == {"rows_inserted": 1, "rows_errored": 1, "payloads_skipped": 0}
+
+
+def test_failed_payload_is_skipped_not_an_error(spark):
+    good, rejected = I.raw_from_payloads(_payloads(spark, ["[{broken", None, json.dumps([FULL])]))
+    rep = I.ingest_report(good, rejected)
+    assert I.check_report(rep) == {"rows_inserted": 1, "rows_errored": 0, "payloads_skipped": 2}
 
 
 def test_append_by_name_ignores_case_and_order(spark, tmp_path):
@@ -112,6 +118,7 @@ def test_ingest_run(spark, tmp_path):
     assert I.read_raw(spark, raw).count() == 2 and spark.read.parquet(rej).count() == 1
     empty = str(tmp_path / "empty")
     _payloads(spark, ["[]"]).write.json(empty)
-    assert I.ingest_run(spark, empty, str(tmp_path / "raw2")) == {"rows_inserted": 0, "rows_errored": 0}
+    assert I.ingest_run(spark, empty, str(tmp_path / "raw2")) == {
+        "rows_inserted": 0, "rows_errored": 0, "payloads_skipped": 0}
     import os
     assert not os.path.exists(str(tmp_path / "raw2"))

@@ -464,7 +464,8 @@ def append_by_name_q(spark, sf_dir):
 
 
 @register("ingest_report", with_ctes(["arrivals"], """
-    SELECT ingestion_id, count(*) AS rows_inserted, CAST(0 AS BIGINT) AS rows_errored
+    SELECT ingestion_id, count(*) AS rows_inserted, CAST(0 AS BIGINT) AS rows_errored,
+           CAST(0 AS BIGINT) AS payloads_skipped
     FROM arrivals GROUP BY ingestion_id"""))
 def ingest_report_q(spark, sf_dir):
     good, rejected = _good_and_rejected(spark, sf_dir)

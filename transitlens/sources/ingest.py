@@ -35,6 +35,9 @@ STRING_KEYS = [
     ("current_location", "currentLocation"),
     ("towards", "towards"),
 ]
+# A payload that is not a JSON array of objects is a failed fetch: that line
+# is reported and skipped, the run goes on (not an errored row).
+SKIPPED_PAYLOAD = "unparseable payload"
 TIME_KEY = "timeToStation"
 EXPECTED_KEY = "expectedArrival"
 ID_KEY = "id"
@@ -112,7 +115,7 @@ def flatten_predictions(df: DataFrame, ingestion_id=None, timestamp_utc=None) ->
     bad_time = F.map_contains_key(m, TIME_KEY) & t_text.isNotNull() & t_text.try_cast("int").isNull()
     bad_expected = (F.coalesce(e_text, F.lit("")) != "") & expected_arrival(e_text).isNull()
     reason = (
-        F.when(~F.col("payload_ok"), F.lit("unparseable payload"))
+        F.when(~F.col("payload_ok"), F.lit(SKIPPED_PAYLOAD))
         .when(bad_time, F.lit("timeToStation is not an integer"))
         .when(bad_expected, F.lit("expectedArrival is not a timestamp"))
     )
@@ -142,21 +145,25 @@ def raw_from_payloads(payloads: DataFrame, ingestion_id=None, timestamp_utc=None
 
 
 def ingest_report(good: DataFrame, rejected: DataFrame) -> DataFrame:
-    """Inserted and errored rows per ingestion batch (one aggregate)."""
-    flags = (good.select("ingestion_id", F.lit(0).alias("err"))
-             .unionByName(rejected.select("ingestion_id", F.lit(1).alias("err"))))
+    """Per ingestion batch, inserted rows, errored rows (values the table
+    refuses) and skipped payloads (failed fetches), in one aggregate."""
+    kind = F.when(F.col("reject_reason") == SKIPPED_PAYLOAD, F.lit(2)).otherwise(F.lit(1))
+    flags = (good.select("ingestion_id", F.lit(0).alias("k"))
+             .unionByName(rejected.select("ingestion_id", kind.alias("k"))))
+
+    def n(k):
+        return F.count(F.when(F.col("k") == k, 1))
     return flags.groupBy("ingestion_id").agg(
-        F.sum(1 - F.col("err")).cast("long").alias("rows_inserted"),
-        F.sum("err").cast("long").alias("rows_errored"),
-    )
+        n(0).alias("rows_inserted"), n(1).alias("rows_errored"), n(2).alias("payloads_skipped"))
 
 
 def check_report(report: DataFrame, strict: bool = True) -> dict:
-    """Totals of a report (one small row); raises on rejects when strict,
-    as the reference's ingest exits non-zero on errored rows."""
-    tot = report.agg(F.coalesce(F.sum("rows_inserted"), F.lit(0)).alias("ins"),
-                     F.coalesce(F.sum("rows_errored"), F.lit(0)).alias("err")).first()
-    out = {"rows_inserted": int(tot["ins"]), "rows_errored": int(tot["err"])}
+    """Totals of a report (one small row). Raises on errored rows when
+    strict, as the reference's ingest exits non-zero on them; skipped
+    payloads are only reported, as its failed fetches are."""
+    tot = report.agg(*[F.coalesce(F.sum(c), F.lit(0)).alias(c)
+                       for c in ("rows_inserted", "rows_errored", "payloads_skipped")]).first()
+    out = {c: int(tot[c]) for c in ("rows_inserted", "rows_errored", "payloads_skipped")}
     if strict and out["rows_errored"] > 0:
         raise RuntimeError(f"ingest rejected {out['rows_errored']} rows")
     return out
@@ -191,15 +198,16 @@ def ingest_run(spark: SparkSession, landing_path: str, raw_path: str, rejects_pa
     """One batch ingest run (S1-S7): parse the landing records, append the
     good rows by name, keep the rejected rows aside, report the counts.
 
-    A run with no prediction at all writes nothing. With ``strict`` a run
-    with rejected rows raises after the good rows are appended, as the
-    reference's ingest exits non-zero after its commit.
+    A run with no prediction at all writes nothing. Failed payloads (a line
+    whose fetch failed) are skipped and reported. With ``strict`` a run with
+    errored rows raises after the good rows are appended, as the reference's
+    ingest exits non-zero after its commit.
     """
     good, rejected = raw_from_payloads(read_predictions(spark, landing_path), ingestion_id, timestamp_utc)
     totals = check_report(ingest_report(good, rejected), strict=False)
     if totals["rows_inserted"]:
         append_raw(good, raw_path)
-    if rejects_path and totals["rows_errored"]:
+    if rejects_path and (totals["rows_errored"] or totals["payloads_skipped"]):
         rejected.write.mode("append").parquet(rejects_path)
     if strict and totals["rows_errored"]:
         raise RuntimeError(f"ingest rejected {totals['rows_errored']} rows")
