@@ -30,3 +30,16 @@ def test_samples_are_bounded_and_ordered(spark, fixture_stations, fixture_lines)
     assert len(s) == 20 and [r.vehicle_id for r in s] == [f"v{i:02d}" for i in range(20)]
     assert len(H.line_sample(pos, "x").collect()) == 10
     assert [(r.location_type, r.cnt) for r in H.location_type_counts(pos).collect()] == [("AT_STATION", 30)]
+
+
+def test_unplaced_counts_by_class(spark, fixture_stations):
+    from pyspark.sql import functions as F
+
+    from transitlens.plans.positions import parse_location, positioned
+    raw = make_raw(spark, [raw_row(vehicle="a", loc="At Nowhere", event_id=1),
+                           raw_row(vehicle="b", loc="Between Oval and Nowhere", t=90, event_id=2),
+                           raw_row(vehicle="c", loc="At Oval", event_id=3)])
+    pos = positioned(parse_location(raw), fixture_stations)
+    un = pos.where(F.col("latitude").isNull() | F.col("longitude").isNull())
+    got = {r.location_type: r.cnt for r in H.location_type_counts(un).collect()}
+    assert got == {"AT_STATION": 1, "BETWEEN": 1}

@@ -54,3 +54,13 @@ def test_replace_table_overwrites(spark, tmp_path):
     R.replace_table(R.load_lines(spark), p)
     R.replace_table(R.load_lines(spark).limit(2), p)
     assert spark.read.parquet(p).count() == 2
+
+
+def test_fixed_line_colours_consistent(spark):
+    # Each line's r, g, b must be the channels of its hex colour.
+    from pyspark.sql import functions as F
+
+    from transitlens.functions.geometry import hex_rgb
+    rows = R.load_lines(spark).select("colour_r", "colour_g", "colour_b",
+                                      hex_rgb(F.col("colour_hex"), 0).alias("c")).collect()
+    assert all(r.c[:3] == [r.colour_r, r.colour_g, r.colour_b] for r in rows)

@@ -84,3 +84,14 @@ def test_routes_stored_as_variant(spark, fixture_lines):
     # A VARIANT is measured by its own JSON text, which writes numbers in its own form.
     want = len(variant.select(F.to_json("coordinates").alias("j")).first().j)
     assert H.route_lengths(variant).first().coord_length == want
+
+
+def test_route_colours_and_lengths(spark, fixture_lines):
+    from transitlens.operators import health as H
+    got = {r.line_id: r.colour for r in V.route_colours(fixture_lines).collect()}
+    assert got == {"x": [179, 99, 5, 180], "y": [227, 32, 23, 180]}
+    routes = _routes(spark, [(f"l{i}", d, "[" * (i + 1) + "]" * (i + 1)) for i in range(4)
+                             for d in ("inbound", "outbound")])
+    rows = H.route_lengths(routes).collect()
+    assert len(rows) == 5 and [(r.line_id, r.direction) for r in rows][:2] == [("l0", "inbound"), ("l0", "outbound")]
+    assert rows[0].coord_length == 2
