@@ -5,9 +5,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# Reference tables hold hundreds of rows (384 stations, 11 lines, 66 routes);
-# a million rows of five narrow columns is still a few tens of MB per executor.
-MAX_BROADCAST_ROWS = 1_000_000
+# Reference tables hold hundreds of rows (384 stations, 11 lines, 66 routes).
+# 100,000 rows of the narrow projections broadcast here (a few short strings
+# and doubles) stay around 10 MB, Spark's own default broadcast threshold;
+# every executor receives the table, so the bound is per executor memory and
+# network, whatever the cluster size.
+MAX_BROADCAST_ROWS = 100_000
 
 
 _checked: dict[tuple, bool] = {}

@@ -5,8 +5,8 @@ Name matches (J1, J2, J4, J5) are ``line_id = line_id AND station_name ILIKE
 the LIKE as a residual filter, never as a nested loop. Several stations can
 match one name, which multiplies rows exactly as in the reference (B1).
 
-The station table is broadcast when a bounded count proves it small (the
-reference has 384 rows). Past that bound the match goes through the distinct
+The station table is broadcast when a bounded count proves it small (at most
+100,000 rows; the reference has 384). Past that bound the match goes through the distinct
 names instead: the distinct (line_id, name) pairs are matched once against the
 stations and the result is equi-joined back on (line_id, name). That returns
 the same rows, duplicates included. The join back is keyed on (line_id, name),
