@@ -28,3 +28,15 @@ def test_jobs_end_to_end(spark):
     r = cli.main(["refresh", "--raw", raw, "--refs", refs, "--out", out])
     assert M.current_snapshot(spark, out) == r["snapshot"]
     assert M.read_snapshot(spark, out).count() == 764
+
+
+def test_incremental_refresh_job(spark):
+    base = scratch_path(spark, "cli-incr")
+    standin.stop_documents(spark, SF).write.json(f"{base}/stops")
+    standin.route_documents(spark, SF).write.json(f"{base}/routes")
+    refs, raw, out = f"{base}/refs", f"{base}/raw", f"{base}/view"
+    cli.main(["load-refs", "--stops", f"{base}/stops", "--routes", f"{base}/routes", "--out", refs])
+    from transitlens.sources import ingest as I
+    I.append_raw(standin.arrivals(spark, SF), raw)
+    r = cli.main(["refresh", "--raw", raw, "--refs", refs, "--out", out, "--state", f"{base}/latest"])
+    assert r["snapshot"].startswith("i") and M.read_snapshot(spark, out).count() == 764

@@ -3,7 +3,7 @@
     python -m transitlens load-refs --stops DIR --routes DIR --out BASE
     python -m transitlens ingest    --landing DIR --raw DIR --checkpoint DIR [--once]
     python -m transitlens view      --raw DIR --refs BASE --out DIR --checkpoint DIR [--once]
-    python -m transitlens refresh   --raw DIR --refs BASE --out DIR
+    python -m transitlens refresh   --raw DIR --refs BASE --out DIR [--state DIR]
     python -m transitlens health    --raw DIR --refs BASE --out DIR
 
 On a cluster run it with spark-submit; the session comes from the launcher
@@ -22,7 +22,7 @@ import sys
 from pyspark.sql import SparkSession
 
 from .operators import health as H
-from .plans.positions import train_positions
+from .plans.incremental import refresh_incremental
 from .sources import refdata as R
 from .streaming import live as M
 
@@ -72,6 +72,10 @@ def view(spark: SparkSession, args) -> dict:
 
 
 def refresh(spark: SparkSession, args) -> dict:
+    if args.state:
+        snap = refresh_incremental(spark, args.raw, args.state, spark.read.parquet(f"{args.refs}/ref_stations"),
+                                   spark.read.parquet(f"{args.refs}/ref_lines"), args.out, unique=args.unique)
+        return {"snapshot": snap}
     return {"snapshot": M.refresh(spark, args.raw, f"{args.refs}/ref_stations", f"{args.refs}/ref_lines",
                                   args.out, unique=args.unique)}
 
@@ -121,6 +125,8 @@ def parser() -> argparse.ArgumentParser:
         if name != "health":
             s.add_argument("--unique", action="store_true")
     sub.choices["view"].add_argument("--max-age-min", type=float)
+    sub.choices["refresh"].add_argument(
+        "--state", help="folder of the kept latest table: fold only new ingest days into it")
     return p
 
 
