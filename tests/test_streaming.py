@@ -111,3 +111,33 @@ def test_ingest_in_bounded_batches_with_archive(spark, landing_parts):
     M.run_available(qs)
     assert qs[0].lastProgress is not None and qs[0].lastProgress["batchId"] >= (n_files + 1) // 2 - 1
     assert _same(spark.read.parquet(raw_dir).drop("ingest_date"), standin.arrivals(spark, SF))
+
+
+def test_folding_live_view_equals_batch_and_expires_state(spark, landing_parts):
+    base = scratch_path(spark, "fold-test")
+    landing, raw_dir, out, state, ckpt = (f"{base}/{n}" for n in ("landing", "raw", "view", "latest", "ckpt"))
+    os.makedirs(landing)
+    st_path, ln_path = f"{base}/stations", f"{base}/lines"
+    R.replace_table(standin.stations(spark, SF), st_path)
+    R.replace_table(standin.lines(spark, SF), ln_path)
+    _feed(landing, landing_parts, range(3))
+    M.run_available(M.start_ingest(spark, landing, raw_dir, ckpt, NOW))
+    M.run_available(M.start_positions_folding(spark, raw_dir, st_path, ln_path, out, state, ckpt, NOW,
+                                              max_files_per_trigger=40))
+    _feed(landing, landing_parts, range(3, len(landing_parts)))
+    M.run_available(M.start_ingest(spark, landing, raw_dir, ckpt, NOW))
+    M.run_available(M.start_positions_folding(spark, raw_dir, st_path, ln_path, out, state, ckpt, NOW,
+                                              max_files_per_trigger=40))
+    t = standin.reference_tables(spark, SF)
+    batch = train_positions(t["raw"], t["stations"], t["lines"])
+    assert _same(M.read_snapshot(spark, out).select(*batch.columns), batch)
+
+    # Expiry: with max_age the kept table loses the stale keys.
+    import datetime as dt
+    base2 = scratch_path(spark, "fold-expire")
+    M.run_available(M.start_positions_folding(spark, raw_dir, st_path, ln_path, f"{base2}/view",
+                                              f"{base2}/latest", f"{base2}/ckpt", NOW,
+                                              max_age=dt.timedelta(days=3)))
+    kept = spark.read.parquet(f"{base2}/latest/version={M.current_snapshot(spark, base2 + '/view')}")
+    newest = t["raw"].agg(F.max("timestamp_utc")).first()[0]
+    assert kept.count() < 750 and kept.where(F.col("timestamp_utc") < newest - dt.timedelta(days=3)).count() == 0

@@ -2,7 +2,7 @@
 
     python -m transitlens load-refs --stops DIR --routes DIR --out BASE
     python -m transitlens ingest    --landing DIR --raw DIR --checkpoint DIR [--once]
-    python -m transitlens view      --raw DIR --refs BASE --out DIR --checkpoint DIR [--once]
+    python -m transitlens view      --raw DIR --refs BASE --out DIR --checkpoint DIR [--once] [--state DIR]
     python -m transitlens refresh   --raw DIR --refs BASE --out DIR [--state DIR]
     python -m transitlens health    --raw DIR --refs BASE --out DIR
 
@@ -65,8 +65,13 @@ def ingest(spark: SparkSession, args) -> dict:
 
 def view(spark: SparkSession, args) -> dict:
     max_age = dt.timedelta(minutes=args.max_age_min) if args.max_age_min else None
-    q = M.start_positions(spark, args.raw, f"{args.refs}/ref_stations", f"{args.refs}/ref_lines", args.out,
-                          args.checkpoint, _trigger(args), unique=args.unique, max_age=max_age)
+    if args.state:
+        q = M.start_positions_folding(spark, args.raw, f"{args.refs}/ref_stations", f"{args.refs}/ref_lines",
+                                      args.out, args.state, args.checkpoint, _trigger(args),
+                                      unique=args.unique, max_age=max_age)
+    else:
+        q = M.start_positions(spark, args.raw, f"{args.refs}/ref_stations", f"{args.refs}/ref_lines", args.out,
+                              args.checkpoint, _trigger(args), unique=args.unique, max_age=max_age)
     M.run_available(q)
     return {"snapshot": M.current_snapshot(spark, args.out)}
 
@@ -125,6 +130,8 @@ def parser() -> argparse.ArgumentParser:
         if name != "health":
             s.add_argument("--unique", action="store_true")
     sub.choices["view"].add_argument("--max-age-min", type=float)
+    sub.choices["view"].add_argument(
+        "--state", help="keep the latest rows as a folded table here (no state store; max_age expires keys)")
     sub.choices["refresh"].add_argument(
         "--state", help="folder of the kept latest table: fold only new ingest days into it")
     return p

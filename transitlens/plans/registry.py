@@ -563,3 +563,17 @@ def view_refresh_q(spark, sf_dir):
     I.append_raw(raw.where(F.col("timestamp_utc") >= split), raw_dir)
     refresh_incremental(spark, raw_dir, state, st, ln, out)
     return M.read_snapshot(spark, out)
+
+
+@register("stream_positions_folded", with_ctes(["positions"], "SELECT * FROM positions"))
+def stream_positions_folded_q(spark, sf_dir):
+    """M2-M4 in the folding form: no state store, the kept latest table is
+    folded per micro-batch (raw read in bounded micro-batches)."""
+    base, raw_dir = _ingested(spark, sf_dir)
+    stations_path, lines_path = f"{base}/ref_stations", f"{base}/ref_lines"
+    R.replace_table(R.load_stations(standin.stop_documents(spark, sf_dir)), stations_path)
+    R.replace_table(standin.lines(spark, sf_dir), lines_path)
+    out = f"{base}/positions"
+    M.run_available(M.start_positions_folding(spark, raw_dir, stations_path, lines_path, out, f"{base}/latest",
+                                              f"{base}/ckpt", AVAILABLE_NOW, max_files_per_trigger=64))
+    return M.read_snapshot(spark, out)

@@ -147,3 +147,61 @@ def run_available(queries: list[StreamingQuery] | StreamingQuery) -> None:
         q.awaitTermination()
         if q.exception() is not None:
             raise RuntimeError(str(q.exception()))
+
+
+# ---------------------------------------------------------------- folding form
+
+FOLD_POINTERS = "_pointers"
+
+
+def _fold_pointer_before(spark: SparkSession, state_dir: str, batch_id: int) -> str | None:
+    """Version written by the newest batch before ``batch_id`` (None if none).
+    Choosing by batch id, not by write time, makes a retried batch start
+    from the same version as its first attempt."""
+    try:
+        ptr = spark.read.schema("version string, batch long").json(f"{state_dir}/{FOLD_POINTERS}")
+    except Exception:  # noqa: BLE001 - nothing written yet
+        return None
+    row = ptr.where(F.col("batch") < batch_id).agg(F.max_by("version", "batch").alias("v")).first()
+    return row["v"] if row else None
+
+
+def start_positions_folding(spark: SparkSession, raw_dir: str, stations_path: str, lines_path: str,
+                           out_dir: str, state_dir: str, checkpoint: str, trigger: dict | None = None,
+                           unique: bool = False, max_age: dt.timedelta | None = None,
+                           max_files_per_trigger: int | None = None) -> StreamingQuery:
+    """M2-M4 without a state store: each micro-batch of new raw rows is folded
+    into the kept latest table (``plans.incremental.fold_latest``), written as
+    ``version=b<batch id>``, and the view is rebuilt from it.
+
+    The state is a table with one row per key in the shared folder, not
+    streaming state, so it can expire: with ``max_age`` keys whose latest
+    prediction is older than the batch's newest timestamp minus ``max_age``
+    are dropped from it (an event-time cutoff, the same on a retry). Version N
+    is always built from the version of the newest batch before N, so a
+    retried batch rewrites the same folders.
+    """
+    from ..plans.incremental import fold_latest
+
+    rows = prune_raw(read_raw_stream(spark, raw_dir, max_files_per_trigger).drop("ingest_date"))
+
+    def fold_batch(new_rows: DataFrame, batch_id: int) -> None:
+        prev = _fold_pointer_before(spark, state_dir, batch_id)
+        previous = spark.read.parquet(f"{state_dir}/version={prev}") if prev else None
+        folded = fold_latest(previous, new_rows)
+        if max_age is not None:
+            newest = new_rows.agg(F.max("timestamp_utc")).first()[0]
+            if newest is not None:
+                folded = folded.where(F.col("timestamp_utc") >= F.lit(newest - max_age))
+        version = f"b{batch_id:012d}"
+        folded.write.mode("overwrite").parquet(f"{state_dir}/version={version}")
+        (spark.range(1).select(F.lit(version).alias("version"), F.lit(batch_id).cast("long").alias("batch"))
+         .write.mode("append").json(f"{state_dir}/{FOLD_POINTERS}"))
+        latest = spark.read.parquet(f"{state_dir}/version={version}")
+        view = positions_from_latest(latest, spark.read.parquet(stations_path),
+                                     spark.read.parquet(lines_path), unique)
+        write_snapshot(view, out_dir, version)
+
+    writer = (rows.writeStream.option("checkpointLocation", f"{checkpoint}/fold")
+              .foreachBatch(fold_batch))
+    return _trigger(writer, trigger).start()
