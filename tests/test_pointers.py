@@ -1,0 +1,27 @@
+"""Pointer records read from the newest buckets, with a fallback."""
+
+from pyspark.sql import functions as F
+
+from transitlens.session import scratch_path
+from transitlens.streaming import pointers as P
+
+SCHEMA = "version string, batch long"
+
+
+def _put(spark, base, bucket, version, batch):
+    P.append_pointer(spark, base, bucket, {"version": F.lit(version), "batch": F.lit(batch).cast("long")})
+
+
+def test_newest_bucket_and_fallback(spark):
+    base = scratch_path(spark, "ptr")
+    assert P.read_pointers(spark, base, SCHEMA, P.batch_buckets(5)) is None
+    _put(spark, base, "0", "b0", 0)
+    _put(spark, base, "0", "b1", 1)
+    got = P.read_pointers(spark, base, SCHEMA, P.batch_buckets(2), keep=F.col("batch") < 2)
+    assert sorted(r.version for r in got.collect()) == ["b0", "b1"]
+    # Batch 2500 looks in buckets 2 and 1 first: both empty, so all buckets.
+    got = P.read_pointers(spark, base, SCHEMA, P.batch_buckets(2500), keep=F.col("batch") < 2500)
+    assert sorted(r.version for r in got.collect()) == ["b0", "b1"]
+    _put(spark, base, "2", "b2400", 2400)
+    got = P.read_pointers(spark, base, SCHEMA, P.batch_buckets(2500), keep=F.col("batch") < 2500)
+    assert [r.version for r in got.collect()] == ["b2400"]

@@ -23,11 +23,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.latest import latest_per_vehicle
+from ..streaming import pointers as PT
 from .positions import positions_from_latest, prune_raw
 
-POINTERS = "_pointers"
-
-
 def fold_latest(previous: DataFrame | None, new_raw: DataFrame) -> DataFrame:
     """W1 over the kept latest rows and the new raw rows."""
     new = prune_raw(new_raw).drop("ingest_date")
@@ -36,23 +34,22 @@ def fold_latest(previous: DataFrame | None, new_raw: DataFrame) -> DataFrame:
 
 
 def _pointer(spark: SparkSession, base: str):
-    ptr = spark.read.schema("version string, upto date, written_at timestamp").json(f"{base}/{POINTERS}")
+    ptr = PT.read_pointers(spark, base, "version string, upto date, written_at timestamp", PT.today_buckets())
+    if ptr is None:
+        return None
     return ptr.agg(F.max_by(F.struct("version", "upto"), F.struct("written_at", "version")).alias("p")).first()["p"]
 
 
 def _write_version(df: DataFrame, base: str, version: str, upto) -> None:
     spark = df.sparkSession
     df.write.mode("overwrite").parquet(f"{base}/version={version}")
-    (spark.range(1).select(F.lit(version).alias("version"), F.lit(upto).cast("date").alias("upto"),
-                           F.current_timestamp().alias("written_at"))
-     .write.mode("append").json(f"{base}/{POINTERS}"))
+    PT.append_pointer(spark, base, PT.today_buckets()[0],
+                      {"version": F.lit(version), "upto": F.lit(upto).cast("date"),
+                       "written_at": F.current_timestamp()})
 
 
 def read_latest(spark: SparkSession, state_dir: str) -> DataFrame | None:
-    try:
-        p = _pointer(spark, state_dir)
-    except Exception:  # noqa: BLE001 - no pointer written yet
-        return None
+    p = _pointer(spark, state_dir)
     return spark.read.parquet(f"{state_dir}/version={p['version']}") if p else None
 
 
@@ -62,10 +59,7 @@ def refresh_incremental(spark: SparkSession, raw_dir: str, state_dir: str, stati
     table, then rebuild the view from it. Returns the snapshot name."""
     from ..streaming.live import write_snapshot
 
-    try:
-        prev = _pointer(spark, state_dir)
-    except Exception:  # noqa: BLE001 - first refresh
-        prev = None
+    prev = _pointer(spark, state_dir)
     raw = spark.read.parquet(raw_dir)
     if prev is not None and prev["upto"] is not None:
         raw = raw.where(F.col("ingest_date") >= F.lit(prev["upto"]))   # partition pruning

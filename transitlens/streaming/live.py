@@ -28,12 +28,10 @@ from ..operators.latest import latest_per_vehicle
 from ..plans.positions import positions_from_latest, prune_raw
 from ..schemas import RAW_WITH_TIE
 from ..sources import ingest as I
+from . import pointers as P
 
 # A new StructType: StructType.add would change RAW_WITH_TIE itself.
 RAW_STREAM_SCHEMA = T.StructType(RAW_WITH_TIE.fields + [T.StructField("ingest_date", T.DateType())])
-POINTERS = "_pointers"
-
-
 def _trigger(writer, trigger: dict | None):
     return writer.trigger(**(trigger or {"processingTime": "1 minute"}))
 
@@ -76,20 +74,23 @@ def write_snapshot(df: DataFrame, out_dir: str, snapshot: str) -> None:
     """Write one complete snapshot, then append its pointer record."""
     spark = df.sparkSession
     df.write.mode("overwrite").parquet(f"{out_dir}/snapshot={snapshot}")
-    (spark.range(1).select(F.lit(snapshot).alias("snapshot"),
-                           F.current_timestamp().alias("written_at"))
-     .write.mode("append").json(f"{out_dir}/{POINTERS}"))
+    P.append_pointer(spark, out_dir, P.today_buckets()[0],
+                     {"snapshot": F.lit(snapshot), "written_at": F.current_timestamp()})
 
 
 def current_snapshot(spark: SparkSession, out_dir: str) -> str | None:
-    ptr = spark.read.schema("snapshot string, written_at timestamp").json(f"{out_dir}/{POINTERS}")
-    row = ptr.agg(F.max_by("snapshot", F.struct("written_at", "snapshot")).alias("s")).first()
-    return row["s"] if row else None
+    ptr = P.read_pointers(spark, out_dir, "snapshot string, written_at timestamp", P.today_buckets())
+    if ptr is None:
+        return None
+    return ptr.agg(F.max_by("snapshot", F.struct("written_at", "snapshot")).alias("s")).first()["s"]
 
 
 def read_snapshot(spark: SparkSession, out_dir: str) -> DataFrame:
     """The newest complete snapshot of a live view."""
-    return spark.read.parquet(f"{out_dir}/snapshot={current_snapshot(spark, out_dir)}")
+    snap = current_snapshot(spark, out_dir)
+    if snap is None:
+        raise FileNotFoundError(f"no complete snapshot under {out_dir} yet")
+    return spark.read.parquet(f"{out_dir}/snapshot={snap}")
 
 
 def start_view(spark: SparkSession, raw_dir: str, out_dir: str, checkpoint: str,
@@ -151,19 +152,15 @@ def run_available(queries: list[StreamingQuery] | StreamingQuery) -> None:
 
 # ---------------------------------------------------------------- folding form
 
-FOLD_POINTERS = "_pointers"
-
-
 def _fold_pointer_before(spark: SparkSession, state_dir: str, batch_id: int) -> str | None:
     """Version written by the newest batch before ``batch_id`` (None if none).
     Choosing by batch id, not by write time, makes a retried batch start
     from the same version as its first attempt."""
-    try:
-        ptr = spark.read.schema("version string, batch long").json(f"{state_dir}/{FOLD_POINTERS}")
-    except Exception:  # noqa: BLE001 - nothing written yet
+    ptr = P.read_pointers(spark, state_dir, "version string, batch long", P.batch_buckets(batch_id),
+                          keep=F.col("batch") < batch_id)
+    if ptr is None:
         return None
-    row = ptr.where(F.col("batch") < batch_id).agg(F.max_by("version", "batch").alias("v")).first()
-    return row["v"] if row else None
+    return ptr.agg(F.max_by("version", "batch").alias("v")).first()["v"]
 
 
 def start_positions_folding(spark: SparkSession, raw_dir: str, stations_path: str, lines_path: str,
@@ -195,8 +192,8 @@ def start_positions_folding(spark: SparkSession, raw_dir: str, stations_path: st
                 folded = folded.where(F.col("timestamp_utc") >= F.lit(newest - max_age))
         version = f"b{batch_id:012d}"
         folded.write.mode("overwrite").parquet(f"{state_dir}/version={version}")
-        (spark.range(1).select(F.lit(version).alias("version"), F.lit(batch_id).cast("long").alias("batch"))
-         .write.mode("append").json(f"{state_dir}/{FOLD_POINTERS}"))
+        P.append_pointer(spark, state_dir, P.batch_buckets(batch_id)[0],
+                         {"version": F.lit(version), "batch": F.lit(batch_id).cast("long")})
         latest = spark.read.parquet(f"{state_dir}/version={version}")
         view = positions_from_latest(latest, spark.read.parquet(stations_path),
                                      spark.read.parquet(lines_path), unique)

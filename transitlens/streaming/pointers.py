@@ -1,0 +1,49 @@
+"""Pointer records: which complete version of a table readers should use.
+
+A writer first writes a complete version folder, then appends one small
+pointer record; readers follow the newest record. Records are kept in bucket
+folders (by UTC day, or by batch-id range), and a reader reads only the
+newest bucket or two, so its work does not grow with the age of the table.
+Older buckets are read only when the recent ones are empty.
+"""
+
+from __future__ import annotations
+
+import datetime as dt
+
+from pyspark.sql import Column, DataFrame, SparkSession
+
+POINTERS = "_pointers"
+BATCHES_PER_BUCKET = 1000
+
+
+def today_buckets() -> list[str]:
+    """UTC today and yesterday, newest first."""
+    today = dt.datetime.now(dt.timezone.utc).date()
+    return [str(today), str(today - dt.timedelta(days=1))]
+
+
+def batch_buckets(batch_id: int) -> list[str]:
+    b = batch_id // BATCHES_PER_BUCKET
+    return [str(b), str(b - 1)]
+
+
+def append_pointer(spark: SparkSession, base: str, bucket: str, record: dict[str, Column]) -> None:
+    (spark.range(1).select(*[c.alias(k) for k, c in record.items()])
+     .write.mode("append").json(f"{base}/{POINTERS}/bucket={bucket}"))
+
+
+def read_pointers(spark: SparkSession, base: str, schema: str, buckets: list[str],
+                  keep=None) -> DataFrame | None:
+    """Records of the first of ``buckets`` holding any (after ``keep``, a
+    filter Column); else of all buckets; None when there is none at all."""
+    for path in [f"{base}/{POINTERS}/bucket={b}" for b in buckets] + [f"{base}/{POINTERS}"]:
+        try:
+            df = spark.read.schema(schema).json(path)
+        except Exception:  # noqa: BLE001 - folder not written yet
+            continue
+        if keep is not None:
+            df = df.where(keep)
+        if df.limit(1).count():
+            return df
+    return None
