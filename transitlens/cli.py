@@ -110,8 +110,12 @@ def parser() -> argparse.ArgumentParser:
     a.add_argument("--stops", required=True)
     a.add_argument("--routes", required=True)
     a.add_argument("--out", required=True, help="folder of the reference tables")
+    helps = {"ingest": "landing records -> raw table (stream)",
+             "view": "raw table -> live positions snapshots (stream)",
+             "refresh": "rebuild the positions snapshot in batch",
+             "health": "table counts, freshness and location classes"}
     for name in ("ingest", "view"):
-        s = sub.add_parser(name)
+        s = sub.add_parser(name, help=helps[name])
         s.add_argument("--raw", required=True)
         s.add_argument("--checkpoint", required=True)
         s.add_argument("--once", action="store_true", help="process what is there and stop")
@@ -122,7 +126,7 @@ def parser() -> argparse.ArgumentParser:
     ing.add_argument("--max-files", type=int)
     ing.add_argument("--archive", help="move processed landing files here")
     for name in ("view", "refresh", "health"):
-        s = sub.choices.get(name) or sub.add_parser(name)
+        s = sub.choices.get(name) or sub.add_parser(name, help=helps[name])
         if name != "view":
             s.add_argument("--raw", required=True)
         s.add_argument("--refs", required=True, help="folder of the reference tables")
