@@ -40,3 +40,16 @@ def test_incremental_refresh_job(spark):
     I.append_raw(standin.arrivals(spark, SF), raw)
     r = cli.main(["refresh", "--raw", raw, "--refs", refs, "--out", out, "--state", f"{base}/latest"])
     assert r["snapshot"].startswith("i") and M.read_snapshot(spark, out).count() == 764
+
+
+def test_folding_view_job(spark):
+    base = scratch_path(spark, "cli-fold")
+    standin.stop_documents(spark, SF).write.json(f"{base}/stops")
+    standin.route_documents(spark, SF).write.json(f"{base}/routes")
+    standin.payloads(spark, SF).write.json(f"{base}/landing")
+    refs, raw, out, ckpt = f"{base}/refs", f"{base}/raw", f"{base}/view", f"{base}/ckpt"
+    cli.main(["load-refs", "--stops", f"{base}/stops", "--routes", f"{base}/routes", "--out", refs])
+    cli.main(["ingest", "--landing", f"{base}/landing", "--raw", raw, "--checkpoint", ckpt, "--once"])
+    v = cli.main(["view", "--raw", raw, "--refs", refs, "--out", out, "--checkpoint", ckpt, "--once",
+                  "--state", f"{base}/latest"])
+    assert v["snapshot"].startswith("b") and M.read_snapshot(spark, out).count() == 764
