@@ -6,8 +6,8 @@ landing records, one JSON object per text line:
     {"ingestion_id": "...", "timestamp_utc": "2024-01-01T00:00:00",
      "line_id": "victoria", "body": "<API response: a JSON array of predictions>"}
 
-The body stays text, so a broken body is a rejected payload, not a broken
-file. Batch (``spark.read``) and streaming (``spark.readStream``) read the
+The body stays text, so a broken body is a skipped payload (a failed fetch,
+reported, the run goes on), not a broken file. Batch (``spark.read``) and streaming (``spark.readStream``) read the
 same records with the same schema; all parsing is built-in JSON functions.
 """
 
@@ -69,8 +69,8 @@ def explode_predictions(payloads: DataFrame) -> DataFrame:
     """One row per prediction (a map of the object's keys to text).
 
     ``payload_ok`` is false for a body that is not a JSON array of objects;
-    such a payload gives one row with a NULL prediction (to be rejected), the
-    others go on. An empty array gives no row.
+    such a payload gives one row with a NULL prediction (reported as a
+    skipped payload), the others go on. An empty array gives no row.
     """
     parsed = payloads.withColumn("_preds", F.from_json(F.col("body"), PREDICTIONS))
     return parsed.select(
