@@ -4,9 +4,11 @@ from __future__ import annotations
 
 from .line_dedup import op10_line_dedup
 from .quality import op5_quality_rules
+from .window_dedup import op9_substring_dedup
 
 QUERIES = {
     "op5_quality_rules": op5_quality_rules,
+    "op9_substring_dedup": op9_substring_dedup,
     "op10_line_dedup": op10_line_dedup,
 }
 ORACLE: dict[str, str] = {}
