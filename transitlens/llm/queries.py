@@ -3,10 +3,12 @@
 from __future__ import annotations
 
 from .line_dedup import op10_line_dedup
+from .minhash import op4_minhash_near_dedup
 from .quality import op5_quality_rules
 from .window_dedup import op9_substring_dedup
 
 QUERIES = {
+    "op4_minhash_near_dedup": op4_minhash_near_dedup,
     "op5_quality_rules": op5_quality_rules,
     "op9_substring_dedup": op9_substring_dedup,
     "op10_line_dedup": op10_line_dedup,
