@@ -137,7 +137,8 @@ def drop_bitmaps(docs: DataFrame, min_docs: int = MIN_DOCS, min_chars: int = MIN
     ``collect_set`` holds the dropped lines of one document, as many as its text has.
     """
     keys = written(line_keys(docs, min_chars), "line-keys")
-    common = key_runs(keys).filter(F.col("n_docs") >= min_docs).select("h")
+    # written, so that the join gets exchanges of its own, whose skewed partitions Spark can split
+    common = written(key_runs(keys).filter(F.col("n_docs") >= min_docs).select("h"), "common-lines")
     dropped = keys.join(common, "h", "left_semi").groupBy("doc", "tk").agg(F.collect_set("pos").alias("pos"))
     return dropped.mapInArrow(_bitmaps, "doc bigint, tk int, n_dropped bigint, drop_map binary")
 
