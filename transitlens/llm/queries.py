@@ -2,14 +2,18 @@
 
 from __future__ import annotations
 
+from .bpe import op6_byte_bpe
+from .decontaminate import op3_benchmark_decontamination
 from .line_dedup import op10_line_dedup
 from .minhash import op4_minhash_near_dedup
 from .quality import op5_quality_rules
 from .window_dedup import op9_substring_dedup
 
 QUERIES = {
+    "op3_benchmark_decontamination": op3_benchmark_decontamination,
     "op4_minhash_near_dedup": op4_minhash_near_dedup,
     "op5_quality_rules": op5_quality_rules,
+    "op6_byte_bpe": op6_byte_bpe,
     "op9_substring_dedup": op9_substring_dedup,
     "op10_line_dedup": op10_line_dedup,
 }
