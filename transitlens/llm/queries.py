@@ -3,17 +3,23 @@
 from __future__ import annotations
 
 from .bpe import op6_byte_bpe
+from .chat import op7_chat_format
 from .decontaminate import op3_benchmark_decontamination
+from .html_extract import op8_html_extraction
 from .line_dedup import op10_line_dedup
 from .minhash import op4_minhash_near_dedup
 from .quality import op5_quality_rules
+from .secrets import op1_secret_scan
 from .window_dedup import op9_substring_dedup
 
 QUERIES = {
+    "op1_secret_scan": op1_secret_scan,
     "op3_benchmark_decontamination": op3_benchmark_decontamination,
     "op4_minhash_near_dedup": op4_minhash_near_dedup,
     "op5_quality_rules": op5_quality_rules,
     "op6_byte_bpe": op6_byte_bpe,
+    "op7_chat_format": op7_chat_format,
+    "op8_html_extraction": op8_html_extraction,
     "op9_substring_dedup": op9_substring_dedup,
     "op10_line_dedup": op10_line_dedup,
 }
