@@ -95,10 +95,11 @@ def _merged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield closed()
 
 
-def repeated_cells(docs: DataFrame, anchors_of: Callable[[X.Block], np.ndarray], bits: int = BITS) -> Broadcast:
+def repeated_cells(docs: DataFrame, anchors_of: Callable[[X.Block], np.ndarray], bits: int = BITS,
+                   blocks: Callable[[pa.Array], Iterator[X.Block]] = X.blocks) -> Broadcast:
     """The merged sketch of the anchors of all texts, as a broadcast of one bit a cell (two or more).
 
-    ``docs`` has a column ``text``; ``anchors_of`` gives a block's anchor hashes.
+    ``docs`` has a column ``text``; ``blocks`` cuts a column of texts, ``anchors_of`` gives a block's anchor hashes.
     The broadcast has DEPTH * 2**bits bits, whatever the input: 32 MB as set. More anchors than cells make the
     estimates higher and the second pass longer; they lose nothing.
     """
@@ -106,7 +107,7 @@ def repeated_cells(docs: DataFrame, anchors_of: Callable[[X.Block], np.ndarray],
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, n = [], 0
         for batch in batches:
-            for b in X.blocks(batch.column(0)):
+            for b in blocks(batch.column(0)):
                 held.append(anchors_of(b))
                 n += len(held[-1])
                 if n >= FLUSH:
