@@ -12,7 +12,7 @@ ODD = [(1, None), (2, ""), (3, "   \n\t\n"), (None, "A b\nA b\nA b"), (5, "a b c
 
 
 def test_measures_equal_brute_force(spark, docs):
-    got = {(r.doc_id, r.n_words, r.word_chars): r for r in Q.judged(docs(ODD)).collect()}
+    got = {(r.key, r.n_words, r.word_chars): r for r in Q.judged(docs(ODD)).collect()}
     assert Q.judged(docs(ODD)).count() == len(ODD)
     for i, t in ODD:
         want = quality(t)
@@ -38,6 +38,16 @@ def test_ablations_count_from_bits(spark, docs):
     assert rows["v2", "symbols"].n_failed == 1 and rows["v2", "symbols"].n_rejected == 4
 
 
+def test_rows_that_stay_keep_their_columns(spark, docs):
+    rows = ODD + [(50, "a clean text of more than ten words stands here and stays as it is\n\nx")]
+    df = docs(rows)
+    kept = Q.accepted(df)
+    assert kept.schema == df.schema
+    assert {r.doc_id for r in kept.collect()} == {i for i, t in rows if not quality(t)[5]} - {8}
+    lines = LD.cleaned(df)
+    assert lines.columns == df.columns and lines.count() == len(rows)
+
+
 def test_empty_tables(spark, docs):
     assert Q.judged(docs([])).count() == 0 and LD.deduped(docs([])).count() == 0
 

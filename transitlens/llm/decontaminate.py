@@ -174,38 +174,52 @@ def search(ix: Index, units: list[np.ndarray], values: np.ndarray) -> Iterator[t
         yield d, i, distance, shared, s, end
 
 
+def _parts(batch: pa.RecordBatch) -> Iterator[tuple[int, int, list[np.ndarray]]]:
+    """(first row, end row, normal texts) of some rows at a time; the texts are column 1."""
+    lo = 0
+    while lo < batch.num_rows:
+        units, size, hi = [], 0, lo
+        while hi < batch.num_rows and size < 1 << 19:
+            units.append(normal(batch.column(1)[hi].as_py()))
+            size += len(units[-1])
+            hi += 1
+        yield lo, hi, units
+        lo = hi
+
+
 def _block_leaks(docs: DataFrame, index: Index) -> DataFrame:
     shared = docs.sparkSession.sparkContext.broadcast(index)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ix, values = shared.value, _values()
         for batch in batches:
-            lo = 0
-            while lo < batch.num_rows:
-                units, size, hi = [], 0, lo
-                while hi < batch.num_rows and size < 1 << 19:
-                    units.append(normal(batch.column(1)[hi].as_py()))
-                    size += len(units[-1])
-                    hi += 1
+            for lo, _, units in _parts(batch):
                 rows = [(batch.column(0)[lo + d].as_py(), ix.ids[i], *rest) for d, i, *rest in search(ix, units, values)]
                 if rows:
                     types = [pa.int64()] * 2 + [pa.int32()] * 4
                     yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), types)],
                                                      names=[x.split()[0] for x in SCHEMA.split(", ")])
-                lo = hi
 
     return docs.mapInArrow(run, SCHEMA)
 
 
-def leaks(docs: DataFrame, benchmark: DataFrame, q: int = Q, window: int = WINDOW, edits: float = EDITS,
-          item_block: int = ITEM_BLOCK, id_col: str = "doc_id", text_col: str = "text",
-          item_col: str = "item_id", item_text_col: str = "text") -> DataFrame:
-    """(doc_id, item_id, distance, shared_grams, window_start, found_at): documents that hold a window of an item.
+def _without(docs: DataFrame, index: Index) -> DataFrame:
+    """The rows (key, text) that hold no item of the index."""
+    shared = docs.sparkSession.sparkContext.broadcast(index)
 
-    One row per document and item, with the closest window. ``found_at`` is where the found passage ends in the normal form of the text.
-    """
-    src = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    found, block, size = [], [], 0
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        ix, values = shared.value, _values()
+        for batch in batches:
+            for lo, hi, units in _parts(batch):
+                hit = {d for d, *_ in search(ix, units, values)}
+                yield batch.take(pa.array([r for r in range(lo, hi) if r - lo not in hit], pa.int64()))
+
+    return docs.mapInArrow(run, docs.schema)
+
+
+def _indexes(benchmark: DataFrame, q: int, window: int, edits: float, item_block: int, item_col: str, item_text_col: str) -> Iterator[Index]:
+    """Indexes over blocks of items; the items come to the driver one partition at a time, and one block is held."""
+    block, size = [], 0
     for r in benchmark.select(F.col(item_col).cast("long").alias("i"), F.col(item_text_col).alias("t")).toLocalIterator():
         u = normal(r.t)
         if len(u) < max(MIN_ITEM, q):
@@ -213,10 +227,30 @@ def leaks(docs: DataFrame, benchmark: DataFrame, q: int = Q, window: int = WINDO
         block.append((r.i, u))
         size += len(u)
         if size >= item_block:
-            found.append(_block_leaks(src, Index(block, q, window, edits)))
+            yield Index(block, q, window, edits)
             block, size = [], 0
     if block:
-        found.append(_block_leaks(src, Index(block, q, window, edits)))
+        yield Index(block, q, window, edits)
+
+
+def cleaned(docs: DataFrame, benchmark: DataFrame, q: int = Q, window: int = WINDOW, edits: float = EDITS,
+            item_block: int = ITEM_BLOCK, text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text") -> DataFrame:
+    """The rows that hold no window of an item, with all their columns; nothing is shuffled."""
+    rows = docs.select(F.struct("*").alias("key"), F.col(text_col).alias("text"))
+    for index in _indexes(benchmark, q, window, edits, item_block, item_col, item_text_col):
+        rows = _without(rows, index)
+    return rows.select("key.*")
+
+
+def leaks(docs: DataFrame, benchmark: DataFrame, q: int = Q, window: int = WINDOW, edits: float = EDITS,
+          item_block: int = ITEM_BLOCK, id_col: str = "doc_id", text_col: str = "text",
+          item_col: str = "item_id", item_text_col: str = "text") -> DataFrame:
+    """(doc_id, item_id, distance, shared_grams, window_start, found_at): documents that hold a window of an item.
+
+    One row per document and item, with the closest window. ``found_at`` is where the found passage ends in the normal form of the text.
+    """
+    src = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
+    found = [_block_leaks(src, ix) for ix in _indexes(benchmark, q, window, edits, item_block, item_col, item_text_col)]
     if not found:
         return docs.sparkSession.createDataFrame([], SCHEMA)
     out = found[0]

@@ -22,11 +22,12 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from . import text as X
-from .storage import identified, read, real_id, written
+from .storage import identified, read, written
 
 MIN_DOCS = 10
 MIN_CHARS = 1
@@ -162,17 +163,29 @@ def _apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             gone.append(int(drop.sum()))
             kept.append("\n".join(x for x, d in zip(lines, drop) if not d) if gone[-1] else t.as_py())
         yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(total, pa.int64()), pa.array(gone, pa.int64()),
-                                          pa.array(kept, pa.string())], names=["doc", "n_lines", "n_dropped", "text"])
+                                          pa.array(kept, pa.string())], names=["key", "n_lines", "n_dropped", "text"])
+
+
+def _applied(docs: DataFrame, key: Column, min_docs: int, min_chars: int, id_col: str, text_col: str) -> DataFrame:
+    """(key, n_lines, n_dropped, text) of every row."""
+    src = docs.select(key.alias("key"), *identified(docs, id_col, text_col, columns=True))
+    maps = drop_bitmaps(src, min_docs, min_chars)
+    schema = T.StructType([src.schema["key"], T.StructField("n_lines", T.LongType()), T.StructField("n_dropped", T.LongType()),
+                           T.StructField("text", T.StringType())])
+    return src.join(maps, ["doc", "tk"], "left").select("key", "text", "drop_map").mapInArrow(_apply, schema)
 
 
 def deduped(docs: DataFrame, min_docs: int = MIN_DOCS, min_chars: int = MIN_CHARS,
             id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, n_lines, n_dropped, text): every row with the text that is left."""
-    src = identified(docs, id_col, text_col)
-    maps = drop_bitmaps(src, min_docs, min_chars)
-    return (src.join(maps, ["doc", "tk"], "left").select("doc", "text", "drop_map")
-            .mapInArrow(_apply, "doc bigint, n_lines bigint, n_dropped bigint, text string")
-            .select(real_id(), "n_lines", "n_dropped", "text"))
+    return _applied(docs, F.col(id_col), min_docs, min_chars, id_col, text_col).withColumnRenamed("key", "doc_id")
+
+
+def cleaned(docs: DataFrame, min_docs: int = MIN_DOCS, min_chars: int = MIN_CHARS,
+            id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """Every row with all its columns and the text that is left (a null text becomes the empty one)."""
+    out = _applied(docs, F.struct("*"), min_docs, min_chars, id_col, text_col)
+    return out.select(*[F.col("text").alias(c) if c == text_col else F.col("key")[c].alias(c) for c in docs.columns])
 
 
 def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -207,6 +207,15 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80, rows: int =
                     F.when(F.col("n") > 0, F.col("label")).otherwise(node).alias("root")))
 
 
+def one_of_each(docs: DataFrame, k: int = 5, percent: int = 80, rows: int = ROWS, bands: int = BANDS,
+                id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The first row of every component, with all its columns."""
+    found = near_duplicates(docs, k, percent, rows, bands, id_col, text_col)
+    stay = found.filter((F.col("doc") == F.col("root.doc")) & (F.col("tk") == F.col("root.tk"))).select("doc", "tk").distinct()
+    src = docs.select(F.struct("*").alias("row"), *identified(docs, id_col, text_col, columns=True)[:2])
+    return src.join(stay, ["doc", "tk"]).dropDuplicates(["doc", "tk"]).select("row.*")
+
+
 def _id(c: Column) -> Column:
     return F.when(c != NO_ID, c)
 

@@ -81,11 +81,9 @@ def measure_block(b: X.Block) -> dict[str, np.ndarray]:
     return out
 
 
-def measurements(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, *MEASURES): one pass over the texts, no shuffle."""
-    src = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
-    schema = T.StructType([T.StructField("doc_id", src.schema["doc_id"].dataType)]
-                          + [T.StructField(m, T.LongType()) for m in MEASURES])
+def _measured(src: DataFrame) -> DataFrame:
+    """Adds MEASURES to rows (key, text) and drops the text: one pass, no shuffle."""
+    schema = T.StructType([src.schema["key"]] + [T.StructField(m, T.LongType()) for m in MEASURES])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -93,15 +91,16 @@ def measurements(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
                 got = measure_block(b)
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(0).slice(b.first, b.n)] + [pa.array(got[m].astype(np.int64)) for m in MEASURES],
-                    names=["doc_id", *MEASURES])
+                    names=["key", *MEASURES])
 
-    return src.mapInArrow(run, schema)
+    return src.select("key", "text").mapInArrow(run, schema)
 
 
-def ledger(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, *MEASURES, failed_bits): every rule evaluated once."""
+def ledger(docs: DataFrame, key: str | Column = "doc_id", text_col: str = "text") -> DataFrame:
+    """(key, *MEASURES, failed_bits): every rule evaluated once. ``key``: what of a row the ledger carries."""
+    key = F.col(key) if isinstance(key, str) else key
     bits = " | ".join(f"(CASE WHEN {cond} THEN {1 << i}L ELSE 0L END)" for i, (_, cond) in enumerate(RULES))
-    return measurements(docs, id_col, text_col).withColumn("failed_bits", F.expr(bits))
+    return _measured(docs.select(key.alias("key"), F.col(text_col).alias("text"))).withColumn("failed_bits", F.expr(bits))
 
 
 def rejected_by(mask: int, bits: str | Column = "failed_bits") -> Column:
@@ -126,15 +125,20 @@ def ablations(led: DataFrame, policies: dict[str, int] = POLICIES) -> DataFrame:
                  F.sum(F.when(hit != 0, F.col("n")).otherwise(0)).alias("n_rejected")))
 
 
-def judged(docs: DataFrame, policy: str = CURRENT, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def judged(docs: DataFrame, policy: str = CURRENT, key: str | Column = "doc_id", text_col: str = "text") -> DataFrame:
     """The ledger with ``base_failed`` (policy v1) and ``kept`` under the named policy."""
     mask = POLICIES[policy] | POLICIES["v1"]
-    return (ledger(docs, id_col, text_col)
+    return (ledger(docs, key, text_col)
             .withColumn("base_failed", rejected_by(POLICIES["v1"]))
             .withColumn("kept", ~rejected_by(mask)))
 
 
+def accepted(docs: DataFrame, policy: str = CURRENT, text_col: str = "text") -> DataFrame:
+    """The rows that a policy keeps, with all their columns; nothing is shuffled or joined."""
+    return judged(docs, policy, F.struct("*"), text_col).filter("kept").select("key.*")
+
+
 def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged(read(spark, sf_dir, "documents")).select(
-        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept",
+        F.col("key").alias("doc_id"), "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept",
         "failed_bits", "n_lines", "n_letter_words", "n_long_words")

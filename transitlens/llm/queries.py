@@ -10,10 +10,12 @@ from .line_dedup import op10_line_dedup
 from .minhash import op4_minhash_near_dedup
 from .quality import op5_quality_rules
 from .secrets import op1_secret_scan
+from .suffix_dedup import op2_suffix_dedup
 from .window_dedup import op9_substring_dedup
 
 QUERIES = {
     "op1_secret_scan": op1_secret_scan,
+    "op2_suffix_dedup": op2_suffix_dedup,
     "op3_benchmark_decontamination": op3_benchmark_decontamination,
     "op4_minhash_near_dedup": op4_minhash_near_dedup,
     "op5_quality_rules": op5_quality_rules,

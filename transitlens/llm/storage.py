@@ -27,15 +27,15 @@ def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 NO_ID = -(1 << 63)
 
 
-def identified(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc, tk, text): the id as long, a text fingerprint, the text (null: empty).
+def identified(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", columns: bool = False) -> DataFrame | list[Column]:
+    """(doc, tk, text): the id as long, a text fingerprint, the text (null: empty). ``columns``: the columns only.
 
     ``doc`` and ``tk`` together name a row: rows that repeat an id with another
     text stay apart, and equal rows are one document with one answer.
     """
     text = F.coalesce(F.col(text_col), F.lit(""))
-    return docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(NO_ID)).alias("doc"), F.hash(text).alias("tk"),
-                       text.alias("text"))
+    out = [F.coalesce(F.col(id_col).cast("long"), F.lit(NO_ID)).alias("doc"), F.hash(text).alias("tk"), text.alias("text")]
+    return out if columns else docs.select(*out)
 
 
 def real_id(col: str = "doc") -> Column:
