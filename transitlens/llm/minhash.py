@@ -151,25 +151,43 @@ def confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
             .filter(100 * both >= percent * (F.col("nu") + F.col("nv") - both)).select("u", "v"))
 
 
+CLASSES = 50            # size classes per factor e, for the prefix join
+
+
 def _rest(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Pairs of members (node, label) under other labels that share a shingle of their prefixes.
+    """Pairs of members (node, label) under other labels that can reach the similarity, by a positional prefix join.
 
-    Shingles are ordered by how many members have them, rarest first; sets that reach the similarity share one of the
-    first n - ceil(percent * n / 100) + 1. So a passage that many members share pairs none of them by itself.
+    Shingles are ordered by how many members have them, rarest first; those of one member alone come first and cannot
+    be shared. Sets of sizes m <= n at the threshold share ``need = percent * (m + n) / (100 + percent)``, so
+    they share one of the first ``n - need + 1`` of the larger and of the smaller. The larger set looks up each class of partner
+    sizes with the prefix for that class, so a variant with many shingles of its own looks up nothing among sets of its size:
+    a passage or a group of copies pairs nobody by itself.
     """
-    tokens = written(members.join(sets, "node").select("node", "label", "n", F.explode("shingles").alias("t")), "rest-tokens")
-    counts = tokens.groupBy("t").agg(F.count(F.lit(1)).alias("f")).filter("f > 1")
-    rare = (tokens.join(counts, "t")
-            .groupBy("node", "label", "n").agg(F.sort_array(F.collect_list(F.struct("f", "t"))).alias("ts")))
-    # shingles of one member alone come first in its order and cannot be shared
+    whole = written(members.join(sets, "node").select("node", "label", "n", F.explode("shingles").alias("t")), "rest-tokens")
+    counts = whole.groupBy("t").agg(F.count(F.lit(1)).alias("f")).filter("f > 1")
+    shared = (whole.join(counts, "t")
+              .groupBy("node", "label", "n").agg(F.sort_array(F.collect_list(F.struct("f", "t"))).alias("ts")))
     own = F.col("n") - F.size("ts")
-    length = F.greatest(F.lit(0), F.col("n") - F.ceil(F.col("n") * percent / 100) + 1 - own).cast("int")
-    prefix = written(rare.select("node", "label", "n", F.explode(F.slice("ts", 1, length)).alias("p"))
-                     .select("node", "label", "n", F.col("p.t").alias("t")), "rest-prefix")
-    a = prefix.select(F.col("node").alias("u"), F.col("label").alias("lu"), F.col("n").alias("nu"), "t")
-    b = prefix.select(F.col("node").alias("v"), F.col("label").alias("lv"), F.col("n").alias("nv"), "t")
-    return (a.join(b, "t").filter((F.col("lu") < F.col("lv")) & (100 * F.least("nu", "nv") >= percent * F.greatest("nu", "nv")))
-            .select("u", "v").distinct())
+    need = lambda m: F.ceil((m + F.col("n")) * percent / (100 + percent))
+    size_class = lambda n: F.floor(F.log(n.cast("double")) * CLASSES)
+    least = F.ceil(F.col("n") * percent / 100)
+
+    def prefix(rows: DataFrame, length: Column) -> DataFrame:
+        keep = F.greatest(F.lit(0), F.least(F.size("ts").cast("long"), length - own)).cast("int")
+        return (rows.select("node", "label", "n", own.alias("own"), "class", F.posexplode(F.slice("ts", F.lit(1), keep)).alias("i", "x"))
+                .select("node", "label", "n", "class", F.col("x.t").alias("t"), (F.col("own") + F.col("i") + 1).alias("at")))
+
+    small = prefix(shared.withColumn("class", size_class(F.col("n"))), F.col("n") - need(F.col("n")) + 1)
+    classes = F.sequence(size_class(least), size_class(F.col("n")))
+    # the least size of a class, rounded down, makes the prefix long enough for all of it
+    from_size = F.greatest(least, F.floor(F.exp(F.col("class") / CLASSES)))
+    large = prefix(shared.withColumn("class", F.explode(classes)), F.col("n") - need(from_size) + 1)
+    a = written(large, "rest-large").select(F.col("node").alias("u"), F.col("label").alias("lu"), F.col("n").alias("nu"), F.col("at").alias("iu"), "class", "t")
+    b = written(small, "rest-small").select(F.col("node").alias("v"), F.col("label").alias("lv"), F.col("n").alias("nv"), F.col("at").alias("iv"), "class", "t")
+    possible = (1 + F.least(F.col("nu") - F.col("iu"), F.col("nv") - F.col("iv"))) * (100 + percent) >= percent * (F.col("nu") + F.col("nv"))
+    return (a.join(b, ["class", "t"])
+            .filter((F.col("lu") != F.col("lv")) & (F.col("nu") >= F.col("nv")) & (100 * F.col("nv") >= percent * F.col("nu")) & possible)
+            .select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct())
 
 
 def _labelled(rows: DataFrame, labels: DataFrame, node: str = "node") -> DataFrame:
@@ -196,9 +214,12 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80, rows: int =
     links = written(confirmed(stars, sets, percent), "links")
     labels = components(links)
     # buckets that still hold several components: compare their members exactly
-    inside = _labelled(shared.select("key", "node"), labels)
-    mixed = inside.groupBy("key").agg(F.min("label").alias("a"), F.max("label").alias("b")).filter("a != b").select("key")
-    left = written(inside.join(mixed, "key", "left_semi").select("node", "label").distinct(), "left-over")
+    # (sets that reach the similarity are in the same or in neighbouring classes of this width)
+    width = F.floor(F.log(F.col("n").cast("double")) / float(-1.001 * np.log(percent / 100)))
+    inside = written(_labelled(shared.join(sets.select("node", "n"), "node"), labels)
+                     .select("key", "node", "label", F.explode(F.array(width, width + 1)).alias("width")), "inside")
+    mixed = inside.groupBy("key", "width").agg(F.min("label").alias("a"), F.max("label").alias("b")).filter("a != b")
+    left = written(inside.join(mixed.select("key", "width"), ["key", "width"], "left_semi").select("node", "label").distinct(), "left-over")
     more = written(confirmed(_rest(left, sets, percent), sets, percent), "more-links")
     labels = components(links.unionByName(more))
     roots = _labelled(nodes.select("s1", "s2", "node"), labels).select("s1", "s2", "label")
