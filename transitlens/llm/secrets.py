@@ -96,39 +96,42 @@ def _tail(z: Column) -> Column:
     return F.when(z >= 0, q).otherwise(1 - q)
 
 
-def _battery(token: Column, alphabet: str) -> Column:
-    """The p-value of one token against even, independent draws from an alphabet."""
-    k = len(alphabet)
-    n = F.length(token).cast("double")
-    # chi-squared, with Wilson and Hilferty's normal form
-    same = F.aggregate(F.array_distinct(F.split(token, "")), F.lit(0.0),
-                       lambda a, c: a + F.pow(n - F.length(F.replace(token, c, F.lit(""))), F.lit(2.0)))
-    df = float(k - 1)
-    chi = F.greatest(F.lit(k) / n * same - n, F.lit(0.0))
-    p1 = _tail((F.pow(chi / df, F.lit(1 / 3)) - (1 - 2 / (9 * df))) / (2 / (9 * df)) ** 0.5)
-    # changes between the halves of the alphabet: binomial, n - 1 trials
-    half = F.translate(token, alphabet, "0" * ((k + 1) // 2) + "1" * (k // 2))
-    pairs = lambda s: (F.length(half) - F.length(F.replace(half, F.lit(s), F.lit("")))) / 2
-    change = 2 * ((k + 1) // 2) * (k // 2) / k**2
-    z2 = (pairs("01") + pairs("10") - (n - 1) * change) / F.sqrt((n - 1) * change * (1 - change))
-    # serial correlation of the ranks
-    mean, var = (k - 1) / 2, (k * k - 1) / 12
-    ranks = F.transform(F.split(token, ""), lambda c: F.instr(F.lit(alphabet), c) - 1 - mean)
-    size = F.size(ranks)
-    z3 = (F.aggregate(F.zip_with(F.slice(ranks, F.lit(1), size - 1), F.slice(ranks, F.lit(2), size - 1), lambda a, b: a * b),
-                      F.lit(0.0), lambda a, b: a + b) / var / F.sqrt(n - 1))
-    return F.least(F.lit(1.0), 3 * F.least(p1, 2 * _tail(F.abs(z2)), 2 * _tail(F.abs(z3))))
-
-
 def with_p_values(tokens: DataFrame) -> DataFrame:
-    """Adds ``p`` and ``length_class`` (factors of the square root of two) to rows with ``match``."""
-    bare = F.regexp_replace("match", "=+$", "")
-    p = None
-    for pattern, alphabet in ENCODINGS:
-        value = _battery(F.col("bare"), alphabet)
-        p = F.when(F.col("bare").rlike(pattern), value) if p is None else p.when(F.col("bare").rlike(pattern), value)
-    return (tokens.withColumn("bare", bare).withColumn("p", F.when(F.length("bare") < 2, F.lit(0.0)).otherwise(p))
-            .withColumn("length_class", F.floor(2 * F.log2(F.length("match").cast("double"))).cast("int")).drop("bare"))
+    """Adds ``p`` and ``length_class`` (factors of the square root of two) to rows with ``match``.
+
+    One battery serves all encodings: the token's alphabet is a column.
+    """
+    alphabet = None
+    for pattern, letters in ENCODINGS:
+        test = F.col("bare").rlike(pattern)
+        alphabet = F.when(test, letters) if alphabet is None else alphabet.when(test, letters)
+    rows = tokens.withColumn("bare", F.regexp_replace("match", "=+$", "")).withColumn("alphabet", alphabet)
+    rows = rows.withColumns({"n": F.length("bare").cast("double"), "k": F.length("alphabet").cast("double"),
+                             "symbols": F.split("bare", ""),
+                             "half": F.expr("translate(bare, alphabet, concat(repeat('0', (length(alphabet) + 1) div 2), repeat('1', length(alphabet) div 2)))")})
+    n, k = F.col("n"), F.col("k")
+    # counts of the symbols, squared and summed; changes between the halves; products of neighbouring ranks
+    same = F.aggregate(F.array_distinct("symbols"), F.lit(0.0),
+                       lambda a, c: a + F.pow(n - F.length(F.replace("bare", c, F.lit(""))), F.lit(2.0)))
+    pairs = lambda s: (F.length("half") - F.length(F.replace("half", F.lit(s), F.lit("")))) / 2
+    rows = rows.withColumns({"same": same, "changes": pairs("01") + pairs("10"),
+                             "ranks": F.transform("symbols", lambda c: F.instr("alphabet", c) - 1 - (k - 1) / 2)})
+    size = F.size("ranks")
+    products = F.zip_with(F.slice("ranks", F.lit(1), F.greatest(size - 1, F.lit(0))), F.slice("ranks", F.lit(2), F.greatest(size - 1, F.lit(0))),
+                          lambda a, b: a * b)
+    half = F.floor((k + 1) / 2)
+    rows = rows.withColumns({"df": k - 1, "chi": F.greatest(k / n * F.col("same") - n, F.lit(0.0)), "share": 2 * half * (k - half) / (k * k),
+                             "product": F.aggregate(products, F.lit(0.0), lambda a, b: a + b)})
+    df, share = F.col("df"), F.col("share")
+    # chi-squared in Wilson and Hilferty's normal form; a binomial of n - 1 trials; the correlation's normal form
+    rows = rows.withColumns({
+        "z1": (F.pow(F.col("chi") / df, F.lit(1 / 3)) - (1 - 2 / (9 * df))) / F.sqrt(2 / (9 * df)),
+        "z2": F.abs((F.col("changes") - (n - 1) * share) / F.sqrt((n - 1) * share * (1 - share))),
+        "z3": F.abs(F.col("product") / ((k * k - 1) / 12) / F.sqrt(n - 1))})
+    rows = rows.withColumns({f"p{i}": _tail(F.col(f"z{i}")) for i in (1, 2, 3)})
+    p = F.least(F.lit(1.0), 3 * F.least("p1", 2 * F.col("p2"), 2 * F.col("p3")))
+    return rows.select(*tokens.columns, F.when(n < 2, F.lit(0.0)).otherwise(p).alias("p"),
+                       F.floor(2 * F.log2(F.length("match").cast("double"))).cast("int").alias("length_class"))
 
 
 def not_random(tokens: DataFrame, alpha: float = ALPHA) -> DataFrame:
