@@ -39,6 +39,7 @@ EDITS = 0.10            # edit budget as a share of a window's characters
 MIN_ITEM = 24
 ITEM_BLOCK = 1 << 20    # characters of items in a block
 SLOTS = 20              # bits of the hash table in front of the index
+PART = 1 << 17          # characters of documents that are searched together (their arrays fit a CPU's cache)
 
 SCHEMA = "doc_id bigint, item_id bigint, distance int, shared_grams int, window_start int, found_at int"
 
@@ -93,6 +94,7 @@ class Index:
         bounds = [budget(min(len(u), window), q, edits) for u in self.units]
         self.e = max(e for e, _ in bounds)
         self.t = np.array([t for _, t in bounds])
+        self.span = np.array([min(len(u), window) - q for u in self.units])
 
     def hits(self, g: np.ndarray) -> np.ndarray:
         """Places whose gram is in the index and that lie dense enough for some window."""
@@ -128,6 +130,15 @@ def banded(pattern: np.ndarray, region: np.ndarray, most: int) -> tuple[int, int
     return int(row[j]), len(pattern) + j
 
 
+def aligned(pattern: np.ndarray, region: np.ndarray, most: int) -> tuple[int, int]:
+    """``banded``, after a look whether the pattern stands in the region unchanged."""
+    text, part = region.tobytes(), pattern.tobytes()
+    at = text.find(part)
+    while at >= 0 and at % 2:
+        at = text.find(part, at + 1)
+    return (0, at // 2 + len(pattern)) if at >= 0 else banded(pattern, region, most)
+
+
 def search(ix: Index, units: list[np.ndarray], values: np.ndarray) -> Iterator[tuple[int, int, int, int, int, int]]:
     """(document, item, distance, shared grams, window start, place) of every document and item that match."""
     size = np.array([len(u) for u in units], np.int64)
@@ -153,11 +164,19 @@ def search(ix: Index, units: list[np.ndarray], values: np.ndarray) -> Iterator[t
     order = np.lexsort((off, band, item, doc))
     doc, item, band, off = doc[order], item[order], band[order], off[order]
     cut = np.flatnonzero(np.concatenate(([True], (doc[1:] != doc[:-1]) | (item[1:] != item[:-1]) | (band[1:] != band[:-1]), [True])))
-    lo, hi = cut[:-1], cut[1:]
-    enough = hi - lo >= ix.t[item[lo]]
+    # bands with as many grams as the bound within the span of a window
+    last = np.arange(len(off)) + ix.t[item] - 1
+    ok = last < len(off)
+    near = np.minimum(last, len(off) - 1)
+    group = np.repeat(np.arange(len(cut) - 1), np.diff(cut))
+    ok &= (group[near] == group) & (off[near] - off <= ix.span[item])
+    enough = np.unique(group[ok])
     best: dict[tuple[int, int], tuple[int, int, int, int]] = {}
-    for a, b in zip(lo[enough], hi[enough]):
-        d, i, o = int(doc[a]), int(item[a]), np.unique(off[a:b])
+    for a, b in zip(cut[enough], cut[enough + 1]):
+        d, i = int(doc[a]), int(item[a])
+        if best.get((d, i), (1,))[0] == 0:
+            continue
+        o = np.unique(off[a:b])
         item_units, base = ix.units[i], int(band[a]) * width - shift
         m = min(len(item_units), ix.window)
         e, t = budget(m, ix.q, ix.edits)
@@ -167,9 +186,11 @@ def search(ix: Index, units: list[np.ndarray], values: np.ndarray) -> Iterator[t
                 continue
             left = max(0, base + s - e)
             region = units[d][left: base + 2 * width + s + m + e]
-            distance, end = banded(item_units[s:s + m], region, e)
+            distance, end = aligned(item_units[s:s + m], region, e)
             if distance <= e and (distance, s) < best.get((d, i), (e + 1, 0))[:2]:
                 best[d, i] = (distance, s, shared, left + end)
+                if distance == 0:
+                    break
     for (d, i), (distance, s, shared, end) in best.items():
         yield d, i, distance, shared, s, end
 
@@ -179,7 +200,7 @@ def _parts(batch: pa.RecordBatch) -> Iterator[tuple[int, int, list[np.ndarray]]]
     lo = 0
     while lo < batch.num_rows:
         units, size, hi = [], 0, lo
-        while hi < batch.num_rows and size < 1 << 19:
+        while hi < batch.num_rows and size < PART:
             units.append(normal(batch.column(1)[hi].as_py()))
             size += len(units[-1])
             hi += 1
