@@ -1,5 +1,7 @@
 """The command-line jobs end to end on the sf0.01 stand-in."""
 
+import pytest
+
 from transitlens import cli
 from transitlens.session import scratch_path
 from transitlens.sources import standin
@@ -18,38 +20,16 @@ def test_jobs_end_to_end(spark):
     s = cli.main(["load-refs", "--stops", f"{base}/stops", "--routes", f"{base}/routes", "--out", refs])
     assert s["summary"] == "Reference data loaded: 25 stations, 10 routes, 11 lines"
     cli.main(["ingest", "--landing", f"{base}/landing", "--raw", raw, "--checkpoint", ckpt, "--once"])
+    with pytest.raises(RuntimeError):
+        cli.main(["ingest", "--landing", f"{base}/landing", "--raw", f"{base}/raw2", "--checkpoint", f"{base}/ckpt2", "--once", "--strict"])
     v = cli.main(["view", "--raw", raw, "--refs", refs, "--out", out, "--checkpoint", ckpt, "--once"])
     assert v["snapshot"].startswith("b")
     h = cli.main(["health", "--raw", raw, "--refs", refs, "--out", out])
     assert h["table_counts"]["RAW_ARRIVALS"] == 10000 and h["table_counts"]["REF_STATIONS"] == 25
+    assert set(h["rejected"]) == {"timeToStation is not an integer", "unparseable payload"}
     # The loaded lines are the fixed eleven, none of which is a stand-in line:
     # positions then carry no colour, but are still placed.
     assert h["table_counts"]["TRAIN_POSITIONS"] == 764
     r = cli.main(["refresh", "--raw", raw, "--refs", refs, "--out", out])
     assert M.current_snapshot(spark, out) == r["snapshot"]
     assert M.read_snapshot(spark, out).count() == 764
-
-
-def test_incremental_refresh_job(spark):
-    base = scratch_path(spark, "cli-incr")
-    standin.stop_documents(spark, SF).write.json(f"{base}/stops")
-    standin.route_documents(spark, SF).write.json(f"{base}/routes")
-    refs, raw, out = f"{base}/refs", f"{base}/raw", f"{base}/view"
-    cli.main(["load-refs", "--stops", f"{base}/stops", "--routes", f"{base}/routes", "--out", refs])
-    from transitlens.sources import ingest as I
-    I.append_raw(standin.arrivals(spark, SF), raw)
-    r = cli.main(["refresh", "--raw", raw, "--refs", refs, "--out", out, "--state", f"{base}/latest"])
-    assert r["snapshot"].startswith("i") and M.read_snapshot(spark, out).count() == 764
-
-
-def test_folding_view_job(spark):
-    base = scratch_path(spark, "cli-fold")
-    standin.stop_documents(spark, SF).write.json(f"{base}/stops")
-    standin.route_documents(spark, SF).write.json(f"{base}/routes")
-    standin.payloads(spark, SF).write.json(f"{base}/landing")
-    refs, raw, out, ckpt = f"{base}/refs", f"{base}/raw", f"{base}/view", f"{base}/ckpt"
-    cli.main(["load-refs", "--stops", f"{base}/stops", "--routes", f"{base}/routes", "--out", refs])
-    cli.main(["ingest", "--landing", f"{base}/landing", "--raw", raw, "--checkpoint", ckpt, "--once"])
-    v = cli.main(["view", "--raw", raw, "--refs", refs, "--out", out, "--checkpoint", ckpt, "--once",
-                  "--state", f"{base}/latest"])
-    assert v["snapshot"].startswith("b") and M.read_snapshot(spark, out).count() == 764

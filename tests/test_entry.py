@@ -7,6 +7,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as E
+from transitlens.plans.registry import ORACLE, QUERIES
 
 SF = "/root/testdata/sf0.001"
 
@@ -17,7 +18,15 @@ def test_entry_runs(spark):
 
 
 def test_every_key_has_oracle():
-    assert set(E.queries()) == set(E.oracle_sql())
+    assert set(QUERIES) == set(ORACLE) and set(QUERIES) <= set(E.queries())
+
+
+@pytest.mark.parametrize("key", ["predictions_rejected", "stream_rejected", "trains_on_lines", "route_paths", "ref_lines"])
+def test_oracles_can_fail(con, key):
+    """Not empty, and not the unfiltered table."""
+    n = len(con.execute(ORACLE[key]).fetchall())
+    whole = {"trains_on_lines": "train_positions", "route_paths": "ref_line_routes"}.get(key)
+    assert n > 0 and (whole is None or n < len(con.execute(ORACLE[whole]).fetchall()))
 
 
 def _norm(v):
@@ -36,7 +45,7 @@ def con():
     return c
 
 
-@pytest.mark.parametrize("key", sorted(E.oracle_sql()))
+@pytest.mark.parametrize("key", sorted(ORACLE))
 def test_key_matches_duckdb(spark, con, key):
     sdf = E.queries()[key](spark, SF)
     cur = con.execute(E.oracle_sql()[key])

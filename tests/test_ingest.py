@@ -26,6 +26,22 @@ def _run(spark, bodies, **kw):
     return good.collect(), rejected.collect()
 
 
+def _flat(spark, bodies):
+    return I.flatten_predictions(I.explode_predictions(_payloads(spark, bodies)))
+
+
+def test_text_after_the_body_and_null_elements(spark):
+    good, rej = _run(spark, [json.dumps([FULL]) + " junk", json.dumps([FULL]) + ",[]", json.dumps([None, FULL])])
+    assert len(good) == 1
+    assert sorted((r.line_id, r.reject_reason) for r in rej) == [
+        ("l0", "unparseable payload"), ("l1", "unparseable payload"), ("l2", "prediction is not an object")]
+
+
+def test_report_parses_once(spark):
+    plan = I.ingest_report(_flat(spark, [json.dumps([FULL])]))._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("LogicalRDD") + plan.count("LocalRelation") == 1
+
+
 def test_full_object(spark):
     good, rej = _run(spark, [json.dumps([FULL])])
     assert not rej and len(good) == 1
@@ -75,8 +91,7 @@ def test_run_stamp_literals(spark):
 
 
 def test_report_and_strict_mode(spark):
-    good, rejected = I.raw_from_payloads(_payloads(spark, [json.dumps([FULL, dict(FULL, timeToStation="x")])]))
-    rep = I.ingest_report(good, rejected)
+    rep = I.ingest_report(_flat(spark, [json.dumps([FULL, dict(FULL, timeToStation="x")])]))
     assert [(r.rows_inserted, r.rows_errored, r.payloads_skipped) for r in rep.collect()] == [(1, 1, 0)]
     with pytest.raises(RuntimeError):
         I.check_report(rep)
@@ -84,8 +99,7 @@ def test_report_and_strict_mode(spark):
 
 
 def test_failed_payload_is_skipped_not_an_error(spark):
-    good, rejected = I.raw_from_payloads(_payloads(spark, ["[{broken", None, json.dumps([FULL])]))
-    rep = I.ingest_report(good, rejected)
+    rep = I.ingest_report(_flat(spark, ["[{broken", None, json.dumps([FULL])]))
     assert I.check_report(rep) == {"rows_inserted": 1, "rows_errored": 0, "payloads_skipped": 2}
 
 
@@ -111,14 +125,14 @@ def test_landing_files_roundtrip(spark, tmp_path):
 
 
 def test_ingest_run(spark, tmp_path):
-    landing, raw, rej = (str(tmp_path / n) for n in ("landing", "raw", "rej"))
+    landing, raw = (str(tmp_path / n) for n in ("landing", "raw"))
     _payloads(spark, [json.dumps([FULL, FULL]), json.dumps([dict(FULL, timeToStation="x")])]).write.json(landing)
     with pytest.raises(RuntimeError):
-        I.ingest_run(spark, landing, raw, rej)
-    assert I.read_raw(spark, raw).count() == 2 and spark.read.parquet(rej).count() == 1
+        I.ingest_run(spark, landing, raw)
+    assert I.read_raw(spark, raw).count() == 2 and I.read_rejects(spark, raw).count() == 1
+    assert I.ingest_run(spark, landing, raw, strict=False) == {"rows_inserted": 2, "rows_errored": 1, "payloads_skipped": 0}
     empty = str(tmp_path / "empty")
     _payloads(spark, ["[]"]).write.json(empty)
     assert I.ingest_run(spark, empty, str(tmp_path / "raw2")) == {
         "rows_inserted": 0, "rows_errored": 0, "payloads_skipped": 0}
-    import os
-    assert not os.path.exists(str(tmp_path / "raw2"))
+    assert not list((tmp_path / "raw2").rglob("*.parquet"))

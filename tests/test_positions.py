@@ -126,6 +126,8 @@ def test_max_age_prunes_ingest_date_partitions(spark, fixture_stations, fixture_
     out = train_positions(raw, fixture_stations, fixture_lines, max_age=dt.timedelta(days=5),
                           now=dt.datetime(2024, 1, 21))
     assert [r.vehicle_id for r in out.collect()] == ["v2"]
-    plan = out._jdf.queryExecution().executedPlan().toString()
+    from transitlens.plans.positions import _fresh_raw, prune_raw
+    read, _ = _fresh_raw(prune_raw(raw), dt.timedelta(days=5), dt.datetime(2024, 1, 21))
+    plan = read._jdf.queryExecution().executedPlan().toString()
     scan = [ln for ln in plan.splitlines() if "FileScan" in ln and "ingest_date" in ln]
     assert scan and "PartitionFilters: [" in scan[0] and "ingest_date" in scan[0].split("PartitionFilters: [")[1]

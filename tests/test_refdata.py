@@ -33,10 +33,41 @@ def test_load_routes(spark):
     ], "line_id string, direction string, body string")
     rows = R.load_routes(docs).collect()
     assert [(r.line_id, r.direction) for r in rows] == [("x", "inbound"), ("x", "inbound"), ("x", "outbound")]
-    assert rows[0].coordinates == "[[[0.5,51.25],[0.5,51.5]]]"
+    assert rows[0].coordinates == "[[[0.5, 51.25], [0.5, 51.5]]]"
+    assert rows[1].coordinates == "[[1.0, 2.0]]"
     assert json.loads(rows[2].coordinates) == [[1.5, 51.25], [2.5, 51.5]]
 
 
+def test_route_text_is_written_as_json_dumps_writes_it(spark):
+    texts = ["[[0.5,51.20],[1,2]]", "[[[0.10,51.0]],  [[-0.25 ,1.5]]]", "[]", "[[]]"]
+    docs = spark.createDataFrame([("x", "inbound", json.dumps({"lineStrings": texts}))], "line_id string, direction string, body string")
+    assert [r.coordinates for r in R.load_routes(docs).collect()] == [json.dumps(json.loads(t)) for t in texts]
+
+
+@pytest.mark.parametrize("body", ["{broken", "[1, 2]", json.dumps({"lineStrings": ["not paths"]}), json.dumps({"lineStrings": 5}),
+                                  json.dumps({"lineStrings": ["[[1,2]]"]}) + " junk"])
+def test_bad_routes_fail(spark, body):
+    docs = spark.createDataFrame([("x", "inbound", body)], "line_id string, direction string, body string")
+    with pytest.raises(Exception):
+        R.load_routes(docs).count()
+
+
+STOP = {"naptanId": "a", "commonName": "b", "lat": 1, "lon": 2}
+
+
+@pytest.mark.parametrize("body", [None, "{broken", json.dumps([STOP]) + " junk", json.dumps([None]), json.dumps([dict(STOP, lat=None)]),
+                                  json.dumps([dict(STOP, lon="east")]), json.dumps([{k: v for k, v in STOP.items() if k != "naptanId"}])])
+def test_bad_stops_fail_before_the_table_is_replaced(spark, tmp_path, body):
+    path = str(tmp_path / "stations")
+    good = spark.createDataFrame([("x", json.dumps([STOP]))], "line_id string, body string")
+    R.replace_table(R.load_stations(good), path)
+    bad = R.load_stations(spark.createDataFrame([("x", json.dumps([STOP])), ("y", body)], "line_id string, body string"))
+    for broken in (lambda: bad.count(), lambda: bad.select("line_id").collect(), lambda: R.replace_table(bad, path)):
+        with pytest.raises(Exception):
+            broken()
+    assert spark.read.parquet(path).count() == 1
+
+
 def test_lines_and_summary(spark):
     lines = R.load_lines(spark)
     assert lines.count() == 11

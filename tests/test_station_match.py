@@ -1,11 +1,12 @@
-"""Both matching plans give the same rows, duplicates included."""
+"""Names matched once and joined back, duplicates included."""
 
+import pytest
 from pyspark.sql import functions as F
 
-from transitlens.operators import broadcast as B
-from transitlens.operators.station_match import match_station, next_stop
-from transitlens.plans.positions import NAME_MATCHES, parse_location
+from transitlens.functions.location import name_matches
 from transitlens.operators.latest import latest_per_vehicle
+from transitlens.operators.station_match import match_names, match_station, next_stop
+from transitlens.plans.positions import NAME_MATCHES, parse_location, train_positions
 from transitlens.sources import standin
 
 SF = "/root/testdata/sf0.01"
@@ -15,32 +16,52 @@ def _same(a, b):
     return a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
 
 
-def test_fallback_equals_broadcast_plan(spark):
-    parsed = parse_location(latest_per_vehicle(standin.arrivals(spark, SF)))
-    st = standin.stations(spark, SF)
+def _parsed(spark):
+    return parse_location(latest_per_vehicle(standin.arrivals(spark, SF)))
+
+
+def test_equals_the_direct_join(spark):
+    parsed, st = _parsed(spark), standin.stations(spark, SF)
+    matches = match_names(parsed, st)
     for prefix, name_col in NAME_MATCHES:
-        small = match_station(parsed, st, name_col, prefix, small=True)
-        large = match_station(parsed, st, name_col, prefix, small=False).select(*small.columns)
-        assert small.count() >= parsed.count()
-        assert _same(small, large), name_col
+        ours = match_station(parsed, matches, name_col, prefix)
+        cond = (parsed.line_id == st.line_id) & name_matches(st.station_name, parsed[name_col])
+        direct = parsed.join(st, cond, "left").select(*[parsed[c] for c in parsed.columns],
+                                                      *[st[c].alias(f"{prefix}_{c}") for c in ("naptan_id", "station_name", "latitude", "longitude")])
+        assert ours.count() >= parsed.count() and _same(ours, direct), name_col
+
+
+@pytest.mark.parametrize("name", ["oval", "O", "va", "%", "_val", "O%l", "100%", "!", "OVAL STATION", "xyz", "_", "\u0130", " ", "%al s"])
+def test_names_with_wildcards_and_short_names(spark, name):
+    st = spark.createDataFrame([("a", "Oval Station", "x", 1.0, 2.0), ("b", "Hi! 100% _ \u0130stasyon", "x", 1.0, 2.0), ("c", "Oval", "y", 1.0, 2.0)],
+                               "naptan_id string, station_name string, line_id string, latitude double, longitude double")
+    parsed = spark.createDataFrame([("x", name)], "line_id string, at_station_name string")
+    got = {r.naptan_id for r in match_names(parsed, st).collect()}
+    want = {r.naptan_id for r in st.where("line_id = 'x'").where(name_matches(F.col("station_name"), F.lit(name))).collect()}
+    assert got == want
 
 
 def test_fan_out_matches_b1(spark):
     # NATION_1 is a substring of NATION_11 and NATION_16 on the same line.
-    parsed = parse_location(latest_per_vehicle(standin.arrivals(spark, SF)))
-    out = match_station(parsed, standin.stations(spark, SF), "at_station_name", "s_at")
-    multi = out.groupBy("vehicle_id", "line_id").count().where(F.col("count") > 1)
-    assert multi.count() > 0
+    parsed = _parsed(spark)
+    out = match_station(parsed, match_names(parsed, standin.stations(spark, SF)), "at_station_name", "s_at")
+    assert out.groupBy("vehicle_id", "line_id").count().where(F.col("count") > 1).count() > 0
 
 
-def test_broadcast_check(spark):
-    df = spark.range(10)
-    assert B.fits_broadcast(df, 10) and not B.fits_broadcast(df, 9)
-    hinted, small = B.checked_broadcast(df, 5)
-    assert not small
+def test_one_plan_without_broadcasts(spark):
+    """With broadcasts off: raw is not read again, and no exchange is keyed on the line alone."""
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        out = train_positions(standin.arrivals(spark, SF), standin.stations(spark, SF), standin.lines(spark, SF))
+        plan = out.drop("colour_hex", "colour_r", "colour_g", "colour_b")._jdf.queryExecution().executedPlan().toString()
+        assert out.count() == 764
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+    assert "events" not in plan and "row_number" not in plan
 
 
 def test_next_stop_is_pure_equi(spark):
-    parsed = parse_location(latest_per_vehicle(standin.arrivals(spark, SF)))
+    parsed = _parsed(spark)
     out = next_stop(parsed, standin.stations(spark, SF))
     assert out.count() == parsed.count()

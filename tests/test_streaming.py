@@ -1,13 +1,17 @@
 """M1-M5: the live view equals the batch view."""
 
+import datetime as dt
+import json
 import os
 import random
 
 import pytest
 from pyspark.sql import functions as F
 
-from transitlens.plans.positions import train_positions
+from transitlens.operators.latest import latest_per_vehicle
+from transitlens.plans.positions import prune_raw, train_positions
 from transitlens.session import scratch_path
+from transitlens.sources import ingest as I
 from transitlens.sources import refdata as R
 from transitlens.sources import standin
 from transitlens.streaming import live as M
@@ -50,12 +54,12 @@ def test_stream_equals_batch_with_restart_and_shuffled_order(spark, landing_part
 
     # First run sees half of the files; then a restart from the same checkpoints.
     _feed(landing, landing_parts, order[:3])
-    M.run_available(M.start_ingest(spark, landing, raw_dir, ckpt, NOW))
+    M.ingest_available(spark, landing, raw_dir, ckpt)
     M.run_available(M.start_positions(spark, raw_dir, st_path, ln_path, out, ckpt, NOW))
     first = M.current_snapshot(spark, out)
 
     _feed(landing, landing_parts, order[3:])
-    M.run_available(M.start_ingest(spark, landing, raw_dir, ckpt, NOW))
+    M.ingest_available(spark, landing, raw_dir, ckpt)
     M.run_available(M.start_positions(spark, raw_dir, st_path, ln_path, out, ckpt, NOW))
     assert M.current_snapshot(spark, out) != first
 
@@ -65,7 +69,7 @@ def test_stream_equals_batch_with_restart_and_shuffled_order(spark, landing_part
     assert live.count() == 764
     assert _same(live.select(*batch.columns), batch)
     # Raw written by the stream is the stand-in raw table, no row twice.
-    assert _same(spark.read.parquet(raw_dir).drop("ingest_date"), t["raw"])
+    assert _same(I.read_raw(spark, raw_dir).drop("ingest_date").select(*t["raw"].columns), t["raw"])
 
 
 def test_refresh_after_reference_reload(spark):
@@ -88,11 +92,9 @@ def test_live_max_age_drops_stale_vehicles(spark):
     raw_dir, out = f"{base}/raw", f"{base}/positions"
     st_path, ln_path = f"{base}/stations", f"{base}/lines"
     # Stand-in timestamps are in January 2024: all older than a day at trigger time.
-    from transitlens.sources import ingest as I
     I.append_raw(standin.arrivals(spark, SF), raw_dir)
     R.replace_table(standin.stations(spark, SF), st_path)
     R.replace_table(standin.lines(spark, SF), ln_path)
-    import datetime as dt
     M.run_available(M.start_positions(spark, raw_dir, st_path, ln_path, out, f"{base}/ckpt", NOW,
                                       max_age=dt.timedelta(days=1)))
     assert M.read_snapshot(spark, out).count() == 0
@@ -106,38 +108,78 @@ def test_ingest_in_bounded_batches_with_archive(spark, landing_parts):
     os.makedirs(landing)
     _feed(landing, landing_parts, range(len(landing_parts)))
     n_files = len(os.listdir(landing))
-    qs = M.start_ingest(spark, landing, raw_dir, ckpt, NOW, max_files_per_trigger=2,
-                        clean_source="archive", archive_dir=archive)
-    M.run_available(qs)
-    assert qs[0].lastProgress is not None and qs[0].lastProgress["batchId"] >= (n_files + 1) // 2 - 1
-    assert _same(spark.read.parquet(raw_dir).drop("ingest_date"), standin.arrivals(spark, SF))
-
-
-def test_folding_live_view_equals_batch_and_expires_state(spark, landing_parts):
-    base = scratch_path(spark, "fold-test")
-    landing, raw_dir, out, state, ckpt = (f"{base}/{n}" for n in ("landing", "raw", "view", "latest", "ckpt"))
+    q = M.start_ingest(spark, landing, raw_dir, ckpt, NOW, max_files_per_trigger=2,
+                       clean_source="archive", archive_dir=archive)
+    M.run_available(q)
+    assert q.lastProgress is not None and q.lastProgress["batchId"] >= (n_files + 1) // 2 - 1
+    want = standin.arrivals(spark, SF)
+    assert _same(I.read_raw(spark, raw_dir).drop("ingest_date").select(*want.columns), want)
+
+
+def test_rejects_and_archive_lose_nothing(spark):
+    """Twelve files, one per trigger, archived as they are read: every row is in the table, good or rejected."""
+    base = scratch_path(spark, "rejects")
+    landing = f"{base}/landing"
     os.makedirs(landing)
+    for i in range(12):
+        with open(f"{landing}/f{i:02d}.json", "w") as f:
+            for body in ([{"id": str(i), "vehicleId": f"v{i}", "lineId": "x"}, {"id": str(i), "timeToStation": "soon"}], None):
+                f.write(json.dumps({"ingestion_id": "r", "timestamp_utc": "2024-01-01T00:00:00", "line_id": "x",
+                                    "body": json.dumps(body) if body else "[{broken"}) + "\n")
+    args = (spark, landing, f"{base}/raw", f"{base}/ckpt")
+    with pytest.raises(RuntimeError, match="rejected 12 rows"):
+        M.ingest_available(*args, strict=True, max_files_per_trigger=1, clean_source="archive", archive_dir=f"{base}/done")
+    assert I.read_raw(spark, f"{base}/raw").count() == 12
+    rejects = I.read_rejects(spark, f"{base}/raw").groupBy("reject_reason").count().collect()
+    assert {r.reject_reason: r["count"] for r in rejects} == {"timeToStation is not an integer": 12, "unparseable payload": 12}
+    # a second run over nothing new adds nothing and does not fail
+    M.ingest_available(*args, strict=True, max_files_per_trigger=1, clean_source="archive", archive_dir=f"{base}/done")
+    assert I.read_raw(spark, f"{base}/raw").count() == 12
+
+
+def test_refresh_sees_late_days_and_null_timestamps(spark):
+    base = scratch_path(spark, "late")
+    raw_dir, out, ckpt = f"{base}/raw", f"{base}/view", f"{base}/ckpt"
     st_path, ln_path = f"{base}/stations", f"{base}/lines"
     R.replace_table(standin.stations(spark, SF), st_path)
     R.replace_table(standin.lines(spark, SF), ln_path)
-    _feed(landing, landing_parts, range(3))
-    M.run_available(M.start_ingest(spark, landing, raw_dir, ckpt, NOW))
-    M.run_available(M.start_positions_folding(spark, raw_dir, st_path, ln_path, out, state, ckpt, NOW,
-                                              max_files_per_trigger=40))
-    _feed(landing, landing_parts, range(3, len(landing_parts)))
-    M.run_available(M.start_ingest(spark, landing, raw_dir, ckpt, NOW))
-    M.run_available(M.start_positions_folding(spark, raw_dir, st_path, ln_path, out, state, ckpt, NOW,
-                                              max_files_per_trigger=40))
-    t = standin.reference_tables(spark, SF)
-    batch = train_positions(t["raw"], t["stations"], t["lines"])
-    assert _same(M.read_snapshot(spark, out).select(*batch.columns), batch)
-
-    # Expiry: with max_age the kept table loses the stale keys.
-    import datetime as dt
-    base2 = scratch_path(spark, "fold-expire")
-    M.run_available(M.start_positions_folding(spark, raw_dir, st_path, ln_path, f"{base2}/view",
-                                              f"{base2}/latest", f"{base2}/ckpt", NOW,
-                                              max_age=dt.timedelta(days=3)))
-    kept = spark.read.parquet(f"{base2}/latest/version={M.current_snapshot(spark, base2 + '/view')}")
-    newest = t["raw"].agg(F.max("timestamp_utc")).first()[0]
-    assert kept.count() < 750 and kept.where(F.col("timestamp_utc") < newest - dt.timedelta(days=3)).count() == 0
+    raw = standin.arrivals(spark, SF)
+    raw = raw.withColumn("timestamp_utc", F.when(F.col("event_id") % 13 != 0, F.col("timestamp_utc")))
+    late = F.col("timestamp_utc").isNull() | (F.col("timestamp_utc") < F.lit("2024-01-10").cast("timestamp_ntz"))
+    for part in (raw.where(~late), raw.where(late)):
+        I.append_raw(part, raw_dir)
+        M.run_available(M.start_positions(spark, raw_dir, st_path, ln_path, out, ckpt, NOW))
+    want = train_positions(raw, standin.stations(spark, SF), standin.lines(spark, SF))
+    assert _same(M.read_snapshot(spark, out).select(*want.columns), want)
+
+
+def test_null_id_ties_give_one_answer_in_batch_and_stream(spark):
+    base = scratch_path(spark, "ties")
+    raw = (standin.arrivals(spark, SF).withColumn("event_id", F.lit(None).cast("long"))
+           .withColumn("time_to_station", F.lit(60)).withColumn("platform_name", F.concat(F.lit("P"), F.col("destination_naptan_id"))))
+    I.append_raw(raw.orderBy(F.rand(3)).repartition(7), f"{base}/raw")
+    M.run_available(M.start_view(spark, f"{base}/raw", f"{base}/out", f"{base}/ckpt", lambda latest: latest, NOW))
+    stream = M.read_snapshot(spark, f"{base}/out")
+    for seed in (1, 2):
+        batch = latest_per_vehicle(raw.orderBy(F.rand(seed)).repartition(11))
+        assert _same(stream.select(*batch.columns), batch)
+        pruned = latest_per_vehicle(prune_raw(raw.orderBy(F.rand(seed)).repartition(5)))
+        assert _same(pruned, batch.select(*pruned.columns))
+
+
+def test_pointers_follow_the_data_and_do_not_hide_failures(spark):
+    base = scratch_path(spark, "pointers")
+    early, late = dt.datetime(2024, 1, 1), dt.datetime(2024, 1, 2)
+    frame = lambda t, n: spark.createDataFrame([(t, n)], "timestamp_utc timestamp_ntz, n int")
+    assert M.current_snapshot(spark, base) is None
+    M.write_snapshot(frame(late, 1), base, "b1")
+    M.write_snapshot(frame(early, 2), base, "r2")          # written later, but of older data
+    assert M.current_snapshot(spark, base) == "b1"
+    M.write_snapshot(frame(late, 3), base, "r3")           # the same data: the last one written
+    assert M.read_snapshot(spark, base).first().n == 3
+    M.write_snapshot(frame(late, 4), base, "b4", keep=2)
+    assert sorted(d for d in os.listdir(base) if d.startswith("snapshot=")) == ["snapshot=b4", "snapshot=r3"]
+    with pytest.raises(Exception):
+        M.current_snapshot(spark, "nosuchstore://host/view")
+
+

@@ -2,8 +2,8 @@
 
     python -m transitlens load-refs --stops DIR --routes DIR --out BASE
     python -m transitlens ingest    --landing DIR --raw DIR --checkpoint DIR [--once]
-    python -m transitlens view      --raw DIR --refs BASE --out DIR --checkpoint DIR [--once] [--state DIR]
-    python -m transitlens refresh   --raw DIR --refs BASE --out DIR [--state DIR]
+    python -m transitlens view      --raw DIR --refs BASE --out DIR --checkpoint DIR [--once]
+    python -m transitlens refresh   --raw DIR --refs BASE --out DIR
     python -m transitlens health    --raw DIR --refs BASE --out DIR
 
 On a cluster run it with spark-submit; the session comes from the launcher
@@ -22,11 +22,15 @@ import sys
 from pyspark.sql import SparkSession
 
 from .operators import health as H
-from .plans.incremental import refresh_incremental
+from .session import cluster_conf
+from .sources import ingest as I
 from .sources import refdata as R
 from .streaming import live as M
 
+# State store and shuffle settings as in ``session.cluster_conf``; partitions
+# and memory are the launcher's.
 RUNTIME_CONF = {
+    **{k: v for k, v in cluster_conf(1, 1).items() if k != "spark.sql.shuffle.partitions"},
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
@@ -56,37 +60,29 @@ def load_refs(spark: SparkSession, args) -> dict:
 
 
 def ingest(spark: SparkSession, args) -> dict:
-    qs = M.start_ingest(spark, args.landing, args.raw, args.checkpoint, _trigger(args),
-                        rejects_dir=args.rejects, max_files_per_trigger=args.max_files,
-                        clean_source="archive" if args.archive else None, archive_dir=args.archive)
-    M.run_available(qs)
-    return {"queries": [q.name or q.id for q in qs]}
+    options = {"max_files_per_trigger": args.max_files, "clean_source": "archive" if args.archive else None,
+               "archive_dir": args.archive}
+    if args.once:
+        return M.ingest_available(spark, args.landing, args.raw, args.checkpoint, args.strict, **options)
+    q = M.start_ingest(spark, args.landing, args.raw, args.checkpoint, _trigger(args), **options)
+    M.run_available(q)
+    return {"query": q.name or q.id}
 
 
 def view(spark: SparkSession, args) -> dict:
     max_age = dt.timedelta(minutes=args.max_age_min) if args.max_age_min else None
-    if args.state:
-        q = M.start_positions_folding(spark, args.raw, f"{args.refs}/ref_stations", f"{args.refs}/ref_lines",
-                                      args.out, args.state, args.checkpoint, _trigger(args),
-                                      unique=args.unique, max_age=max_age)
-    else:
-        q = M.start_positions(spark, args.raw, f"{args.refs}/ref_stations", f"{args.refs}/ref_lines", args.out,
-                              args.checkpoint, _trigger(args), unique=args.unique, max_age=max_age)
-    M.run_available(q)
+    M.run_available(M.start_positions(spark, args.raw, f"{args.refs}/ref_stations", f"{args.refs}/ref_lines", args.out,
+                                      args.checkpoint, _trigger(args), unique=args.unique, max_age=max_age))
     return {"snapshot": M.current_snapshot(spark, args.out)}
 
 
 def refresh(spark: SparkSession, args) -> dict:
-    if args.state:
-        snap = refresh_incremental(spark, args.raw, args.state, spark.read.parquet(f"{args.refs}/ref_stations"),
-                                   spark.read.parquet(f"{args.refs}/ref_lines"), args.out, unique=args.unique)
-        return {"snapshot": snap}
     return {"snapshot": M.refresh(spark, args.raw, f"{args.refs}/ref_stations", f"{args.refs}/ref_lines",
                                   args.out, unique=args.unique)}
 
 
 def health(spark: SparkSession, args) -> dict:
-    raw = spark.read.parquet(args.raw).drop("ingest_date")
+    raw = I.read_raw(spark, args.raw)
     pos = M.read_snapshot(spark, args.out)
     counts = H.table_counts({
         "RAW_ARRIVALS": raw,
@@ -98,6 +94,8 @@ def health(spark: SparkSession, args) -> dict:
     fresh = H.freshness(raw).first()
     return {
         "table_counts": {r["table_name"]: r["row_count"] for r in counts.collect()},
+        "rejected": {r["reject_reason"]: r["count"] for r in
+                     I.read_rejects(spark, args.raw).groupBy("reject_reason").count().collect()},
         "latest_ingestion": str(fresh["latest_ingestion"]), "lag_seconds": fresh["lag_seconds"],
         "location_types": {r["location_type"]: r["cnt"] for r in H.location_type_counts(pos).collect()},
     }
@@ -122,7 +120,7 @@ def parser() -> argparse.ArgumentParser:
         s.add_argument("--every", type=int, default=60, help="trigger interval, seconds")
     ing = sub.choices["ingest"]
     ing.add_argument("--landing", required=True)
-    ing.add_argument("--rejects")
+    ing.add_argument("--strict", action="store_true", help="with --once: fail when rows were rejected (they are kept)")
     ing.add_argument("--max-files", type=int)
     ing.add_argument("--archive", help="move processed landing files here")
     for name in ("view", "refresh", "health"):
@@ -134,10 +132,6 @@ def parser() -> argparse.ArgumentParser:
         if name != "health":
             s.add_argument("--unique", action="store_true")
     sub.choices["view"].add_argument("--max-age-min", type=float)
-    sub.choices["view"].add_argument(
-        "--state", help="keep the latest rows as a folded table here (no state store; max_age expires keys)")
-    sub.choices["refresh"].add_argument(
-        "--state", help="folder of the kept latest table: fold only new ingest days into it")
     return p
 
 

@@ -16,7 +16,10 @@ time_to_station ASC)``. Two equal forms (a test holds them equal):
 Ordering, most significant first (A1, A3, T3, T4):
 1. timestamp_utc DESC NULLS FIRST  -> (ts IS NULL, ts) larger wins
 2. time_to_station ASC NULLS LAST  -> (t IS NOT NULL, ~t) larger wins
-3. tie-break ASC NULLS LAST        -> (tie IS NOT NULL, ~tie) larger wins
+3. event id ASC NULLS LAST         -> (tie IS NOT NULL, ~tie) larger wins
+4. a hash of the view's own columns, then one of all other columns (each a
+   fixed list by name). So the order is total up to rows that are equal in all
+   columns, with or without event ids, and the pruned view picks the same row.
 (``~x`` = -x - 1 reverses the order without the overflow of -Long.MinValue.)
 """
 
@@ -25,35 +28,43 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..schemas import TIE_COLUMN
+from ..schemas import PARSED_BASE, TIE_COLUMN
 
 KEYS = ["vehicle_id", "line_id"]
 
 
-def tie_key(df: DataFrame) -> Column:
-    """Last sort key: the stand-in's event id, else a hash of the whole row."""
-    if TIE_COLUMN in df.columns:
-        return F.col(TIE_COLUMN)
-    return F.xxhash64(*[F.col(c) for c in df.columns])
+def _tie(df: DataFrame) -> Column:
+    return F.col(TIE_COLUMN).cast("long") if TIE_COLUMN in df.columns else F.lit(None).cast("long")
+
+
+def _row_hashes(df: DataFrame) -> list[Column]:
+    """Hash of the view's columns, hash of the others; both by name, whatever the column order."""
+    def of(names: list[str]) -> Column:
+        return F.xxhash64(*[F.col(c) for c in names]) if names else F.lit(0).cast("long")
+    rest = sorted(c for c in df.columns if c not in PARSED_BASE and c not in (TIE_COLUMN, "ingest_date"))
+    return [of([c for c in PARSED_BASE if c in df.columns]), of(rest)]
 
 
 def ordering(df: DataFrame) -> Column:
     ts, t = F.col("timestamp_utc"), F.col("time_to_station")
     epoch = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
+    own, rest = _row_hashes(df)
     return F.struct(
         ts.isNull().alias("ts_null"),
         F.coalesce(ts, epoch).alias("ts"),
         t.isNotNull().alias("t_known"),
         F.bitwise_not(F.coalesce(t, F.lit(0)).cast("long")).alias("neg_t"),
-        tie_key(df).isNotNull().alias("tie_known"),
-        F.bitwise_not(F.coalesce(tie_key(df), F.lit(0).cast("long"))).alias("neg_tie"),
+        _tie(df).isNotNull().alias("tie_known"),
+        F.bitwise_not(F.coalesce(_tie(df), F.lit(0).cast("long"))).alias("neg_tie"),
+        F.bitwise_not(own).alias("neg_own"),
+        F.bitwise_not(rest).alias("neg_rest"),
     )
 
 
 def window_order(df: DataFrame) -> list[Column]:
     """The same ordering as sort keys of a window (NULL order spelled out, T3)."""
     return [F.col("timestamp_utc").desc_nulls_first(), F.col("time_to_station").asc_nulls_last(),
-            tie_key(df).asc_nulls_last()]
+            _tie(df).asc_nulls_last(), *[h.asc() for h in _row_hashes(df)]]
 
 
 def latest_per_vehicle(raw: DataFrame) -> DataFrame:

@@ -1,103 +1,94 @@
 """LEFT joins of predictions to station and line reference data.
 
 Name matches (J1, J2, J4, J5) are ``line_id = line_id AND station_name ILIKE
-'%name%'``: an equi key plus a residual, planned as a hash join on line_id with
-the LIKE as a residual filter, never as a nested loop. Several stations can
-match one name, which multiplies rows exactly as in the reference (B1).
-
-The station table is broadcast when a bounded count proves it small (at most
-100,000 rows; the reference has 384). Past that bound the match goes through the distinct
-names instead: the distinct (line_id, name) pairs are matched once against the
-stations and the result is equi-joined back on (line_id, name). That returns
-the same rows, duplicates included. The join back is keyed on (line_id, name),
-a hash shuffle whose skewed partitions AQE splits (or a broadcast, when AQE
-measures the matches small), and never a shuffle keyed on line_id alone: a
-handful of lines would make a handful of tasks.
+'%name%'``. They have one plan, whatever the sizes: the distinct (line, name)
+pairs of all four name columns are collected in one pass (``stack``), matched
+to the stations once, and joined back on (line, name). There are as many pairs
+as names in use, not as rows.
+
+The match itself is an equi join too: a name's first three literal characters
+(lower-cased) meet the one- to three-letter pieces of the station names of the
+line, and the ILIKE is checked on what meets. So a line's stations are spread
+by piece, not kept in one task. Several stations can match one name, which multiplies rows
+exactly as in the reference (B1). No join is hinted: sizes decide (the matches are
+a written table, so the optimiser knows theirs).
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.location import name_matches
-from .broadcast import checked_broadcast
+from ..session import materialised
 
 STATION_FIELDS = ["naptan_id", "station_name", "latitude", "longitude"]
+NAME_COLUMNS = ["at_station_name", "approaching_station_name", "from_station_name", "to_station_name"]
+PIECE = 3
 
 
-def _prefixed(stations: DataFrame, prefix: str) -> DataFrame:
-    return stations.select(
-        F.col("line_id").alias(f"{prefix}_line_id"),
-        *[F.col(c).alias(f"{prefix}_{c}") for c in STATION_FIELDS],
-    )
+def name_pairs(parsed: DataFrame) -> DataFrame:
+    """The distinct (line_id, name) of all name columns, in one pass."""
+    names = [c for c in NAME_COLUMNS if c in parsed.columns]
+    return (parsed.select("line_id", F.stack(F.lit(len(names)), *[F.col(c) for c in names]).alias("name"))
+            .where(F.col("name").isNotNull() & F.col("line_id").isNotNull()).distinct())
 
 
-def prepare_stations(stations: DataFrame) -> tuple[DataFrame, bool]:
-    """Project the four used columns and decide broadcast once per plan."""
-    st = stations.select("line_id", *STATION_FIELDS)
-    return checked_broadcast(st)
+def _name_piece(name: Column) -> Column:
+    """The first literal run's first characters; '' for a name of wildcards only."""
+    return F.substring(F.regexp_extract(F.lower(name), "([^%_]+)", 1), 1, PIECE)
 
 
-def _join_renamed(df: DataFrame, stations: DataFrame, prefix: str, cond_of, how: str = "left") -> DataFrame:
-    """Join the station table under alias ``prefix`` and rename its columns
-    afterwards, so the broadcast side is the same plan for every match and
-    Spark reuses one broadcast exchange for all of them."""
-    left, right = df.alias("p"), stations.alias(prefix)
-    joined = left.join(right, cond_of(prefix), how)
-    return joined.selectExpr("p.*", *[f"{prefix}.{c} AS {prefix}_{c}" for c in STATION_FIELDS])
+def _station_pieces(name: Column) -> Column:
+    """'' and every run of one to PIECE characters of a station name."""
+    text = F.lower(name)
+    at = F.sequence(F.lit(1), F.greatest(F.length(text), F.lit(1)))
 
+    def runs(n: int) -> Column:
+        return F.transform(at, lambda i: F.substring(text, i, F.lit(n)))
 
-def match_station(df: DataFrame, stations: DataFrame, name_col: str, prefix: str,
-                  small: bool | None = None) -> DataFrame:
-    """Add ``{prefix}_naptan_id, _station_name, _latitude, _longitude`` for
-    stations of the same line whose name contains ``df[name_col]`` (ILIKE).
-    Rows without a match keep NULLs (LEFT join); several matches give several rows.
+    return F.array_distinct(F.concat(F.array(F.lit("")), *[runs(n) for n in range(1, PIECE + 1)]))
+
+
+def match_names(parsed: DataFrame, stations: DataFrame, unique: bool = False) -> DataFrame:
+    """(line_id, name, naptan_id, station_name, latitude, longitude) of every name and matching station.
+
+    ``unique`` keeps one station per (line, name): the name itself (ignoring
+    case), then the shortest station name, then the smallest naptan id.
     """
-    if small is None:
-        stations, small = prepare_stations(stations)
-    if small:
-        def cond(a):
-            return (F.col("p.line_id") == F.col(f"{a}.line_id")) & name_matches(
-                F.col(f"{a}.station_name"), F.col(f"p.{name_col}"))
-        return _join_renamed(df, stations, prefix, cond)
-    # Large station table: match distinct names once, then equi-join back.
-    s = _prefixed(stations, prefix)
-    matched = _distinct_name_matches(df, s, name_col, prefix)
-    cond = (F.col("line_id") == F.col(f"{prefix}_nl")) & (F.col(name_col) == F.col(f"{prefix}_name"))
-    return df.join(matched, cond, "left").drop(f"{prefix}_nl", f"{prefix}_name")
-
-
-def _distinct_name_matches(df: DataFrame, s: DataFrame, name_col: str, prefix: str) -> DataFrame:
-    """(line, name) pairs joined to every station whose name contains them.
-
-    The names side is an aggregate (map-side partial distinct), so it is
-    small; AQE sees its real size and broadcasts it when it fits.
+    pieces = stations.select("line_id", *STATION_FIELDS, F.explode(_station_pieces(F.col("station_name"))).alias("piece"))
+    pairs = name_pairs(parsed).withColumn("piece", _name_piece(F.col("name")))
+    found = (pairs.join(pieces, ["line_id", "piece"]).where(name_matches(F.col("station_name"), F.col("name")))
+             .select("line_id", "name", *STATION_FIELDS))
+    if unique:
+        rank = F.struct(F.lower("station_name") != F.lower("name"), F.length("station_name"), "naptan_id")
+        best = F.min_by(F.struct(*STATION_FIELDS), rank).alias("best")
+        found = found.groupBy("line_id", "name").agg(best).select("line_id", "name", "best.*")
+    return materialised(found, "name-matches")
+
+
+def match_station(df: DataFrame, matches: DataFrame, name_col: str, prefix: str) -> DataFrame:
+    """Add ``{prefix}_naptan_id, _station_name, _latitude, _longitude`` for the
+    stations that match ``df[name_col]``. Rows without a match keep NULLs (LEFT
+    join); several matches give several rows.
     """
-    names = df.select(F.col("line_id").alias(f"{prefix}_nl"),
-                      F.col(name_col).alias(f"{prefix}_name")).where(
-        F.col(f"{prefix}_name").isNotNull()).distinct()
-    return names.join(
-        s,
-        (F.col(f"{prefix}_nl") == F.col(f"{prefix}_line_id"))
-        & name_matches(F.col(f"{prefix}_station_name"), F.col(f"{prefix}_name")),
-    ).drop(f"{prefix}_line_id")
-
-
-def next_stop(df: DataFrame, stations: DataFrame, prefix: str = "s_dest",
-              small: bool | None = None) -> DataFrame:
-    """The station the prediction is for (naptan id and line, pure equi)."""
-    if small is None:
-        stations, small = prepare_stations(stations)
+    right = matches.select(F.col("line_id").alias("_line"), F.col("name").alias("_name"),
+                           *[F.col(c).alias(f"{prefix}_{c}") for c in STATION_FIELDS])
+    cond = (F.col("line_id") == F.col("_line")) & (F.col(name_col) == F.col("_name"))
+    return df.join(right, cond, "left").drop("_line", "_name")
+
 
-    def cond(a):
-        return (F.col("p.station_naptan_id") == F.col(f"{a}.naptan_id")) & (
-            F.col("p.line_id") == F.col(f"{a}.line_id"))
-    return _join_renamed(df, stations, prefix, cond)
+def next_stop(df: DataFrame, stations: DataFrame, prefix: str = "s_dest", unique: bool = False) -> DataFrame:
+    """The station the prediction is for (naptan id and line, pure equi)."""
+    right = stations.select(F.col("line_id").alias("_line"), *[F.col(c).alias(f"{prefix}_{c}") for c in STATION_FIELDS])
+    if unique:
+        rest = F.struct(*[f"{prefix}_{c}" for c in STATION_FIELDS[1:]])
+        right = (right.groupBy("_line", f"{prefix}_naptan_id").agg(F.min(rest).alias("rest"))
+                 .select("_line", f"{prefix}_naptan_id", "rest.*"))
+    cond = (F.col("station_naptan_id") == F.col(f"{prefix}_naptan_id")) & (F.col("line_id") == F.col("_line"))
+    return df.join(right, cond, "left").drop("_line")
 
 
 def line_colours(df: DataFrame, lines: DataFrame) -> DataFrame:
     """Colour columns by line_id (LEFT)."""
-    cols = lines.select("line_id", "colour_hex", "colour_r", "colour_g", "colour_b")
-    cols, _ = checked_broadcast(cols)
-    return df.join(cols, "line_id", "left")
+    return df.join(lines.select("line_id", "colour_hex", "colour_r", "colour_g", "colour_b"), "line_id", "left")

@@ -13,7 +13,6 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import VariantType
 
 from ..functions import geometry as G
-from .broadcast import checked_broadcast
 
 DASHBOARD_COLUMNS = [
     "vehicle_id", "line_id", "line_name", "direction", "destination_name", "current_location",
@@ -57,7 +56,10 @@ def route_segments(coordinates) -> F.Column:
     """V6: a route's list of paths. Depth-3 JSON is a list of segments, depth-2
     JSON one path (T6: from_json with the depth-3 schema is NULL on depth-2)."""
     c = F.col(coordinates) if isinstance(coordinates, str) else coordinates
-    return F.coalesce(F.from_json(c, ROUTE_DEPTH3), F.array(F.from_json(c, ROUTE_DEPTH2)))
+    flat = F.from_json(c, ROUTE_DEPTH2)
+    bad = F.raise_error(F.concat(F.lit("route coordinates are not JSON paths: "), F.substring(c, 1, 80)))
+    return F.coalesce(F.from_json(c, ROUTE_DEPTH3), F.when(flat.isNotNull(), F.array(flat)),
+                      F.when(c.isNotNull(), bad.cast(ROUTE_DEPTH3)))
 
 
 def route_paths(routes: DataFrame, lines: DataFrame, ids: Sequence[str],
@@ -65,13 +67,13 @@ def route_paths(routes: DataFrame, lines: DataFrame, ids: Sequence[str],
     """V3 + J7 + V6: one row per path segment of the selected lines, coloured.
 
     The line colour is the first match in line-name order; unknown lines
-    are grey. Empty paths are dropped (T6).
+    are grey. Empty paths are dropped (T6); coordinates that are no JSON paths
+    fail the query instead of vanishing.
     """
     sel = routes.where(_in_lines(ids) & (F.col("direction") == direction)).withColumn(
         "coordinates", coordinates_text(routes))
     first = (lines.groupBy("line_id")
              .agg(F.min_by("colour_hex", F.struct("line_name", "colour_hex")).alias("colour_hex")))
-    first, _ = checked_broadcast(first)
     rgb = [F.coalesce(G.hex_channel(F.col("colour_hex"), i), F.lit(G.GREY)) for i in range(3)]
     return (
         sel.join(first, "line_id", "left")
@@ -96,9 +98,9 @@ def header_metrics(positions: DataFrame) -> DataFrame:
 
 
 def train_markers(positions: DataFrame, alpha: int = G.MARKER_ALPHA) -> DataFrame:
-    """V7: marker position and [r, g, b, alpha] colour (NULL-safe)."""
+    """V7: marker position, [r, g, b, alpha] colour (NULL-safe) and the tooltip's columns."""
     return positions.select(
-        "vehicle_id", "line_id", "line_name", "longitude", "latitude",
+        "vehicle_id", "line_id", "line_name", "towards", "current_location", "longitude", "latitude",
         F.array("colour_r", "colour_g", "colour_b", F.lit(alpha)).alias("colour"),
     )
 

@@ -5,8 +5,8 @@ matches (J1-J5) -> position CASE (X3) -> line colours (J6) -> drop rows
 without a position (X4).
 
 Physical shape (see README "Plans"): one hash shuffle for W1, pre-aggregated
-map-side; everything after it is map-side, with broadcast hash joins on
-line_id (plus the ILIKE residual) against the size-checked station table.
+map-side, whose rows are written once; the distinct names are matched once and
+joined back on (line, name).
 """
 
 from __future__ import annotations
@@ -19,8 +19,9 @@ from pyspark.sql import functions as F
 from ..functions import geometry as G
 from ..functions import location as L
 from ..operators.latest import latest_per_vehicle
-from ..operators.station_match import line_colours, match_station, next_stop, prepare_stations
+from ..operators.station_match import line_colours, match_names, match_station, next_stop
 from ..schemas import PARSED_BASE, TIE_COLUMN, TRAIN_POSITIONS
+from ..session import materialised
 
 # (prefix of the joined station columns, name column) per name match.
 NAME_MATCHES = [
@@ -45,48 +46,27 @@ def parse_location(latest: DataFrame) -> DataFrame:
 
 
 def with_station_matches(parsed: DataFrame, stations: DataFrame, unique: bool = False) -> DataFrame:
-    """J1-J5 in the reference's order: at, approaching, next stop, from, to.
-
-    ``unique=True`` then keeps, per (vehicle, line), the row whose stations
-    rank best for their names (see ``_match_rank``). The rows of one vehicle
-    are the full product of its per-join matches, so the lexicographic
-    minimum over the per-join ranks is exactly the best station of every name
-    at once. The joins are map-side and W1 left the rows hash-partitioned by
-    (vehicle_id, line_id), so this regrouping needs no new shuffle.
+    """At, approaching, next stop, from, to.
+
+    The parsed rows (one per vehicle and line) are written to the shared folder
+    first, since both the names and the joins read them; otherwise W1 would run
+    twice. ``unique=True`` keeps the best station of every name (see ``match_names``).
     """
-    st, small = prepare_stations(stations)
+    parsed = materialised(parsed, "parsed")
+    matches = match_names(parsed, stations, unique)
     out = parsed
-    for prefix, name_col in NAME_MATCHES[:2]:
-        out = match_station(out, st, name_col, prefix, small)
-    out = next_stop(out, st, "s_dest", small)
-    for prefix, name_col in NAME_MATCHES[2:]:
-        out = match_station(out, st, name_col, prefix, small)
-    if not unique:
-        return out
-    rank = F.struct(*[_match_rank(prefix, name_col) for prefix, name_col in NAME_MATCHES],
-                    F.col("s_dest_naptan_id"))
-    best = F.min_by(F.struct(*[F.col(c) for c in out.columns]), rank).alias("best")
-    return out.groupBy("vehicle_id", "line_id").agg(best).select("best.*")
-
-
-def _match_rank(prefix: str, name_col: str) -> Column:
-    """Preference among stations matching one name: the name itself (ignoring
-    case), then the shortest station name, then the smallest naptan id."""
-    name, station = F.col(name_col), F.col(f"{prefix}_station_name")
-    return F.struct(
-        (F.lower(station) != F.lower(name)).alias("inexact"),
-        F.length(station).alias("len"),
-        F.col(f"{prefix}_naptan_id").alias("naptan"),
-    ).alias(prefix)
+    for prefix, name_col in NAME_MATCHES:
+        out = match_station(out, matches, name_col, prefix)
+    return next_stop(out, stations, "s_dest", unique)
 
 
 def _position(axis: str, fraction: Column) -> Column:
+    """LEFT and DEPARTED trains, like all others, stand at their next stop."""
     lt = F.col("location_type")
     return (
         F.when(lt == L.AT_STATION, F.col(f"s_at_{axis}"))
         .when(lt == L.APPROACHING, F.coalesce(F.col(f"s_approaching_{axis}"), F.col(f"s_dest_{axis}")))
         .when(lt == L.BETWEEN, G.interpolate(F.col(f"s_from_{axis}"), F.col(f"s_to_{axis}"), fraction))
-        .when(lt == L.DEPARTED, F.col(f"s_dest_{axis}"))
         .otherwise(F.col(f"s_dest_{axis}"))
     )
 
@@ -145,6 +125,7 @@ def train_positions(raw: DataFrame, stations: DataFrame, lines: DataFrame, uniqu
 
     ``unique=True`` keeps one row per (vehicle, line) by preferring, per
     name, the exact name, then the shortest station name, then the naptan id.
+    The latest rows are computed and written when this is called.
     ``max_age`` drops vehicles whose latest prediction is older than
     ``now - max_age`` (``now`` defaults to the current time).
     """

@@ -6,7 +6,7 @@ import os
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings every job of this package relies on: UTC wall clock for the
 # timestamp_ntz columns (T7), AQE for runtime re-planning and skew splits.
@@ -88,5 +88,13 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex[:12]}"
 
 
+def materialised(df: DataFrame, name: str) -> DataFrame:
+    """The rows as a Parquet table in the shared folder, read back: computed
+    once, with sizes that the optimiser knows, and independent of lost executors."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def table_path(sf_dir: str, name: str) -> str:
     return os.path.join(sf_dir, f"{name}.parquet")

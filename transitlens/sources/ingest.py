@@ -13,7 +13,7 @@ same records with the same schema; all parsing is built-in JSON functions.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ..schemas import RAW_ARRIVALS, RAW_COLUMNS, TIE_COLUMN
@@ -38,6 +38,8 @@ STRING_KEYS = [
 # A payload that is not a JSON array of objects is a failed fetch: that line
 # is reported and skipped, the run goes on (not an errored row).
 SKIPPED_PAYLOAD = "unparseable payload"
+NULL_PREDICTION = "prediction is not an object"
+REJECT_COLUMNS = ["reject_reason", "prediction_json"]
 TIME_KEY = "timeToStation"
 EXPECTED_KEY = "expectedArrival"
 ID_KEY = "id"
@@ -68,17 +70,22 @@ def read_predictions(spark: SparkSession, path: str, streaming: bool = False,
 def explode_predictions(payloads: DataFrame) -> DataFrame:
     """One row per prediction (a map of the object's keys to text).
 
-    ``payload_ok`` is false for a body that is not a JSON array of objects;
-    such a payload gives one row with a NULL prediction (reported as a
-    skipped payload), the others go on. An empty array gives no row.
+    ``payload_ok`` is false for a body that is not a JSON array (nothing may
+    follow it either); such a payload gives one row with a NULL prediction
+    (reported as a skipped payload), the others go on. A null among the
+    predictions gives a row with a NULL prediction, which is an errored row.
+    An empty array gives no row.
     """
-    parsed = payloads.withColumn("_preds", F.from_json(F.col("body"), PREDICTIONS))
+    # inside another array, text after the body makes the whole malformed
+    whole = F.from_json(F.concat(F.lit("["), F.col("body"), F.lit("]")), f"array<{PREDICTIONS}>")
+    preds = F.when(F.size(whole) == 1, F.get(whole, F.lit(0)))
+    parsed = payloads.withColumn("_preds", preds)
     return parsed.select(
         *[c for c in payloads.columns if c != "body"],
         F.col("_preds").isNotNull().alias("payload_ok"),
         F.explode(F.when(F.col("_preds").isNull(), F.array(F.lit(None).cast("map<string,string>")))
                   .otherwise(F.col("_preds"))).alias("prediction"),
-    ).where(F.col("prediction").isNotNull() | ~F.col("payload_ok"))
+    )
 
 
 def _text(m: Column, key: str) -> Column:
@@ -116,11 +123,13 @@ def flatten_predictions(df: DataFrame, ingestion_id=None, timestamp_utc=None) ->
     bad_expected = (F.coalesce(e_text, F.lit("")) != "") & expected_arrival(e_text).isNull()
     reason = (
         F.when(~F.col("payload_ok"), F.lit(SKIPPED_PAYLOAD))
+        .when(m.isNull(), F.lit(NULL_PREDICTION))
         .when(bad_time, F.lit("timeToStation is not an integer"))
         .when(bad_expected, F.lit("expectedArrival is not a timestamp"))
     )
     return df.select(
-        *[_text(m, key).alias(col) for col, key in STRING_KEYS],
+        *[(F.when(m.isNull(), F.col("line_id")).otherwise(_text(m, key)) if col == "line_id" else _text(m, key)).alias(col)
+          for col, key in STRING_KEYS],
         time_to_station.alias("time_to_station"),
         expected_arrival(e_text).alias("expected_arrival"),
         _stamp(timestamp_utc, "timestamp_utc").alias("timestamp_utc"),
@@ -144,17 +153,17 @@ def raw_from_payloads(payloads: DataFrame, ingestion_id=None, timestamp_utc=None
     return split_rejects(flatten_predictions(explode_predictions(payloads), ingestion_id, timestamp_utc))
 
 
-def ingest_report(good: DataFrame, rejected: DataFrame) -> DataFrame:
-    """Per ingestion batch, inserted rows, errored rows (values the table
-    refuses) and skipped payloads (failed fetches), in one aggregate."""
-    kind = F.when(F.col("reject_reason") == SKIPPED_PAYLOAD, F.lit(2)).otherwise(F.lit(1))
-    flags = (good.select("ingestion_id", F.lit(0).alias("k"))
-             .unionByName(rejected.select("ingestion_id", kind.alias("k"))))
+def counts() -> list[Column]:
+    reason = F.col("reject_reason")
+    return [F.count(F.when(reason.isNull(), 1)).alias("rows_inserted"),
+            F.count(F.when(reason.isNotNull() & (reason != SKIPPED_PAYLOAD), 1)).alias("rows_errored"),
+            F.count(F.when(reason == SKIPPED_PAYLOAD, 1)).alias("payloads_skipped")]
 
-    def n(k):
-        return F.count(F.when(F.col("k") == k, 1))
-    return flags.groupBy("ingestion_id").agg(
-        n(0).alias("rows_inserted"), n(1).alias("rows_errored"), n(2).alias("payloads_skipped"))
+
+def ingest_report(flat: DataFrame) -> DataFrame:
+    """Per ingestion batch, inserted rows, errored rows (values the table
+    refuses) and skipped payloads (failed fetches): one aggregate over one parse."""
+    return flat.groupBy("ingestion_id").agg(*counts())
 
 
 def check_report(report: DataFrame, strict: bool = True) -> dict:
@@ -169,46 +178,71 @@ def check_report(report: DataFrame, strict: bool = True) -> dict:
     return out
 
 
-def align_by_name(df: DataFrame, keep_tie: bool = True) -> DataFrame:
+def align_by_name(df: DataFrame, extra: list[Column] = ()) -> DataFrame:
     """Match columns to RAW_ARRIVALS by name, ignoring case; cast to the
-    table's types; a column the input lacks is NULL."""
+    table's types; a column the input lacks is NULL. ``extra``: further columns."""
     lower = {c.lower(): c for c in df.columns}
     cols = []
     for f in RAW_ARRIVALS.fields:
         src = lower.get(f.name)
         cols.append((F.col(f"`{src}`") if src else F.lit(None)).cast(f.dataType).alias(f.name))
-    if keep_tie and TIE_COLUMN in lower:
-        cols.append(F.col(f"`{lower[TIE_COLUMN]}`").cast("long").alias(TIE_COLUMN))
-    return df.select(*cols)
+    tie = F.col(f"`{lower[TIE_COLUMN]}`") if TIE_COLUMN in lower else F.lit(None)
+    return df.select(*cols, tie.cast("long").alias(TIE_COLUMN), *extra)
+
 
+def raw_table(flat: DataFrame) -> DataFrame:
+    """Flattened rows as the raw table stores them: RAW_ARRIVALS by name, the
+    reject columns (NULL on good rows), and the partition columns ``rejected``
+    and ``ingest_date``. Rejected rows are kept beside the good ones, so one
+    write of one parse loses nothing; ``read_raw`` shows the good rows only."""
+    lower = {c.lower(): c for c in flat.columns}
+    extra = [(F.col(f"`{lower[c]}`") if c in lower else F.lit(None)).cast("string").alias(c) for c in REJECT_COLUMNS]
+    return (align_by_name(flat, extra)
+            .withColumn("rejected", F.col("reject_reason").isNotNull())
+            .withColumn("ingest_date", F.to_date("timestamp_utc")))
 
-def append_raw(df: DataFrame, path: str) -> None:
+
+def append_raw(df: DataFrame, path: str, seen: Observation | None = None) -> None:
     """Append by name to the raw table, partitioned by ingest date so a
-    max_age filter prunes whole days."""
-    (align_by_name(df).withColumn("ingest_date", F.to_date("timestamp_utc"))
-     .write.mode("append").partitionBy("ingest_date").parquet(path))
+    max_age filter prunes whole days. The rows of a day are gathered before
+    the write (large days are split), so a day gets few files. ``seen``
+    observes the counts of what is written."""
+    rows = raw_table(df).hint("rebalance", F.col("rejected"), F.col("ingest_date"))
+    if seen is not None:
+        rows = rows.observe(seen, *counts())
+    rows.write.mode("append").partitionBy("rejected", "ingest_date").parquet(path)
+
+
+def _only(df: DataFrame, rejected: bool) -> DataFrame:
+    if "rejected" not in df.columns:
+        return df.limit(0) if rejected else df
+    return df.where(F.col("rejected") == rejected).drop("rejected")
 
 
 def read_raw(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.parquet(path)
+    """The good rows of the raw table (with ``ingest_date``)."""
+    return _only(spark.read.parquet(path), False).drop(*REJECT_COLUMNS)
+
+
+def read_rejects(spark: SparkSession, path: str) -> DataFrame:
+    """The rejected rows kept in the raw table."""
+    return _only(spark.read.parquet(path), True).select("ingestion_id", "line_id", *REJECT_COLUMNS)
 
 
-def ingest_run(spark: SparkSession, landing_path: str, raw_path: str, rejects_path: str | None = None,
+def ingest_run(spark: SparkSession, landing_path: str, raw_path: str,
                ingestion_id=None, timestamp_utc=None, strict: bool = True) -> dict:
-    """One batch ingest run (S1-S7): parse the landing records, append the
-    good rows by name, keep the rejected rows aside, report the counts.
+    """One batch ingest run (S1-S7): the landing records are parsed once; good
+    and rejected rows are appended in one write, which also counts them.
 
-    A run with no prediction at all writes nothing. Failed payloads (a line
-    whose fetch failed) are skipped and reported. With ``strict`` a run with
-    errored rows raises after the good rows are appended, as the reference's
-    ingest exits non-zero after its commit.
+    A run over no prediction writes no row. Failed payloads (a line whose
+    fetch failed) are skipped and reported. With ``strict`` a run with errored
+    rows raises after the append, as the reference's ingest exits non-zero
+    after its commit.
     """
-    good, rejected = raw_from_payloads(read_predictions(spark, landing_path), ingestion_id, timestamp_utc)
-    totals = check_report(ingest_report(good, rejected), strict=False)
-    if totals["rows_inserted"]:
-        append_raw(good, raw_path)
-    if rejects_path and (totals["rows_errored"] or totals["payloads_skipped"]):
-        rejected.write.mode("append").parquet(rejects_path)
+    flat = flatten_predictions(explode_predictions(read_predictions(spark, landing_path)), ingestion_id, timestamp_utc)
+    seen = Observation("ingest")
+    append_raw(flat, raw_path, seen)
+    totals = {k: int(v) for k, v in seen.get.items()}
     if strict and totals["rows_errored"]:
         raise RuntimeError(f"ingest rejected {totals['rows_errored']} rows")
     return totals

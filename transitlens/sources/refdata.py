@@ -6,14 +6,16 @@ documents as DataFrames; the HTTP fetch itself is not part of the package.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import uuid
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.geometry import hex_channel
 from ..schemas import REF_LINES
 
 STOPS = "array<map<string,string>>"
 STOP_KEYS = ["naptanId", "commonName", "lat", "lon"]
-SEQUENCE = "struct<lineStrings: array<string>>"
 
 # The reference's eleven lines (id, name, hex, r, g, b).
 LINE_COLOURS = [
@@ -31,19 +33,35 @@ LINE_COLOURS = [
 ]
 
 
+def _required(ok: Column, what: Column) -> Column:
+    """A filter that keeps every row and fails the load where ``ok`` does not
+    hold. A filter is evaluated whatever columns a query reads."""
+    return F.when(F.coalesce(ok, F.lit(False)), F.lit(True)).otherwise(F.raise_error(what).cast("boolean"))
+
+
+def _whole(body: Column, kind: str) -> Column:
+    """The JSON value of a body, NULL when it is malformed or text follows it."""
+    wrapped = F.from_json(F.concat(F.lit("["), body, F.lit("]")), f"array<{kind}>")
+    return F.when(F.size(wrapped) == 1, F.get(wrapped, F.lit(0)))
+
+
 def load_stations(stop_docs: DataFrame) -> DataFrame:
     """(line_id, body = JSON array of stop points) -> REF_STATIONS.
 
-    Every key is required: a stop point without one fails the load (the
-    reference indexes the keys directly), instead of loading a default.
+    A missing or malformed body, a stop point without one of its keys and a
+    coordinate that is no number fail the load, before anything is replaced.
     """
     stop = F.col("stop")
-    missing = F.exists(F.array(*[F.lit(k) for k in STOP_KEYS]), lambda k: ~F.map_contains_key(stop, k))
-    checked = F.when(missing, F.raise_error(F.lit("stop point without naptanId, commonName, lat or lon")))
+    line = F.concat(F.lit("stop points of line "), F.coalesce("line_id", F.lit("?")))
+    parsed = stop_docs.select("line_id", _whole(F.col("body"), STOPS).alias("stops"))
+    whole = parsed.where(_required(F.col("stops").isNotNull(), F.concat(line, F.lit(" cannot be read"))))
+    keys = F.forall(F.array(*[F.lit(k) for k in STOP_KEYS]), lambda k: F.map_contains_key(stop, k))
+    numbers = stop["lat"].try_cast("double").isNotNull() & stop["lon"].try_cast("double").isNotNull()
     return (
-        stop_docs.select("line_id", F.explode(F.from_json("body", STOPS)).alias("stop"))
+        whole.select("line_id", F.explode("stops").alias("stop"))
+        .where(_required(stop.isNotNull() & keys & numbers, F.concat(line, F.lit(": one lacks naptanId, commonName, lat or lon"))))
         .select(
-            F.coalesce(checked.cast("string"), stop["naptanId"]).alias("naptan_id"),
+            stop["naptanId"].alias("naptan_id"),
             stop["commonName"].alias("station_name"),
             F.col("line_id"),
             stop["lat"].cast("double").alias("latitude"),
@@ -52,19 +70,42 @@ def load_stations(stop_docs: DataFrame) -> DataFrame:
     )
 
 
-def load_routes(route_docs: DataFrame) -> DataFrame:
-    """(line_id, direction, body) -> REF_LINE_ROUTES, one row per element
-    of ``lineStrings``. Text elements stay as they are; array elements become
-    their JSON text. A missing body (failed fetch) or missing ``lineStrings``
-    gives no rows for that direction."""
-    seq = F.from_json("body", SEQUENCE)
-    return route_docs.select("line_id", "direction",
-                             F.explode(seq["lineStrings"]).alias("coordinates"))
+def route_text(text: Column) -> Column:
+    """Coordinates as the loader stores them: parsed and written again, with a
+    space after each comma and numbers without idle zeros. NULL unless they
+    are one or two levels of paths of number pairs (or empty)."""
+    ok = _whole(text, "array<array<array<double>>>").isNotNull() | _whole(text, "array<array<double>>").isNotNull()
+    bare = F.regexp_replace(text, r"\s+", "")
+    short = F.regexp_replace(bare, r"(\.[0-9]*?[1-9])0+(?=[,\]])", "$1")
+    short = F.regexp_replace(short, r"\.0+(?=[,\]])", ".0")
+    return F.when(ok, F.replace(short, F.lit(","), F.lit(", ")))
 
 
-def load_lines(spark: SparkSession) -> DataFrame:
-    """The fixed line table."""
-    return spark.createDataFrame(LINE_COLOURS, REF_LINES)
+def load_routes(route_docs: DataFrame) -> DataFrame:
+    """(line_id, direction, body) -> REF_LINE_ROUTES, one row per element
+    of ``lineStrings``, as text (see ``route_text``). A NULL body is a failed
+    fetch and gives no rows, as does a body without ``lineStrings``; a
+    malformed body and coordinates that are no paths fail the load."""
+    place = F.concat_ws(" ", F.lit("route of line"), "line_id", "direction")
+    doc = _whole(F.col("body"), "map<string,string>")
+    strings = F.when(F.map_contains_key("doc", F.lit("lineStrings")), _whole(F.col("doc")["lineStrings"], "array<string>"))
+    read = route_docs.where(F.col("body").isNotNull()).select("line_id", "direction", doc.alias("doc"))
+    whole = (read.where(_required(F.col("doc").isNotNull(), F.concat(place, F.lit(" cannot be read"))))
+             .where(F.map_contains_key("doc", F.lit("lineStrings")))
+             .select("line_id", "direction", strings.alias("strings"))
+             .where(_required(F.col("strings").isNotNull(), F.concat(place, F.lit(": lineStrings is no list")))))
+    return (whole.select("line_id", "direction", F.explode("strings").alias("given"))
+            .select("line_id", "direction", route_text(F.col("given")).alias("coordinates"))
+            .where(_required(F.col("coordinates").isNotNull(), F.concat(place, F.lit(": coordinates are no paths")))))
+
+
+def load_lines(spark: SparkSession, metadata: DataFrame | None = None) -> DataFrame:
+    """The line table. ``metadata`` (line_id, line_name, colour_hex): other
+    lines than the fixed ones; their channels come from the hex colour."""
+    if metadata is None:
+        return spark.createDataFrame(LINE_COLOURS, REF_LINES)
+    return metadata.select("line_id", "line_name", "colour_hex",
+                           *[hex_channel("colour_hex", i).alias(f"colour_{c}") for i, c in enumerate("rgb")])
 
 
 def load_summary(stations: DataFrame, routes: DataFrame, lines: DataFrame) -> DataFrame:
@@ -84,5 +125,23 @@ def load_summary(stations: DataFrame, routes: DataFrame, lines: DataFrame) -> Da
 
 
 def replace_table(df: DataFrame, path: str) -> None:
-    """Full replace of a reference table (the loaders' overwrite)."""
-    df.write.mode("overwrite").parquet(path)
+    """Full replace of a reference table (the loaders' overwrite).
+
+    The new rows are written beside the table and read back; only then do the
+    folders change names. A failed load leaves the old table as it is.
+    """
+    spark = df.sparkSession
+    new, old = (f"{path.rstrip('/')}.{tag}-{uuid.uuid4().hex[:12]}" for tag in ("new", "old"))
+    df.write.parquet(new)
+    spark.read.parquet(new).count()
+    jvm_path = spark._jvm.org.apache.hadoop.fs.Path
+    fs = jvm_path(path).getFileSystem(spark._jsc.hadoopConfiguration())
+    had = fs.exists(jvm_path(path))
+    if had and not fs.rename(jvm_path(path), jvm_path(old)):
+        raise OSError(f"{path} cannot be moved away")
+    if not fs.rename(jvm_path(new), jvm_path(path)):
+        if had:
+            fs.rename(jvm_path(old), jvm_path(path))
+        raise OSError(f"{new} cannot take the place of {path}")
+    if had:
+        fs.delete(jvm_path(old), True)

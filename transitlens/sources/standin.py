@@ -11,11 +11,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators.broadcast import checked_broadcast
 from ..session import table_path
+from .refdata import load_lines
 
 # The stand-in line colours, taken by region key 0..4.
-STANDIN_PALETTE = ["#B36305", "#E32017", "#FFD300", "#00782A", "#F3A9BB"]
+STANDIN_PALETTE = ["#1D4ED8", "#0F766E", "#B45309", "#7E22CE", "#BE123C"]
 # Fixed values of the stand-in raw rows.
 PLATFORM_NAME = "Platform 1"
 DESTINATION_NAPTAN_ID = "N0"
@@ -47,26 +47,23 @@ def _regions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_table(spark, sf_dir, "region").select("r_regionkey", "r_name")
 
 
-def lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """REF_LINES stand-in: one line per region, colour by region key."""
+def line_metadata(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(line_id, line_name, colour_hex): one line per region, colour by region key."""
     palette = F.array(*[F.lit(h) for h in STANDIN_PALETTE])
-    hx = F.element_at(palette, F.col("r_regionkey") + 1)
-    from ..functions.geometry import hex_channel
-    return (
-        _regions(spark, sf_dir)
-        .select(
-            F.lower("r_name").alias("line_id"),
-            F.col("r_name").alias("line_name"),
-            hx.alias("colour_hex"),
-        )
-        .select("*", *[hex_channel("colour_hex", i).alias(f"colour_{c}") for i, c in enumerate("rgb")])
-    )
+    return _regions(spark, sf_dir).select(
+        F.lower("r_name").alias("line_id"), F.col("r_name").alias("line_name"),
+        F.element_at(palette, F.col("r_regionkey") + 1).alias("colour_hex"))
+
+
+def lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """REF_LINES stand-in."""
+    return load_lines(spark, line_metadata(spark, sf_dir))
 
 
 def stations(spark: SparkSession, sf_dir: str) -> DataFrame:
     """REF_STATIONS stand-in: nation = station, its region = its line."""
     nation = read_table(spark, sf_dir, "nation").select("n_nationkey", "n_name", "n_regionkey")
-    region, _ = checked_broadcast(_regions(spark, sf_dir))
+    region = _regions(spark, sf_dir)
     return (
         nation.join(region, nation.n_regionkey == region.r_regionkey)
         .select(
@@ -82,8 +79,8 @@ def stations(spark: SparkSession, sf_dir: str) -> DataFrame:
 def route_coordinates(k: Column, direction: Column) -> Column:
     """Route JSON text: depth 3 (two segments) for inbound on odd keys, else depth 2."""
     ks = k.cast("string")
-    depth3 = F.concat(F.lit("[[["), ks, F.lit(".5,51.25],[0.5,51.5]],[[1.5,51.75],[2.5,52.0]]]"))
-    depth2 = F.concat(F.lit("[["), ks, F.lit(".5,51.25],[0.5,51.5]]"))
+    depth3 = F.concat(F.lit("[[["), ks, F.lit(".5, 51.25], [0.5, 51.5]], [[1.5, 51.75], [2.5, 52.0]]]"))
+    depth2 = F.concat(F.lit("[["), ks, F.lit(".5, 51.25], [0.5, 51.5]]"))
     return F.when((direction == "inbound") & (k % 2 == 1), depth3).otherwise(depth2)
 
 
@@ -115,7 +112,7 @@ def current_location(event_type: Column, event_id: Column, user_id: Column, f: C
 def arrivals(spark: SparkSession, sf_dir: str) -> DataFrame:
     """RAW_ARRIVALS stand-in (15 columns + event_id as the W1 tie-break)."""
     ev = read_table(spark, sf_dir, "events").select("event_id", "ts", "user_id", "event_type", "value")
-    region, _ = checked_broadcast(_regions(spark, sf_dir))
+    region = _regions(spark, sf_dir)
     e, u = F.col("event_id"), F.col("user_id")
     f = e % LINE_COUNT + 5 * (u % 6)
     t = e % LINE_COUNT + 5 * ((u + e) % 5)
@@ -159,6 +156,11 @@ def reference_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
 # stand-in tables again. Each document holds a bounded number of entries.
 
 PAYLOAD_ID_SPAN = 500     # event ids per payload chunk: at most 100 per line
+# Faults in the payloads: events with this id modulus bring a second prediction
+# with a time that is no number, chunks with this modulus a body that breaks off.
+BAD_TIME_EVERY = 89
+BROKEN_CHUNK_EVERY = 5
+BROKEN_BODY = '[{"id":"1","lineId":'
 
 
 def _iso(ts: Column) -> Column:
@@ -187,12 +189,15 @@ def payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(F.col("expected_arrival").isNotNull(),
                F.concat(_iso(F.col("expected_arrival")), F.lit("Z"))).alias("expectedArrival"),
     ), {"ignoreNullFields": "false"})
+    faulty = F.to_json(F.struct(F.col("event_id").cast("string").alias("id"), F.col("line_id").alias("lineId"),
+                                F.lit("soon").alias("timeToStation")))
+    both = F.when(F.col("event_id") % BAD_TIME_EVERY == 0, F.concat(pred, F.lit(","), faulty)).otherwise(pred)
     chunk = F.floor(F.col("event_id") / PAYLOAD_ID_SPAN).alias("chunk")
-    return (
+    whole = (
         raw.groupBy("ingestion_id", _iso(F.col("timestamp_utc")).alias("timestamp_utc"), "line_id", chunk)
-        .agg(F.concat(F.lit("["), F.array_join(F.collect_list(pred), ","), F.lit("]")).alias("body"))
-        .drop("chunk")
-    )
+        .agg(F.concat(F.lit("["), F.array_join(F.collect_list(both), ","), F.lit("]")).alias("body")))
+    broken = F.when(F.col("chunk") % BROKEN_CHUNK_EVERY == 0, F.array("body", F.lit(BROKEN_BODY))).otherwise(F.array("body"))
+    return whole.select("ingestion_id", "timestamp_utc", "line_id", F.explode(broken).alias("body"))
 
 
 def stop_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -212,4 +217,4 @@ def route_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(line_id, direction, body): route sequence documents with lineStrings."""
     return routes(spark, sf_dir).select(
         "line_id", "direction",
-        F.to_json(F.struct(F.array(F.col("coordinates")).alias("lineStrings"))).alias("body"))
+        F.to_json(F.struct(F.array(F.replace("coordinates", F.lit(" "), F.lit(""))).alias("lineStrings"))).alias("body"))

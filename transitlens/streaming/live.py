@@ -1,15 +1,20 @@
 """M1-M5: the live form, with Structured Streaming.
 
-M1  landing records -> RAW_ARRIVALS, file sink (exactly once through its
-    commit log; a retried micro-batch never appends twice).
+M1  landing records -> raw table: one query, one parse, one file sink
+    (exactly once through its commit log). Good and rejected rows go to the
+    same table under the partition column ``rejected``, so no landing file has
+    two readers and no row is dropped; every batch's counts are observed.
 M2  latest per (vehicle, line) as a streaming ``max_by`` aggregate; the state
-    holds one row per key, whatever the raw volume.
+    (Spark's state store) holds one row per key, whatever the raw volume.
 M3/M4  every trigger, ``foreachBatch`` runs the same batch functions as the
     view (``positions_from_latest``) over the complete state, re-reading the
     reference tables, and writes ``snapshot=b<batch id>``: a retry rewrites the
     same folder. A pointer record is appended only after the snapshot is
-    complete; readers follow the newest pointer.
-M5  no watermark and no dedup: raw is append-only and the ordering struct of
+    complete; readers follow the pointer with the newest data. With
+    ``availableNow`` the same query is a scheduled refresh: the stream's
+    checkpoint knows which raw files it has seen, so rows that arrive late, for
+    old days or without a timestamp are folded in like any other.
+M5  no watermark and no dedup: raw is append-only and the total order of
     W1 makes the answer independent of arrival order.
 """
 
@@ -25,64 +30,88 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from ..operators.latest import latest_per_vehicle
-from ..plans.positions import positions_from_latest, prune_raw
+from ..plans.positions import positions_from_latest, prune_raw, train_positions
 from ..schemas import RAW_WITH_TIE
 from ..sources import ingest as I
 from . import pointers as P
 
 # A new StructType: StructType.add would change RAW_WITH_TIE itself.
-RAW_STREAM_SCHEMA = T.StructType(RAW_WITH_TIE.fields + [T.StructField("ingest_date", T.DateType())])
+RAW_STREAM_SCHEMA = T.StructType(RAW_WITH_TIE.fields + [T.StructField("rejected", T.BooleanType()),
+                                                        T.StructField("ingest_date", T.DateType())])
+KEEP_SNAPSHOTS = 60
+
+
 def _trigger(writer, trigger: dict | None):
     return writer.trigger(**(trigger or {"processingTime": "1 minute"}))
 
 
 def start_ingest(spark: SparkSession, landing_dir: str, raw_dir: str, checkpoint: str,
-                 trigger: dict | None = None, rejects_dir: str | None = None,
-                 max_files_per_trigger: int | None = None, clean_source: str | None = None,
-                 archive_dir: str | None = None) -> list[StreamingQuery]:
+                 trigger: dict | None = None, max_files_per_trigger: int | None = None,
+                 clean_source: str | None = None, archive_dir: str | None = None) -> StreamingQuery:
     """M1: landing -> parse -> flatten -> append by name to ``raw_dir``
-    (partitioned by ingest date). Rejected rows go to ``rejects_dir``.
-    See ``ingest.read_predictions`` for the source options."""
+    (partitioned by ``rejected`` and ingest date), in one query.
+    See ``ingest.read_predictions`` for the source options; the counts of a
+    micro-batch are in its progress under ``observedMetrics["ingest"]``."""
     flat = I.flatten_predictions(I.explode_predictions(
         I.read_predictions(spark, landing_dir, streaming=True, max_files_per_trigger=max_files_per_trigger,
                            clean_source=clean_source, archive_dir=archive_dir)))
-    good = (I.align_by_name(flat.where(F.col("reject_reason").isNull()))
-            .withColumn("ingest_date", F.to_date("timestamp_utc")))
-    queries = [
-        _trigger(good.writeStream.format("parquet").partitionBy("ingest_date")
-                 .option("checkpointLocation", f"{checkpoint}/raw"), trigger).start(raw_dir)
-    ]
-    if rejects_dir:
-        rejected = flat.where(F.col("reject_reason").isNotNull()).select(
-            "ingestion_id", "line_id", "reject_reason", "prediction_json")
-        queries.append(_trigger(rejected.writeStream.format("parquet")
-                                .option("checkpointLocation", f"{checkpoint}/rejects"), trigger)
-                       .start(rejects_dir))
-    return queries
+    rows = I.raw_table(flat.observe("ingest", *I.counts()))
+    return _trigger(rows.writeStream.format("parquet").partitionBy("rejected", "ingest_date")
+                    .option("checkpointLocation", f"{checkpoint}/raw"), trigger).start(raw_dir)
+
+
+def rejected_rows(spark: SparkSession, raw_dir: str) -> int:
+    """Errored rows in the raw table (skipped payloads are not errors). Reads
+    the ``rejected`` partition only."""
+    if not _exists(spark, raw_dir):
+        return 0
+    return I.read_rejects(spark, raw_dir).where(F.col("reject_reason") != I.SKIPPED_PAYLOAD).count()
+
+
+def ingest_available(spark: SparkSession, landing_dir: str, raw_dir: str, checkpoint: str, strict: bool = False,
+                     **options) -> dict:
+    """One run of the ingest query over what is there. ``strict``: raises when
+    the run added errored rows (they are kept in the table either way)."""
+    before = rejected_rows(spark, raw_dir) if strict else 0
+    query = start_ingest(spark, landing_dir, raw_dir, checkpoint, {"availableNow": True}, **options)
+    run_available(query)
+    if strict and (added := rejected_rows(spark, raw_dir) - before):
+        raise RuntimeError(f"ingest rejected {added} rows")
+    return {"query": query.name or query.id}
+
+
+def _exists(spark: SparkSession, path: str) -> bool:
+    hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return hadoop.getFileSystem(spark._jsc.hadoopConfiguration()).exists(hadoop)
 
 
 def read_raw_stream(spark: SparkSession, raw_dir: str, max_files_per_trigger: int | None = None) -> DataFrame:
-    """The raw table as a stream. A file-sink folder is read through its
-    commit log, so only committed files are seen and nothing is listed."""
+    """The raw table's good rows as a stream. A file-sink folder is read
+    through its commit log, so only committed files are seen and nothing is listed."""
     reader = spark.readStream.schema(RAW_STREAM_SCHEMA)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    return reader.parquet(raw_dir)
+    # a raw folder without the partition column has good rows only
+    return reader.parquet(raw_dir).where(F.coalesce("rejected", F.lit(False)) == F.lit(False)).drop("rejected")
 
 
-def write_snapshot(df: DataFrame, out_dir: str, snapshot: str) -> None:
-    """Write one complete snapshot, then append its pointer record."""
+def write_snapshot(df: DataFrame, out_dir: str, snapshot: str, keep: int = KEEP_SNAPSHOTS) -> None:
+    """Write one complete snapshot, then its pointer record (with the newest
+    timestamp in it), then remove snapshots beyond the ``keep`` newest."""
     spark = df.sparkSession
-    df.write.mode("overwrite").parquet(f"{out_dir}/snapshot={snapshot}")
-    P.append_pointer(spark, out_dir, P.today_buckets()[0],
-                     {"snapshot": F.lit(snapshot), "written_at": F.current_timestamp()})
+    path = f"{out_dir}/snapshot={snapshot}"
+    df.write.mode("overwrite").parquet(path)
+    upto = spark.read.parquet(path).agg(F.max("timestamp_utc")).first()[0] if "timestamp_utc" in df.columns else None
+    P.append_pointer(spark, out_dir, snapshot, upto)
+    current = P.newest(spark, out_dir)
+    for name in P.outdated(spark, out_dir, keep):
+        if name not in (snapshot, current):
+            hadoop = spark._jvm.org.apache.hadoop.fs.Path(f"{out_dir}/snapshot={name}")
+            hadoop.getFileSystem(spark._jsc.hadoopConfiguration()).delete(hadoop, True)
 
 
 def current_snapshot(spark: SparkSession, out_dir: str) -> str | None:
-    ptr = P.read_pointers(spark, out_dir, "snapshot string, written_at timestamp", P.today_buckets())
-    if ptr is None:
-        return None
-    return ptr.agg(F.max_by("snapshot", F.struct("written_at", "snapshot")).alias("s")).first()["s"]
+    return P.newest(spark, out_dir)
 
 
 def read_snapshot(spark: SparkSession, out_dir: str) -> DataFrame:
@@ -95,11 +124,12 @@ def read_snapshot(spark: SparkSession, out_dir: str) -> DataFrame:
 
 def start_view(spark: SparkSession, raw_dir: str, out_dir: str, checkpoint: str,
                build: Callable[[DataFrame], DataFrame], trigger: dict | None = None,
-               prune: Callable[[DataFrame], DataFrame] = lambda df: df) -> StreamingQuery:
+               prune: Callable[[DataFrame], DataFrame] = lambda df: df,
+               max_files_per_trigger: int | None = None) -> StreamingQuery:
     """M2 + M4: latest-per-vehicle state; each trigger rebuilds the view from
     the complete state with ``build`` and writes it as a snapshot. ``prune``
     selects the raw columns the state keeps."""
-    latest = latest_per_vehicle(prune(read_raw_stream(spark, raw_dir).drop("ingest_date")))
+    latest = latest_per_vehicle(prune(read_raw_stream(spark, raw_dir, max_files_per_trigger).drop("ingest_date")))
 
     def refresh_batch(state: DataFrame, batch_id: int) -> None:
         write_snapshot(build(state), out_dir, f"b{batch_id:012d}")
@@ -112,7 +142,8 @@ def start_view(spark: SparkSession, raw_dir: str, out_dir: str, checkpoint: str,
 
 def start_positions(spark: SparkSession, raw_dir: str, stations_path: str, lines_path: str,
                     out_dir: str, checkpoint: str, trigger: dict | None = None,
-                    unique: bool = False, max_age: dt.timedelta | None = None) -> StreamingQuery:
+                    unique: bool = False, max_age: dt.timedelta | None = None,
+                    max_files_per_trigger: int | None = None) -> StreamingQuery:
     """M3/M4: TRAIN_POSITIONS kept live. The reference tables are read again
     in every micro-batch, so a reload (S8-S10) shows at the next trigger.
 
@@ -127,15 +158,14 @@ def start_positions(spark: SparkSession, raw_dir: str, stations_path: str, lines
             latest = latest.where(F.col("timestamp_utc") >= cutoff)
         return positions_from_latest(latest, spark.read.parquet(stations_path),
                                      spark.read.parquet(lines_path), unique)
-    return start_view(spark, raw_dir, out_dir, checkpoint, build, trigger, prune=prune_raw)
+    return start_view(spark, raw_dir, out_dir, checkpoint, build, trigger, prune_raw, max_files_per_trigger)
 
 
 def refresh(spark: SparkSession, raw_dir: str, stations_path: str, lines_path: str,
             out_dir: str, unique: bool = False) -> str:
     """Batch rebuild of the live view (after a reference reload with no new
     raw rows). Returns the snapshot name."""
-    from ..plans.positions import train_positions
-    raw = spark.read.parquet(raw_dir).drop("ingest_date")
+    raw = I.read_raw(spark, raw_dir)
     snap = f"r{int(time.time() * 1000):013d}"
     write_snapshot(train_positions(raw, spark.read.parquet(stations_path),
                                    spark.read.parquet(lines_path), unique), out_dir, snap)
@@ -143,62 +173,8 @@ def refresh(spark: SparkSession, raw_dir: str, stations_path: str, lines_path: s
 
 
 def run_available(queries: list[StreamingQuery] | StreamingQuery) -> None:
-    """Wait for availableNow queries to finish; re-raise their failure."""
+    """Wait for availableNow queries to finish; re-raise the failure of any."""
     for q in queries if isinstance(queries, list) else [queries]:
         q.awaitTermination()
         if q.exception() is not None:
             raise RuntimeError(str(q.exception()))
-
-
-# ---------------------------------------------------------------- folding form
-
-def _fold_pointer_before(spark: SparkSession, state_dir: str, batch_id: int) -> str | None:
-    """Version written by the newest batch before ``batch_id`` (None if none).
-    Choosing by batch id, not by write time, makes a retried batch start
-    from the same version as its first attempt."""
-    ptr = P.read_pointers(spark, state_dir, "version string, batch long", P.batch_buckets(batch_id),
-                          keep=F.col("batch") < batch_id)
-    if ptr is None:
-        return None
-    return ptr.agg(F.max_by("version", "batch").alias("v")).first()["v"]
-
-
-def start_positions_folding(spark: SparkSession, raw_dir: str, stations_path: str, lines_path: str,
-                           out_dir: str, state_dir: str, checkpoint: str, trigger: dict | None = None,
-                           unique: bool = False, max_age: dt.timedelta | None = None,
-                           max_files_per_trigger: int | None = None) -> StreamingQuery:
-    """M2-M4 without a state store: each micro-batch of new raw rows is folded
-    into the kept latest table (``plans.incremental.fold_latest``), written as
-    ``version=b<batch id>``, and the view is rebuilt from it.
-
-    The state is a table with one row per key in the shared folder, not
-    streaming state, so it can expire: with ``max_age`` keys whose latest
-    prediction is older than the batch's newest timestamp minus ``max_age``
-    are dropped from it (an event-time cutoff, the same on a retry). Version N
-    is always built from the version of the newest batch before N, so a
-    retried batch rewrites the same folders.
-    """
-    from ..plans.incremental import fold_latest
-
-    rows = prune_raw(read_raw_stream(spark, raw_dir, max_files_per_trigger).drop("ingest_date"))
-
-    def fold_batch(new_rows: DataFrame, batch_id: int) -> None:
-        prev = _fold_pointer_before(spark, state_dir, batch_id)
-        previous = spark.read.parquet(f"{state_dir}/version={prev}") if prev else None
-        folded = fold_latest(previous, new_rows)
-        if max_age is not None:
-            newest = new_rows.agg(F.max("timestamp_utc")).first()[0]
-            if newest is not None:
-                folded = folded.where(F.col("timestamp_utc") >= F.lit(newest - max_age))
-        version = f"b{batch_id:012d}"
-        folded.write.mode("overwrite").parquet(f"{state_dir}/version={version}")
-        P.append_pointer(spark, state_dir, P.batch_buckets(batch_id)[0],
-                         {"version": F.lit(version), "batch": F.lit(batch_id).cast("long")})
-        latest = spark.read.parquet(f"{state_dir}/version={version}")
-        view = positions_from_latest(latest, spark.read.parquet(stations_path),
-                                     spark.read.parquet(lines_path), unique)
-        write_snapshot(view, out_dir, version)
-
-    writer = (rows.writeStream.option("checkpointLocation", f"{checkpoint}/fold")
-              .foreachBatch(fold_batch))
-    return _trigger(writer, trigger).start()

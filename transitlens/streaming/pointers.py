@@ -1,49 +1,71 @@
-"""Pointer records: which complete version of a table readers should use.
+"""Pointer records: which complete snapshot of a view readers should use.
 
-A writer first writes a complete version folder, then appends one small
-pointer record; readers follow the newest record. Records are kept in bucket
-folders (by UTC day, or by batch-id range), and a reader reads only the
-newest bucket or two, so its work does not grow with the age of the table.
-Older buckets are read only when the recent ones are empty.
+A writer first writes a complete snapshot folder, then appends one small
+pointer record. The newest snapshot is the one with the newest *data* (the
+record's ``upto``), and only among equals the one written last, so a slow
+refresh that ends late does not take readers back. Records are kept in
+bucket folders by UTC day, and a reader reads the last two days' first; older
+ones only when these are empty.
 """
 
 from __future__ import annotations
 
 import datetime as dt
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 POINTERS = "_pointers"
-BATCHES_PER_BUCKET = 1000
+SCHEMA = "snapshot string, upto timestamp_ntz, written_at timestamp"
 
 
-def today_buckets() -> list[str]:
+def recent_buckets() -> list[str]:
     """UTC today and yesterday, newest first."""
     today = dt.datetime.now(dt.timezone.utc).date()
     return [str(today), str(today - dt.timedelta(days=1))]
 
 
-def batch_buckets(batch_id: int) -> list[str]:
-    b = batch_id // BATCHES_PER_BUCKET
-    return [str(b), str(b - 1)]
+def append_pointer(spark: SparkSession, base: str, snapshot: str, upto) -> None:
+    (spark.range(1).select(F.lit(snapshot).alias("snapshot"), F.lit(upto).cast("timestamp_ntz").alias("upto"),
+                           F.current_timestamp().alias("written_at"))
+     .write.mode("append").json(f"{base}/{POINTERS}/bucket={recent_buckets()[0]}"))
 
 
-def append_pointer(spark: SparkSession, base: str, bucket: str, record: dict[str, Column]) -> None:
-    (spark.range(1).select(*[c.alias(k) for k, c in record.items()])
-     .write.mode("append").json(f"{base}/{POINTERS}/bucket={bucket}"))
-
-
-def read_pointers(spark: SparkSession, base: str, schema: str, buckets: list[str],
-                  keep=None) -> DataFrame | None:
-    """Records of the first of ``buckets`` holding any (after ``keep``, a
-    filter Column); else of all buckets; None when there is none at all."""
-    for path in [f"{base}/{POINTERS}/bucket={b}" for b in buckets] + [f"{base}/{POINTERS}"]:
+def _records(spark: SparkSession, paths: list[str]) -> DataFrame | None:
+    """The records below the paths that exist. Only a missing path is taken as
+    "nothing there yet"; any other failure is raised."""
+    found = None
+    for path in paths:
         try:
-            df = spark.read.schema(schema).json(path)
-        except Exception:  # noqa: BLE001 - folder not written yet
+            df = spark.read.schema(SCHEMA).json(path).drop("bucket")
+        except AnalysisException as e:
+            if e.getCondition() != "PATH_NOT_FOUND":
+                raise
             continue
-        if keep is not None:
-            df = df.where(keep)
-        if df.limit(1).count():
-            return df
+        found = df if found is None else found.unionByName(df)
+    return found
+
+
+def _order() -> Column:
+    return F.struct(F.col("upto").isNotNull(), "upto", "written_at", "snapshot")
+
+
+def newest(spark: SparkSession, base: str) -> str | None:
+    """The snapshot to read, None when there is none."""
+    for paths in ([f"{base}/{POINTERS}/bucket={b}" for b in recent_buckets()], [f"{base}/{POINTERS}"]):
+        df = _records(spark, paths)
+        got = df.agg(F.max_by("snapshot", _order()).alias("s")).first()["s"] if df is not None else None
+        if got is not None:
+            return got
     return None
+
+
+def outdated(spark: SparkSession, base: str, keep: int) -> list[str]:
+    """Snapshots of the last two days beyond the ``keep`` newest ones (a bounded list of names)."""
+    df = _records(spark, [f"{base}/{POINTERS}/bucket={b}" for b in recent_buckets()])
+    if df is None:
+        return []
+    names = (df.groupBy("snapshot").agg(F.max(_order()).alias("o")).orderBy(F.desc("o")).offset(keep)
+             .select("snapshot").limit(1000).collect())
+    return [r.snapshot for r in names]
