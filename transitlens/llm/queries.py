@@ -8,11 +8,14 @@ from .decontaminate import op3_benchmark_decontamination
 from .html_extract import op8_html_extraction
 from .line_dedup import op10_line_dedup
 from .minhash import op4_minhash_near_dedup
+from .oracles import ORACLE
 from .quality import op5_quality_rules
 from .secrets import op1_secret_scan
 from .suffix_dedup import op2_suffix_dedup
 from .window_dedup import op9_substring_dedup
 
+__all__ = ["ORACLE", "QUERIES"]
+
 QUERIES = {
     "op1_secret_scan": op1_secret_scan,
     "op2_suffix_dedup": op2_suffix_dedup,
@@ -25,4 +28,4 @@ QUERIES = {
     "op9_substring_dedup": op9_substring_dedup,
     "op10_line_dedup": op10_line_dedup,
 }
-ORACLE: dict[str, str] = {}
+
