@@ -15,7 +15,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 
-BLOCK_BYTES = 4 << 20
+BLOCK_BYTES = 1 << 20
 U = np.uint64
 _MULT = 0x9E3779B97F4A7C15          # odd, so it has an inverse mod 2**64
 _WMULT = 0xD6E8FEB86659FD93
