@@ -221,7 +221,9 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80, rows: int =
     mixed = inside.groupBy("key", "width").agg(F.min("label").alias("a"), F.max("label").alias("b")).filter("a != b")
     left = written(inside.join(mixed.select("key", "width"), ["key", "width"], "left_semi").select("node", "label").distinct(), "left-over")
     more = written(confirmed(_rest(left, sets, percent), sets, percent), "more-links")
-    labels = components(links.unionByName(more))
+    if not more.isEmpty():
+        # the first components are stars already: their links stand for all that made them
+        labels = components(more.unionByName(labels.select(F.col("node").alias("u"), F.col("label").alias("v"))))
     roots = _labelled(nodes.select("s1", "s2", "node"), labels).select("s1", "s2", "label")
     return (sig.join(roots, ["s1", "s2"], "left")
             .select("doc", "tk", F.col("n").alias("n_shingles"),
