@@ -8,8 +8,8 @@ coordinates bucket the documents; every link is confirmed on the full sets of
 
 Work that does not grow with the square of a group:
 * documents with the same shingle set are one node (found by a 128-bit set hash);
-* a bucket's members are compared with one member of the bucket (another one
-  in every band, chosen by hash), and the links give components;
+* a bucket's members are compared with one member of the bucket, the one
+  that meets the most documents over all bands, and the links give components;
 * only members of buckets that still hold several components are compared
   further, over a prefix-filter join (pairs at the threshold share one of
   their rarest shingles), which is exact, so no link is lost to the stars.
@@ -19,7 +19,8 @@ their own; a text with fewer words than a shingle is one shingle; rows with the
 same id and text are one document; a null id counts as the smallest id; other
 columns of the input are ignored; an empty table gives an empty result.
 Signature misses: two sets at the threshold miss all bands with probability
-(1 - 0.85**5)**24 < 1e-6.
+(1 - 0.8**5)**36 < 1e-6, or (1 - 0.85**7)**36 < 1e-6 with the seven rows of
+the query for 0.85; more rows make fewer accidental meetings.
 """
 
 from __future__ import annotations
@@ -35,8 +36,8 @@ from . import text as X
 from .components import components
 from .storage import NO_ID, identified, read, written
 
-ROWS = 5
-BANDS = 24
+ROWS = 5                # coordinates of a band, for a similarity of 0.8
+BANDS = 36
 
 
 def _bijection(x: np.ndarray, tmp: np.ndarray, m1: int, m2: int) -> np.ndarray:
@@ -163,10 +164,10 @@ def _rest(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     sizes with the prefix for that class, so a variant with many shingles of its own looks up nothing among sets of its size:
     a passage or a group of copies pairs nobody by itself.
     """
-    whole = written(members.join(sets, "node").select("node", "label", "n", F.explode("shingles").alias("t")), "rest-tokens")
+    whole = written(members.select("node").join(sets, "node").select("node", F.explode("shingles").alias("t")), "rest-tokens")
     counts = whole.groupBy("t").agg(F.count(F.lit(1)).alias("f")).filter("f > 1")
-    shared = (whole.join(counts, "t")
-              .groupBy("node", "label", "n").agg(F.sort_array(F.collect_list(F.struct("f", "t"))).alias("ts")))
+    ordered = whole.join(counts, "t").groupBy("node").agg(F.sort_array(F.collect_list(F.struct("f", "t"))).alias("ts"))
+    shared = written(ordered.join(members.join(sets.select("node", "n"), "node"), "node"), "rest-shared")
     own = F.col("n") - F.size("ts")
     need = lambda m: F.ceil((m + F.col("n")) * percent / (100 + percent))
     size_class = lambda n: F.floor(F.log(n.cast("double")) * CLASSES)
@@ -203,10 +204,14 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80, rows: int =
     node = F.struct("doc", "tk")
     nodes = (sig.filter("n > 0").groupBy("s1", "s2").agg(F.min(node).alias("node"), F.first("bands").alias("bands")))
     member = written(nodes.select("node", F.explode("bands").alias("key")), "buckets")
-    # one centre per bucket, by a hash that differs from band to band
-    centre = (member.groupBy("key").agg(F.min_by("node", F.xxhash64("key", "node")).alias("v"), F.count(F.lit(1)).alias("size"))
-              .filter("size > 1"))
-    shared = written(member.join(centre, "key"), "shared-buckets")
+    # One centre per bucket: the member that meets the most documents over all its buckets, which is the likely origin of
+    # a group of copies; so a group is compared with few centres. (The rest is compared exactly below.)
+    size = member.groupBy("key").agg(F.count(F.lit(1)).alias("size")).filter("size > 1")
+    met = written(member.join(size, "key"), "met")
+    known = met.groupBy("node").agg(F.sum("size").alias("met"))
+    ranked = written(met.select("key", "node").join(known, "node"), "ranked")
+    centre = ranked.groupBy("key").agg(F.max(F.struct("met", F.xxhash64("node"), "node")).alias("c")).select("key", F.col("c.node").alias("v"))
+    shared = written(ranked.select("key", "node").join(centre, "key"), "shared-buckets")
     stars = written(shared.filter("node != v").select(F.greatest("node", "v").alias("u"), F.least("node", "v").alias("v")).distinct(),
                     "stars")
     used = stars.select(F.col("u").alias("node")).unionByName(stars.select(F.col("v").alias("node"))).distinct()
@@ -244,6 +249,6 @@ def _id(c: Column) -> Column:
 
 
 def op4_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = near_duplicates(read(spark, sf_dir, "documents"), k=3, percent=85)
+    found = near_duplicates(read(spark, sf_dir, "documents"), k=3, percent=85, rows=7)
     return found.select(_id(F.col("doc")).alias("doc_id"), "n_shingles", _id(F.col("root.doc")).alias("component_id"),
                         (F.col("doc") == F.col("root.doc")).alias("kept"))
