@@ -202,8 +202,8 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80, rows: int =
     src = identified(docs, id_col, text_col)
     sig = written(signed(src, k, rows, bands), "signatures")
     node = F.struct("doc", "tk")
-    nodes = (sig.filter("n > 0").groupBy("s1", "s2").agg(F.min(node).alias("node"), F.first("bands").alias("bands")))
-    member = written(nodes.select("node", F.explode("bands").alias("key")), "buckets")
+    nodes = written(sig.filter("n > 0").groupBy("s1", "s2").agg(F.min(node).alias("node"), F.first("bands").alias("bands")), "nodes")
+    member = nodes.select("node", F.explode("bands").alias("key"))
     # One centre per bucket: the member that meets the most documents over all its buckets, which is the likely origin of
     # a group of copies; so a group is compared with few centres. (The rest is compared exactly below.)
     size = member.groupBy("key").agg(F.count(F.lit(1)).alias("size")).filter("size > 1")
