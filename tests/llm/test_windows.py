@@ -2,6 +2,7 @@ import random
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from brute import SF, WORD, sha, window_dedup
 from transitlens.llm import sketch as S
@@ -46,6 +47,25 @@ def test_empty_and_long(spark, docs):
     assert sorted(tuple(r) for r in W.deduped(docs(rows)).collect()) == sorted(expected(rows, 20))
 
 
+@pytest.mark.parametrize("n,other,k", [(20_000, 10_000, 37), (50_000, 20_000, 11), (20_000, 1_000, 1)])
+def test_runs_over_several_ranges_under_a_union(spark, n, other, k):
+    """Runs that cross ranges keep one first place in all, whatever else shares the plan's partitions."""
+    conf = {"spark.sql.shuffle.partitions": "32", "spark.sql.adaptive.coalescePartitions.minPartitionSize": "1b"}
+    old = {c: spark.conf.get(c) for c in conf}
+    place = [F.col("id").alias("doc"), F.lit(1).alias("tk"), F.lit(0).alias("pos")]
+    for c, v in conf.items():
+        spark.conf.set(c, v)
+    try:
+        places = spark.range(n, numPartitions=6).select((F.col("id") % k).alias("h1"), F.lit(5).cast("long").alias("h2"), *place)
+        more = (spark.range(n, n + other, numPartitions=8).withColumn("k", F.col("id") % 977)
+                .repartition("k").sortWithinPartitions("k").select(*place))
+        for rows, want in ((S.later_places(places), range(k, n)), (more.unionByName(S.later_places(places)), range(k, n + other))):
+            assert {r.doc for r in rows.collect()} == set(want)
+    finally:
+        for c, v in old.items():
+            spark.conf.set(c, v)
+
+
 def test_sketch_never_underestimates():
     rng = np.random.default_rng(0)
     h = X.mix64(rng.integers(0, 5000, 20_000).astype(np.uint64))

@@ -20,6 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import text as X
+from .storage import written
 
 BITS = 27               # cells of a row: 2**BITS; merged, one bit a cell: 16 MB a row
 DEPTH = 2
@@ -140,13 +141,15 @@ def _later(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Rows sorted by (h1, h2, doc, tk, pos) -> every row that is not the first of its hash in this range.
 
     ``edge`` rows say how the range begins and ends (the first row of its first and of its last run), so that a run over
-    several ranges keeps one first row in all. Only one row is carried from batch to batch.
+    several ranges keeps one first row in all; only they keep their hash. Only one row is carried from batch to batch.
     """
     names = ["h1", "h2", "doc", "tk", "pos"]
     last = tail = None
 
     def out(cols: list[np.ndarray], edge: bool) -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays([pa.array(c) for c in cols] + [pa.array(np.full(len(cols[0]), edge))],
+        n = len(cols[0])
+        hashes = [pa.array(c) if edge else pa.nulls(n, pa.int64()) for c in cols[:2]]
+        return pa.RecordBatch.from_arrays([*hashes, *(pa.array(c) for c in cols[2:]), pa.array(np.full(n, edge))],
                                           names=[*names, "edge"])
 
     for batch in batches:
@@ -176,10 +179,11 @@ def later_places(places: DataFrame) -> DataFrame:
 
     The places are range-partitioned by hash and place, so a hash with very many places is spread over ranges; no
     group is held or joined. The ranges' edges, two rows each, are settled by a small join. Equal rows are one place.
+    The rows are written once: each reading of the exchange would have its own coalesced ranges, and edges of its own.
     """
     key = ["h1", "h2", "doc", "tk", "pos"]
-    rows = (places.repartitionByRange(*key).sortWithinPartitions(*key)
-            .mapInArrow(_later, "h1 bigint, h2 bigint, doc bigint, tk int, pos int, edge boolean"))
+    rows = written(places.repartitionByRange(*key).sortWithinPartitions(*key)
+                   .mapInArrow(_later, "h1 bigint, h2 bigint, doc bigint, tk int, pos int, edge boolean"), "later")
     edges = rows.filter("edge").drop("edge")
     first = edges.groupBy("h1", "h2").agg(F.min(F.struct("doc", "tk", "pos")).alias("first"))
     edge = edges.join(first, ["h1", "h2"]).filter(F.struct("doc", "tk", "pos") != F.col("first"))
