@@ -83,3 +83,32 @@ def test_lemma_bound():
     a = np.frombuffer("kitten".encode("utf-16-le"), "<u2")
     b = np.frombuffer("xxsittingxx".encode("utf-16-le"), "<u2")
     assert D.banded(a, b, 3)[0] == 2
+
+
+def test_passages_at_every_offset_and_short_items(spark, docs):
+    """Unchanged and edited passages from any place of an item, also cut by the text's ends, against brute force over every offset."""
+    rng = random.Random(8)
+    text = lambda n: "".join(rng.choice("aeiourstln ") for _ in range(n))
+    item = norm(text(300))
+    items = [(1, item), (2, "Xy  z"), (3, "q"), (4, "xy z"), (5, "short one, of 23 charac"), (6, " ")]
+    rows = [(s, norm(text(40)) + item[s:s + rng.choice([100, 104, 120])] + norm(text(40))) for s in range(0, 200, 13)]
+    rows += [(300 + s, norm(text(50)) + edited(rng, item[s:s + 110], 6) + norm(text(50))) for s in range(3, 180, 29)]
+    rows += [(600, item[44:140] + text(60)), (601, text(60) + item[44:140]), (602, text(30) + "XY\n z"), (603, "a q"),
+             (604, "a short one, of 23 character"), (605, "a short one, of 24 character"), (606, "x"), (607, "y" + item[12:103])]
+    bench = spark.createDataFrame(items, "item_id bigint, text string")
+    want = {}
+    for d, t in rows:
+        n = norm(t)
+        best = min(edit_within(item[s:s + 100], n) for s in range(0, len(item) - 99, 1)) if len(n) > 80 else 99
+        want |= {(d, 1): best} if best <= 10 else {}
+        want |= {(d, i): 0 for i, x in items[1:5] if norm(x) in n}
+    for block in (D.ITEM_BLOCK, 3):
+        got = {(r.doc_id, r.item_id): r for r in D.leaks(docs(rows), bench, item_block=block).collect()}
+        assert {k: r.distance for k, r in got.items()} == want
+    assert all(want[s, 1] == 0 for s in range(0, 200, 13)) and {(600, 1), (601, 1), (602, 2), (602, 4), (603, 3), (604, 5)} <= set(want)
+    x = dict(rows)
+    for (d, i), r in got.items():
+        part = norm(dict(items)[i])[r.window_start:r.window_start + 100]
+        assert edit_within(part, norm(x[d])[max(0, r.found_at - 110):r.found_at]) == r.distance
+    kept = {r.doc_id for r in D.cleaned(docs(rows), bench).collect()}
+    assert kept == {d for d, _ in rows} - {d for d, _ in want}

@@ -6,8 +6,9 @@ diagonals that differ by at most 2 e. So: count shared q-grams of document
 and item in overlapping diagonal bands, keep the bands that reach the bound,
 and verify those regions by a banded alignment.
 
-Searched are windows of ``WINDOW`` characters of every item (whole items, if
-shorter), half a window apart and one at its end, so parts of an item are found too.
+Searched are the windows of ``WINDOW`` characters at every offset of every item (whole
+items, if shorter), so parts of an item are found too, wherever they begin. The windows
+of a band that reach the bound are aligned together.
 Texts and items are compared lower-cased with white space as single spaces;
 characters are UTF-16 units.
 
@@ -15,7 +16,7 @@ The items are taken in blocks of bounded size; every block's index is
 broadcast and meets all documents. More items make more blocks, not larger ones.
 
 Defined cases: null or empty texts and items match nothing; items under
-``MIN_ITEM`` characters are too short to be evidence and are not searched;
+``MIN_ITEM`` characters are searched verbatim, without edits, by the hashes of their length;
 where the edit share of a short window would void the bound, the budget is the
 largest that keeps it; rows that repeat an id give one row per item; null ids
 are kept; empty tables give an empty result; other columns are ignored.
@@ -39,6 +40,7 @@ EDITS = 0.10            # edit budget as a share of a window's characters
 MIN_ITEM = 24
 ITEM_BLOCK = 1 << 20    # characters of items in a block
 SLOTS = 20              # bits of the hash table in front of the index
+WINDOWS = 256           # windows that are aligned together
 PART = 1 << 17          # characters of documents that are searched together (their arrays fit a CPU's cache)
 
 SCHEMA = "doc_id bigint, item_id bigint, distance int, shared_grams int, window_start int, found_at int"
@@ -70,7 +72,7 @@ def budget(m: int, q: int, edits: float) -> tuple[int, int]:
 
 def windows_of(m: int, window: int) -> list[int]:
     """Starts of an item's windows."""
-    return [0] if m <= window else sorted({*range(0, m - window, window // 2), m - window})
+    return list(range(max(0, m - window) + 1))
 
 
 class Index:
@@ -78,10 +80,23 @@ class Index:
 
     def __init__(self, items: list[tuple[int, np.ndarray]], q: int, window: int, edits: float):
         self.q, self.window, self.edits = q, window, edits
-        self.ids = [i for i, _ in items]
-        self.units = [u for _, u in items]
+        short = [x for x in items if len(x[1]) < max(MIN_ITEM, q)]
+        items = [x for x in items if len(x[1]) >= max(MIN_ITEM, q)]
+        self.ids = [i for i, _ in items + short]
+        self.units = [u for _, u in items + short]
         values = _values()
-        per = [grams(u, q, values) for u in self.units]
+        #: length -> hashes of the short items of that length, in order, and their numbers
+        self.short: dict[int, tuple[np.ndarray, list[list[int]]]] = {}
+        for m in sorted({len(u) for _, u in short}):
+            at: dict[int, list[int]] = {}
+            for i in range(len(items), len(self.units)):
+                if len(self.units[i]) == m:
+                    at.setdefault(int(grams(self.units[i], m, values)[0]), []).append(i)
+            self.short[m] = np.array(sorted(at), np.uint64), [at[h] for h in sorted(at)]
+        self.t = np.empty(0, np.int64)
+        if not items:
+            return
+        per = [grams(u, q, values) for _, u in items]
         g = np.concatenate(per)
         item = np.repeat(np.arange(len(per), dtype=np.int32), [len(x) for x in per])
         off = np.concatenate([np.arange(len(x), dtype=np.int32) for x in per])
@@ -91,10 +106,10 @@ class Index:
         self.first = np.append(first, len(g))
         self.slots = np.zeros(1 << SLOTS, bool)
         self.slots[self.grams >> np.uint64(64 - SLOTS)] = True
-        bounds = [budget(min(len(u), window), q, edits) for u in self.units]
+        bounds = [budget(min(len(u), window), q, edits) for _, u in items]
         self.e = max(e for e, _ in bounds)
         self.t = np.array([t for _, t in bounds])
-        self.span = np.array([min(len(u), window) - q for u in self.units])
+        self.span = np.array([min(len(u), window) - q for _, u in items])
 
     def hits(self, g: np.ndarray) -> np.ndarray:
         """Places whose gram is in the index and that lie dense enough for some window."""
@@ -130,13 +145,67 @@ def banded(pattern: np.ndarray, region: np.ndarray, most: int) -> tuple[int, int
     return int(row[j]), len(pattern) + j
 
 
-def aligned(pattern: np.ndarray, region: np.ndarray, most: int) -> tuple[int, int]:
-    """``banded``, after a look whether the pattern stands in the region unchanged."""
-    text, part = region.tobytes(), pattern.tobytes()
-    at = text.find(part)
-    while at >= 0 and at % 2:
-        at = text.find(part, at + 1)
-    return (0, at // 2 + len(pattern)) if at >= 0 else banded(pattern, region, most)
+def aligned(item: np.ndarray, starts: np.ndarray, m: int, text: np.ndarray, base: int, diagonals: int, most: int) -> tuple[int, int, int]:
+    """(least edits, start, end in the text) of an item's windows of m characters against the text, over the diagonals
+    base .. base + diagonals - 1; the first start of the least, (most + 1, 0, 0) if none is within ``most``.
+
+    A look whether a window stands in the text unchanged, then ``banded`` for WINDOWS windows at a time. Outside the
+    text nothing equals the pattern, so parts that the text cuts off cost their length.
+    """
+    lo = max(0, base + int(starts[0]))
+    hi = min(len(text), base + diagonals + int(starts[-1]) + m)
+    whole = text[lo:hi].tobytes() if hi > lo else b""
+    for s in starts.tolist():
+        part = item[s:s + m].tobytes()
+        at = whole.find(part)
+        while at >= 0 and at % 2:
+            at = whole.find(part, at + 1)
+        if at >= 0:
+            return 0, s, lo + at // 2 + m
+    best = most + 1, 0, 0
+    k = np.arange(diagonals, dtype=np.int16)
+    for n in range(0, len(starts), WINDOWS):
+        s = starts[n:n + WINDOWS]
+        first, last = base + int(s[0]), base + int(s[-1]) + m + diagonals
+        part = np.full(last - first, -1, np.int32)
+        a, b = max(first, 0), min(last, len(text))
+        if b > a:
+            part[a - first:b - first] = text[a:b]
+        view = np.lib.stride_tricks.sliding_window_view(part, diagonals)
+        row, s0 = np.zeros((len(s), diagonals), np.int16), s[0]
+        for i in range(m):
+            up = np.full_like(row, most + 2)             # a character of the pattern is missing in the text
+            up[:, :-1] = row[:, 1:] + 1
+            row += view[s - s0 + i] != item[s + i][:, None]
+            np.minimum(row, up, out=row)
+            row = np.minimum.accumulate(row - k, axis=1) + k      # a character of the text is extra
+            if i % 8 == 7:
+                alive = row.min(axis=1) <= min(most, best[0] - 1)
+                s, row = s[alive], row[alive]
+                if not len(s):
+                    break
+        if len(s):
+            least = row.min(axis=1)
+            j = int(least.argmin())
+            if least[j] < best[0]:
+                end = base + int(s[j]) + m + int(row[j].argmin())
+                best = int(least[j]), int(s[j]), min(max(end, 0), len(text))
+    return best
+
+
+def verbatim(ix: Index, units: list[np.ndarray], joined: np.ndarray, start: np.ndarray, values: np.ndarray) -> Iterator[tuple[int, int, int, int, int, int]]:
+    """What ``search`` gives for the short items: the first place where a document holds one unchanged."""
+    for m, (hashes, items) in ix.short.items():
+        g = grams(joined, m, values)
+        at = np.minimum(np.searchsorted(hashes, g), len(hashes) - 1)
+        p = np.flatnonzero(hashes[at] == g)
+        doc = np.searchsorted(start, p, "right") - 1
+        _, first = np.unique(doc * len(hashes) + at[p], return_index=True)
+        for place, d in zip(p[first].tolist(), doc[first].tolist()):
+            lo = place - int(start[d])
+            for i in items[at[place]]:
+                if np.array_equal(units[d][lo:lo + m], ix.units[i]):
+                    yield d, i, 0, max(0, m + 1 - ix.q), 0, lo + m
 
 
 def search(ix: Index, units: list[np.ndarray], values: np.ndarray) -> Iterator[tuple[int, int, int, int, int, int]]:
@@ -146,6 +215,9 @@ def search(ix: Index, units: list[np.ndarray], values: np.ndarray) -> Iterator[t
     joined = np.full(int(size.sum()) + len(units), 10, np.uint16)     # no item has a line feed
     for s, u in zip(start, units):
         joined[s:s + len(u)] = u
+    yield from verbatim(ix, units, joined, start, values)
+    if not len(ix.t):
+        return
     g = grams(joined, ix.q, values)
     p = ix.hits(g)
     if not len(p):
@@ -180,17 +252,14 @@ def search(ix: Index, units: list[np.ndarray], values: np.ndarray) -> Iterator[t
         item_units, base = ix.units[i], int(band[a]) * width - shift
         m = min(len(item_units), ix.window)
         e, t = budget(m, ix.q, ix.edits)
-        for s in windows_of(len(item_units), ix.window):
-            shared = int(np.searchsorted(o, s + m - ix.q, "right") - np.searchsorted(o, s))
-            if shared < t:
-                continue
-            left = max(0, base + s - e)
-            region = units[d][left: base + 2 * width + s + m + e]
-            distance, end = aligned(item_units[s:s + m], region, e)
-            if distance <= e and (distance, s) < best.get((d, i), (e + 1, 0))[:2]:
-                best[d, i] = (distance, s, shared, left + end)
-                if distance == 0:
-                    break
+        starts = np.array(windows_of(len(item_units), ix.window))
+        shared = np.searchsorted(o, starts + m - ix.q, "right") - np.searchsorted(o, starts)
+        starts, shared = starts[shared >= t], shared[shared >= t]
+        if not len(starts):
+            continue
+        distance, s, end = aligned(item_units, starts, m, units[d], base - e, 2 * width + 2 * e, e)
+        if distance <= e and (distance, s) < best.get((d, i), (e + 1, 0))[:2]:
+            best[d, i] = (distance, s, int(shared[np.searchsorted(starts, s)]), end)
     for (d, i), (distance, s, shared, end) in best.items():
         yield d, i, distance, shared, s, end
 
@@ -243,7 +312,7 @@ def _indexes(benchmark: DataFrame, q: int, window: int, edits: float, item_block
     block, size = [], 0
     for r in benchmark.select(F.col(item_col).cast("long").alias("i"), F.col(item_text_col).alias("t")).toLocalIterator():
         u = normal(r.t)
-        if len(u) < max(MIN_ITEM, q):
+        if not len(u):
             continue
         block.append((r.i, u))
         size += len(u)
