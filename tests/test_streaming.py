@@ -15,6 +15,7 @@ from transitlens.sources import ingest as I
 from transitlens.sources import refdata as R
 from transitlens.sources import standin
 from transitlens.streaming import live as M
+from transitlens.streaming import pointers as P
 
 SF = "/root/testdata/sf0.01"
 NOW = {"availableNow": True}
@@ -167,6 +168,16 @@ def test_null_id_ties_give_one_answer_in_batch_and_stream(spark):
         assert _same(pruned, batch.select(*pruned.columns))
 
 
+def test_a_refresh_over_older_data_after_idle_days_does_not_take_readers_back(spark, monkeypatch):
+    base = scratch_path(spark, "pointers-idle")
+    frame = lambda day: spark.createDataFrame([(dt.datetime(2024, 1, day), day)], "timestamp_utc timestamp_ntz, n int")
+    with monkeypatch.context() as m:
+        m.setattr(P, "recent_buckets", lambda: ["2024-01-05", "2024-01-04"])
+        M.write_snapshot(frame(5), base, "b5")
+    M.write_snapshot(frame(3), base, "r3", keep=1)
+    assert M.current_snapshot(spark, base) == "b5" and M.read_snapshot(spark, base).first().n == 5
+
+
 def test_pointers_follow_the_data_and_do_not_hide_failures(spark):
     base = scratch_path(spark, "pointers")
     early, late = dt.datetime(2024, 1, 1), dt.datetime(2024, 1, 2)

@@ -4,8 +4,8 @@ A writer first writes a complete snapshot folder, then appends one small
 pointer record. The newest snapshot is the one with the newest *data* (the
 record's ``upto``), and only among equals the one written last, so a slow
 refresh that ends late does not take readers back. Records are kept in
-bucket folders by UTC day, and a reader reads the last two days' first; older
-ones only when these are empty.
+bucket folders by UTC day; a reader compares those of all days, the clean-up
+those of the last two.
 """
 
 from __future__ import annotations
@@ -53,12 +53,8 @@ def _order() -> Column:
 
 def newest(spark: SparkSession, base: str) -> str | None:
     """The snapshot to read, None when there is none."""
-    for paths in ([f"{base}/{POINTERS}/bucket={b}" for b in recent_buckets()], [f"{base}/{POINTERS}"]):
-        df = _records(spark, paths)
-        got = df.agg(F.max_by("snapshot", _order()).alias("s")).first()["s"] if df is not None else None
-        if got is not None:
-            return got
-    return None
+    df = _records(spark, [f"{base}/{POINTERS}"])
+    return df.agg(F.max_by("snapshot", _order()).alias("s")).first()["s"] if df is not None else None
 
 
 def outdated(spark: SparkSession, base: str, keep: int) -> list[str]:
