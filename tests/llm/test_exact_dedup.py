@@ -1,0 +1,97 @@
+"""Exact dedup with a digest index: loads, re-runs, other sessions' loads, edge cases."""
+
+import hashlib
+
+from pyspark.sql import functions as F
+
+from transitlens.llm.exact_dedup import DigestIndex, decisions, digests, unique
+from transitlens.session import scratch_path
+
+
+def index(spark, **kw):
+    return DigestIndex(spark, scratch_path(spark, "index-test"), buckets=4, **kw)
+
+
+def rows_of(df):
+    return sorted(map(tuple, df.collect()), key=repr)
+
+
+def expected(rows):
+    """Plain Python: of equal texts the largest id stays (null ids last)."""
+    norm = lambda t: "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in t or "")
+    groups = {}
+    for i, t in rows:
+        groups.setdefault(norm(t), []).append(i)
+    out = []
+    for i, t in rows:
+        ids = [x for x in groups[norm(t)] if x is not None]
+        keep = max(ids) if ids else None
+        out.append((i, keep, len(groups[norm(t)]), i == keep, hashlib.sha256(norm(t).encode()).hexdigest()))
+    return sorted(out, key=repr)
+
+
+ROWS = [(1, "One text"), (2, "one TEXT"), (3, "other"), (4, None), (5, ""), (None, "One text"), (None, "alone"), (None, "alone"),
+        (7, "ÄB"), (8, "äb"), (9, "Äb"), (3, "other"), (3, "third"), (10, "x" * 300_000), (11, "X" * 300_000), (12, " one text")]
+
+
+def test_one_load_equals_plain_python(spark, docs):
+    rows = digests(docs(ROWS))
+    assert rows_of(decisions(rows, index(spark).add(rows, "a"))) == expected(ROWS)
+
+
+def test_empty_table(spark, docs):
+    rows = digests(docs([]))
+    i = index(spark)
+    assert decisions(rows, i.add(rows, "a")).count() == 0 and i.rows().count() == 0
+
+
+def test_what_is_indexed_wins_over_later_copies(spark, docs):
+    i = index(spark)
+    assert {r.doc_id for r in unique(docs([(5, "a"), (6, "A"), (7, "b")]), i, "monday").collect()} == {6, 7}
+    second = docs([(90, "B"), (91, "c"), (92, "C"), (1, "d")])
+    assert {r.doc_id for r in unique(second, i, "tuesday").collect()} == {92, 1}
+    verdicts = i.add(digests(docs([(100, "a"), (101, "e")])), "wednesday")
+    assert sorted((r.keep, r.known) for r in verdicts.collect()) == [(6, True), (101, False)]
+    assert i.rows().count() == 5 and i.rows().select("digest").distinct().count() == 5
+
+
+def test_a_load_that_runs_again_gives_the_same(spark, docs):
+    i = index(spark)
+    i.add(digests(docs([(1, "a")])), "one")
+    load = digests(docs([(2, "a"), (3, "b")]))
+    first = rows_of(i.add(load, "two"))
+    assert rows_of(i.add(load, "two")) == first and i.rows().count() == 2
+
+
+def test_the_index_outlives_its_name(spark, docs):
+    i = index(spark)
+    i.add(digests(docs([(1, "a"), (2, "b")])), "one")
+    i.close()
+    again = DigestIndex(spark, i.path, buckets=4)
+    verdicts = again.add(digests(docs([(9, "A")])), "two")
+    assert [(r.keep, r.known) for r in verdicts.collect()] == [(1, True)]
+
+
+def test_unique_keeps_all_columns(spark, docs):
+    given = docs([(1, "a"), (2, "a"), (None, None)])
+    kept = unique(given, index(spark), "one")
+    assert kept.columns == given.columns and kept.schema == given.schema
+    assert sorted((r.doc_id is None, r.doc, r.n_words) for r in kept.collect()) == [(False, "x", "y"), (True, "x", "y")]
+
+
+def test_the_index_is_not_shuffled(spark, docs):
+    i = index(spark)
+    i.add(digests(docs([(k, f"t{k}") for k in range(50)])), "one")
+    batch = digests(docs([(1, "t1"), (2, "u")]))
+    plan = batch.join(i.rows().hint("merge"), "digest", "left_anti")._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and "Bucketed: true" in plan
+    assert plan.count("Exchange hashpartitioning(digest") == 1       # of the load, into the buckets of the index
+    assert "hashpartitioning(digest" in plan and ", 4)" in plan
+
+
+def test_a_text_of_a_third_of_the_rows(spark, docs):
+    rows = [(k, "same" if k % 3 == 0 else f"text {k}") for k in range(3000)]
+    d = digests(docs(rows).repartition(6))
+    assert rows_of(decisions(d, index(spark).add(d, "a"))) == expected(rows)
+    plan = d.groupBy("digest").agg(F.max("doc"))._jdf.queryExecution().executedPlan().toString()
+    assert "partial_max" in plan

@@ -12,7 +12,7 @@ from transitlens.llm.queries import ORACLE, QUERIES
 @pytest.mark.parametrize("key", sorted(ORACLE))
 def test_query_equals_sql(spark, key):
     con = duckdb.connect()
-    for t in ("documents", "conversations"):
+    for t in ("documents", "conversations", "embeddings"):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{SF}/{t}.parquet')")
     cur = con.execute(ORACLE[key])
     cols = [d[0] for d in cur.description]

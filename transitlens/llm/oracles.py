@@ -88,10 +88,32 @@ SELECT doc_id, count(*) AS n_lines, count(*) FILTER (gone) AS n_dropped,
        sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (NOT gone), '')) AS kept_sha256 FROM m GROUP BY doc_id
 """
 
+OP12 = f"""
+WITH d AS (SELECT doc_id, {ascii_lower(TEXT)} AS t FROM documents)
+SELECT doc_id, max(doc_id) OVER g AS keep_id, count(*) OVER g AS group_size, doc_id = max(doc_id) OVER g AS kept, sha256(t) AS text_sha256
+FROM d WINDOW g AS (PARTITION BY t)
+"""
+
+OP13 = """
+WITH v AS (SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+                  list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS e
+           FROM embeddings WHERE label IS NOT NULL AND embedding IS NOT NULL
+                                 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (SELECT a.vec_id AS anchor_id, v.vec_id, a.label = v.label AS same, CAST(list_dot_product(a.e, v.e) AS BIGINT) AS score
+      FROM v a JOIN v ON a.vec_id % 50 = 0 AND a.vec_id <> v.vec_id),
+p AS (SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM s
+      WHERE same QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5)
+SELECT p.anchor_id, positive_id, CAST(row_number() OVER w AS INTEGER) AS rank, vec_id AS negative_id, positive_score, score AS negative_score
+FROM p JOIN s ON s.anchor_id = p.anchor_id AND NOT same AND 50 * positive_score <= 100 * score AND 100 * score <= 95 * positive_score
+WINDOW w AS (PARTITION BY p.anchor_id, positive_id ORDER BY score DESC, vec_id) QUALIFY row_number() OVER w <= 3
+"""
+
 ORACLE = {
     "op4_minhash_near_dedup": OP4,
     "op5_quality_rules": OP5,
     "op7_chat_format": OP7,
     "op9_substring_dedup": OP9,
     "op10_line_dedup": OP10,
+    "op12_exact_dedup": OP12,
+    "op13_hard_negatives": OP13,
 }

@@ -5,6 +5,8 @@ from __future__ import annotations
 from .bpe import op6_byte_bpe
 from .chat import op7_chat_format
 from .decontaminate import op3_benchmark_decontamination
+from .exact_dedup import op12_exact_dedup
+from .hard_negatives import op13_hard_negatives
 from .html_extract import op8_html_extraction
 from .line_dedup import op10_line_dedup
 from .minhash import op4_minhash_near_dedup
@@ -12,6 +14,7 @@ from .oracles import ORACLE
 from .quality import op5_quality_rules
 from .secrets import op1_secret_scan
 from .suffix_dedup import op2_suffix_dedup
+from .token_align import op11_tokenizer_alignment
 from .window_dedup import op9_substring_dedup
 
 __all__ = ["ORACLE", "QUERIES"]
@@ -27,5 +30,8 @@ QUERIES = {
     "op8_html_extraction": op8_html_extraction,
     "op9_substring_dedup": op9_substring_dedup,
     "op10_line_dedup": op10_line_dedup,
+    "op11_tokenizer_alignment": op11_tokenizer_alignment,
+    "op12_exact_dedup": op12_exact_dedup,
+    "op13_hard_negatives": op13_hard_negatives,
 }
 
