@@ -1,4 +1,3 @@
-import datetime as dt
 import os
 import sys
 import tempfile
@@ -7,11 +6,9 @@ import pytest
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
-from transitlens.schemas import RAW_WITH_TIE, REF_LINES, REF_STATIONS  # noqa: E402
+from transitlens.schemas import REF_LINES, REF_STATIONS  # noqa: E402
 from transitlens.session import build_session  # noqa: E402
 
-TS = dt.datetime(2024, 1, 1, 12, 0, 0)
-
 
 @pytest.fixture(scope="session")
 def spark():
@@ -21,18 +18,6 @@ def spark():
     s.stop()
 
 
-def raw_row(vehicle="v1", line="x", loc=None, t=60, ts=TS, naptan="A1", event_id=1, **kw):
-    """A RAW_ARRIVALS row (+ event_id) with defaults for the columns a test ignores."""
-    row = {
-        "vehicle_id": vehicle, "line_id": line, "line_name": kw.get("line_name", line.upper()),
-        "station_naptan_id": naptan, "station_name": "next", "platform_name": "p",
-        "direction": "inbound", "destination_name": "dest", "destination_naptan_id": "D",
-        "current_location": loc, "towards": "tw", "time_to_station": t,
-        "expected_arrival": None, "timestamp_utc": ts, "ingestion_id": "b1", "event_id": event_id,
-    }
-    return tuple(row[f.name] for f in RAW_WITH_TIE.fields)
-
-
 @pytest.fixture(scope="session")
 def fixture_stations(spark):
     # FIXTURES.md §3: three stations on line x, one 'Oval Station' on line y.
@@ -50,7 +35,3 @@ def fixture_lines(spark):
         ("x", "X Line", "#B36305", 179, 99, 5),
         ("y", "Y Line", "#E32017", 227, 32, 23),
     ], REF_LINES)
-
-
-def make_raw(spark, rows):
-    return spark.createDataFrame(rows, RAW_WITH_TIE)

@@ -2,7 +2,7 @@
 
 import datetime as dt
 
-from conftest import make_raw, raw_row
+from raw_rows import make_raw, raw_row
 
 from transitlens.operators import health as H
 

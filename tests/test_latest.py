@@ -2,7 +2,7 @@
 
 import datetime as dt
 
-from conftest import TS, make_raw, raw_row
+from raw_rows import TS, make_raw, raw_row
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 

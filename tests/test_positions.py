@@ -1,7 +1,7 @@
 """Location cases of FIXTURES.md §3 through the whole TRAIN_POSITIONS plan."""
 
 import pytest
-from conftest import make_raw, raw_row
+from raw_rows import make_raw, raw_row
 from pyspark.sql import functions as F
 
 from transitlens.plans.positions import parse_location, positioned, train_positions

@@ -3,7 +3,7 @@ reference's SQL semantics, on generated inputs."""
 
 import re
 
-from conftest import make_raw, raw_row
+from raw_rows import make_raw, raw_row
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F

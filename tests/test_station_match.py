@@ -5,8 +5,9 @@ from pyspark.sql import functions as F
 
 from transitlens.functions.location import name_matches
 from transitlens.operators.latest import latest_per_vehicle
-from transitlens.operators.station_match import match_names, match_station, next_stop
+from transitlens.operators.station_match import candidates, match_names, match_station, name_pairs, next_stop
 from transitlens.plans.positions import NAME_MATCHES, parse_location, train_positions
+from transitlens.session import materialised
 from transitlens.sources import standin
 
 SF = "/root/testdata/sf0.01"
@@ -65,3 +66,38 @@ def test_next_stop_is_pure_equi(spark):
     parsed = _parsed(spark)
     out = next_stop(parsed, standin.stations(spark, SF))
     assert out.count() == parsed.count()
+
+
+def _probe(spark, n):
+    """n stations of one line that share a prefix, and every tenth name without its first letters."""
+    st = spark.range(n).select(
+        F.format_string("S%d", "id").alias("naptan_id"), F.format_string("Central Station Platform %06d %s", "id", F.md5(F.col("id").cast("string"))).alias("station_name"),
+        F.lit("x").alias("line_id"), F.lit(1.0).alias("latitude"), F.lit(2.0).alias("longitude"))
+    names = st.where(F.col("latitude") == 1.0).select("line_id", F.substring("station_name", 9, 40).alias("at_station_name"))
+    return names, st
+
+
+def test_stations_that_share_a_prefix_are_told_apart(spark):
+    names, st = _probe(spark, 100_000)
+    pairs = name_pairs(names)
+    met = materialised(candidates(pairs, st), "met")
+    matches = met.where(name_matches(F.col("station_name"), F.col("name")))
+    n, m = met.count(), matches.count()
+    assert m >= 100_000 and n <= 2 * m
+    # the looked-up grams spread over the tasks of the join
+    rows = [r["count"] for r in met.groupBy(F.pmod(F.hash("line_id", F.lower("name")), F.lit(8))).count().collect()]
+    assert max(rows) <= 2 * sorted(rows)[len(rows) // 2]
+
+
+def test_a_name_of_wildcards_meets_all_stations_of_its_line(spark):
+    _, st = _probe(spark, 2000)
+    parsed = spark.createDataFrame([("x", "%"), ("x", "__"), ("y", "%"), ("x", "")], "line_id string, at_station_name string")
+    got = {(r.line_id, r.name): r["count"] for r in match_names(parsed, st).groupBy("line_id", "name").count().collect()}
+    assert got == {("x", "%"): 2000, ("x", "__"): 2000, ("x", ""): 2000}
+
+
+def test_the_prefix_itself_finds_all(spark):
+    _, st = _probe(spark, 2000)
+    parsed = spark.createDataFrame([("x", "CENTRAL station"), ("x", "platform 00001"), ("x", "nowhere at all")], "line_id string, at_station_name string")
+    got = {r.name: r["count"] for r in match_names(parsed, st).groupBy("name").count().collect()}
+    assert got == {"CENTRAL station": 2000, "platform 00001": 10}

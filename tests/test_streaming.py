@@ -10,12 +10,12 @@ from pyspark.sql import functions as F
 
 from transitlens.operators.latest import latest_per_vehicle
 from transitlens.plans.positions import prune_raw, train_positions
-from transitlens.session import scratch_path
+from transitlens.session import scratch_path, shared_dir
 from transitlens.sources import ingest as I
 from transitlens.sources import refdata as R
 from transitlens.sources import standin
 from transitlens.streaming import live as M
-from transitlens.streaming import pointers as P
+from transitlens.streaming import commits as C
 
 SF = "/root/testdata/sf0.01"
 NOW = {"availableNow": True}
@@ -57,50 +57,146 @@ def test_stream_equals_batch_with_restart_and_shuffled_order(spark, landing_part
     _feed(landing, landing_parts, order[:3])
     M.ingest_available(spark, landing, raw_dir, ckpt)
     M.run_available(M.start_positions(spark, raw_dir, st_path, ln_path, out, ckpt, NOW))
-    first = M.current_snapshot(spark, out)
+    first = M.read_positions(spark, out).count()
 
     _feed(landing, landing_parts, order[3:])
     M.ingest_available(spark, landing, raw_dir, ckpt)
     M.run_available(M.start_positions(spark, raw_dir, st_path, ln_path, out, ckpt, NOW))
-    assert M.current_snapshot(spark, out) != first
 
     t = standin.reference_tables(spark, SF)
     batch = train_positions(t["raw"], t["stations"], t["lines"])
-    live = M.read_snapshot(spark, out)
-    assert live.count() == 764
+    live = M.read_positions(spark, out)
+    assert live.count() == 764 and first > 0
     assert _same(live.select(*batch.columns), batch)
     # Raw written by the stream is the stand-in raw table, no row twice.
     assert _same(I.read_raw(spark, raw_dir).drop("ingest_date").select(*t["raw"].columns), t["raw"])
 
 
+def _references(spark, base, stations=None):
+    paths = f"{base}/stations", f"{base}/lines"
+    R.replace_table(standin.stations(spark, SF) if stations is None else stations, paths[0])
+    R.replace_table(standin.lines(spark, SF), paths[1])
+    return paths
+
+
+def _files(out):
+    """bucket -> its files"""
+    return {d: sorted(f for f in os.listdir(f"{out}/{d}") if f.endswith(".parquet")) for d in os.listdir(out) if d.startswith("bucket=")}
+
+
+def _scratch(spark):
+    return {d for d in os.listdir(shared_dir(spark)) if d.startswith(("parsed-", "name-matches-", "changed-", "rows-"))}
+
+
 def test_refresh_after_reference_reload(spark):
     base = scratch_path(spark, "refresh-test")
     raw_dir, out = f"{base}/raw", f"{base}/positions"
-    st_path, ln_path = f"{base}/stations", f"{base}/lines"
-    standin.arrivals(spark, SF).write.parquet(raw_dir)
-    R.replace_table(standin.stations(spark, SF), st_path)
-    R.replace_table(standin.lines(spark, SF), ln_path)
-    M.refresh(spark, raw_dir, st_path, ln_path, out)
-    assert M.read_snapshot(spark, out).count() == 764
-    # Reload stations without line 'asia': its name matches disappear.
-    R.replace_table(standin.stations(spark, SF).where("line_id <> 'asia'"), f"{base}/stations2")
-    M.refresh(spark, raw_dir, f"{base}/stations2", ln_path, out)
-    assert M.read_snapshot(spark, out).where("line_id = 'asia'").count() == 0
+    I.append_raw(standin.arrivals(spark, SF), raw_dir)
+    paths = _references(spark, base)
+    assert len(M.refresh(spark, raw_dir, *paths, out)) > 0
+    assert M.read_positions(spark, out).count() == 764
+    assert M.refresh(spark, raw_dir, *paths, out) == []
+    _references(spark, base)                              # the same rows in new files are no new version
+    assert M.refresh(spark, raw_dir, *paths, out) == []
+    # Reload stations without line 'asia': its name matches disappear, and nothing else reads raw.
+    _references(spark, base, standin.stations(spark, SF).where("line_id <> 'asia'"))
+    M.refresh(spark, f"{base}/no-raw-needed", *paths, out)
+    want = train_positions(standin.arrivals(spark, SF), standin.stations(spark, SF).where("line_id <> 'asia'"), standin.lines(spark, SF))
+    assert M.read_positions(spark, out).where("line_id = 'asia'").count() == 0 and _same(M.read_positions(spark, out), want)
+
+
+def test_a_trigger_rewrites_the_buckets_of_changed_keys_only(spark, monkeypatch):
+    base = scratch_path(spark, "buckets")
+    raw_dir, out, ckpt = f"{base}/raw", f"{base}/view", f"{base}/ckpt"
+    paths, raw = _references(spark, base), standin.arrivals(spark, SF)
+    I.append_raw(raw, raw_dir)
+    M.run_available(M.start_positions(spark, raw_dir, *paths, out, ckpt, NOW))
+    before, keys = _files(out), raw.select("vehicle_id", "line_id").distinct()
+    # about 1 % of the keys get a newer prediction
+    some = [tuple(r) for r in keys.orderBy("vehicle_id", "line_id").limit(max(3, keys.count() // 100)).collect()]
+    newer = raw.where(F.struct("vehicle_id", "line_id").isin([F.struct(F.lit(a), F.lit(b)) for a, b in some]))
+    newer = latest_per_vehicle(newer)                      # one row a key, the same each time it is read
+    newer = newer.withColumn("timestamp_utc", F.lit("2024-03-01").cast("timestamp_ntz")).withColumn("current_location", F.lit("At NATION_1"))
+    newer = newer.orderBy("event_id").withColumn("event_id", F.col("event_id") + 1_000_000)
+    I.append_raw(newer, raw_dir)
+    placed_rows = []
+    real = M.placed
+    monkeypatch.setattr(M, "placed", lambda latest, *a: placed_rows.append(latest.count()) or real(latest, *a))
+    M.run_available(M.start_positions(spark, raw_dir, *paths, out, ckpt, NOW))
+    after = _files(out)
+    touched = {f"bucket={r[0]}" for r in newer.select(M.bucket(M.BUCKETS)).distinct().collect()}
+    assert {d for d in after if after[d] != before.get(d)} == touched and len(touched) < len(after) / 4
+    assert placed_rows == [len(some)]                      # the joins read the changed rows only
+    want = train_positions(raw.unionByName(newer), standin.stations(spark, SF), standin.lines(spark, SF))
+    assert _same(M.read_positions(spark, out), want)
+
+
+def test_ten_triggers_leave_no_scratch_table(spark):
+    base = scratch_path(spark, "triggers")
+    raw_dir, out = f"{base}/raw", f"{base}/view"
+    paths, raw = _references(spark, base), standin.arrivals(spark, SF)
+    raw.withColumn("rejected", F.lit(False)).withColumn("ingest_date", F.to_date("timestamp_utc")).repartition(12).write.parquet(raw_dir)
+    before = _scratch(spark)
+    q = M.start_positions(spark, raw_dir, *paths, out, f"{base}/ckpt", NOW, max_files_per_trigger=1)
+    M.run_available(q)
+    assert q.lastProgress["batchId"] >= 9
+    assert _scratch(spark) == before and not os.listdir(f"{out}.staged")
+    want = train_positions(raw, standin.stations(spark, SF), standin.lines(spark, SF))
+    assert _same(M.read_positions(spark, out), want)
 
 
-def test_live_max_age_drops_stale_vehicles(spark):
+def test_a_reload_between_triggers_shows_in_all_rows(spark):
+    base = scratch_path(spark, "reload-test")
+    raw_dir, out, ckpt = f"{base}/raw", f"{base}/view", f"{base}/ckpt"
+    raw, late = standin.arrivals(spark, SF), F.col("event_id") % 50 == 0
+    I.append_raw(raw.where(~late), raw_dir)
+    paths = _references(spark, base, standin.stations(spark, SF).withColumn("latitude", F.col("latitude") + 1))
+    M.run_available(M.start_positions(spark, raw_dir, *paths, out, ckpt, NOW))
+    I.append_raw(raw.where(late), raw_dir)
+    _references(spark, base)
+    M.run_available(M.start_positions(spark, raw_dir, *paths, out, ckpt, NOW))
+    want = train_positions(raw, standin.stations(spark, SF), standin.lines(spark, SF))
+    assert _same(M.read_positions(spark, out), want)
+
+
+def test_a_merge_that_fails_half_way_goes_on_from_its_staged_rows(spark, monkeypatch):
+    base = scratch_path(spark, "crash")
+    out = f"{base}/view"
+    rows = spark.createDataFrame([(f"v{i}", "x", i) for i in range(40)], "vehicle_id string, line_id string, n int")
+    M.merge_changes(rows, out, lambda r: r, "", "b0", buckets=8)
+    changed = rows.where("n < 20").withColumn("n", F.col("n") + 100)
+    with monkeypatch.context() as m:
+        m.setattr(M, "remove", lambda *a: (_ for _ in ()).throw(OSError("lost")))
+        with pytest.raises(OSError):
+            M.merge_changes(changed, out, lambda r: r, "", "b1", buckets=8)
+    # a bucket is lost, as if the driver had died between its removal and its replacement
+    gone = sorted(_files(out))[0]
+    M.remove(spark, f"{out}/{gone}")
+    M.merge_changes(changed, out, lambda r: r, "", "b1", buckets=8)
+    assert _same(M.read_view(spark, out), rows.where("n >= 20").unionByName(changed))
+
+
+def test_null_keys_are_keys(spark):
+    out = f"{scratch_path(spark, 'nulls')}/view"
+    frame = lambda rows: spark.createDataFrame(rows, "vehicle_id string, line_id string, n int")
+    M.merge_changes(frame([(None, "x", 1), ("", "x", 2), (None, None, 3)]), out, lambda r: r, "", "b0")
+    M.merge_changes(frame([(None, "x", 4), (None, None, 5)]), out, lambda r: r, "", "b1")
+    assert sorted(r.n for r in M.read_view(spark, out).collect()) == [2, 4, 5]
+    assert M.merge_changes(frame([]), out, lambda r: r, "", "b2") == []
+    with pytest.raises(FileNotFoundError):
+        M.read_view(spark, f"{out}-none")
+
+
+def test_max_age_leaves_out_stale_vehicles(spark):
     base = scratch_path(spark, "fresh-test")
     raw_dir, out = f"{base}/raw", f"{base}/positions"
-    st_path, ln_path = f"{base}/stations", f"{base}/lines"
-    # Stand-in timestamps are in January 2024: all older than a day at trigger time.
     I.append_raw(standin.arrivals(spark, SF), raw_dir)
-    R.replace_table(standin.stations(spark, SF), st_path)
-    R.replace_table(standin.lines(spark, SF), ln_path)
-    M.run_available(M.start_positions(spark, raw_dir, st_path, ln_path, out, f"{base}/ckpt", NOW,
-                                      max_age=dt.timedelta(days=1)))
-    assert M.read_snapshot(spark, out).count() == 0
-    M.run_available(M.start_positions(spark, raw_dir, st_path, ln_path, f"{base}/all", f"{base}/ckpt2", NOW))
-    assert M.read_snapshot(spark, f"{base}/all").count() == 764
+    M.run_available(M.start_positions(spark, raw_dir, *_references(spark, base), out, f"{base}/ckpt", NOW))
+    # Stand-in timestamps are in January 2024
+    assert M.read_positions(spark, out).count() == 764
+    assert M.read_positions(spark, out, dt.timedelta(days=1)).count() == 0
+    kept = M.read_positions(spark, out, dt.timedelta(days=10), dt.datetime(2024, 1, 31))
+    assert 0 < kept.count() < 764 and kept.agg(F.min("timestamp_utc")).first()[0] >= dt.datetime(2024, 1, 21)
 
 
 def test_ingest_in_bounded_batches_with_archive(spark, landing_parts):
@@ -134,8 +230,81 @@ def test_rejects_and_archive_lose_nothing(spark):
     rejects = I.read_rejects(spark, f"{base}/raw").groupBy("reject_reason").count().collect()
     assert {r.reject_reason: r["count"] for r in rejects} == {"timeToStation is not an integer": 12, "unparseable payload": 12}
     # a second run over nothing new adds nothing and does not fail
-    M.ingest_available(*args, strict=True, max_files_per_trigger=1, clean_source="archive", archive_dir=f"{base}/done")
+    again = M.ingest_available(*args, strict=True, max_files_per_trigger=1, clean_source="archive", archive_dir=f"{base}/done")
+    assert again == {"rows_inserted": 0, "rows_errored": 0, "payloads_skipped": 0, "token": 24}
     assert I.read_raw(spark, f"{base}/raw").count() == 12
+    commits = [tuple(r) for r in C.read_commits(spark, f"{base}/ckpt/commits").orderBy("batch").collect()]
+    assert commits == [(i, 2 * (i + 1), 1, 1, 1) for i in range(12)]
+
+
+def _land(landing, name, n):
+    os.makedirs(landing, exist_ok=True)
+    with open(f"{landing}/.{name}", "w") as f:
+        f.write(json.dumps({"ingestion_id": "r", "timestamp_utc": "2024-01-01T00:00:00", "line_id": "x",
+                            "body": json.dumps([{"id": str(i), "vehicleId": f"{name}-{i}", "lineId": "x"} for i in range(n)])}) + "\n")
+    os.rename(f"{landing}/.{name}", f"{landing}/{name}")
+
+
+def test_wait_for_commit(spark):
+    base = scratch_path(spark, "wait")
+    _land(f"{base}/landing", "a.json", 3)
+    q = M.start_ingest(spark, f"{base}/landing", f"{base}/raw", f"{base}/ckpt", {"processingTime": "200 milliseconds"})
+    try:
+        assert q.commits.wait_for(3, 60) == 3
+        _land(f"{base}/landing", "b.json", 4)
+        assert q.commits.wait_for(7, 60) == 7
+        assert I.read_raw(spark, f"{base}/raw").count() == 7
+        with pytest.raises(TimeoutError, match="7 of 8 rows"):
+            q.commits.wait_for(8, 1)
+    finally:
+        q.stop()
+    assert q.commits.finished()["token"] == 7
+    with pytest.raises(TimeoutError, match="has ended"):
+        q.commits.wait_for(8, 60)
+
+
+def test_two_ingests_at_once_count_their_own_rows(spark):
+    bases = [scratch_path(spark, "twin") for _ in range(2)]
+    for i, base in enumerate(bases):
+        _land(f"{base}/landing", "a.json", 3 + i)
+    queries = [M.start_ingest(spark, f"{b}/landing", f"{b}/raw", f"{b}/ckpt", NOW) for b in bases]
+    M.run_available(queries)
+    assert [q.commits.finished()["rows_inserted"] for q in queries] == [3, 4]
+
+
+def test_polls_go_on_after_the_last_cycle(spark):
+    base = scratch_path(spark, "polls-test")
+    landing = f"{base}/landing"
+    run = lambda: M.ingest_available(spark, landing, f"{base}/raw", f"{base}/ckpt", polls=True)
+    for cycle in (1, 2, 10):
+        for line in ("x.json", "y.json"):
+            _land(f"{landing}/cycle={cycle}", line, 2)
+    assert run()["rows_inserted"] == 12
+    assert run()["rows_inserted"] == 0
+    _land(f"{landing}/cycle=2", "z.json", 5)                # a cycle is whole when it lands: not read again
+    _land(f"{landing}/cycle=11", "x.json", 2)
+    _land(f"{landing}/cycle=12.part", "x.json", 9)          # not in place yet
+    assert run() == {"rows_inserted": 2, "rows_errored": 0, "payloads_skipped": 0, "token": 14}
+    assert I.read_polls(spark, landing).count() == 8
+    # a restart in mid-run: the offsets are written, the batch is not committed
+    _land(f"{landing}/cycle=12", "x.json", 1)
+    run()
+    commits = f"{base}/ckpt/raw/commits"
+    last = max((f for f in os.listdir(commits) if f.isdigit()), key=int)
+    for f in (last, f".{last}.crc"):
+        if os.path.exists(f"{commits}/{f}"):
+            os.remove(f"{commits}/{f}")
+    _land(f"{landing}/cycle=13", "x.json", 1)
+    run()                                                   # the batch again, with the cycles it had
+    run()
+    rows = I.read_raw(spark, f"{base}/raw")
+    assert rows.count() == 12 + 2 + 1 + 1
+
+
+def test_polls_with_an_empty_or_missing_folder(spark):
+    base = scratch_path(spark, "polls-none")
+    assert I.read_polls(spark, f"{base}/landing").count() == 0
+    assert M.ingest_available(spark, f"{base}/landing", f"{base}/raw", f"{base}/ckpt", polls=True)["token"] == 0
 
 
 def test_refresh_sees_late_days_and_null_timestamps(spark):
@@ -151,7 +320,7 @@ def test_refresh_sees_late_days_and_null_timestamps(spark):
         I.append_raw(part, raw_dir)
         M.run_available(M.start_positions(spark, raw_dir, st_path, ln_path, out, ckpt, NOW))
     want = train_positions(raw, standin.stations(spark, SF), standin.lines(spark, SF))
-    assert _same(M.read_snapshot(spark, out).select(*want.columns), want)
+    assert _same(M.read_positions(spark, out), want)
 
 
 def test_null_id_ties_give_one_answer_in_batch_and_stream(spark):
@@ -159,38 +328,10 @@ def test_null_id_ties_give_one_answer_in_batch_and_stream(spark):
     raw = (standin.arrivals(spark, SF).withColumn("event_id", F.lit(None).cast("long"))
            .withColumn("time_to_station", F.lit(60)).withColumn("platform_name", F.concat(F.lit("P"), F.col("destination_naptan_id"))))
     I.append_raw(raw.orderBy(F.rand(3)).repartition(7), f"{base}/raw")
-    M.run_available(M.start_view(spark, f"{base}/raw", f"{base}/out", f"{base}/ckpt", lambda latest: latest, NOW))
-    stream = M.read_snapshot(spark, f"{base}/out")
+    M.run_available(M.start_view(spark, f"{base}/raw", f"{base}/out", f"{base}/ckpt", trigger=NOW))
+    stream = M.read_view(spark, f"{base}/out")
     for seed in (1, 2):
         batch = latest_per_vehicle(raw.orderBy(F.rand(seed)).repartition(11))
         assert _same(stream.select(*batch.columns), batch)
         pruned = latest_per_vehicle(prune_raw(raw.orderBy(F.rand(seed)).repartition(5)))
         assert _same(pruned, batch.select(*pruned.columns))
-
-
-def test_a_refresh_over_older_data_after_idle_days_does_not_take_readers_back(spark, monkeypatch):
-    base = scratch_path(spark, "pointers-idle")
-    frame = lambda day: spark.createDataFrame([(dt.datetime(2024, 1, day), day)], "timestamp_utc timestamp_ntz, n int")
-    with monkeypatch.context() as m:
-        m.setattr(P, "recent_buckets", lambda: ["2024-01-05", "2024-01-04"])
-        M.write_snapshot(frame(5), base, "b5")
-    M.write_snapshot(frame(3), base, "r3", keep=1)
-    assert M.current_snapshot(spark, base) == "b5" and M.read_snapshot(spark, base).first().n == 5
-
-
-def test_pointers_follow_the_data_and_do_not_hide_failures(spark):
-    base = scratch_path(spark, "pointers")
-    early, late = dt.datetime(2024, 1, 1), dt.datetime(2024, 1, 2)
-    frame = lambda t, n: spark.createDataFrame([(t, n)], "timestamp_utc timestamp_ntz, n int")
-    assert M.current_snapshot(spark, base) is None
-    M.write_snapshot(frame(late, 1), base, "b1")
-    M.write_snapshot(frame(early, 2), base, "r2")          # written later, but of older data
-    assert M.current_snapshot(spark, base) == "b1"
-    M.write_snapshot(frame(late, 3), base, "r3")           # the same data: the last one written
-    assert M.read_snapshot(spark, base).first().n == 3
-    M.write_snapshot(frame(late, 4), base, "b4", keep=2)
-    assert sorted(d for d in os.listdir(base) if d.startswith("snapshot=")) == ["snapshot=b4", "snapshot=r3"]
-    with pytest.raises(Exception):
-        M.current_snapshot(spark, "nosuchstore://host/view")
-
-

@@ -61,29 +61,29 @@ def load_refs(spark: SparkSession, args) -> dict:
 
 def ingest(spark: SparkSession, args) -> dict:
     options = {"max_files_per_trigger": args.max_files, "clean_source": "archive" if args.archive else None,
-               "archive_dir": args.archive}
+               "archive_dir": args.archive, "polls": args.polls}
     if args.once:
         return M.ingest_available(spark, args.landing, args.raw, args.checkpoint, args.strict, **options)
     q = M.start_ingest(spark, args.landing, args.raw, args.checkpoint, _trigger(args), **options)
     M.run_available(q)
-    return {"query": q.name or q.id}
+    return q.commits.finished()
 
 
 def view(spark: SparkSession, args) -> dict:
-    max_age = dt.timedelta(minutes=args.max_age_min) if args.max_age_min else None
     M.run_available(M.start_positions(spark, args.raw, f"{args.refs}/ref_stations", f"{args.refs}/ref_lines", args.out,
-                                      args.checkpoint, _trigger(args), unique=args.unique, max_age=max_age))
-    return {"snapshot": M.current_snapshot(spark, args.out)}
+                                      args.checkpoint, _trigger(args), unique=args.unique))
+    return {"trains": M.read_positions(spark, args.out).count()}
 
 
 def refresh(spark: SparkSession, args) -> dict:
-    return {"snapshot": M.refresh(spark, args.raw, f"{args.refs}/ref_stations", f"{args.refs}/ref_lines",
-                                  args.out, unique=args.unique)}
+    return {"rewritten": len(M.refresh(spark, args.raw, f"{args.refs}/ref_stations", f"{args.refs}/ref_lines",
+                                       args.out, unique=args.unique))}
 
 
 def health(spark: SparkSession, args) -> dict:
     raw = I.read_raw(spark, args.raw)
-    pos = M.read_snapshot(spark, args.out)
+    max_age = dt.timedelta(minutes=args.max_age_min) if args.max_age_min else None
+    pos = M.read_positions(spark, args.out, max_age)
     counts = H.table_counts({
         "RAW_ARRIVALS": raw,
         "REF_STATIONS": spark.read.parquet(f"{args.refs}/ref_stations"),
@@ -109,8 +109,8 @@ def parser() -> argparse.ArgumentParser:
     a.add_argument("--routes", required=True)
     a.add_argument("--out", required=True, help="folder of the reference tables")
     helps = {"ingest": "landing records -> raw table (stream)",
-             "view": "raw table -> live positions snapshots (stream)",
-             "refresh": "rebuild the positions snapshot in batch",
+             "view": "raw table -> live positions table (stream)",
+             "refresh": "place the rows of older reference versions again",
              "health": "table counts, freshness and location classes"}
     for name in ("ingest", "view"):
         s = sub.add_parser(name, help=helps[name])
@@ -121,6 +121,7 @@ def parser() -> argparse.ArgumentParser:
     ing = sub.choices["ingest"]
     ing.add_argument("--landing", required=True)
     ing.add_argument("--strict", action="store_true", help="with --once: fail when rows were rejected (they are kept)")
+    ing.add_argument("--polls", action="store_true", help="the landing folder holds numbered poll cycles (cycle=<n>)")
     ing.add_argument("--max-files", type=int)
     ing.add_argument("--archive", help="move processed landing files here")
     for name in ("view", "refresh", "health"):
@@ -128,10 +129,10 @@ def parser() -> argparse.ArgumentParser:
         if name != "view":
             s.add_argument("--raw", required=True)
         s.add_argument("--refs", required=True, help="folder of the reference tables")
-        s.add_argument("--out", required=True, help="folder of the live view's snapshots")
+        s.add_argument("--out", required=True, help="folder of the live positions table")
         if name != "health":
             s.add_argument("--unique", action="store_true")
-    sub.choices["view"].add_argument("--max-age-min", type=float)
+    sub.choices["health"].add_argument("--max-age-min", type=float, help="leave out vehicles whose latest prediction is older")
     return p
 
 

@@ -106,12 +106,21 @@ def prune_raw(raw: DataFrame) -> DataFrame:
     return raw.select(*keep)
 
 
+def is_placed() -> Column:
+    """A row has a position."""
+    return F.col("latitude").isNotNull() & F.col("longitude").isNotNull()
+
+
+def placed(latest: DataFrame, stations: DataFrame, lines: DataFrame, unique: bool = False) -> DataFrame:
+    """X3 -> J6 on rows that are already one per (vehicle, line), those without a position included."""
+    return line_colours(positioned(parse_location(latest), stations, unique), lines).select(*PARSED_BASE, *[c for c in TRAIN_POSITIONS if c not in PARSED_BASE])
+
+
 def positions_from_latest(latest: DataFrame, stations: DataFrame, lines: DataFrame,
                           unique: bool = False) -> DataFrame:
-    """X3 -> J6 -> X4 on rows that are already one per (vehicle, line)."""
+    """X3 -> X4 -> J6 on rows that are already one per (vehicle, line)."""
     pos = positioned(parse_location(latest), stations, unique)
-    placed = pos.where(F.col("latitude").isNotNull() & F.col("longitude").isNotNull())
-    return line_colours(placed, lines).select(*TRAIN_POSITIONS)
+    return line_colours(pos.where(is_placed()), lines).select(*TRAIN_POSITIONS)
 
 
 def latest_for_view(raw: DataFrame) -> DataFrame:

@@ -23,6 +23,7 @@ from ..session import materialised, scratch_path
 from ..sources import ingest as I
 from ..sources import refdata as R
 from ..sources import standin
+from ..streaming import commits as C
 from ..streaming import live as M
 from . import positions as P
 from .oracle import with_ctes
@@ -508,29 +509,60 @@ def stream_rejected_q(spark, sf_dir):
     return I.read_rejects(spark, raw_dir)
 
 
+@register("stream_ingest_report", with_ctes(["arrivals", "faults"], """
+    SELECT a.n AS rows_inserted, f.errored AS rows_errored, f.skipped AS payloads_skipped, a.n + f.errored AS token
+    FROM (SELECT count(*) AS n FROM arrivals) a,
+         (SELECT count(*) FILTER (reject_reason = 'timeToStation is not an integer') AS errored,
+                 count(*) FILTER (reject_reason = 'unparseable payload') AS skipped FROM faults) f"""))
+def stream_ingest_report_q(spark, sf_dir):
+    """S7 live: the commit log of an ingest in several micro-batches, over two runs."""
+    base = scratch_path(spark, "commits")
+    landing = f"{base}/landing"
+    half = F.col("line_id") < "asia"
+    for part in (half, ~half):
+        standin.payloads(spark, sf_dir).where(part).write.mode("append").json(landing)
+        M.ingest_available(spark, landing, f"{base}/raw", f"{base}/ckpt", max_files_per_trigger=16)
+    return C.commit_report(C.read_commits(spark, f"{base}/ckpt/commits"))
+
+
+@register("stream_polls", with_ctes(["arrivals"], "SELECT * FROM arrivals"))
+def stream_polls_q(spark, sf_dir):
+    """S1 as a streaming source: the ingest reads numbered poll cycles; a second run goes on after the last one read."""
+    base = scratch_path(spark, "polls")
+    landing = f"{base}/landing"
+    cycle = F.datediff(F.to_date("timestamp_utc"), F.lit("2024-01-01").cast("date"))
+    pays = standin.payloads(spark, sf_dir).withColumn("cycle", cycle)
+    early = F.col("cycle") < 15
+    for part in (early, ~early):
+        pays.where(part).repartition("cycle").write.mode("append").partitionBy("cycle").json(landing)
+        M.ingest_available(spark, landing, f"{base}/raw", f"{base}/ckpt", polls=True)
+    return I.read_raw(spark, f"{base}/raw").drop("ingest_date")
+
+
 @register("stream_latest", with_ctes(["latest"], "SELECT * FROM latest"))
 def stream_latest_q(spark, sf_dir):
     base, raw_dir = _ingested(spark, sf_dir)
     out = f"{base}/latest"
-    M.run_available(M.start_view(spark, raw_dir, out, f"{base}/ckpt", lambda latest: latest, AVAILABLE_NOW))
-    return M.read_snapshot(spark, out)
+    M.run_available(M.start_view(spark, raw_dir, out, f"{base}/ckpt", trigger=AVAILABLE_NOW))
+    return M.read_view(spark, out)
 
 
-def _reference_paths(spark, sf_dir, base) -> tuple[str, str]:
+def _reference_paths(spark, sf_dir, base, without_line: str | None = None) -> tuple[str, str]:
     paths = f"{base}/ref_stations", f"{base}/ref_lines"
-    R.replace_table(R.load_stations(standin.stop_documents(spark, sf_dir)), paths[0])
+    stations = R.load_stations(standin.stop_documents(spark, sf_dir))
+    R.replace_table(stations.where(F.col("line_id") != without_line) if without_line else stations, paths[0])
     R.replace_table(standin.lines(spark, sf_dir), paths[1])
     return paths
 
 
 def positions_over(spark, sf_dir, landing: str):
-    """The live path over landing files: ingest stream, live view, newest snapshot."""
+    """The live path over landing files: ingest stream, live view, its positions."""
     base = scratch_path(spark, "live")
     raw_dir, out = f"{base}/raw", f"{base}/positions"
     M.ingest_available(spark, landing, raw_dir, f"{base}/ckpt")
     M.run_available(M.start_positions(spark, raw_dir, *_reference_paths(spark, sf_dir, base), out,
                                       f"{base}/ckpt", AVAILABLE_NOW))
-    return M.read_snapshot(spark, out)
+    return M.read_positions(spark, out)
 
 
 @register("stream_positions", with_ctes(["positions"], "SELECT * FROM positions"))
@@ -550,7 +582,22 @@ def view_refresh_q(spark, sf_dir):
     for part in (raw.where(~late), raw.where(late)):
         I.append_raw(part, raw_dir)
         M.run_available(M.start_positions(spark, raw_dir, *paths, out, f"{base}/ckpt", AVAILABLE_NOW))
-    return M.read_snapshot(spark, out)
+    return M.read_positions(spark, out)
+
+
+@register("view_reloaded", with_ctes(["positions"], "SELECT * FROM positions"))
+def view_reloaded_q(spark, sf_dir):
+    """M3: the first trigger knows no station of one line; then the stations are
+    reloaded, and the next trigger places what it changes and all rows of the older version."""
+    base = scratch_path(spark, "reload")
+    raw_dir, out = f"{base}/raw", f"{base}/view"
+    raw = standin.arrivals(spark, sf_dir)
+    late = F.col("timestamp_utc") >= F.lit("2024-01-15").cast("timestamp_ntz")
+    for part, missing in ((raw.where(~late), "asia"), (raw.where(late), None)):
+        I.append_raw(part, raw_dir)
+        paths = _reference_paths(spark, sf_dir, base, missing)
+        M.run_available(M.start_positions(spark, raw_dir, *paths, out, f"{base}/ckpt", AVAILABLE_NOW))
+    return M.read_positions(spark, out)
 
 
 @register("stream_positions_folded", with_ctes(["positions"], "SELECT * FROM positions"))
@@ -560,4 +607,4 @@ def stream_positions_folded_q(spark, sf_dir):
     out = f"{base}/positions"
     M.run_available(M.start_positions(spark, raw_dir, *_reference_paths(spark, sf_dir, base), out, f"{base}/ckpt",
                                       AVAILABLE_NOW, max_files_per_trigger=64))
-    return M.read_snapshot(spark, out)
+    return M.read_positions(spark, out)

@@ -4,7 +4,10 @@ from __future__ import annotations
 
 import os
 import tempfile
+import threading
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -88,13 +91,60 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex[:12]}"
 
 
+_scopes = threading.local()
+
+
+@contextmanager
+def scratch_scope(spark: SparkSession) -> Iterator[None]:
+    """Tables that ``materialised`` writes inside (on this thread) are removed
+    when the scope ends, so what reads them must be written or collected inside."""
+    stack = _scopes.__dict__.setdefault("paths", [])
+    stack.append([])
+    try:
+        yield
+    finally:
+        for path in stack.pop():
+            remove(spark, path)
+
+
 def materialised(df: DataFrame, name: str) -> DataFrame:
     """The rows as a Parquet table in the shared folder, read back: computed
-    once, with sizes that the optimiser knows, and independent of lost executors."""
+    once, with sizes that the optimiser knows, and independent of lost executors.
+    It is there until the innermost ``scratch_scope`` ends; without one, the
+    caller's rows stay readable and the folder is the cluster's to clean."""
     path = scratch_path(df.sparkSession, name)
+    for paths in _scopes.__dict__.get("paths", [])[-1:]:
+        paths.append(path)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def _hadoop(spark: SparkSession, path: str):
+    """(file system, path) of Hadoop, whatever store the path names."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark._jsc.hadoopConfiguration()), place
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    fs, place = _hadoop(spark, path)
+    return fs.exists(place)
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a file or folder; nothing happens where there is none."""
+    fs, place = _hadoop(spark, path)
+    fs.delete(place, True)
+
+
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    """One small file, replaced if it is there."""
+    fs, place = _hadoop(spark, path)
+    out = fs.create(place, True)
+    try:
+        out.write(bytearray(text.encode()))
+    finally:
+        out.close()
+
+
 def table_path(sf_dir: str, name: str) -> str:
     return os.path.join(sf_dir, f"{name}.parquet")

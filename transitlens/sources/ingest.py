@@ -17,6 +17,7 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ..schemas import RAW_ARRIVALS, RAW_COLUMNS, TIE_COLUMN
+from . import polls
 
 LANDING_SCHEMA = "ingestion_id string, timestamp_utc string, line_id string, body string"
 PREDICTIONS = "array<map<string,string>>"
@@ -67,6 +68,13 @@ def read_predictions(spark: SparkSession, path: str, streaming: bool = False,
     return spark.read.schema(LANDING_SCHEMA).json(path)
 
 
+def read_polls(spark: SparkSession, path: str, streaming: bool = False) -> DataFrame:
+    """Landing records of numbered poll cycles, through the ``prediction_polls`` source (see ``sources.polls``)."""
+    polls.register(spark)
+    reader = spark.readStream if streaming else spark.read
+    return reader.format(polls.PollSource.name()).load(path)
+
+
 def explode_predictions(payloads: DataFrame) -> DataFrame:
     """One row per prediction (a map of the object's keys to text).
 
