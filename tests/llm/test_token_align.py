@@ -2,6 +2,7 @@
 
 import hashlib
 from collections import Counter, defaultdict
+from functools import lru_cache
 
 import public_tokenizers
 import pytest
@@ -21,12 +22,15 @@ def libraries():
     return a, sentencepiece.SentencePieceProcessor(model_file=PATHS[1])
 
 
+CHARS = T.byte_chars()
+
+
+@lru_cache(None)
 def bytes_a(a, i):
-    """The library's own decoder, byte by byte."""
-    table = T.byte_chars()
-    return bytes(table[c] for c in a.id_to_token(i))
+    return bytes(CHARS[c] for c in a.id_to_token(i))
 
 
+@lru_cache(None)
 def bytes_b(b, i):
     p = b.id_to_piece(i)
     return bytes([int(p[3:5], 16)]) if len(p) == 6 and p.startswith("<0x") else p.replace("▁", " ").encode()
@@ -117,6 +121,23 @@ def test_pieces_of_a_long_text_give_the_same_ids(spark):
     assert list(T.cut(" " + "語" * 2000, 500)) == [" " + "語" * 2000]
 
 
+def test_plain_characters_encode_alike_in_both_libraries():
+    t = T.loaded(*PATHS)[0]
+    plain = [chr(c) for c in range(0x10000) if not 0xD800 <= c < 0xE000 and T.PLAIN.fullmatch(chr(c))]
+    assert len(plain) > 30_000 and not T.PLAIN.fullmatch("\u1680")
+    probes = [f"a{c} {c}1{c} {c}{c}x  {c}\n{c}" for c in plain]
+    for i in range(0, len(probes), 5000):
+        theirs = t.a.encode_batch(probes[i:i + 5000], add_special_tokens=False)
+        assert [t.ranks.encode_ordinary(p) for p in probes[i:i + 5000]] == [e.ids for e in theirs]
+
+
+def test_every_entry_of_the_vocabulary_encodes_alike(spark):
+    t = T.loaded(*PATHS)[0]
+    words = [x.decode() for x in t.a_bytes if x.isascii()]
+    texts = words + [x + y for x, y in zip(words, words[7:])]
+    assert [t.ranks.encode_ordinary(x) for x in texts] == [e.ids for e in t.a.encode_batch(texts, add_special_tokens=False)]
+
+
 def test_lexicon_holds_the_links(docs, libraries):
     rows = [(1, "one two two"), (2, "one two"), (3, "one two")]
     found = T.Alignment(docs(rows), *PATHS).lexicon().collect()

@@ -27,7 +27,9 @@ measures; an empty table gives no rows. Columns beside id and text are ignored.
 
 from __future__ import annotations
 
+import functools
 import hashlib
+import json
 import os
 import re
 from collections import defaultdict
@@ -43,8 +45,11 @@ from pyspark.sql import functions as F
 from .storage import NO_ID, read, real_id, written
 
 PIECE_CHARS = 1 << 19
-BATCH_CHARS = 1 << 20
+BATCH_CHARS = 1 << 18
 CUT = re.compile("(?<=[A-Za-z0-9]) (?=[A-Za-z])")
+# Latin, Greek, Cyrillic, punctuation, kana, common ideographs, Hangul: assigned long before either library's tables.
+PLAIN = re.compile("[\\x00-\u024f\u0391-\u03a1\u03a3-\u03ff\u0400-\u0482\u048a-\u0523\u2010-\u2027\u2030-\u205e\u20ac"
+                   "\u3001-\u3003\u3008-\u3011\u3041-\u3096\u30a1-\u30fa\u4e00-\u9fa5\uac00-\ud7a3\uff01-\uff5e]*")
 _loaded: dict = {}
 
 
@@ -57,23 +62,45 @@ def byte_chars() -> dict[str, int]:
 
 
 class Tokenizers:
-    """Both tokenizers with the bytes of every id."""
+    """Both tokenizers with the bytes of every id.
+
+    A byte-level BPE file without a normaliser is the same encoding as its
+    vocabulary read as ranks, once a text is split into words. tiktoken does that at a
+    quarter of the cost, so it encodes texts of ``PLAIN`` characters, whose classes
+    (letter, number, space) all Unicode versions share; the file's own library encodes all others.
+    """
 
     def __init__(self, a_path: str, b_path: str):
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"       # one core a task
         import sentencepiece
-        from tokenizers import Tokenizer
 
-        self.a = Tokenizer.from_file(a_path)
-        self.a.encode_special_tokens = True
+        self.a_path = a_path
         self.b = sentencepiece.SentencePieceProcessor(model_file=b_path)
+        with open(a_path, encoding="utf-8") as f:
+            spec = json.load(f)
+        added = {t["id"]: t["content"] for t in spec["added_tokens"]}
+        names = {i: t for t, i in spec["model"]["vocab"].items()} | added
         chars = byte_chars()
-        size = self.a.get_vocab_size()
-        self.a_bytes = [bytes(chars[c] for c in self.a.id_to_token(i)) for i in range(size)]
+        self.a_bytes = [added[i].encode() if i in added else bytes(chars[c] for c in names[i]) for i in range(len(names))]
         self.b_bytes = [self._piece(self.b.id_to_piece(i)) for i in range(self.b.get_piece_size())]
         self.a_len, self.b_len = (np.array(list(map(len, x)), np.int64) for x in (self.a_bytes, self.b_bytes))
         if not (self.a_len.all() and self.b_len.all()):
             raise ValueError("a vocabulary has an entry without bytes")
+        first = spec["pre_tokenizer"] or {}
+        plain = first.get("type") == "ByteLevel" and first.get("use_regex", True) and not first["add_prefix_space"]
+        self.ranks = None
+        if plain and spec["normalizer"] is None and spec["model"]["type"] == "BPE" and not spec["model"].get("dropout"):
+            import tiktoken
+            self.ranks = tiktoken.Encoding("a", pat_str=public_tokenizers.PATTERN, special_tokens={},
+                                           mergeable_ranks={x: i for i, x in enumerate(self.a_bytes) if i not in added})
+
+    @functools.cached_property
+    def a(self):
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"       # one core a task
+        from tokenizers import Tokenizer
+
+        a = Tokenizer.from_file(self.a_path)
+        a.encode_special_tokens = True
+        return a
 
     @staticmethod
     def _piece(piece: str) -> bytes:
@@ -81,19 +108,17 @@ class Tokenizers:
             return bytes([int(piece[3:5], 16)])
         return piece.replace("▁", " ").encode()
 
-    def encode(self, texts: list[str]) -> tuple[list[list[int]], list[list[int]]]:
-        """Ids of both, each text in one list."""
-        pieces, of = [], []
-        for i, text in enumerate(texts):
-            for piece in cut(" " + text):
-                pieces.append(piece)
-                of.append(i)
-        a: list[list[int]] = [[] for _ in texts]
-        b: list[list[int]] = [[] for _ in texts]
-        for i, x, y in zip(of, self.a.encode_batch_fast(pieces, add_special_tokens=False),
-                           self.b.encode([p[1:] for p in pieces], num_threads=1)):
-            a[i] += x.ids
-            b[i] += y
+    def encode_a(self, text: str) -> list[int]:
+        if self.ranks is not None and PLAIN.fullmatch(text):
+            return self.ranks.encode_ordinary(text)
+        return self.a.encode_batch_fast([text], add_special_tokens=False)[0].ids
+
+    def encode(self, text: str) -> tuple[list[int], list[int]]:
+        """Ids of both for space + text."""
+        a, b = [], []
+        for piece in cut(" " + text):
+            a += self.encode_a(piece)
+            b += self.b.encode(piece[1:])
         return a, b
 
 
@@ -122,8 +147,9 @@ class Pairs:
         keys |= {a * self.n_b + b for b, x in enumerate(t.b_bytes) for n in range(1, len(x)) for a in by_a.get(x[n:], ())}
         self.keys = np.array(sorted(keys), np.int64)
 
-    def number(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
-        return np.searchsorted(self.keys, a * self.n_b + b)
+    def number(self, keys: np.ndarray) -> np.ndarray:
+        """Numbers of a * n_b + b."""
+        return np.searchsorted(self.keys, keys)
 
     def __len__(self) -> int:
         return len(self.keys)
@@ -145,21 +171,25 @@ ALIGNED = "digest binary, copies long, n_a long, n_b long, n_groups long, groups
 def aligned_text(t: Tokenizers, pairs: Pairs, shown: list[str], text: str, a: list[int], b: list[int]) -> tuple | None:
     """(n_a, n_b, n_groups, groups_sha256, pairs, times) of one text; None where the tokens do not spell it."""
     want = (" " + text).encode()
-    if b"".join([t.a_bytes[i] for i in a]) != want or b"".join([t.b_bytes[i] for i in b]) != want:
-        return None
     a, b = np.array(a, np.int64), np.array(b, np.int64)
     a_end, b_end = np.cumsum(t.a_len[a]), np.cumsum(t.b_len[b])
-    ends, last_a, last_b = np.intersect1d(a_end, b_end, assume_unique=True, return_indices=True)
-    # Every token's text with its sign: , inside a group, | after A's last, ; after B's last
-    n_a, n_b = len(t.a_bytes), len(t.b_bytes)
-    code_a, code_b = a.copy(), b + 2 * n_a
-    code_a[last_a] += n_a
-    code_b[last_b] += n_b
-    group_a, group_b = np.searchsorted(ends, a_end), np.searchsorted(ends, b_end)
-    order = np.argsort(np.concatenate((2 * group_a, 2 * group_b + 1)), kind="stable")
-    groups = "".join([shown[i] for i in np.concatenate((code_a, code_b))[order].tolist()])[:-1]
-    pair, times = np.unique(pairs.number(a[last_a], b[last_b]), return_counts=True)
-    return len(a), len(b), len(ends), hashlib.sha256(groups.encode()).hexdigest(), pair.astype(np.int32), times.astype(np.int32)
+    if not len(a) or not len(b) or not a_end[-1] == b_end[-1] == len(want):
+        return None
+    if any(b"".join([table[i] for i in ids.tolist()]) != want for table, ids in ((t.a_bytes, a), (t.b_bytes, b))):
+        return None
+    _, last_a, last_b = np.intersect1d(a_end, b_end, assume_unique=True, return_indices=True)
+    n_a = len(t.a_bytes)
+    codes, groups = [], []
+    for ids, last, first, size, turn in ((a, last_a, 0, n_a, 0), (b, last_b, 2 * n_a, len(t.b_bytes), 1)):
+        ends = np.zeros(len(ids), np.int64)
+        ends[last] = 1
+        codes.append(ids + first + size * ends)              # the texts of ``shown``: the last of a group has another sign
+        groups.append(2 * (np.cumsum(ends) - ends) + turn)
+    order = np.argsort(np.concatenate(groups), kind="stable")
+    text = "".join([shown[i] for i in np.concatenate(codes)[order].tolist()])[:-1]
+    pair, times = np.unique(a[last_a] * pairs.n_b + b[last_b], return_counts=True)
+    return (len(a), len(b), len(last_a), hashlib.sha256(text.encode()).hexdigest(),
+            pairs.number(pair).astype(np.int32), times.astype(np.int32))
 
 
 def align(paths: tuple[str, str]):
@@ -168,7 +198,7 @@ def align(paths: tuple[str, str]):
         for batch in batches:
             for part in bounded(batch, "text"):
                 texts = part["text"].to_pylist()
-                found = [aligned_text(t, pairs, shown, *x) for x in zip(texts, *t.encode(texts))]
+                found = [aligned_text(t, pairs, shown, *x) for x in ((x, *t.encode(x)) for x in texts)]
                 keep = [i for i, x in enumerate(found) if x is not None]
                 if not keep:
                     continue
