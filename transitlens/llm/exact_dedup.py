@@ -28,16 +28,18 @@ adds nothing. Columns beside id and text are ignored, whatever their names.
 
 from __future__ import annotations
 
+import math
 import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import scratch_path
-from .storage import NO_ID, exists, read, written
+from ..session import exists, scratch_path
+from .storage import NO_ID, read, written
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
-BUCKETS = 64
+BUCKETS = 16
+BUCKET_ROWS = 2_000_000
 
 
 def digest(text: Column) -> Column:
@@ -56,7 +58,7 @@ class DigestIndex:
 
     ``buckets`` belongs to the index: open it with the number it was made
     with. A bucket is what one task sorts and joins, so take the expected
-    number of distinct texts over a few millions. ``name``: the table's name in
+    number of distinct texts over ``BUCKET_ROWS``. ``name``: the table's name in
     the session's catalog; the data outlive the session and its catalog.
     """
 
@@ -122,8 +124,8 @@ def op12_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents in two loads into a new index: the later half of the ids
     first, so that what the second load finds in the index has the larger id."""
     rows = digests(read(spark, sf_dir, "documents"))
-    middle = rows.agg(F.percentile_approx("doc", F.lit(0.5)).alias("m")).first()["m"]
-    index = DigestIndex(spark, scratch_path(spark, "digest-index"))
+    middle, n = rows.agg(F.percentile_approx("doc", F.lit(0.5)), F.count(F.lit(1))).first()
+    index = DigestIndex(spark, scratch_path(spark, "digest-index"), max(BUCKETS, math.ceil(n / BUCKET_ROWS)))
     later = F.col("doc") >= F.lit(middle if middle is not None else 0)
     verdicts = index.add(rows.where(later), "later").unionByName(index.add(rows.where(~later), "earlier"))
     index.close()
