@@ -4,7 +4,7 @@ import re
 from brute import SF, sha
 from transitlens.llm import chat as C
 from transitlens.llm import secrets as S
-from transitlens.llm.storage import read
+from transitlens.llm.storage import LEAST_ID, read
 
 MORE = "/root/testdata/sf0.01"        # the smallest table holds no assignment
 
@@ -48,10 +48,10 @@ def test_odd_texts_and_random_tokens(spark, docs):
     assert len(got) == len(rows)
     found = {}
     for r in got:
-        found.setdefault(r.doc, set()).add(r.s)
+        found.setdefault(r.doc if r.doc >= LEAST_ID else None, set()).add(r.s)
     for i, t in rows:
         want = base(t)
-        assert any([x for x in s.split(",") if x and not x.startswith("random")] == want for s in found[-(1 << 63) if i is None else i])
+        assert any([x for x in s.split(",") if x and not x.startswith("random")] == want for s in found[i])
     hits = [any("random" in s for s in found[10 + i]) for i in range(len(secret))]
     assert sum(hits) >= 11
     assert not any("random" in s for i in range(len(plain)) for s in found[40 + i])

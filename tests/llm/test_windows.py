@@ -52,7 +52,7 @@ def test_runs_over_several_ranges_under_a_union(spark, n, other, k):
     """Runs that cross ranges keep one first place in all, whatever else shares the plan's partitions."""
     conf = {"spark.sql.shuffle.partitions": "32", "spark.sql.adaptive.coalescePartitions.minPartitionSize": "1b"}
     old = {c: spark.conf.get(c) for c in conf}
-    place = [F.col("id").alias("doc"), F.lit(1).alias("tk"), F.lit(0).alias("pos")]
+    place = [F.col("id").alias("doc"), F.lit(1).cast("long").alias("tk"), F.lit(0).alias("pos")]
     for c, v in conf.items():
         spark.conf.set(c, v)
     try:

@@ -183,7 +183,7 @@ def later_places(places: DataFrame) -> DataFrame:
     """
     key = ["h1", "h2", "doc", "tk", "pos"]
     rows = written(places.repartitionByRange(*key).sortWithinPartitions(*key)
-                   .mapInArrow(_later, "h1 bigint, h2 bigint, doc bigint, tk int, pos int, edge boolean"), "later")
+                   .mapInArrow(_later, "h1 bigint, h2 bigint, doc bigint, tk bigint, pos int, edge boolean"), "later")
     edges = rows.filter("edge").drop("edge")
     first = edges.groupBy("h1", "h2").agg(F.min(F.struct("doc", "tk", "pos")).alias("first"))
     edge = edges.join(first, ["h1", "h2"]).filter(F.struct("doc", "tk", "pos") != F.col("first"))

@@ -42,7 +42,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .storage import NO_ID, read, real_id, written
+from .storage import NO_ID, per_process, read, real_id, written
 
 PIECE_CHARS = 1 << 19
 BATCH_CHARS = 1 << 18
@@ -50,7 +50,6 @@ CUT = re.compile("(?<=[A-Za-z0-9]) (?=[A-Za-z])")
 # Latin, Greek, Cyrillic, punctuation, kana, common ideographs, Hangul: assigned long before either library's tables.
 PLAIN = re.compile("[\\x00-\u024f\u0391-\u03a1\u03a3-\u03ff\u0400-\u0482\u048a-\u0523\u2010-\u2027\u2030-\u205e\u20ac"
                    "\u3001-\u3003\u3008-\u3011\u3041-\u3096\u30a1-\u30fa\u4e00-\u9fa5\uac00-\ud7a3\uff01-\uff5e]*")
-_loaded: dict = {}
 
 
 def byte_chars() -> dict[str, int]:
@@ -157,12 +156,12 @@ class Pairs:
 
 def loaded(a_path: str, b_path: str) -> tuple[Tokenizers, Pairs, list[str]]:
     """Kept by every worker: tokenizers, pairs, and the texts of ids with what may follow them in a group."""
-    key = a_path, b_path
-    if key not in _loaded:
+    def make():
         t = Tokenizers(a_path, b_path)
         shown = [f"{i}{end}" for n, ends in ((len(t.a_bytes), ",|"), (len(t.b_bytes), ",;")) for end in ends for i in range(n)]
-        _loaded[key] = t, Pairs(t), shown
-    return _loaded[key]
+        return t, Pairs(t), shown
+
+    return per_process(("aligned tokenizers", a_path, b_path), make)
 
 
 ALIGNED = "digest binary, copies long, n_a long, n_b long, n_groups long, groups_sha256 string, pair array<int>, times array<int>"

@@ -72,7 +72,7 @@ def marked_windows(docs: DataFrame, k: int = WORDS, gram: int = GRAM, bits: int
                      pa.array(pos.astype(np.int32))], names=["h1", "h2", "doc", "tk", "pos"])
 
     return S.later_places(docs.select("doc", "tk", "text").mapInArrow(
-        run, "h1 bigint, h2 bigint, doc bigint, tk int, pos int"))
+        run, "h1 bigint, h2 bigint, doc bigint, tk bigint, pos int"))
 
 
 def _apply(k: int):
