@@ -264,13 +264,13 @@ def search(ix: Index, units: list[np.ndarray], values: np.ndarray) -> Iterator[t
         yield d, i, distance, shared, s, end
 
 
-def _parts(batch: pa.RecordBatch) -> Iterator[tuple[int, int, list[np.ndarray]]]:
-    """(first row, end row, normal texts) of some rows at a time; the texts are column 1."""
+def _parts(texts: pa.Array) -> Iterator[tuple[int, int, list[np.ndarray]]]:
+    """(first row, end row, normal texts) of some rows at a time."""
     lo = 0
-    while lo < batch.num_rows:
+    while lo < len(texts):
         units, size, hi = [], 0, lo
-        while hi < batch.num_rows and size < PART:
-            units.append(normal(batch.column(1)[hi].as_py()))
+        while hi < len(texts) and size < PART:
+            units.append(normal(texts[hi].as_py()))
             size += len(units[-1])
             hi += 1
         yield lo, hi, units
@@ -283,7 +283,7 @@ def _block_leaks(docs: DataFrame, index: Index) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ix, values = shared.value, _values()
         for batch in batches:
-            for lo, _, units in _parts(batch):
+            for lo, _, units in _parts(batch.column(1)):
                 rows = [(batch.column(0)[lo + d].as_py(), ix.ids[i], *rest) for d, i, *rest in search(ix, units, values)]
                 if rows:
                     types = [pa.int64()] * 2 + [pa.int32()] * 4
@@ -293,14 +293,14 @@ def _block_leaks(docs: DataFrame, index: Index) -> DataFrame:
     return docs.mapInArrow(run, SCHEMA)
 
 
-def _without(docs: DataFrame, index: Index) -> DataFrame:
-    """The rows (key, text) that hold no item of the index."""
+def _without(docs: DataFrame, field: int, index: Index) -> DataFrame:
+    """The rows (key) that hold no item of the index; the text is a field of the key."""
     shared = docs.sparkSession.sparkContext.broadcast(index)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ix, values = shared.value, _values()
         for batch in batches:
-            for lo, hi, units in _parts(batch):
+            for lo, hi, units in _parts(batch.column(0).field(field)):
                 hit = {d for d, *_ in search(ix, units, values)}
                 yield batch.take(pa.array([r for r in range(lo, hi) if r - lo not in hit], pa.int64()))
 
@@ -326,9 +326,9 @@ def _indexes(benchmark: DataFrame, q: int, window: int, edits: float, item_block
 def cleaned(docs: DataFrame, benchmark: DataFrame, q: int = Q, window: int = WINDOW, edits: float = EDITS,
             item_block: int = ITEM_BLOCK, text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text") -> DataFrame:
     """The rows that hold no window of an item, with all their columns; nothing is shuffled."""
-    rows = docs.select(F.struct("*").alias("key"), F.col(text_col).alias("text"))
+    rows = docs.select(F.struct("*").alias("key"))
     for index in _indexes(benchmark, q, window, edits, item_block, item_col, item_text_col):
-        rows = _without(rows, index)
+        rows = _without(rows, docs.columns.index(text_col), index)
     return rows.select("key.*")
 
 

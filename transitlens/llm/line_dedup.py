@@ -67,7 +67,7 @@ def line_keys(docs: DataFrame, min_chars: int = MIN_CHARS) -> DataFrame:
                     [pa.array(X.as_i64(h)), pa.array(doc[at]), pa.array(tk[at]), pa.array(pos[ok].astype(np.int32))],
                     names=["h", "doc", "tk", "pos"])
 
-    return docs.select("doc", "tk", "text").mapInArrow(run, "h bigint, doc bigint, tk int, pos int")
+    return docs.select("doc", "tk", "text").mapInArrow(run, "h bigint, doc bigint, tk bigint, pos int")
 
 
 def _stream_runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -141,7 +141,7 @@ def drop_bitmaps(docs: DataFrame, min_docs: int = MIN_DOCS, min_chars: int = MIN
     # written, so that the join gets exchanges of its own, whose skewed partitions Spark can split
     common = written(key_runs(keys).filter(F.col("n_docs") >= min_docs).select("h"), "common-lines")
     dropped = keys.join(common, "h", "left_semi").groupBy("doc", "tk").agg(F.collect_set("pos").alias("pos"))
-    return dropped.mapInArrow(_bitmaps, "doc bigint, tk int, n_dropped bigint, drop_map binary")
+    return dropped.mapInArrow(_bitmaps, "doc bigint, tk bigint, n_dropped bigint, drop_map binary")
 
 
 def dropped_lines(drop_map: bytes | None, n: int) -> np.ndarray:
@@ -153,38 +153,46 @@ def dropped_lines(drop_map: bytes | None, n: int) -> np.ndarray:
     return out
 
 
-def _apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        at, total, gone, kept = [], [], [], []
-        for t, m in zip(batch.column(1), batch.column(2)):
-            lines = t.as_py().split("\n")
-            drop = dropped_lines(m.as_py(), len(lines))
-            total.append(len(lines))
-            gone.append(int(drop.sum()))
-            kept.append("\n".join(x for x, d in zip(lines, drop) if not d) if gone[-1] else t.as_py())
-        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(total, pa.int64()), pa.array(gone, pa.int64()),
-                                          pa.array(kept, pa.string())], names=["key", "n_lines", "n_dropped", "text"])
-
-
-def _applied(docs: DataFrame, key: Column, min_docs: int, min_chars: int, id_col: str, text_col: str) -> DataFrame:
+def _apply(field: int | None):
+    """Rows (key, drop_map, text) -> (key, n_lines, n_dropped, text). ``field``: the text is that field of the key instead."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for lo in range(0, batch.num_rows, 500):
+                part = batch.slice(lo, 500)
+                total, gone, kept = [], [], []
+                for t, m in zip(part.column(2) if field is None else part.column(0).field(field), part.column(1)):
+                    text = t.as_py() or ""
+                    lines = text.split("\n")
+                    drop = dropped_lines(m.as_py(), len(lines))
+                    total.append(len(lines))
+                    gone.append(int(drop.sum()))
+                    kept.append("\n".join(x for x, d in zip(lines, drop) if not d) if gone[-1] else text)
+                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(total, pa.int64()), pa.array(gone, pa.int64()),
+                                                  pa.array(kept, pa.string())], names=["key", "n_lines", "n_dropped", "text"])
+    return run
+
+
+def _applied(docs: DataFrame, key: Column, field: int | None, min_docs: int, min_chars: int, id_col: str, text_col: str) -> DataFrame:
     """(key, n_lines, n_dropped, text) of every row."""
-    src = docs.select(key.alias("key"), *identified(docs, id_col, text_col, columns=True))
-    maps = drop_bitmaps(src, min_docs, min_chars)
+    name = identified(docs, id_col, text_col, columns=True)
+    maps = drop_bitmaps(docs.select(*name), min_docs, min_chars)
+    src = docs.select(key.alias("key"), *(name if field is None else name[:2]))
     schema = T.StructType([src.schema["key"], T.StructField("n_lines", T.LongType()), T.StructField("n_dropped", T.LongType()),
                            T.StructField("text", T.StringType())])
-    return src.join(maps, ["doc", "tk"], "left").select("key", "text", "drop_map").mapInArrow(_apply, schema)
+    rows = src.join(maps, ["doc", "tk"], "left").select("key", "drop_map", *(["text"] if field is None else []))
+    return rows.mapInArrow(_apply(field), schema)
 
 
 def deduped(docs: DataFrame, min_docs: int = MIN_DOCS, min_chars: int = MIN_CHARS,
             id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, n_lines, n_dropped, text): every row with the text that is left."""
-    return _applied(docs, F.col(id_col), min_docs, min_chars, id_col, text_col).withColumnRenamed("key", "doc_id")
+    return _applied(docs, F.col(id_col), None, min_docs, min_chars, id_col, text_col).withColumnRenamed("key", "doc_id")
 
 
 def cleaned(docs: DataFrame, min_docs: int = MIN_DOCS, min_chars: int = MIN_CHARS,
             id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Every row with all its columns and the text that is left (a null text becomes the empty one)."""
-    out = _applied(docs, F.struct("*"), min_docs, min_chars, id_col, text_col)
+    out = _applied(docs, F.struct("*"), docs.columns.index(text_col), min_docs, min_chars, id_col, text_col)
     return out.select(*[F.col("text").alias(c) if c == text_col else F.col("key")[c].alias(c) for c in docs.columns])
 
 

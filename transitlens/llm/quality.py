@@ -81,26 +81,31 @@ def measure_block(b: X.Block) -> dict[str, np.ndarray]:
     return out
 
 
-def _measured(src: DataFrame) -> DataFrame:
-    """Adds MEASURES to rows (key, text) and drops the text: one pass, no shuffle."""
+def _measured(src: DataFrame, field: int | None = None) -> DataFrame:
+    """Adds MEASURES to rows (key, text) and drops the text: one pass, no shuffle. ``field``: the text is that
+    field of the key, so rows that carry their text send it to Python once."""
     schema = T.StructType([src.schema["key"]] + [T.StructField(m, T.LongType()) for m in MEASURES])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for b in X.blocks(batch.column(1)):
+            for b in X.blocks(batch.column(1) if field is None else batch.column(0).field(field)):
                 got = measure_block(b)
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(0).slice(b.first, b.n)] + [pa.array(got[m].astype(np.int64)) for m in MEASURES],
                     names=["key", *MEASURES])
 
-    return src.select("key", "text").mapInArrow(run, schema)
+    return src.mapInArrow(run, schema)
 
 
 def ledger(docs: DataFrame, key: str | Column = "doc_id", text_col: str = "text") -> DataFrame:
     """(key, *MEASURES, failed_bits): every rule evaluated once. ``key``: what of a row the ledger carries."""
     key = F.col(key) if isinstance(key, str) else key
+    return _failed(_measured(docs.select(key.alias("key"), F.col(text_col).alias("text"))))
+
+
+def _failed(measured: DataFrame) -> DataFrame:
     bits = " | ".join(f"(CASE WHEN {cond} THEN {1 << i}L ELSE 0L END)" for i, (_, cond) in enumerate(RULES))
-    return _measured(docs.select(key.alias("key"), F.col(text_col).alias("text"))).withColumn("failed_bits", F.expr(bits))
+    return measured.withColumn("failed_bits", F.expr(bits))
 
 
 def rejected_by(mask: int, bits: str | Column = "failed_bits") -> Column:
@@ -135,7 +140,8 @@ def judged(docs: DataFrame, policy: str = CURRENT, key: str | Column = "doc_id",
 
 def accepted(docs: DataFrame, policy: str = CURRENT, text_col: str = "text") -> DataFrame:
     """The rows that a policy keeps, with all their columns; nothing is shuffled or joined."""
-    return judged(docs, policy, F.struct("*"), text_col).filter("kept").select("key.*")
+    led = _failed(_measured(docs.select(F.struct("*").alias("key")), docs.columns.index(text_col)))
+    return led.filter(~rejected_by(POLICIES[policy] | POLICIES["v1"])).select("key.*")
 
 
 def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
