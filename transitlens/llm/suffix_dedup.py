@@ -12,9 +12,9 @@ starts earlier. The steps:
    an earlier one is repeated as a whole. The first ones go on where an anchor has several contents.
 3. Segments with one anchor meet in one task. A batch of them is cut in shards; every shard's
    suffixes are sorted and give its Burrows-Wheeler transform. The transforms are merged by
-   iterative interleave refinement: the interleave for contexts of k bytes gives that for k + 1
-   through a stable distribution by the symbol before, and the round in which two neighbours part
-   is their common prefix. No suffix is sorted again. After LENGTH rounds the blocks that
+   iterative interleave refinement: the interleave for contexts of k bytes gives that for k + 2
+   through a stable distribution by the two symbols before, and the round in which two neighbours part
+   gives their common prefix. No suffix is sorted again. After LENGTH rounds the blocks that
    are still together are the repeated intervals; all their places but the first are covered.
 4. An anchor with more than ``MOST`` different segments is not held by one task: its windows are
    grouped exactly by hash over ranges instead (``sketch.later_places``).
@@ -118,7 +118,7 @@ def segments(docs: DataFrame, length: int, gram: int, bits: int) -> DataFrame:
                      pa.array(tk[row[at]]), pa.array((first - b.start[at] + base[at]).astype(np.int64)), seg],
                     names=["h", "c", "doc", "tk", "pos", "seg"])
 
-    return docs.select("doc", "tk", "text").mapInArrow(run, "h bigint, c bigint, doc bigint, tk int, pos bigint, seg binary")
+    return docs.select("doc", "tk", "text").mapInArrow(run, "h bigint, c bigint, doc bigint, tk bigint, pos bigint, seg binary")
 
 
 def _streamed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -166,10 +166,15 @@ def _streamed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def suffix_order(sym: np.ndarray, end: np.ndarray) -> np.ndarray:
     """The suffixes of a shard in order, by prefix doubling. ``sym`` is 0 where a segment ends, ``end`` that place for
     every symbol; equal suffixes keep the order of their segments."""
-    rank, at, k, count = sym.astype(np.int64), np.arange(len(sym)), 1, -1
+    n = len(sym)
+    at, bits = np.arange(n), max(1, (n - 1).bit_length())
+    rank, k, count = np.zeros(n, np.int64), 4, -1
+    for j in range(k):                                   # the first four symbols as one number
+        rank = rank * 256 + sym[np.minimum(at + j, end)]
+    _, rank = np.unique(rank, return_inverse=True)
     while True:
         key = rank * (int(rank.max()) + 1) + rank[np.minimum(at + k, end)]
-        order = np.argsort(key, kind="stable")
+        order = np.argsort((key << bits) | at) if key.max() < 1 << (62 - bits) else np.argsort(key, kind="stable")
         s = key[order]
         level = np.concatenate(([0], np.cumsum(s[1:] != s[:-1])))
         if level[-1] == count:
@@ -184,33 +189,50 @@ def transform(sym: np.ndarray, order: np.ndarray) -> np.ndarray:
     return np.where(order > 0, sym[order - 1], 0).astype(np.uint8)
 
 
-def merged(bwts: list[np.ndarray], strings: list[int], length: int) -> tuple[np.ndarray, np.ndarray]:
-    """(shard of every suffix in the merged order, block of equal ``length``-prefixes) by interleave refinement.
+NONE = np.uint16(65535)      # no symbols before: sorts behind all
+
+
+def before(bwt: np.ndarray) -> np.ndarray:
+    """Where a shard's order has the suffix that begins one symbol earlier (its LF mapping); of use where there is one."""
+    out = np.empty(len(bwt), np.int32)
+    out[np.argsort(bwt, kind="stable")] = np.arange(len(bwt), dtype=np.int32)
+    return out
 
-    Round k starts from the interleave for contexts of k - 1 symbols. The merged transform's symbols in that order,
-    distributed stably by symbol, give the interleave for k symbols; blocks part where the symbol or the block of the
-    context differs, so a boundary that appears in round k is a common prefix of k - 1. Ends early when a round parts nothing.
+
+def merged(bwts: list[np.ndarray], strings: list[int], length: int) -> tuple[np.ndarray, np.ndarray]:
+    """(the interleave of the shards, block of equal ``length``-prefixes): the merged order by interleave refinement.
+
+    The interleave names suffixes by their places in the shards' orders, one shard after the other. A round takes it
+    from contexts of k symbols to k + 2: the two symbols before every suffix (from the transforms), in the interleave's
+    order, are distributed stably, and each suffix gives way to the one that begins two symbols earlier; suffixes of
+    fewer than two symbols enter in a fixed order. Blocks part where the symbols or the block of the context
+    differ, so a boundary that appears in a round is a common prefix of its k or k + 1. An odd ``length`` begins with a round of one
+    symbol. Ends early when a round parts nothing.
     """
-    every = np.concatenate(bwts)
-    shard = np.repeat(np.arange(len(bwts), dtype=np.uint8), [len(b) for b in bwts])
-    ends = np.repeat(np.arange(len(bwts), dtype=np.uint8), strings)     # the segments' ends come first, in a fixed order
-    block, count = np.zeros(len(every), np.int32), 1
-    sym = np.empty(len(every), np.uint8)
-    for _ in range(length):
-        sym[np.argsort(shard, kind="stable")] = every
-        order = np.argsort(sym, kind="stable")
-        part, old = sym[order], block[order]
-        old[:len(ends)] = 0
-        nxt = shard[order]
-        nxt[:len(ends)] = ends
-        now = np.empty(len(every), np.int32)
-        now[0] = 0
-        np.cumsum((part[1:] != part[:-1]) | (old[1:] != old[:-1]), out=now[1:])
-        shard, block = nxt, now
-        if now[-1] + 1 == count:
+    base = np.concatenate(([0], np.cumsum([len(b) for b in bwts])))[:-1]
+    one = np.concatenate(bwts).astype(np.uint16)
+    lf = np.concatenate([before(b) + np.int32(o) for b, o in zip(bwts, base)])
+    ends = np.concatenate([np.arange(o, o + n, dtype=np.int32) for o, n in zip(base, strings)])    # suffixes without a symbol sort first
+    two = one[lf] * np.uint16(256) + one
+    steps = [(np.where(one == 0, NONE, one * np.uint16(256)), lf, ends, np.zeros(len(ends), np.uint16))] if length % 2 else []
+    later = (np.where((one == 0) | (one[lf] == 0), NONE, two), lf[lf], np.concatenate((ends, lf[ends])),
+             np.concatenate((np.zeros(len(ends), np.uint16), one[ends] * np.uint16(256))))
+    steps += [later] * (length // 2)
+    n = len(one)
+    where, block, count = np.arange(n, dtype=np.int32), np.zeros(n, np.int32), 1
+    for keys, back, short, short_keys in steps:
+        key = np.concatenate((short_keys, keys[where]))
+        order = np.argsort(key, kind="stable")[:n]
+        part = key[order]
+        old = np.concatenate((np.zeros(len(short), np.int32), block))[order]
+        where = np.concatenate((short, back[where]))[order]
+        block = np.empty(n, np.int32)
+        block[0] = 0
+        np.cumsum((part[1:] != part[:-1]) | (old[1:] != old[:-1]), out=block[1:])
+        if block[-1] + 1 == count:
             break
-        count = int(now[-1]) + 1
-    return shard, block
+        count = int(block[-1]) + 1
+    return where, block
 
 
 def covered_windows(segs: list[bytes], place: np.ndarray, length: int, shard_bytes: int = SHARD) -> tuple[np.ndarray, np.ndarray]:
@@ -232,9 +254,8 @@ def covered_windows(segs: list[bytes], place: np.ndarray, length: int, shard_byt
         suffixes.append(order + base)
         strings.append(hi - lo)
         base += len(sym)
-    shard, block = merged(bwts, strings, length)
-    sa = np.empty(base, np.int64)
-    sa[np.argsort(shard, kind="stable")] = np.concatenate(suffixes)
+    where, block = merged(bwts, strings, length)
+    sa = np.concatenate(suffixes)[where]
     start = np.cumsum(size + 1) - size - 1
     seg = np.searchsorted(start, sa, "right") - 1
     off = sa - start[seg]
@@ -323,17 +344,18 @@ def covered_spans(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, bits:
     gram = min(gram, length)
     place = ["h", "c", "doc", "tk", "pos"]
     found = written(segments(docs, length, gram, bits).repartitionByRange(*place).sortWithinPartitions(*place)
-                    .mapInArrow(_streamed, "h bigint, doc bigint, tk int, pos bigint, size int, seg binary"), "segments")
+                    .mapInArrow(_streamed, "h bigint, doc bigint, tk bigint, pos bigint, size int, seg binary"), "segments")
     whole = found.filter("seg IS NULL").select("doc", "tk", F.col("pos").alias("start"), (F.col("pos") + F.col("size")).alias("end"))
     several = found.filter("seg IS NOT NULL")
     counts = several.groupBy("h").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
     counts = written(counts, "anchors")
     alike = several.join(counts.filter(F.col("n") <= most).select("h"), "h", "left_semi").select("h", "doc", "tk", "pos", "size", "seg")
-    # an anchor's segments, at most ``most``, in one task
-    spans = (alike.repartition("h").sortWithinPartitions("h")
-             .mapInArrow(_merge_batches(length), "doc bigint, tk int, start bigint, end bigint"))
+    # an anchor's segments, at most ``most``, in one task; a fixed number of tasks, since their work is not their bytes
+    tasks = 4 * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    spans = (alike.repartition(tasks, "h").sortWithinPartitions("h")
+             .mapInArrow(_merge_batches(length), "doc bigint, tk bigint, start bigint, end bigint"))
     hot = several.join(counts.filter(F.col("n") > most).select("h"), "h", "left_semi").select("h", "doc", "tk", "pos", "size", "seg")
-    later = S.later_places(hot.mapInArrow(_windows(length), "h1 bigint, h2 bigint, doc bigint, tk int, pos int"))
+    later = S.later_places(hot.mapInArrow(_windows(length), "h1 bigint, h2 bigint, doc bigint, tk bigint, pos int"))
     return whole.unionByName(spans).unionByName(
         later.select("doc", "tk", F.col("pos").cast("long").alias("start"), (F.col("pos") + length).cast("long").alias("end")))
 
