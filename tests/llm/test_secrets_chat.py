@@ -103,3 +103,22 @@ def test_long_chain_and_escapes(spark):
     r = C.formatted(msgs(spark, rows)).select(C.turns(C.F.col("text")).alias("t"), C.masked(C.F.col("text"), C.F.col("mask")).alias("m")).first()
     assert [tuple(x) for x in r.t] == [(x[3], x[4]) for x in rows]
     assert r.m == [x[4] for x in rows if x[3] == "assistant"]
+
+
+def test_one_conversation_of_very_many_turns(spark):
+    """Rows of fixed size: 20,000 turns of one conversation, beside others; written bytes grow with the turns, not with their square."""
+    from pyspark.sql import functions as F
+    n = 20_000
+    rows = spark.range(n).select(F.lit(1).cast("long").alias("conv_id"), F.col("id").alias("turn"),
+                                 F.when(F.col("id") % 2 == 0, "user").otherwise("assistant").alias("role"),
+                                 F.concat(F.lit("turn "), F.col("id")).alias("text"))
+    rows = rows.unionByName(spark.range(300).select((F.col("id") / 3 + 2).cast("long").alias("conv_id"), (F.col("id") % 3).alias("turn"),
+                                                    F.lit("user").alias("role"), F.lit("x").alias("text")))
+    found, jumps = C.branches(C.chained(rows))
+    assert {(r.tree, r.depth) for r in found.where("tree < 4").collect()} == {(1, n), (2, 3), (3, 3)}
+    assert len(jumps) == 16 and max(j.count() for j in jumps) <= n + 300
+    marked = C.on_paths(C.best_paths(found), jumps)
+    got = marked.where("tree = 1").agg(F.count("*"), F.count_distinct("i"), F.min("i"), F.max("i"), F.sum((F.col("node") == F.col("i") + 1).cast("int"))).first()
+    assert tuple(got) == (n, n, 0, n - 1, n)
+    out = C.formatted(C.chained(rows)).where("tree = 1").select(C.turns(F.col("text")).alias("t")).first().t
+    assert [t.text for t in out] == [f"turn {i}" for i in range(n)]

@@ -1,10 +1,11 @@
 """Chat formatting of reply trees, in DataFrame operations only (operator 7).
 
 Messages that answer messages form trees. Iterative self-joins double the
-known part of every node's path to its root, so a tree of depth n takes
-log2(n) joins; leaves end the root-to-leaf paths. Branches are ranked by
-the sum of their messages' scores (ties: the longer path, then the leaf's id),
-and each chosen path is formatted as one conversation.
+distance that every message sees towards its root, so a tree of depth n takes
+log2(n) joins, over one row of fixed size per message; leaves end the root-to-leaf paths. Branches are
+ranked by the sum of their messages' scores (ties: the longer path, then the leaf's id). The messages of
+a chosen branch are marked by the same jumps in reverse, and the
+branch is formatted as one conversation: its text is one value, which one task puts together.
 
 Template: ``<s>`` and the turns: ``[INST] user [/INST]``, ``[OUT] assistant</s>``,
 ``[SYS] system [/SYS]``, and ``[ROLE:hex of the role] text [/ROLE]`` for any
@@ -23,7 +24,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from .storage import NO_ID, read, written
+from .storage import NO_ID, free, read, written
 
 CONTROL = r"/?s>|/?INST\]|OUT\]|/?SYS\]|ROLE:|/ROLE\]"
 _RAW = rf"([<\[])(\\*)({CONTROL})"
@@ -48,37 +49,54 @@ def _mark(role: Column, i: int) -> Column:
     return out.otherwise(other)
 
 
-def paths(messages: DataFrame) -> DataFrame:
-    """(tree, leaf, path, score): every root-to-leaf path of messages (tree, node, parent, score).
+def branches(messages: DataFrame) -> tuple[DataFrame, list[DataFrame]]:
+    """((tree, leaf, score, depth) of every root-to-leaf path, jumps) of messages (tree, node, parent, score).
 
-    ``path`` has the node ids from the root on.
+    Every round keeps one row of fixed size per message: the message 2 ** round above it (null beyond the root), and the
+    summed score and number of the messages passed. ``jumps[round]`` is that row's (tree, node, above).
     """
     nodes = written(messages.select("tree", "node", "parent", "score").dropDuplicates(["tree", "node"]), "nodes")
+    most = nodes.groupBy("tree").count().agg(F.coalesce(F.max("count"), F.lit(0))).first()[0]
     known = nodes.select(F.col("tree").alias("t"), F.col("node").alias("up"))
-    state = (nodes.join(known, (F.col("tree") == F.col("t")) & (F.col("parent") == F.col("up")), "left")
-             .select("tree", "node", F.col("up").alias("above"), F.array("node").alias("path"), "score"))
-    state = written(state, "paths")
-    while True:
-        open_ = state.filter("above IS NOT NULL")
+    state = written(nodes.join(known, (F.col("tree") == F.col("t")) & (F.col("parent") == F.col("up")), "left")
+                    .select("tree", "node", F.col("up").alias("above"), "score", F.lit(1).cast("long").alias("depth")), "paths")
+    jumps = [state]
+    # who is still under way after as many steps as the tree has messages is in a cycle or under one
+    while 1 << (len(jumps) - 1) < most and not state.filter("above IS NOT NULL").isEmpty():
         up = state.select(F.col("tree").alias("t"), F.col("node").alias("n"), F.col("above").alias("next"),
-                          F.col("path").alias("head"), F.col("score").alias("more"))
-        longer = (open_.join(up, (F.col("tree") == F.col("t")) & (F.col("above") == F.col("n")))
-                  .select("tree", "node", F.col("next").alias("above"), F.concat("head", "path").alias("path"),
-                          (F.col("score") + F.col("more")).alias("score"), F.array_contains("head", F.col("node")).alias("loop")))
-        # a node that meets itself above is in a cycle or under one
-        state = written(state.filter("above IS NULL").unionByName(longer.filter("NOT loop").drop("loop")), "paths")
-        if state.filter("above IS NOT NULL").isEmpty():
-            break
+                          F.col("score").alias("more"), F.col("depth").alias("further"))
+        longer = (state.filter("above IS NOT NULL").join(up, (F.col("tree") == F.col("t")) & (F.col("above") == F.col("n")))
+                  .select("tree", "node", F.col("next").alias("above"), (F.col("score") + F.col("more")).alias("score"),
+                          (F.col("depth") + F.col("further")).alias("depth")))
+        state = written(state.filter("above IS NULL").unionByName(longer), "paths")
+        jumps.append(state)
     parents = nodes.filter("parent IS NOT NULL").select("tree", F.col("parent").alias("node")).distinct()
-    return state.join(parents, ["tree", "node"], "left_anti").select("tree", F.col("node").alias("leaf"), "path", "score")
+    leaves = state.filter("above IS NULL").join(parents, ["tree", "node"], "left_anti")
+    return leaves.select("tree", F.col("node").alias("leaf"), "score", "depth"), jumps
 
 
 def best_paths(found: DataFrame, top: int = 1) -> DataFrame:
     """The ``top`` branches of every tree, with their rank."""
-    order = W.partitionBy("tree").orderBy(F.desc("score"), F.desc(F.size("path")), "leaf")
+    order = W.partitionBy("tree").orderBy(F.desc("score"), F.desc("depth"), "leaf")
     return found.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= top)
 
 
+def on_paths(chosen: DataFrame, jumps: list[DataFrame]) -> DataFrame:
+    """(tree, rank, i, node): every message on the chosen branches, ``i`` counted from the root.
+
+    From the longest jump to the shortest, what is marked marks the message that far above it; so a
+    message at any distance is marked once, by the binary digits of the distance.
+    """
+    marked = written(chosen.select("tree", "rank", F.col("leaf").alias("node"), (F.col("depth") - 1).alias("i")), "marked")
+    for k in reversed(range(len(jumps))):
+        step = jumps[k].filter("above IS NOT NULL").select(F.col("tree").alias("t"), F.col("node").alias("n"), "above")
+        more = (marked.join(step, (F.col("tree") == F.col("t")) & (F.col("node") == F.col("n")))
+                .select("tree", "rank", F.col("above").alias("node"), (F.col("i") - (1 << k)).alias("i")))
+        last, marked = marked, written(marked.unionByName(more), "marked")
+        free(last, jumps[k])
+    return marked
+
+
 def formatted(messages: DataFrame, top: int = 1) -> DataFrame:
     """(tree, rank, text, mask): the chosen paths as conversations.
 
@@ -88,8 +106,8 @@ def formatted(messages: DataFrame, top: int = 1) -> DataFrame:
     src = messages.select(F.coalesce("tree", F.lit(NO_ID)).alias("tree"), "node", "parent",
                           F.coalesce("role", F.lit("")).alias("role"), F.coalesce("text", F.lit("")).alias("text"),
                           F.coalesce("score", F.lit(0)).cast("double").alias("score"))
-    chosen = best_paths(paths(src), top).select("tree", "rank", F.posexplode("path").alias("i", "node"))
-    turn = chosen.join(src.dropDuplicates(["tree", "node"]), ["tree", "node"])
+    found, jumps = branches(src)
+    turn = on_paths(best_paths(found, top), jumps).join(src.dropDuplicates(["tree", "node"]), ["tree", "node"])
     parts = turn.select("tree", "rank", "i", "role", _mark(F.col("role"), 0).alias("a"), escaped(F.col("text")).alias("b"),
                         _mark(F.col("role"), 1).alias("c"))
     before = W.partitionBy("tree", "rank").orderBy("i").rowsBetween(W.unboundedPreceding, -1)
