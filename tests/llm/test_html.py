@@ -64,3 +64,44 @@ def test_parsing_and_odd_pages(spark):
     got = H.extracted(df).collect()
     assert len(got) == len(rows) and {r.page_id for r in got} == {1, 2, 3, None}
     assert H.extracted(df.limit(0)).count() == 0
+
+
+#: Pages that no model is trained on, with their main text.
+HELD_OUT = {
+    "comments are articles": ("""<body><div class="content"><h1>Tides</h1><p>The tide comes in twice a day.</p><p>It leaves shells behind.</p></div>
+        <div id="comments"><article class="comment"><p>I like shells very much, and I collect them.</p></article></div></body>""",
+                              "Tides\nThe tide comes in twice a day.\nIt leaves shells behind."),
+    "one comment is the only article": ("""<body><div class="content"><p>The story is here. It has two sentences.</p></div>
+        <article class="comment"><p>Nice story, thank you for it.</p></article></body>""", "The story is here. It has two sentences."),
+    "a formula": ("""<body><main><p>We know that <math><mi>a</mi><mo>=</mo><msup><mi>b</mi><mn>2</mn></msup></math> holds.</p><p>So we are done.</p></main></body>""",
+                  "We know that a=b2 holds.\nSo we are done."),
+    "noscript": ("""<body><article><h1>Map</h1><p>The map shows the town. <noscript>It lies on a hill.</noscript></p><p>Walk to see it.</p></article>
+        <footer>Imprint and contact.</footer></body>""", "Map\nThe map shows the town. It lies on a hill.\nWalk to see it."),
+    "object": ("""<body><article><p>The plan is below.</p><object data="plan.pdf"><p>The plan has three rooms.</p></object><p>It is old.</p></article></body>""",
+               "The plan is below.\nThe plan has three rooms.\nIt is old."),
+    "footnotes": ("""<body><article><h1>Kings</h1><p>The king had two sons.</p><section class="footnotes"><ol><li>The elder one died young.</li></ol></section></article>
+        <div class="footer">All rights reserved.</div></body>""", "Kings\nThe king had two sons.\nThe elder one died young."),
+    "related work": ("""<body><article><h1>Sorting</h1><p>We sort numbers fast.</p><section class="related-work"><h2>Related work</h2><p>Others sort them slowly.</p>
+        </section></article><div class="related-posts"><p>Read also how to count numbers.</p></div></body>""",
+                     "Sorting\nWe sort numbers fast.\nRelated work\nOthers sort them slowly."),
+    "a frame that names a sidebar": ("""<body><div class="wrapper has-sidebar"><div class="content"><h1>Oak</h1><p>The oak is a tree that grows old.</p><p>Its wood is hard, and
+        ships were made of it.</p></div></div><div class="sidebar"><p>Trees of the month.</p></div></body>""",
+                                     "Oak\nThe oak is a tree that grows old.\nIts wood is hard, and ships were made of it."),
+    "a form around all": ("""<body><form id="page"><div class="main"><h1>Rules</h1><p>Wash your hands first. Then sit down at the table.</p><p>Wait for the others.</p></div>
+        <div class="menu"><a href="/">Home</a></div></form></body>""", "Rules\nWash your hands first. Then sit down at the table.\nWait for the others."),
+    "a heading named header": ("""<body><article><h2 class="section-header">First part</h2><p>It begins slowly, as such stories do.</p>
+        <h2 class="section-header">Second part</h2><p>It ends well.</p></article></body>""", "First part\nIt begins slowly, as such stories do.\nSecond part\nIt ends well."),
+    "tags of a story": ("""<body><article><p>The sea was calm that day, and the boat went out.</p><div class="tags"><p>Filed under the sea.</p></div></article></body>""",
+                        "The sea was calm that day, and the boat went out.\nFiled under the sea."),
+    "teasers are articles": ("""<body><div class="content"><h1>Snow</h1><p>Snow fell over night on all the hills around the town, and it stayed for weeks. Nobody went out much.</p>
+        <p>Children built a house of it, with two rooms and a door, and lived there until the evening came.</p></div>
+        <div class="related"><article><a href="/a">Ice</a></article><article><a href="/b">Rain</a></article></div></body>""",
+                             "Snow\nSnow fell over night on all the hills around the town, and it stayed for weeks. Nobody went out much.\n"
+                             "Children built a house of it, with two rooms and a door, and lived there until the evening came."),
+}
+
+
+@pytest.mark.parametrize("name", HELD_OUT)
+def test_pages_of_other_make(name):
+    page, text = HELD_OUT[name]
+    assert H.trained().text(page) == text

@@ -37,18 +37,23 @@ from .storage import read
 SAMPLE = 200            # pages of the table that are labelled by their own markup, at most
 
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-INLINE = frozenset("a abbr acronym b bdi bdo big br cite code data del dfn em font i img ins kbd mark q rp rt ruby s samp small "
-                   "span strike strong sub sup time tt u var wbr".split())
-RAW = frozenset("script style noscript template svg math iframe object audio video canvas".split())
+#: Formulas are text; noscript and object hold what stands in for a script or file, as part of what is around them.
+FORMULA = frozenset("math mfrac mi mmultiscripts mn mo mover mpadded mphantom mprescripts mroot mrow ms mspace msqrt mstyle msub msubsup msup "
+                    "mtable mtd mtext mtr munder munderover semantics merror".split())
+INLINE = FORMULA | frozenset("a abbr acronym b bdi bdo big br cite code data del dfn em font i img ins kbd mark noscript object q rp rt ruby s samp "
+                             "small span strike strong sub sup time tt u var wbr".split())
+RAW = frozenset("script style template svg iframe audio video canvas annotation annotation-xml".split())
 HIDDEN = frozenset("head title meta link base".split())
 #: A start tag of the first kind ends an open element of the second kinds.
 ENDS = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"},
         "option": {"option"}}
 STOPS = {"li": {"ul", "ol", "menu"}, "dt": {"dl"}, "dd": {"dl"}, "tr": {"table"}, "td": {"table", "tr"}, "th": {"table", "tr"}, "option": {"select"}}
 FURNITURE_TAGS = frozenset("nav header footer aside form button select option menu dialog label input fieldset textarea".split())
-FURNITURE = re.compile(r"(?:^|[^a-z])(?:ads?|advert\w*|sponsor\w*|banner|promo\w*|side-?bar|nav\w*|menu|foot\w*|head|header|masthead|"
-                       r"comments?|respond|cookies?|consent|notice|popup|modal|share|sharing|social|related|recommend\w*|newsletter|subscribe|"
-                       r"breadcrumbs?|widget|login|pagination|toolbar|disclaimer|tags)(?:[^a-z]|$)")
+FURNITURE = re.compile(r"(?:^|[^a-z])(?:ads?|advert\w*|sponsor\w*|banner|promo\w*|side-?bar|nav\w*|menu|footer\w*|(?:page|site)-?foot|header|masthead|"
+                       r"comments?|respond|cookies?|consent|notice|popup|modal|share|sharing|social|related(?![-_ ]?works?)|recommend(?:ed)?|newsletter|subscribe|"
+                       r"breadcrumbs?|widget|login|pagination|toolbar)(?:[^a-z]|$)")
+WHOLE = 0.6             # a part with this share of the text that also has a title is the page's frame, whatever it is called
+MAIN = 0.25             # share of the text outside of furniture that an article element needs to be the main one
 CONTENT = re.compile(r"(?:^|[^a-z])(?:content|article\w*|post|entry|story|main|text|body)(?:[^a-z]|$)")
 ROLES = frozenset("navigation banner contentinfo complementary search dialog alert form menu".split())
 
@@ -166,21 +171,54 @@ def _named(n: Node) -> str:
     return f"{n.attrs.get('class') or ''} {n.attrs.get('id') or ''}".lower() if n.attrs else ""
 
 
+def _heading(n: Node) -> bool:
+    return len(n.tag) == 2 and n.tag[0] == "h" and n.tag[1].isdigit()
+
+
+def _hidden(n: Node) -> bool:
+    return (n.attrs.get("role") or "").lower() in ROLES or "hidden" in n.attrs or n.attrs.get("aria-hidden") == "true"
+
+
+class Layout:
+    """What a page's markup says: sizes, furniture by tag and by name, and its main elements.
+
+    A part that has most of the text and a title (h1, article or main) is the frame of the page: a form around all,
+    or a class that only mentions a sidebar, does not make it furniture. An article or main element is a main one if neither it nor
+    what it is in is furniture, and it holds a good share of the other text: comments and teasers may be articles too.
+    """
+
+    def __init__(self, nodes: list[Node]):
+        n = len(nodes)
+        self.size, self.linked = [len(x.text) for x in nodes], [x.linked for x in nodes]
+        titled = [x.tag in ("h1", "article", "main") for x in nodes]
+        for i in range(n - 1, 0, -1):
+            p = nodes[i].parent
+            self.size[p] += self.size[i]
+            self.linked[p] += self.linked[i]
+            titled[p] = titled[p] or titled[i]
+        self.by_tag, self.by_name, self.by_role, within = [False] * n, [False] * n, [False] * n, [False] * n
+        for i, x in enumerate(nodes):
+            if not x.run and not (titled[i] and self.size[i] > WHOLE * self.size[0]):
+                names = "" if _heading(x) else _named(x)
+                self.by_tag[i], self.by_name[i], self.by_role[i] = x.tag in FURNITURE_TAGS, bool(names) and bool(FURNITURE.search(names)), _hidden(x)
+            within[i] = self.by_tag[i] or self.by_name[i] or self.by_role[i] or (x.parent >= 0 and within[x.parent])
+        self.within = within
+        rest = sum(len(x.text) for x, w in zip(nodes, within) if not w)
+        self.main = [x.tag in ("article", "main") and not w and self.size[i] > 0 and self.size[i] >= MAIN * rest
+                     for i, (x, w) in enumerate(zip(nodes, within))]
+
+
 def features(nodes: list[Node]) -> np.ndarray:
     """A row of FEATURES for every node."""
     x = np.zeros((len(nodes), len(FEATURES)))
     col = {f: i for i, f in enumerate(FEATURES)}
-    size = [len(n.text) for n in nodes]
-    linked = [n.linked for n in nodes]
-    for i in range(len(nodes) - 1, 0, -1):
-        size[nodes[i].parent] += size[i]
-        linked[nodes[i].parent] += linked[i]
-    inside = [False] * len(nodes)                        # in an article or main element
-    holds = [False] * len(nodes)
+    page = Layout(nodes)
+    size, linked = page.size, page.linked
+    inside = [False] * len(nodes)                        # in a main element
+    holds = list(page.main)
     for i, n in enumerate(nodes):
-        inside[i] = n.tag in ("article", "main") or (n.parent >= 0 and inside[n.parent])
+        inside[i] = page.main[i] or (n.parent >= 0 and inside[n.parent])
     for i in range(len(nodes) - 1, 0, -1):
-        holds[i] = holds[i] or nodes[i].tag in ("article", "main")
         holds[nodes[i].parent] = holds[nodes[i].parent] or holds[i]
     for i, n in enumerate(nodes):
         row = x[i]
@@ -195,14 +233,14 @@ def features(nodes: list[Node]) -> np.ndarray:
             continue
         names = _named(n)
         row[col["content_tag"]] = n.tag in ("article", "main")
-        row[col["furniture_tag"]] = n.tag in FURNITURE_TAGS
-        row[col["furniture_words"]] = bool(names) and bool(FURNITURE.search(names))
+        row[col["furniture_tag"]] = page.by_tag[i]
+        row[col["furniture_words"]] = page.by_name[i]
         row[col["content_words"]] = bool(names) and bool(CONTENT.search(names))
         row[col["paragraph"]] = n.tag in ("p", "blockquote", "pre")
-        row[col["heading"]] = len(n.tag) == 2 and n.tag[0] == "h" and n.tag[1].isdigit()
+        row[col["heading"]] = _heading(n)
         row[col["list"]] = n.tag in ("ul", "ol", "li", "dl", "dt", "dd")
         row[col["table"]] = n.tag in ("table", "tbody", "thead", "tr", "td", "th")
-        row[col["role"]] = (n.attrs.get("role") or "").lower() in ROLES or "hidden" in n.attrs or n.attrs.get("aria-hidden") == "true"
+        row[col["role"]] = page.by_role[i]
         row[col["root"]] = n.tag in ("#root", "html", "body")
     return x
 
@@ -211,11 +249,11 @@ def labelled(page: str, own: bool = False) -> tuple[list[Node], np.ndarray] | No
     """(nodes, labels) of a labelled page. ``own``: by the page's own article or main element and furniture in it."""
     nodes = dom(page)
     y = np.zeros(len(nodes), np.int8)
+    page_layout = Layout(nodes) if own else None
     for i, n in enumerate(nodes):
         up = nodes[n.parent] if n.parent >= 0 else None
         if own:
-            bad = not n.run and (n.tag in FURNITURE_TAGS or bool(FURNITURE.search(_named(n))))
-            y[i] = not bad and (n.tag in ("article", "main") or (up is not None and y[n.parent] == 1))
+            y[i] = not page_layout.within[i] and (page_layout.main[i] or (up is not None and y[n.parent] == 1))
         else:
             y[i] = "data-y" in n.attrs or (up is not None and "data-y" in up.attrs)
     for i in range(len(nodes) - 1, 0, -1):
