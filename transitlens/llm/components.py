@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .storage import written
+from .storage import free, written
 
 
 def _stars(edges: DataFrame, both: bool) -> DataFrame:
@@ -30,7 +30,8 @@ def components(edges: DataFrame) -> DataFrame:
     now = written(edges.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).filter("u > v").distinct(), "edges")
     seen = None
     while True:
-        now = written(_stars(_stars(now, True), False), "stars")
+        old, now = now, written(_stars(_stars(now, True), False), "stars")
+        free(old)
         # a fixpoint has equal edges; count and hash sum stand for the set
         state = now.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
         if state == seen:

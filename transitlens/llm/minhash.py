@@ -26,6 +26,7 @@ the query for 0.85; more rows make fewer accidental meetings.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
@@ -34,7 +35,7 @@ from pyspark.sql import functions as F
 
 from . import text as X
 from .components import components
-from .storage import NO_ID, identified, read, written
+from .storage import free, given_id, identified, read, written
 
 ROWS = 5                # coordinates of a band, for a similarity of 0.8
 BANDS = 36
@@ -123,22 +124,28 @@ def signed(docs: DataFrame, k: int, rows: int, bands: int) -> DataFrame:
                     names=["doc", "tk", "n", "s1", "s2", "bands"])
 
     return docs.select("doc", "tk", "text").mapInArrow(
-        run, "doc bigint, tk int, n bigint, s1 bigint, s2 bigint, bands array<bigint>")
+        run, "doc bigint, tk bigint, n bigint, s1 bigint, s2 bigint, bands array<bigint>")
 
 
 def _full_sets(docs: DataFrame, k: int) -> DataFrame:
-    """(node, n, shingles) of rows (doc, tk, text)."""
+    """(node, n, shingles) of rows (node, text)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for b in X.blocks(batch.column(2)):
+            for b in X.blocks(batch.column(1)):
                 h, r = shingle_sets(b, k)
+                n = np.bincount(r, minlength=b.n)
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).slice(b.first, b.n), batch.column(1).slice(b.first, b.n),
-                     _lists(X.as_i64(h), np.bincount(r, minlength=b.n))], names=["doc", "tk", "shingles"])
+                    [batch.column(0).slice(b.first, b.n), pa.array(n.astype(np.int64)), _lists(X.as_i64(h), n)], names=["node", "n", "shingles"])
+
+    return docs.select("node", "text").mapInArrow(run, "node bigint, n bigint, shingles array<bigint>")
+
 
-    return (docs.select("doc", "tk", "text").mapInArrow(run, "doc bigint, tk int, shingles array<bigint>")
-            .select(F.struct("doc", "tk").alias("node"), F.size("shingles").cast("long").alias("n"), "shingles"))
+def _once(rows: DataFrame, again: DataFrame) -> DataFrame:
+    """One of the equal rows of each (doc, tk). ``again``: the (doc, tk) that repeat, few or none; only their rows are sorted."""
+    marked = rows.join(again.withColumn("again", F.lit(True)), ["doc", "tk"], "left")
+    single = marked.filter("again IS NULL").drop("again")
+    return single.unionByName(marked.filter("again").drop("again").dropDuplicates(["doc", "tk"]))
 
 
 def confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -155,8 +162,8 @@ def confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 CLASSES = 50            # size classes per factor e, for the prefix join
 
 
-def _rest(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Pairs of members (node, label) under other labels that can reach the similarity, by a positional prefix join.
+def _rest(members: DataFrame, sets: DataFrame, percent: int) -> tuple[DataFrame, list[DataFrame]]:
+    """(pairs, the written tables that they read). Pairs of members (node, label) under other labels that can reach the similarity, by a positional prefix join.
 
     Shingles are ordered by how many members have them, rarest first; those of one member alone come first and cannot
     be shared. Sets of sizes m <= n at the threshold share ``need = percent * (m + n) / (100 + percent)``, so
@@ -183,12 +190,15 @@ def _rest(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     # the least size of a class, rounded down, makes the prefix long enough for all of it
     from_size = F.greatest(least, F.floor(F.exp(F.col("class") / CLASSES)))
     large = prefix(shared.withColumn("class", F.explode(classes)), F.col("n") - need(from_size) + 1)
-    a = written(large, "rest-large").select(F.col("node").alias("u"), F.col("label").alias("lu"), F.col("n").alias("nu"), F.col("at").alias("iu"), "class", "t")
-    b = written(small, "rest-small").select(F.col("node").alias("v"), F.col("label").alias("lv"), F.col("n").alias("nv"), F.col("at").alias("iv"), "class", "t")
+    large, small = written(large, "rest-large"), written(small, "rest-small")
+    free(whole, shared)
+    a = large.select(F.col("node").alias("u"), F.col("label").alias("lu"), F.col("n").alias("nu"), F.col("at").alias("iu"), "class", "t")
+    b = small.select(F.col("node").alias("v"), F.col("label").alias("lv"), F.col("n").alias("nv"), F.col("at").alias("iv"), "class", "t")
     possible = (1 + F.least(F.col("nu") - F.col("iu"), F.col("nv") - F.col("iv"))) * (100 + percent) >= percent * (F.col("nu") + F.col("nv"))
-    return (a.join(b, ["class", "t"])
-            .filter((F.col("lu") != F.col("lv")) & (F.col("nu") >= F.col("nv")) & (100 * F.col("nv") >= percent * F.col("nu")) & possible)
-            .select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct())
+    pairs = (a.join(b, ["class", "t"])
+             .filter((F.col("lu") != F.col("lv")) & (F.col("nu") >= F.col("nv")) & (100 * F.col("nv") >= percent * F.col("nu")) & possible)
+             .select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct())
+    return pairs, [large, small]
 
 
 def _labelled(rows: DataFrame, labels: DataFrame, node: str = "node") -> DataFrame:
@@ -196,13 +206,33 @@ def _labelled(rows: DataFrame, labels: DataFrame, node: str = "node") -> DataFra
             .withColumn("label", F.coalesce("label", F.col(node))))
 
 
+@contextmanager
+def _filtered_early(spark: SparkSession):
+    """Lets Spark put a Bloom filter of the smaller side (8 MB at most, whatever the input) in front of the larger one's shuffle."""
+    prefix = "spark.sql.optimizer.runtime.bloomFilter"
+    wanted = {f"{prefix}.enabled": "true", f"{prefix}.applicationSideScanSizeThreshold": "0", f"{prefix}.creationSideThreshold": "10g"}
+    before = {k: spark.conf.get(k) for k in wanted}
+    for k, v in wanted.items():
+        spark.conf.set(k, v)
+    try:
+        yield
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+
+
 def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80, rows: int = ROWS, bands: int = BANDS,
                     id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc, tk, n_shingles, root): every row with the least (doc, tk) of its component."""
     src = identified(docs, id_col, text_col)
-    sig = written(signed(src, k, rows, bands), "signatures")
-    node = F.struct("doc", "tk")
-    nodes = written(sig.filter("n > 0").groupBy("s1", "s2").agg(F.min(node).alias("node"), F.first("bands").alias("bands")), "nodes")
+    signatures = written(signed(src, k, rows, bands), "signatures")
+    name = F.struct("doc", "tk")
+    # a node is a distinct set; inside, nodes are numbers
+    nodes = written(signatures.filter("n > 0").groupBy("s1", "s2").agg(F.min(name).alias("name"), F.first("bands").alias("bands"))
+                    .withColumn("node", F.monotonically_increasing_id()), "nodes")
+    sig = written(signatures.drop("bands"), "rows")
+    free(signatures)
+    again = written(sig.groupBy("doc", "tk").count().filter("count > 1").select("doc", "tk"), "again")
     member = nodes.select("node", F.explode("bands").alias("key"))
     # One centre per bucket: the member that meets the most documents over all its buckets, which is the likely origin of
     # a group of copies; so a group is compared with few centres. (The rest is compared exactly below.)
@@ -212,43 +242,53 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80, rows: int =
     ranked = written(met.select("key", "node").join(known, "node"), "ranked")
     centre = ranked.groupBy("key").agg(F.max(F.struct("met", F.xxhash64("node"), "node")).alias("c")).select("key", F.col("c.node").alias("v"))
     shared = written(ranked.select("key", "node").join(centre, "key"), "shared-buckets")
+    free(met, ranked)
     stars = written(shared.filter("node != v").select(F.greatest("node", "v").alias("u"), F.least("node", "v").alias("v")).distinct(),
                     "stars")
     used = stars.select(F.col("u").alias("node")).unionByName(stars.select(F.col("v").alias("node"))).distinct()
-    sets = written(_full_sets(src.join(used.select("node.*"), ["doc", "tk"], "left_semi").dropDuplicates(["doc", "tk"]), k), "sets")
+    wanted = written(nodes.select("node", "name.*").join(used, "node"), "wanted")
+    with _filtered_early(docs.sparkSession):
+        sets = written(_full_sets(_once(src.join(wanted.filter("node >= 0"), ["doc", "tk"]), again), k), "sets")
     links = written(confirmed(stars, sets, percent), "links")
+    free(stars)
     labels = components(links)
     # buckets that still hold several components: compare their members exactly
     # (sets that reach the similarity are in the same or in neighbouring classes of this width)
     width = F.floor(F.log(F.col("n").cast("double")) / float(-1.001 * np.log(percent / 100)))
     inside = written(_labelled(shared.join(sets.select("node", "n"), "node"), labels)
                      .select("key", "node", "label", F.explode(F.array(width, width + 1)).alias("width")), "inside")
+    free(shared)
     mixed = inside.groupBy("key", "width").agg(F.min("label").alias("a"), F.max("label").alias("b")).filter("a != b")
     left = written(inside.join(mixed.select("key", "width"), ["key", "width"], "left_semi").select("node", "label").distinct(), "left-over")
-    more = written(confirmed(_rest(left, sets, percent), sets, percent), "more-links")
+    free(inside)
+    pairs, read_by = _rest(left, sets, percent)
+    more = written(confirmed(pairs, sets, percent), "more-links")
+    free(left, sets, *read_by)
     if not more.isEmpty():
         # the first components are stars already: their links stand for all that made them
         labels = components(more.unionByName(labels.select(F.col("node").alias("u"), F.col("label").alias("v"))))
-    roots = _labelled(nodes.select("s1", "s2", "node"), labels).select("s1", "s2", "label")
+    # the least name of each component; a node without a link is its own
+    linked = labels.unionByName(labels.select(F.col("label").alias("node"), "label").distinct())
+    named = written(linked.join(nodes.select("node", "name"), "node"), "named")
+    least = named.groupBy("label").agg(F.min("name").alias("root"))
+    rooted = named.join(least, "label").select("node", "root")
+    roots = (nodes.select("s1", "s2", "node", "name").join(rooted, "node", "left")
+             .select("s1", "s2", F.coalesce("root", "name").alias("root")))
     return (sig.join(roots, ["s1", "s2"], "left")
-            .select("doc", "tk", F.col("n").alias("n_shingles"),
-                    F.when(F.col("n") > 0, F.col("label")).otherwise(node).alias("root")))
+            .select("doc", "tk", F.col("n").alias("n_shingles"), F.when(F.col("n") > 0, F.col("root")).otherwise(name).alias("root")))
 
 
 def one_of_each(docs: DataFrame, k: int = 5, percent: int = 80, rows: int = ROWS, bands: int = BANDS,
                 id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The first row of every component, with all its columns."""
-    found = near_duplicates(docs, k, percent, rows, bands, id_col, text_col)
-    stay = found.filter((F.col("doc") == F.col("root.doc")) & (F.col("tk") == F.col("root.tk"))).select("doc", "tk").distinct()
+    found = written(near_duplicates(docs, k, percent, rows, bands, id_col, text_col), "found")
+    first = found.filter((F.col("doc") == F.col("root.doc")) & (F.col("tk") == F.col("root.tk"))).select("doc", "tk")
+    counted = written(first.groupBy("doc", "tk").count(), "first")
     src = docs.select(F.struct("*").alias("row"), *identified(docs, id_col, text_col, columns=True)[:2])
-    return src.join(stay, ["doc", "tk"]).dropDuplicates(["doc", "tk"]).select("row.*")
-
-
-def _id(c: Column) -> Column:
-    return F.when(c != NO_ID, c)
+    return _once(src.join(counted.select("doc", "tk"), ["doc", "tk"]), counted.filter("count > 1").select("doc", "tk")).select("row.*")
 
 
 def op4_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = near_duplicates(read(spark, sf_dir, "documents"), k=3, percent=85, rows=7)
-    return found.select(_id(F.col("doc")).alias("doc_id"), "n_shingles", _id(F.col("root.doc")).alias("component_id"),
+    return found.select(given_id(F.col("doc")).alias("doc_id"), "n_shingles", given_id(F.col("root.doc")).alias("component_id"),
                         (F.col("doc") == F.col("root.doc")).alias("kept"))
