@@ -38,6 +38,7 @@ def test_odd_texts(spark, docs, tokenizer):
         want = texts[4 if r.doc_id is None else r.doc_id] or ""
         assert list(r.ids) == tokenizer.encode_ordinary(want)
         assert bytes(r.bytes) == want.encode()
+    assert sorted(map(repr, B.round_trip(docs(rows), PATH, P.PATTERN).collect())) == sorted(map(repr, got))
     assert B.encoded(docs([]), PATH, P.PATTERN).count() == 0
 
 

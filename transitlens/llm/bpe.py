@@ -21,6 +21,7 @@ table gives an empty result; other columns of the input are ignored.
 from __future__ import annotations
 
 import base64
+import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -28,13 +29,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .storage import read
+from .storage import per_process, read
 
 LONG_WORD = 40          # bytes; longer words take the keyed recursion
-WORDS_AT_ONCE = 40_000
+BYTES_AT_ONCE = {False: 300_000, True: 64_000}      # of the words in one recursion, by whether they are long
 IDS_AT_ONCE = 1 << 20
-PIECE = 1 << 20         # code points
-KNOWN_WORDS = 400_000   # distinct words a task remembers; then it starts anew
+PIECE = 1 << 21         # code points
+MEMORY = "500MB"        # of a DuckDB connection
+KNOWN_WORDS = 100_000   # distinct words a worker remembers from task to task; twice as many within some texts
 
 ENCODE = """
 WITH RECURSIVE t(w, pos, tok, step) AS (
@@ -103,7 +105,7 @@ def pieces(text: str, most: int = PIECE) -> Iterator[str]:
 def _connect(tables: dict[str, pa.Table]):
     import duckdb
 
-    con = duckdb.connect(config={"threads": 1, "memory_limit": "700MB"})
+    con = duckdb.connect(config={"threads": 1, "memory_limit": MEMORY})
     con.execute("SET temp_directory = ''")
     for name, rows in tables.items():
         con.register("given", rows)
@@ -112,19 +114,51 @@ def _connect(tables: dict[str, pa.Table]):
     return con
 
 
+class Words:
+    """Words and their ids."""
+
+    def __init__(self):
+        self.index: dict[str, int] = {}
+        self.start, self.ids = np.zeros(1, np.int64), np.zeros(0, np.int32)
+
+    def add(self, words: list[str], n: np.ndarray, ids: np.ndarray) -> None:
+        """``ids``: those of all words, in turn; ``n``: how many each has."""
+        first = len(self.start) - 1
+        self.index.update(zip(words, range(first, first + len(words))))
+        self.start = np.concatenate((self.start, self.start[-1] + np.cumsum(n)))
+        self.ids = np.concatenate((self.ids, ids))
+
+    def shorten(self) -> None:
+        """Forgets all but the first KNOWN_WORDS words, once there are twice as many."""
+        if len(self.index) > 2 * KNOWN_WORDS:
+            self.index = {w: i for w, i in self.index.items() if i < KNOWN_WORDS}
+            self.start = self.start[:KNOWN_WORDS + 1]
+            self.ids = self.ids[:self.start[-1]]
+
+    def ids_of(self, words: list[str]) -> np.ndarray:
+        at = np.fromiter(map(self.index.__getitem__, words), np.int64, len(words))
+        lo, n = self.start[at], self.start[at + 1] - self.start[at]
+        return self.ids[np.arange(n.sum()) + np.repeat(lo - (np.cumsum(n) - n), n)]
+
+
+#: The pattern of most byte-level vocabularies for texts of ASCII only, where its classes are plain ranges.
+_ASCII = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?[A-Za-z]+| ?[0-9]+| ?[^\t-\r A-Za-z0-9]+|[\t-\r ]+(?![^\t-\r ])|[\t-\r ]+").findall
+_ITS_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+
+
 class Encoder:
-    """Words to ids in one task, through DuckDB; remembers a bounded number of words."""
+    """Words to ids in one task, through DuckDB."""
 
-    def __init__(self, merges: pa.Table, byte_ids: np.ndarray, pattern: str):
+    def __init__(self, merges: pa.Table, byte_ids: np.ndarray, pattern: str, ranks_path: str):
         import regex
 
-        self.find = regex.compile(pattern).findall
+        find = regex.compile(pattern).findall
+        self.find = find if pattern != _ITS_PATTERN else lambda text: _ASCII(text) if text.isascii() else find(text)
         self.con, self.byte_ids = _connect({"merges": merges}), byte_ids
-        self.clear()
+        self.words = per_process(("bpe words", ranks_path, pattern), Words)
 
-    def clear(self) -> None:
-        self.index: dict[str, int] = {}
-        self.start, self.ids = np.zeros(1, np.int64), np.zeros(0, np.int32)
+    def close(self) -> None:
+        self.con.close()
 
     def _run(self, words: list[bytes], sql: str) -> tuple[np.ndarray, np.ndarray]:
         """(tokens per word, tokens)."""
@@ -140,85 +174,110 @@ class Encoder:
 
     def learn(self, words: list[str]) -> None:
         """Encodes words that are not known yet."""
-        new = [w for w in dict.fromkeys(words) if w not in self.index]
+        self.words.shorten()
+        known = self.words.index
+        new = [w for w in dict.fromkeys(words) if w not in known]
         raw = [w.encode() for w in new]
-        long = [i for i, b in enumerate(raw) if len(b) > LONG_WORD]
-        short = [i for i, b in enumerate(raw) if len(b) <= LONG_WORD]
-        for part, sql, step in ((short, ENCODE, WORDS_AT_ONCE), (long, ENCODE_LONG, 100)):
-            for lo in range(0, len(part), step):
-                some = part[lo:lo + step]
-                n, ids = self._run([raw[i] for i in some], sql)
-                base = len(self.start) - 1
-                self.index.update((new[i], base + j) for j, i in enumerate(some))
-                self.start = np.concatenate((self.start, self.start[-1] + np.cumsum(n)))
-                self.ids = np.concatenate((self.ids, ids))
+        for long, most in BYTES_AT_ONCE.items():
+            part = [i for i, b in enumerate(raw) if (len(b) > LONG_WORD) == long]
+            block = np.cumsum([len(raw[i]) for i in part]) // most
+            cuts = np.flatnonzero(np.diff(block)) + 1
+            for some in np.split(np.array(part, np.int64), cuts):
+                if len(some):
+                    self.words.add([new[i] for i in some], *self._run([raw[i] for i in some], sql=ENCODE_LONG if long else ENCODE))
+
+
+def _ids(enc: Encoder, batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    """(doc_id, text) -> (doc_id, ids), some texts at a time: their words, then their ids."""
+    lo = 0
+    while lo < batch.num_rows:
+        rows, size, hi = [], 0, lo
+        while hi < batch.num_rows and size < PIECE:
+            text = batch.column(1)[hi].as_py() or ""
+            rows.append([enc.find(p) for p in pieces(text)])
+            size += len(text)
+            hi += 1
+        enc.learn([w for row in rows for words in row for w in words])
+        ids = [np.concatenate([enc.words.ids_of(words) for words in row]) for row in rows]
+        ends = np.concatenate(([0], np.cumsum([len(x) for x in ids]))).astype(np.int32)
+        yield pa.RecordBatch.from_arrays(
+            [batch.column(0).slice(lo, hi - lo), pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(ids)))],
+            names=["doc_id", "ids"])
+        lo = hi
+
+
+def _bytes(con, batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    """(doc_id, ids) -> (doc_id, ids, bytes): what the ids stand for, from the ids alone."""
+    lists = batch.column(1)
+    n = np.asarray(lists.value_lengths().fill_null(0))
+    lo = 0
+    while lo < batch.num_rows:
+        hi = max(lo + 1, lo + int(np.searchsorted(np.cumsum(n[lo:]), IDS_AT_ONCE, "right")))
+        part, m = lists.slice(lo, hi - lo), n[lo:hi]
+        con.register("ids", pa.table({
+            "doc": np.repeat(np.arange(hi - lo, dtype=np.int32), m),
+            "pos": np.arange(m.sum(), dtype=np.int32), "tok": part.flatten()}))
+        found = con.execute(DECODE).to_arrow_table()
+        con.unregister("ids")
+        texts = [b""] * (hi - lo)
+        for d, t in zip(found["doc"].to_numpy(), found["text"]):
+            texts[d] = t.as_py().encode("latin-1")
+        yield pa.RecordBatch.from_arrays([batch.column(0).slice(lo, hi - lo), part, pa.array(texts, pa.binary())],
+                                         names=["doc_id", "ids", "bytes"])
+        lo = hi
+
+
+def _vocabulary_table(ranks: dict[bytes, int]) -> pa.Table:
+    """(tok, bytes). A byte is a character of one byte's value, so string aggregation keeps bytes that are no whole character."""
+    return pa.table({"tok": pa.array(list(ranks.values()), pa.int32()), "bytes": [t.decode("latin-1") for t in ranks]})
+
+
+def _encoding(docs: DataFrame, ranks_path: str, pattern: str, id_col: str, text_col: str, decode: bool) -> DataFrame:
+    ranks = vocabulary(ranks_path)
+    byte_ids = np.array([ranks[bytes([b])] for b in range(256)], np.int32)
+    shared = docs.sparkSession.sparkContext.broadcast(
+        ((merge_table(ranks), byte_ids, pattern, ranks_path), _vocabulary_table(ranks) if decode else None))
+    src = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
 
-    def ids_of(self, words: list[str]) -> np.ndarray:
-        at = np.fromiter(map(self.index.__getitem__, words), np.int64, len(words))
-        lo, n = self.start[at], self.start[at + 1] - self.start[at]
-        return self.ids[np.arange(n.sum()) + np.repeat(lo - (np.cumsum(n) - n), n)]
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        tables, vocab = shared.value
+        enc, con = Encoder(*tables), _connect({"vocab": vocab}) if decode else None
+        try:
+            for batch in batches:
+                for part in _ids(enc, batch):
+                    if decode:
+                        yield from _bytes(con, part)
+                    else:
+                        yield part
+        finally:
+            enc.close()
+            if con is not None:
+                con.close()
+
+    return src.mapInArrow(run, "doc_id bigint, ids array<int>" + (", bytes binary" if decode else ""))
 
 
 def encoded(docs: DataFrame, ranks_path: str, pattern: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, ids): the token ids of every text, in one pass without a shuffle."""
-    ranks = vocabulary(ranks_path)
-    byte_ids = np.array([ranks[bytes([b])] for b in range(256)], np.int32)
-    shared = docs.sparkSession.sparkContext.broadcast((merge_table(ranks), byte_ids, pattern))
-    src = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
+    return _encoding(docs, ranks_path, pattern, id_col, text_col, False)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        enc = None
-        for batch in batches:
-            enc = enc or Encoder(*shared.value)
-            lo = 0
-            while lo < batch.num_rows:
-                rows, size, hi = [], 0, lo
-                while hi < batch.num_rows and size < PIECE:     # some texts at a time: their words, then their ids
-                    text = batch.column(1)[hi].as_py() or ""
-                    rows.append([enc.find(p) for p in pieces(text)])
-                    size += len(text)
-                    hi += 1
-                if len(enc.index) > KNOWN_WORDS:
-                    enc.clear()
-                enc.learn([w for row in rows for words in row for w in words])
-                ids = [np.concatenate([enc.ids_of(words) for words in row]) for row in rows]
-                ends = np.concatenate(([0], np.cumsum([len(x) for x in ids]))).astype(np.int32)
-                yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).slice(lo, hi - lo), pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(ids)))],
-                    names=["doc_id", "ids"])
-                lo = hi
-
-    return src.mapInArrow(run, "doc_id bigint, ids array<int>")
+
+def round_trip(docs: DataFrame, ranks_path: str, pattern: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """(doc_id, ids, bytes): ``decoded(encoded(..))`` in one pass; the bytes come from the ids alone."""
+    return _encoding(docs, ranks_path, pattern, id_col, text_col, True)
 
 
 def decoded(rows: DataFrame, ranks_path: str) -> DataFrame:
     """(doc_id, ids, bytes) for rows (doc_id, ids): the bytes that the ids stand for, from the ids alone."""
-    ranks = vocabulary(ranks_path)
-    # a byte is a character of one byte's value, so string aggregation keeps bytes that are no whole character
-    vocab = pa.table({"tok": pa.array(list(ranks.values()), pa.int32()), "bytes": [t.decode("latin-1") for t in ranks]})
-    shared = rows.sparkSession.sparkContext.broadcast(vocab)
+    shared = rows.sparkSession.sparkContext.broadcast(_vocabulary_table(vocabulary(ranks_path)))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        con = None
-        for batch in batches:
-            con = con or _connect({"vocab": shared.value})
-            lists = batch.column(1)
-            n = np.asarray(lists.value_lengths().fill_null(0))
-            lo = 0
-            while lo < batch.num_rows:
-                hi = max(lo + 1, lo + int(np.searchsorted(np.cumsum(n[lo:]), IDS_AT_ONCE, "right")))
-                part, m = lists.slice(lo, hi - lo), n[lo:hi]
-                con.register("ids", pa.table({
-                    "doc": np.repeat(np.arange(hi - lo, dtype=np.int32), m),
-                    "pos": np.arange(m.sum(), dtype=np.int32), "tok": part.flatten()}))
-                texts = [""] * (hi - lo)
-                for d, t in con.execute(DECODE).fetchall():
-                    texts[d] = t
-                con.unregister("ids")
-                yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).slice(lo, hi - lo), part, pa.array([t.encode("latin-1") for t in texts], pa.binary())],
-                    names=["doc_id", "ids", "bytes"])
-                lo = hi
+        con = _connect({"vocab": shared.value})
+        try:
+            for batch in batches:
+                yield from _bytes(con, batch)
+        finally:
+            con.close()
 
     return rows.select("doc_id", "ids").mapInArrow(run, "doc_id bigint, ids array<int>, bytes binary")
 
@@ -227,7 +286,7 @@ def op6_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
     path = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
-    rows = decoded(encoded(read(spark, sf_dir, "documents"), path, public_tokenizers.PATTERN), path)
+    rows = round_trip(read(spark, sf_dir, "documents"), path, public_tokenizers.PATTERN)
     return rows.select("doc_id", F.size("ids").cast("long").alias("n_tokens"),
                        F.sha2(F.concat_ws(",", F.col("ids").cast("array<string>")), 256).alias("ids_sha256"),
                        F.sha2("bytes", 256).alias("decoded_sha256"))
