@@ -39,7 +39,7 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def encoding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The token ids of every document, and the text that they decode to."""
-    rows = bpe.decoded(bpe.encoded(docs, RANKS, public_tokenizers.PATTERN), RANKS)
+    rows = bpe.round_trip(docs, RANKS, public_tokenizers.PATTERN)
     return rows.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), "ids", F.decode("bytes", "UTF-8").alias("text"))
 
 
