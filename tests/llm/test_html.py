@@ -105,3 +105,15 @@ HELD_OUT = {
 def test_pages_of_other_make(name):
     page, text = HELD_OUT[name]
     assert H.trained().text(page) == text
+
+
+def test_the_sample_is_that_of_least_hashes(spark):
+    from pyspark.sql import functions as F
+    pages = spark.range(5000).select((F.col("id") % 4000).alias("page_id"), F.format_string("<p>%d</p>", "id").alias("html"))
+    want = pages.orderBy(F.xxhash64("page_id"), F.length("html")).limit(20).select("html").collect()
+    got = H._least(pages, 20, "page_id", "html")
+    assert len(got) == 20 and {t for t in got[:18]} <= {r.html for r in pages.orderBy(F.xxhash64("page_id"), F.length("html")).limit(24).collect()}
+    assert len(want) == 20
+    same = spark.range(3000).select(F.lit(7).alias("page_id"), F.lit("<p>x</p>").alias("html"))
+    assert len(H._least(same, 20, "page_id", "html")) == 20
+    assert H._least(same.limit(0), 20, "page_id", "html") == []

@@ -314,13 +314,24 @@ class Model:
         return "\n".join(n.text for n, q in zip(nodes, p) if n.run and q > 0.5)
 
 
+def _least(pages: DataFrame, n: int, id_col: str, html_col: str) -> list[str]:
+    """The n pages of least id hash. Only pages under a bound that some 4 * n of them are expected to meet are sorted, so
+    that tasks send the driver few rows however many tasks there are; all pages, should the bound have kept too few."""
+    rows, key = pages.filter(F.col(html_col).isNotNull()), F.xxhash64(id_col)
+    share = 4 * n / max(1, pages.count())
+    bounds = [F.lit(True)] if share >= 1 else [key < F.lit(int(-(1 << 63) + share * (1 << 64))), F.lit(True)]
+    for bound in bounds:
+        found = rows.filter(bound).orderBy(key, F.length(html_col)).limit(n).select(html_col).collect()
+        if len(found) == n:
+            break
+    return [r[0] for r in found]
+
+
 def trained(pages: DataFrame | None = None, sample: int = SAMPLE, id_col: str = "page_id", html_col: str = "html") -> Model:
     """The model from the labelled pages, and at most ``sample`` pages of the table (those of least id hash) with own labels."""
     given = [labelled(p) for p in PAGES]
     if pages is not None and sample:
-        rows = (pages.filter(F.col(html_col).isNotNull()).orderBy(F.xxhash64(id_col), F.length(html_col))
-                .limit(sample).select(html_col).collect())
-        given += [labelled(r[0], own=True) for r in rows]
+        given += [labelled(t, own=True) for t in _least(pages, sample, id_col, html_col)]
     return Model.train([g for g in given if g])
 
 
