@@ -81,11 +81,33 @@ def test_routes_stored_as_variant(spark, fixture_lines):
     a = V.route_paths(text, fixture_lines, ["x"]).collect()
     b = V.route_paths(variant, fixture_lines, ["x"]).collect()
     assert a == b and len(a) == 2
+    for stored in (text, variant):                         # neither form is written to JSON text and read again
+        plan = V.route_paths(stored, fixture_lines, ["x"])._jdf.queryExecution().optimizedPlan().toString()
+        assert "to_json" not in plan and "from_json" not in plan
     # A VARIANT is measured by its own JSON text, which writes numbers in its own form.
     want = len(variant.select(F.to_json("coordinates").alias("j")).first().j)
     assert H.route_lengths(variant).first().coord_length == want
 
 
+def test_route_forms(spark, fixture_lines):
+    from pyspark.sql import functions as F
+    cases = {"[]": [], "[[]]": [], "[[[]]]": [[[]]], "[[1,2],[3,4.5]]": [[[1.0, 2.0], [3.0, 4.5]]], "[[[1,2]],[],[[-0.25,51.4819]]]": [[[1.0, 2.0]], [[-0.25, 51.4819]]],
+             "[[1e400,2]]": None, "[1,2]": None, "5": None, "null": None, "[[\"a\",\"b\"]]": None, "[[[[1]]]]": None, "{broken": None}
+    for text, want in cases.items():
+        routes = _routes(spark, [("x", "inbound", text)])
+        forms = [routes] if text == "{broken" else [routes, routes.withColumn("coordinates", F.parse_json("coordinates"))]
+        for form in forms:
+            paths = V.route_paths(form, fixture_lines, ["x"])
+            if want is None:
+                try:
+                    got = [r.path for r in paths.collect()]
+                except Exception:  # noqa: BLE001  the query fails
+                    continue
+                assert text == "[[1e400,2]]" and got == [[[float("inf"), 2.0]]], text
+            else:
+                assert [r.path for r in paths.collect()] == want, text
+
+
 def test_route_colours_and_lengths(spark, fixture_lines):
     from transitlens.operators import health as H
     got = {r.line_id: r.colour for r in V.route_colours(fixture_lines).collect()}

@@ -21,6 +21,10 @@ DASHBOARD_COLUMNS = [
 ]
 ROUTE_DEPTH3 = "array<array<array<double>>>"
 ROUTE_DEPTH2 = "array<array<double>>"
+# Types of VARIANT values that are paths: three levels of lists (any of which may be empty), and two.
+_NUMBER = r"(DOUBLE|FLOAT|BIGINT|DECIMAL\([0-9]+,[0-9]+\))"
+DEEP = rf"^ARRAY<(VOID|ARRAY<(VOID|ARRAY<(VOID|{_NUMBER})>)>)>$"
+FLAT = rf"^ARRAY<ARRAY<{_NUMBER}>>$"
 
 
 def line_picker(lines: DataFrame) -> DataFrame:
@@ -52,14 +56,21 @@ def coordinates_text(routes: DataFrame) -> F.Column:
     return F.col("coordinates")
 
 
+def coordinates_variant(routes: DataFrame) -> F.Column:
+    """The route coordinates as VARIANT; text is parsed once, and text that is no JSON fails the query."""
+    c = F.col("coordinates")
+    return c if isinstance(routes.schema["coordinates"].dataType, VariantType) else F.parse_json(c)
+
+
 def route_segments(coordinates) -> F.Column:
-    """V6: a route's list of paths. Depth-3 JSON is a list of segments, depth-2
-    JSON one path (T6: from_json with the depth-3 schema is NULL on depth-2)."""
+    """V6: a route's list of paths, from VARIANT coordinates. Lists of three levels are segments,
+    lists of two levels one path; the value's own type tells which."""
     c = F.col(coordinates) if isinstance(coordinates, str) else coordinates
-    flat = F.from_json(c, ROUTE_DEPTH2)
-    bad = F.raise_error(F.concat(F.lit("route coordinates are not JSON paths: "), F.substring(c, 1, 80)))
-    return F.coalesce(F.from_json(c, ROUTE_DEPTH3), F.when(flat.isNotNull(), F.array(flat)),
-                      F.when(c.isNotNull(), bad.cast(ROUTE_DEPTH3)))
+    kind = F.schema_of_variant(c)
+    bad = F.raise_error(F.concat(F.lit("route coordinates are no paths but "), kind))
+    return (F.when(kind.rlike(DEEP), F.variant_get(c, "$", ROUTE_DEPTH3))
+            .when(kind.rlike(FLAT), F.array(F.variant_get(c, "$", ROUTE_DEPTH2)))
+            .when(c.isNotNull(), bad.cast(ROUTE_DEPTH3)))
 
 
 def route_paths(routes: DataFrame, lines: DataFrame, ids: Sequence[str],
@@ -71,7 +82,7 @@ def route_paths(routes: DataFrame, lines: DataFrame, ids: Sequence[str],
     fail the query instead of vanishing.
     """
     sel = routes.where(_in_lines(ids) & (F.col("direction") == direction)).withColumn(
-        "coordinates", coordinates_text(routes))
+        "coordinates", coordinates_variant(routes))
     first = (lines.groupBy("line_id")
              .agg(F.min_by("colour_hex", F.struct("line_name", "colour_hex")).alias("colour_hex")))
     rgb = [F.coalesce(G.hex_channel(F.col("colour_hex"), i), F.lit(G.GREY)) for i in range(3)]
