@@ -5,7 +5,7 @@ Prints one JSON line: {"metric", "value" (sum of per-query seconds), "unit",
 sink (nothing is collected to the driver); the best of BENCH_REPEAT warm runs
 is reported. The time of a query holds the building of its DataFrame, since
 the view writes its latest rows when it is built. The stream run (landing
-files -> ingest stream -> live positions snapshot) is timed end to end, best
+files -> ingest stream -> live positions table) is timed end to end, best
 of three; the landing files, and the payloads that ``raw_arrivals`` parses,
 are written before the clock starts. Every query runs once untimed first, so
 the figures are warm (JIT-compiled) times.

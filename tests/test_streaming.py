@@ -135,9 +135,9 @@ def test_ten_triggers_leave_no_scratch_table(spark):
     base = scratch_path(spark, "triggers")
     raw_dir, out = f"{base}/raw", f"{base}/view"
     paths, raw = _references(spark, base), standin.arrivals(spark, SF)
-    raw.withColumn("rejected", F.lit(False)).withColumn("ingest_date", F.to_date("timestamp_utc")).repartition(12).write.parquet(raw_dir)
+    raw.withColumn("rejected", F.lit(False)).withColumn("ingest_date", F.to_date("timestamp_utc")).repartition(10).write.parquet(raw_dir)
     before = _scratch(spark)
-    q = M.start_positions(spark, raw_dir, *paths, out, f"{base}/ckpt", NOW, max_files_per_trigger=1)
+    q = M.start_positions(spark, raw_dir, *paths, out, f"{base}/ckpt", NOW, max_files_per_trigger=1, buckets=8)
     M.run_available(q)
     assert q.lastProgress["batchId"] >= 9
     assert _scratch(spark) == before and not os.listdir(f"{out}.staged")
