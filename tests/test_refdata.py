@@ -1,8 +1,12 @@
 """Reference loads."""
 
 import json
+import threading
+import time
+import uuid
 
 import pytest
+from pyspark.sql import functions as F
 
 from transitlens.sources import refdata as R
 
@@ -95,3 +99,56 @@ def test_fixed_line_colours_consistent(spark):
     rows = R.load_lines(spark).select("colour_r", "colour_g", "colour_b",
                                       hex_rgb(F.col("colour_hex"), 0).alias("c")).collect()
     assert all(r.c[:3] == [r.colour_r, r.colour_g, r.colour_b] for r in rows)
+
+
+@pytest.fixture
+def catalog_table(spark):
+    name = f"lines_{uuid.uuid4().hex[:8]}"
+    yield name
+    spark.sql(f"DROP TABLE IF EXISTS {name}")
+
+
+def test_readers_never_miss_a_switched_table(spark, tmp_path, catalog_table):
+    folder = str(tmp_path)
+    rows = lambda n: spark.range(1000).selectExpr("id", f"{n}L AS version").repartition(4)
+    R.switch_table(rows(0), catalog_table, folder)
+    seen, failed, stop = [], [], threading.Event()
+
+    def reader():
+        while not stop.is_set():
+            try:
+                r = spark.table(catalog_table).selectExpr("count(*) AS n", "min(version) AS a", "max(version) AS b").first()
+                seen.append((r.n, r.a == r.b))
+            except Exception as e:      # any failure of a reader fails the test
+                failed.append(e)
+    t = threading.Thread(target=reader)
+    t.start()
+    try:
+        for n in range(1, 21):
+            R.switch_table(rows(n), catalog_table, folder)
+    finally:
+        stop.set()
+        t.join()
+    assert not failed and len(seen) > 5 and set(seen) == {(1000, True)}
+    assert spark.table(catalog_table).first().version == 20
+
+
+def test_switch_keeps_the_table_of_a_failed_load_and_removes_old_folders(spark, tmp_path, catalog_table):
+    folder = str(tmp_path)
+    first = R.switch_table(R.load_lines(spark), catalog_table, folder)
+    other = R.switch_table(R.load_lines(spark), catalog_table + "s", folder)
+    bad = R.load_lines(spark).withColumn("line_name", F.raise_error(F.lit("broken")).cast("string"))
+    for rows in (bad, R.load_lines(spark).drop("line_name")):
+        with pytest.raises(Exception):
+            R.switch_table(rows, catalog_table, folder)
+    assert R.location(spark, catalog_table).endswith(first.rsplit("/", 1)[-1])
+    now = R.switch_table(R.load_lines(spark).limit(2), catalog_table, folder)
+    assert spark.table(catalog_table).count() == 2
+    assert len(list(tmp_path.glob(f"{catalog_table}@*"))) >= 2           # the old folder stays for its readers
+    time.sleep(0.1)
+    last = R.switch_table(R.load_lines(spark).limit(3), catalog_table, folder, grace=0.0)
+    left = {p.name for p in tmp_path.glob(f"{catalog_table}@*")}
+    assert last.rsplit("/", 1)[-1] in left and now.rsplit("/", 1)[-1] not in left
+    assert spark.table(catalog_table).count() == 3 and spark.table(catalog_table + "s").count() == 11
+    assert other
+    spark.sql(f"DROP TABLE {catalog_table}s")

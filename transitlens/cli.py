@@ -22,7 +22,7 @@ import sys
 from pyspark.sql import SparkSession
 
 from .operators import health as H
-from .session import cluster_conf
+from .session import cluster_conf, footer_table
 from .sources import ingest as I
 from .sources import refdata as R
 from .streaming import live as M
@@ -51,10 +51,14 @@ def _trigger(args) -> dict:
 def load_refs(spark: SparkSession, args) -> dict:
     stations = R.load_stations(spark.read.schema("line_id string, body string").json(args.stops))
     routes = R.load_routes(spark.read.schema("line_id string, direction string, body string").json(args.routes))
-    R.replace_table(stations, f"{args.out}/ref_stations")
-    R.replace_table(routes, f"{args.out}/ref_line_routes")
-    R.replace_table(R.load_lines(spark), f"{args.out}/ref_lines")
-    refs = {n: spark.read.parquet(f"{args.out}/{n}") for n in ("ref_stations", "ref_line_routes", "ref_lines")}
+    refs = {}
+    for name, rows in (("ref_stations", stations), ("ref_line_routes", routes), ("ref_lines", R.load_lines(spark))):
+        if args.database:
+            R.switch_table(rows, f"{args.database}.{name}", args.out)
+            refs[name] = spark.table(f"{args.database}.{name}")
+        else:
+            R.replace_table(rows, f"{args.out}/{name}")
+            refs[name] = spark.read.parquet(f"{args.out}/{name}")
     row = R.load_summary(refs["ref_stations"], refs["ref_line_routes"], refs["ref_lines"]).first()
     return {"summary": row["summary"]}
 
@@ -85,13 +89,13 @@ def health(spark: SparkSession, args) -> dict:
     max_age = dt.timedelta(minutes=args.max_age_min) if args.max_age_min else None
     pos = M.read_positions(spark, args.out, max_age)
     counts = H.table_counts({
-        "RAW_ARRIVALS": raw,
-        "REF_STATIONS": spark.read.parquet(f"{args.refs}/ref_stations"),
-        "REF_LINES": spark.read.parquet(f"{args.refs}/ref_lines"),
-        "REF_LINE_ROUTES": spark.read.parquet(f"{args.refs}/ref_line_routes"),
+        "RAW_ARRIVALS": I.raw_footers(spark, args.raw),
+        "REF_STATIONS": footer_table(spark, f"{args.refs}/ref_stations"),
+        "REF_LINES": footer_table(spark, f"{args.refs}/ref_lines"),
+        "REF_LINE_ROUTES": footer_table(spark, f"{args.refs}/ref_line_routes"),
         "TRAIN_POSITIONS": pos,
     })
-    fresh = H.freshness(raw).first()
+    fresh = H.stored_freshness(raw, I.raw_days(spark, args.raw)).first()
     return {
         "table_counts": {r["table_name"]: r["row_count"] for r in counts.collect()},
         "rejected": {r["reject_reason"]: r["count"] for r in
@@ -108,6 +112,7 @@ def parser() -> argparse.ArgumentParser:
     a.add_argument("--stops", required=True)
     a.add_argument("--routes", required=True)
     a.add_argument("--out", required=True, help="folder of the reference tables")
+    a.add_argument("--database", help="keep them as catalog tables of this database, each replaced by one switch of its location")
     helps = {"ingest": "landing records -> raw table (stream)",
              "view": "raw table -> live positions table (stream)",
              "refresh": "place the rows of older reference versions again",

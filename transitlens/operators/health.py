@@ -74,6 +74,13 @@ def freshness(raw: DataFrame, now: dt.datetime | Column | None = None) -> DataFr
                    (_epoch_seconds(now_col) - _epoch_seconds(latest)).alias("lag_seconds"))
 
 
+def stored_freshness(stored: DataFrame, days: DataFrame, now: dt.datetime | Column | None = None) -> DataFrame:
+    """H8 over a raw table partitioned by ``ingest_date``: the newest day comes from ``days``
+    (ingest_date, n; ``ingest.raw_days`` gets them from footers), and only that day's timestamps are read."""
+    newest = days.where("n > 0").agg(F.max("ingest_date").alias("day")).scalar()
+    return freshness(stored.where(F.col("ingest_date").eqNullSafe(newest)), now)
+
+
 def route_lengths(routes: DataFrame, n: int = 5) -> DataFrame:
     """H9: length of the route JSON text, a sample of n (ordered)."""
     from .views import coordinates_text

@@ -19,7 +19,7 @@ from ..operators.latest import latest_per_vehicle
 from ..operators.station_match import line_colours, match_names, match_station, next_stop
 from ..operators import health as H
 from ..operators import views as V
-from ..session import materialised, scratch_path
+from ..session import footer_table, materialised, scratch_path
 from ..sources import ingest as I
 from ..sources import refdata as R
 from ..sources import standin
@@ -367,6 +367,35 @@ def freshness_q(spark, sf_dir):
     return H.freshness(standin.arrivals(spark, sf_dir), FRESHNESS_NOW)
 
 
+def _stored_raw(spark, sf_dir) -> str:
+    path = f"{scratch_path(spark, 'stored')}/raw"
+    I.append_raw(standin.arrivals(spark, sf_dir), path)
+    return path
+
+
+@register("stored_counts", with_ctes(["arrivals", "stations", "lines", "routes"], """
+    SELECT 'RAW_ARRIVALS' AS table_name, count(*) AS row_count FROM arrivals
+    UNION ALL SELECT 'REF_STATIONS', count(*) FROM stations
+    UNION ALL SELECT 'REF_LINES', count(*) FROM lines
+    UNION ALL SELECT 'REF_LINE_ROUTES', count(*) FROM routes"""))
+def stored_counts_q(spark, sf_dir):
+    """H7 over written tables: every count comes from file footers."""
+    tables = {"RAW_ARRIVALS": I.raw_footers(spark, _stored_raw(spark, sf_dir))}
+    base = scratch_path(spark, "refs")
+    for name, df in (("REF_STATIONS", standin.stations(spark, sf_dir)), ("REF_LINES", standin.lines(spark, sf_dir)),
+                     ("REF_LINE_ROUTES", standin.routes(spark, sf_dir))):
+        df.write.parquet(f"{base}/{name}")
+        tables[name] = footer_table(spark, f"{base}/{name}")
+    return H.table_counts(tables)
+
+
+@register("stored_freshness", ORACLE["freshness"])
+def stored_freshness_q(spark, sf_dir):
+    """H8 over the written raw table: the newest day from footers, then that day's timestamps."""
+    path = _stored_raw(spark, sf_dir)
+    return H.stored_freshness(I.read_raw(spark, path), I.raw_days(spark, path), FRESHNESS_NOW)
+
+
 @register("route_lengths", with_ctes(["routes"], """
     SELECT line_id, direction, CAST(length(coordinates) AS INTEGER) AS coord_length FROM routes
     ORDER BY line_id, direction LIMIT 5"""))

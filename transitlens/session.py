@@ -5,11 +5,13 @@ from __future__ import annotations
 import os
 import tempfile
 import threading
+import time
 import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructType
 
 # Settings every job of this package relies on: UTC wall clock for the
 # timestamp_ntz columns (T7), AQE for runtime re-planning and skew splits.
@@ -130,12 +132,35 @@ def exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(place)
 
 
+def modified_before(spark: SparkSession, folder: str, prefix: str, seconds: float) -> list[str]:
+    """The entries of a folder with this prefix whose last change is longer ago than that."""
+    fs, place = _hadoop(spark, folder)
+    limit = (time.time() - seconds) * 1000
+    return [s.getPath().toString() for s in fs.listStatus(place)
+            if s.getPath().getName().startswith(prefix) and s.getModificationTime() < limit]
+
+
 def remove(spark: SparkSession, path: str) -> None:
     """Delete a file or folder; nothing happens where there is none."""
     fs, place = _hadoop(spark, path)
     fs.delete(place, True)
 
 
+_V1_SOURCES = "spark.sql.sources.useV1SourceList"
+
+
+def footer_table(spark: SparkSession, path: str, schema: StructType | None = None) -> DataFrame:
+    """A Parquet table through Spark's V2 reader, which answers counts, and the extremes of numbers and dates, from
+    the files' footers, by partition columns too. Filters on partition columns keep that, others undo it."""
+    sources = spark.conf.get(_V1_SOURCES)
+    spark.conf.set("spark.sql.parquet.aggregatePushdown", "true")        # the V2 reader's only
+    spark.conf.set(_V1_SOURCES, ",".join(s for s in sources.split(",") if s != "parquet"))
+    try:
+        return (spark.read.schema(schema) if schema else spark.read).parquet(path)
+    finally:
+        spark.conf.set(_V1_SOURCES, sources)
+
+
 def write_text(spark: SparkSession, path: str, text: str) -> None:
     """One small file, replaced if it is there."""
     fs, place = _hadoop(spark, path)

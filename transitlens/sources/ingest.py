@@ -15,8 +15,10 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..schemas import RAW_ARRIVALS, RAW_COLUMNS, TIE_COLUMN
+from ..session import footer_table
 from . import polls
 
 LANDING_SCHEMA = "ingestion_id string, timestamp_utc string, line_id string, body string"
@@ -232,6 +234,21 @@ def read_raw(spark: SparkSession, path: str) -> DataFrame:
     return _only(spark.read.parquet(path), False).drop(*REJECT_COLUMNS)
 
 
+def raw_footers(spark: SparkSession, path: str) -> DataFrame:
+    """The good rows of the raw table, for counts and dates that file footers answer (H1, H7, H8)."""
+    return _only(footer_table(spark, path), False)
+
+
+def raw_days(spark: SparkSession, path: str) -> DataFrame:
+    """(ingest_date, n) of the good rows, from file footers. They are pushed down for all partition columns together only."""
+    table = footer_table(spark, path)
+    by = [c for c in ("rejected", "ingest_date") if c in table.columns]
+    if table.schema["ingest_date"].dataType == T.NullType():         # no dated row: the folder names give no type
+        dated = [T.StructField(f.name, T.DateType() if f.name == "ingest_date" else f.dataType) for f in table.schema]
+        table = footer_table(spark, path, T.StructType(dated))
+    return _only(table.groupBy(*by).agg(F.count(F.lit(1)).alias("n")), False)
+
+
 def read_rejects(spark: SparkSession, path: str) -> DataFrame:
     """The rejected rows kept in the raw table."""
     return _only(spark.read.parquet(path), True).select("ingestion_id", "line_id", *REJECT_COLUMNS)

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from ..functions.geometry import hex_channel
 from ..schemas import REF_LINES
+from ..session import modified_before, remove
 
 STOPS = "array<map<string,string>>"
 STOP_KEYS = ["naptanId", "commonName", "lat", "lon"]
@@ -124,6 +125,40 @@ def load_summary(stations: DataFrame, routes: DataFrame, lines: DataFrame) -> Da
         F.col("stations"), F.col("routes"), F.col("lines")).alias("summary"))
 
 
+def location(spark: SparkSession, name: str) -> str:
+    """The folder that a catalog table stands for."""
+    return spark.sql(f"DESCRIBE TABLE EXTENDED {name}").where("col_name = 'Location'").first()["data_type"]
+
+
+def switch_table(df: DataFrame, name: str, folder: str, grace: float = 3600.0) -> str:
+    """Full replace of a catalog table by one change of metadata.
+
+    The rows are written to a folder of their own below ``folder`` and read back, then the table's location is
+    set to it. A reader has either the old rows or the new ones: the old folder stays until the first replace that
+    comes ``grace`` seconds after it was written, which is the time that a reader has. A failed load, or rows
+    of another schema than the table's, leave the table as it is.
+    """
+    spark = df.sparkSession
+    short = name.split(".")[-1]
+    if spark.catalog.tableExists(name):
+        have = [(f.name, f.dataType) for f in spark.table(name).schema]
+        if have != [(f.name, f.dataType) for f in df.schema]:
+            raise ValueError(f"{name} has the columns {have}")
+    else:
+        have = None
+    path = f"{folder.rstrip('/')}/{short}@{uuid.uuid4().hex[:12]}"
+    df.write.parquet(path)
+    spark.read.schema(df.schema).parquet(path).count()
+    if have is None:
+        spark.catalog.createTable(name, path=path, source="parquet", schema=df.schema)
+    else:
+        spark.sql(f"ALTER TABLE {name} SET LOCATION '{path}'")
+        for old in modified_before(spark, folder, f"{short}@", grace):
+            if not old.endswith(path.rsplit("/", 1)[-1]):
+                remove(spark, old)
+    return path
+
+
 def replace_table(df: DataFrame, path: str) -> None:
     """Full replace of a reference table (the loaders' overwrite).
 
