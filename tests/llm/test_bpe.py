@@ -1,5 +1,6 @@
 import random
 
+import numpy as np
 import public_tokenizers as P
 import pytest
 import tiktoken
@@ -58,3 +59,54 @@ def test_unicode_classes_of_the_pattern(tokenizer):
         text = "".join(f"a{chr(c)}a {chr(c)} " for c in range(lo, lo + 0x100))
         split = [w for w in find(text)]
         assert [i for w in split for i in tokenizer.encode_ordinary(w)] == tokenizer.encode_ordinary(text)
+
+
+def contracted(word, ranks):
+    """Plain Python: the leftmost pair of minimum rank, until there is none."""
+    parts = [word[i:i + 1] for i in range(len(word))]
+    while True:
+        pairs = [(ranks[a + b], i) for i, (a, b) in enumerate(zip(parts, parts[1:])) if a + b in ranks]
+        if not pairs:
+            return [ranks[p] for p in parts]
+        i = min(pairs)[1]
+        parts[i:i + 2] = [parts[i] + parts[i + 1]]
+
+
+@pytest.mark.parametrize("seed", range(6))
+def test_every_recursion_contracts_in_the_order_of_ranks(seed):
+    """Vocabularies in any order, so that a token may rank before its own parts."""
+    rng = random.Random(seed)
+    own = {bytes([b]) for b in range(256)}
+    tokens = {bytes(rng.choice(b"abcd"[:2 + seed % 3]) for _ in range(rng.randint(2, 6))) for _ in range(120)}
+    more = rng.sample(sorted(tokens), len(tokens))
+    ranks = {t: i for i, t in enumerate(sorted(own) + more)}
+    enc = B.Encoder(B.pair_table(ranks), np.array([ranks[bytes([b])] for b in range(256)], np.int32), P.PATTERN, f"random {seed}")
+    words = [bytes(rng.choice(b"abcd"[:2 + seed % 3]) for _ in range(rng.randint(1, 90))) for _ in range(300)] + [b"a" * 77, b"z", b"zz"]
+    want = [contracted(w, ranks) for w in words]
+    for sql in (B.ENCODE, B.ENCODE_SURE, B.ENCODE_KEYED):
+        n, ids = enc._run(words, sql)
+        assert n.tolist() == [len(x) for x in want]
+        assert ids.tolist() == [i for x in want for i in x]
+    enc.close()
+
+
+def test_texts_without_spaces(spark, docs, tokenizer):
+    """Words on both sides of every limit of size, of three scripts."""
+    rng = random.Random(3)
+    alphabets = ["etaoinshrdlu", "日本語の文章は空白なしで書かれる的一是不了人", "กขคงจชดตทนบปพมยรลวสหอะา"]
+    texts = ["".join(rng.choice(a) for _ in range(n)) for a in alphabets for n in (6, 7, 8, 20, 21, 85, 86, 256, 257, 1000)]
+    got = {r.doc_id: r for r in B.round_trip(docs(list(enumerate(texts))), PATH, P.PATTERN).collect()}
+    for i, t in enumerate(texts):
+        assert list(got[i].ids) == tokenizer.encode_ordinary(t)
+        assert bytes(got[i].bytes) == t.encode()
+
+
+def test_steps_of_words_without_spaces(tokenizer):
+    """Sentences of 100 ideographs lose most of their tokens, in a few steps."""
+    rng = random.Random(4)
+    ranks = B.vocabulary(PATH)
+    enc = B.Encoder(B.pair_table(ranks), np.array([ranks[bytes([b])] for b in range(256)], np.int32), P.PATTERN, PATH)
+    words = ["".join(chr(rng.randrange(0x4e00, 0x9000)) for _ in range(80)).encode() for _ in range(50)]
+    steps = B.ENCODE_SURE[:B.ENCODE_SURE.rindex("SELECT w, tok FROM t JOIN")] + "SELECT max(step) AS w, max(step) AS tok FROM t"
+    assert enc._run(words, steps)[1][0] <= 12
+    enc.close()

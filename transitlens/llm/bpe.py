@@ -3,14 +3,24 @@
 Encoding: a text is split by the tokenizer's pattern. The distinct words of a
 batch become rows (word, position, token), one per byte; a recursive query
 joins neighbours with the merge table and contracts each word's leftmost pair
-of minimum rank until no pair is left. Long words go through the keyed form
-of the recursion, which contracts all places of the minimum-rank pair at once
-(overlaps from the left, which is the same order) and keeps one state instead
-of all steps. Decoding: the ids join the vocabulary and are put together by an
-ordered aggregation.
+of minimum rank until no pair is left. Words over SHORT bytes contract more in
+one step, with the same result: the places of the word's minimum rank
+(overlaps from the left, which is the same order, up to the first whose new token can meet
+a lower rank) and every pair that is *sure*. A pair (l, r) of rank k is sure if nothing of a lower or equal rank can
+take l or r away before its turn, or meet the new token:
 
-The ranks file is read once on the driver; the merge table (all splits of
-all tokens) is broadcast and is bounded by the vocabulary, not by the data.
+* its neighbours y and z may grow, but y only to tokens that end with y, z to
+  tokens that begin with z; the pair table holds the least rank of all such
+  (Y, l) and (r, Z), ``lo`` and ``hi``, and both must be over k;
+* the new token's pairs with such Y and Z must rank over k.
+
+So the order in which the pairs are contracted makes no difference, and a word
+takes a few steps in place of one for each token it loses. Words over LONG bytes do the same
+in a keyed recursion, which keeps one state instead of all steps. Decoding: the ids join the vocabulary
+and are put together by an ordered aggregation.
+
+The ranks file is read once on the driver; the pair table is broadcast and is
+bounded by the vocabulary, not by the data.
 
 Defined cases: a null or empty text has no tokens and decodes to an empty
 text; very long texts are split in pieces at a place where no word ends
@@ -31,8 +41,11 @@ from pyspark.sql import functions as F
 
 from .storage import per_process, read
 
-LONG_WORD = 40          # bytes; longer words take the keyed recursion
-BYTES_AT_ONCE = {False: 300_000, True: 64_000}      # of the words in one recursion, by whether they are long
+SHORT = 20              # bytes; longer words contract all sure pairs in a step
+LONG = 256              # bytes; longer words take the keyed recursion
+BYTES_AT_ONCE = 300_000     # of the words in one recursion
+STATE_AT_ONCE = 16_000_000  # squares of the words' bytes in one recursion that keeps all its steps
+NONE = 2**31 - 1        # the rank of a pair that is no token
 IDS_AT_ONCE = 1 << 20
 PIECE = 1 << 21         # code points
 MEMORY = "500MB"        # of a DuckDB connection
@@ -52,21 +65,45 @@ WITH RECURSIVE t(w, pos, tok, step) AS (
 SELECT w, tok FROM t JOIN (SELECT w, max(step) AS step FROM t GROUP BY w) USING (w, step) ORDER BY w, pos
 """
 
-# A token's position is its first byte, so its right neighbour stands at pos + len; -1 marks a token that was taken in.
-ENCODE_LONG = """
-WITH RECURSIVE t(w, pos, tok, len) USING KEY (w, pos) AS (
-  SELECT w, pos, tok, 1 FROM init
-  UNION (
-    WITH now AS (SELECT s.w, s.pos, s.tok, s.len FROM recurring.t s
-                 WHERE s.tok >= 0 AND s.w IN (SELECT w FROM t)),
+# A token's position is its first byte, so its right neighbour stands at pos + len.
+CONTRACTED = f"""
     pair AS (
-      SELECT a.w, a.pos, b.pos AS nxt, merges.tok, merges.len FROM now a JOIN now b ON b.w = a.w AND b.pos = a.pos + a.len
-      JOIN merges ON merges.l = a.tok AND merges.r = b.tok),
-    least AS (SELECT * FROM (SELECT *, min(tok) OVER (PARTITION BY w) AS best FROM pair) WHERE tok = best),
-    link AS (SELECT *, CASE WHEN lag(nxt) OVER (PARTITION BY w ORDER BY pos) = pos THEN 0 ELSE 1 END AS head FROM least),
-    run AS (SELECT *, sum(head) OVER (PARTITION BY w ORDER BY pos) AS r FROM link),
-    taken AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY w, r ORDER BY pos) AS i FROM run) WHERE i % 2 = 1)
-    SELECT w, pos, tok, len FROM taken UNION ALL SELECT w, nxt, -1, 0 FROM taken))
+      SELECT a.w, a.pos, b.pos AS nxt, b.len AS more, pairs.tok, lo, hi
+      FROM now a JOIN now b ON b.pos = a.pos + a.len AND b.w = a.w JOIN pairs ON pairs.l = a.tok AND pairs.r = b.tok),
+    best AS (SELECT w, min(tok) AS tok FROM pair WHERE tok < {NONE} GROUP BY w),
+    least AS (SELECT w, pos, nxt, tok, more FROM pair JOIN best USING (w, tok)),
+    link AS (SELECT *, CASE WHEN lag(nxt) OVER (ORDER BY pos) = pos THEN 0 ELSE 1 END AS head FROM least),
+    run AS (SELECT *, sum(head) OVER (ORDER BY pos) AS r FROM link),
+    late AS (
+      SELECT x.pos FROM pair x JOIN now y ON y.pos + y.len = x.pos AND y.w = x.w JOIN on_left o ON o.l = y.tok AND o.r = x.tok
+      UNION ALL
+      SELECT x.pos FROM pair x JOIN now z ON z.pos = x.nxt + x.more AND z.w = x.w JOIN on_right o ON o.l = x.tok AND o.r = z.tok),
+    other AS (SELECT *, CASE WHEN pos IN (SELECT pos FROM late) THEN 1 ELSE 0 END AS ends FROM (
+      SELECT *, row_number() OVER (PARTITION BY r ORDER BY pos) AS i FROM run) WHERE i % 2 = 1),
+    taken AS (SELECT * FROM (SELECT *, sum(ends) OVER (PARTITION BY w ORDER BY pos) - ends AS ended FROM other) WHERE ended = 0),
+    sure AS (
+      SELECT x.w, x.pos, x.nxt, x.tok, x.more FROM pair x LEFT JOIN pair y ON y.nxt = x.pos LEFT JOIN pair z ON z.pos = x.nxt
+      WHERE x.tok < {NONE} AND x.tok < coalesce(y.lo, {NONE}) AND x.tok < coalesce(z.hi, {NONE})
+        AND x.pos NOT IN (SELECT pos FROM late)
+      UNION SELECT w, pos, nxt, tok, more FROM taken)"""
+
+ENCODE_SURE = f"""
+WITH RECURSIVE t(w, pos, tok, len, step) AS (
+  SELECT w, pos, tok, 1, 0 FROM init
+  UNION ALL (
+    WITH now AS (FROM t), {CONTRACTED}
+    SELECT t.w, t.pos, coalesce(s.tok, t.tok), t.len + coalesce(s.more, 0), t.step + 1
+    FROM t LEFT JOIN sure s ON s.pos = t.pos WHERE t.w IN (SELECT w FROM sure) AND t.pos NOT IN (SELECT nxt FROM sure)))
+SELECT w, tok FROM t JOIN (SELECT w, max(step) AS step FROM t GROUP BY w) USING (w, step) ORDER BY w, pos
+"""
+
+# -1 marks a token that was taken in.
+ENCODE_KEYED = f"""
+WITH RECURSIVE t(pos, w, tok, len) USING KEY (pos) AS (
+  SELECT pos, w, tok, 1 FROM init
+  UNION (
+    WITH now AS (SELECT s.pos, s.w, s.tok, s.len FROM recurring.t s WHERE s.tok >= 0 AND s.w IN (SELECT w FROM t)), {CONTRACTED}
+    SELECT pos, w, tok, nxt - pos + more FROM sure UNION ALL SELECT nxt, w, -1, 0 FROM sure))
 SELECT w, tok FROM t WHERE tok >= 0 ORDER BY w, pos
 """
 
@@ -81,11 +118,28 @@ def vocabulary(path: str) -> dict[bytes, int]:
         return {base64.b64decode(a): int(b) for a, b in (line.split() for line in f if line.strip())}
 
 
-def merge_table(ranks: dict[bytes, int]) -> pa.Table:
-    """(l, r, tok, len): every pair of tokens that together are a token."""
-    rows = [(ranks[t[:i]], ranks[t[i:]], k, len(t)) for t, k in ranks.items() for i in range(1, len(t))
-            if t[:i] in ranks and t[i:] in ranks]
-    return pa.table({n: pa.array(c, pa.int32()) for n, c in zip(("l", "r", "tok", "len"), zip(*rows) if rows else [()] * 4)})
+def pair_table(ranks: dict[bytes, int]) -> pa.Table:
+    """(l, r, tok, lo, hi), NONE where there is no such rank.
+
+    tok: the token of both; lo: the least of all tokens of (some token that ends with l, r); hi: of (l, some token that
+    begins with r).
+    """
+    tok, lo, hi = {}, {}, {}
+    for t, k in ranks.items():
+        for i in range(1, len(t)):
+            left, right = t[:i], t[i:]
+            if left not in ranks or right not in ranks:
+                continue
+            l, r = ranks[left], ranks[right]
+            tok[l, r] = k
+            for y in (ranks[left[j:]] for j in range(len(left)) if left[j:] in ranks):
+                lo[y, r] = min(k, lo.get((y, r), NONE))
+            for z in (ranks[right[:j]] for j in range(1, len(right) + 1) if right[:j] in ranks):
+                hi[l, z] = min(k, hi.get((l, z), NONE))
+    keys = sorted(lo.keys() | hi.keys())
+    return pa.table({n: pa.array(c, pa.int32()) for n, c in (
+        ("l", [k[0] for k in keys]), ("r", [k[1] for k in keys]),
+        *((n, [d.get(k, NONE) for k in keys]) for n, d in (("tok", tok), ("lo", lo), ("hi", hi))))})
 
 
 def pieces(text: str, most: int = PIECE) -> Iterator[str]:
@@ -149,12 +203,14 @@ _ITS_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s
 class Encoder:
     """Words to ids in one task, through DuckDB."""
 
-    def __init__(self, merges: pa.Table, byte_ids: np.ndarray, pattern: str, ranks_path: str):
+    def __init__(self, pairs: pa.Table, byte_ids: np.ndarray, pattern: str, ranks_path: str):
         import regex
 
         find = regex.compile(pattern).findall
         self.find = find if pattern != _ITS_PATTERN else lambda text: _ASCII(text) if text.isascii() else find(text)
-        self.con, self.byte_ids = _connect({"merges": merges}), byte_ids
+        self.con, self.byte_ids = _connect({"pairs": pairs}), byte_ids
+        for name, of in (("merges", f"tok < {NONE}"), ("on_left", "lo < r"), ("on_right", "hi < l")):
+            self.con.execute(f"CREATE TABLE {name} AS SELECT l, r, tok FROM pairs WHERE {of}")
         self.words = per_process(("bpe words", ranks_path, pattern), Words)
 
     def close(self) -> None:
@@ -165,7 +221,7 @@ class Encoder:
         n = np.fromiter(map(len, words), np.int64, len(words))
         data = np.frombuffer(b"".join(words), np.uint8)
         init = pa.table({"w": np.repeat(np.arange(len(words), dtype=np.int32), n),
-                         "pos": (np.arange(len(data)) - np.repeat(np.cumsum(n) - n, n)).astype(np.int32),
+                         "pos": np.arange(len(data), dtype=np.int32),
                          "tok": self.byte_ids[data]})
         self.con.register("init", init)
         got = self.con.execute(sql).fetchnumpy()
@@ -178,13 +234,16 @@ class Encoder:
         known = self.words.index
         new = [w for w in dict.fromkeys(words) if w not in known]
         raw = [w.encode() for w in new]
-        for long, most in BYTES_AT_ONCE.items():
-            part = [i for i, b in enumerate(raw) if (len(b) > LONG_WORD) == long]
-            block = np.cumsum([len(raw[i]) for i in part]) // most
-            cuts = np.flatnonzero(np.diff(block)) + 1
-            for some in np.split(np.array(part, np.int64), cuts):
+        size = np.fromiter(map(len, raw), np.int64, len(raw))
+        for sql, of in ((ENCODE, size <= SHORT), (ENCODE_SURE, (size > SHORT) & (size <= LONG)), (ENCODE_KEYED, size > LONG)):
+            part = np.flatnonzero(of)
+            cost = size[part] / BYTES_AT_ONCE
+            if sql is ENCODE_SURE:
+                cost = np.maximum(cost, size[part] ** 2 / STATE_AT_ONCE)
+            cuts = np.flatnonzero(np.diff(np.cumsum(cost) // 1)) + 1
+            for some in np.split(part, cuts):
                 if len(some):
-                    self.words.add([new[i] for i in some], *self._run([raw[i] for i in some], sql=ENCODE_LONG if long else ENCODE))
+                    self.words.add([new[i] for i in some], *self._run([raw[i] for i in some], sql))
 
 
 def _ids(enc: Encoder, batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
@@ -236,7 +295,7 @@ def _encoding(docs: DataFrame, ranks_path: str, pattern: str, id_col: str, text_
     ranks = vocabulary(ranks_path)
     byte_ids = np.array([ranks[bytes([b])] for b in range(256)], np.int32)
     shared = docs.sparkSession.sparkContext.broadcast(
-        ((merge_table(ranks), byte_ids, pattern, ranks_path), _vocabulary_table(ranks) if decode else None))
+        ((pair_table(ranks), byte_ids, pattern, ranks_path), _vocabulary_table(ranks) if decode else None))
     src = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
