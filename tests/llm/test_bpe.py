@@ -94,7 +94,7 @@ def test_texts_without_spaces(spark, docs, tokenizer):
     """Words on both sides of every limit of size, of three scripts."""
     rng = random.Random(3)
     alphabets = ["etaoinshrdlu", "日本語の文章は空白なしで書かれる的一是不了人", "กขคงจชดตทนบปพมยรลวสหอะา"]
-    texts = ["".join(rng.choice(a) for _ in range(n)) for a in alphabets for n in (6, 7, 8, 20, 21, 85, 86, 256, 257, 1000)]
+    texts = ["".join(rng.choice(a) for _ in range(n)) for a in alphabets for n in (6, 7, 8, 20, 21, 40, 85, 86, 256, 257, 1000) * 10]
     got = {r.doc_id: r for r in B.round_trip(docs(list(enumerate(texts))), PATH, P.PATTERN).collect()}
     for i, t in enumerate(texts):
         assert list(got[i].ids) == tokenizer.encode_ordinary(t)

@@ -3,7 +3,7 @@
 Encoding: a text is split by the tokenizer's pattern. The distinct words of a
 batch become rows (word, position, token), one per byte; a recursive query
 joins neighbours with the merge table and contracts each word's leftmost pair
-of minimum rank until no pair is left. Words over SHORT bytes contract more in
+of minimum rank until no pair is left. Where there are more than a few words over SHORT bytes, they contract more in
 one step, with the same result: the places of the word's minimum rank
 (overlaps from the left, which is the same order, up to the first whose new token can meet
 a lower rank) and every pair that is *sure*. A pair (l, r) of rank k is sure if nothing of a lower or equal rank can
@@ -36,6 +36,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -44,6 +45,7 @@ from .storage import per_process, read
 SHORT = 20              # bytes; longer words contract all sure pairs in a step
 LONG = 256              # bytes; longer words take the keyed recursion
 BYTES_AT_ONCE = 300_000     # of the words in one recursion
+FEW = 1_000_000             # squares of the bytes of words over SHORT that are not worth a recursion of their own
 STATE_AT_ONCE = 16_000_000  # squares of the words' bytes in one recursion that keeps all its steps
 NONE = 2**31 - 1        # the rank of a pair that is no token
 IDS_AT_ONCE = 1 << 20
@@ -162,12 +164,16 @@ def _connect(tables: dict[str, pa.Table]):
     con = duckdb.connect(config={"threads": 1, "memory_limit": MEMORY})
     con.execute("SET temp_directory = ''")
     for name, rows in tables.items():
-        con.register("given", rows)
-        con.execute(f"CREATE TABLE {name} AS SELECT * FROM given")
-        con.unregister("given")
+        _load(con, name, rows)
     return con
 
 
+def _load(con, name: str, rows: pa.Table) -> None:
+    con.register("given", rows)
+    con.execute(f"CREATE TABLE {name} AS SELECT * FROM given")
+    con.unregister("given")
+
+
 class Words:
     """Words and their ids."""
 
@@ -208,9 +214,8 @@ class Encoder:
 
         find = regex.compile(pattern).findall
         self.find = find if pattern != _ITS_PATTERN else lambda text: _ASCII(text) if text.isascii() else find(text)
-        self.con, self.byte_ids = _connect({"pairs": pairs}), byte_ids
-        for name, of in (("merges", f"tok < {NONE}"), ("on_left", "lo < r"), ("on_right", "hi < l")):
-            self.con.execute(f"CREATE TABLE {name} AS SELECT l, r, tok FROM pairs WHERE {of}")
+        self.con = _connect({"merges": pairs.filter(pc.less(pairs["tok"], NONE)).select(["l", "r", "tok"])})
+        self.pairs, self.byte_ids = pairs, byte_ids
         self.words = per_process(("bpe words", ranks_path, pattern), Words)
 
     def close(self) -> None:
@@ -218,6 +223,10 @@ class Encoder:
 
     def _run(self, words: list[bytes], sql: str) -> tuple[np.ndarray, np.ndarray]:
         """(tokens per word, tokens)."""
+        if sql is not ENCODE and self.pairs is not None:
+            for name, of in (("pairs", pc.scalar(True)), ("on_left", pc.field("lo") < pc.field("r")), ("on_right", pc.field("hi") < pc.field("l"))):
+                _load(self.con, name, self.pairs.filter(of))
+            self.pairs = None
         n = np.fromiter(map(len, words), np.int64, len(words))
         data = np.frombuffer(b"".join(words), np.uint8)
         init = pa.table({"w": np.repeat(np.arange(len(words), dtype=np.int32), n),
@@ -235,7 +244,9 @@ class Encoder:
         new = [w for w in dict.fromkeys(words) if w not in known]
         raw = [w.encode() for w in new]
         size = np.fromiter(map(len, raw), np.int64, len(raw))
-        for sql, of in ((ENCODE, size <= SHORT), (ENCODE_SURE, (size > SHORT) & (size <= LONG)), (ENCODE_KEYED, size > LONG)):
+        long = size > LONG
+        short = (size <= SHORT) | ~long & bool((size[(size > SHORT) & ~long] ** 2).sum() < FEW)
+        for sql, of in ((ENCODE, short), (ENCODE_SURE, ~short & ~long), (ENCODE_KEYED, long)):
             part = np.flatnonzero(of)
             cost = size[part] / BYTES_AT_ONCE
             if sql is ENCODE_SURE:
