@@ -36,3 +36,25 @@ def test_jobs_end_to_end(spark):
     assert cli.main(["refresh", "--raw", raw, "--refs", refs, "--out", f"{base}/other"])["rewritten"] > 0
     assert M.read_positions(spark, f"{base}/other").exceptAll(M.read_positions(spark, out)).count() == 0
     assert cli.main(["health", "--raw", raw, "--refs", refs, "--out", out, "--max-age-min", "60"])["table_counts"]["TRAIN_POSITIONS"] == 0
+
+
+def test_jobs_over_a_database(spark):
+    base = scratch_path(spark, "cli-database")
+    standin.stop_documents(spark, SF).write.json(f"{base}/stops")
+    standin.route_documents(spark, SF).write.json(f"{base}/routes")
+    standin.payloads(spark, SF).write.json(f"{base}/landing")
+    raw, out, ckpt = f"{base}/raw", f"{base}/view", f"{base}/ckpt"
+    load = ["load-refs", "--stops", f"{base}/stops", "--routes", f"{base}/routes", "--out", f"{base}/refs", "--database", "transit"]
+    spark.sql(f"CREATE DATABASE transit LOCATION '{base}/transit'")
+    try:
+        assert cli.main(load) == cli.main(load) == {"summary": "Reference data loaded: 25 stations, 10 routes, 11 lines"}
+        cli.main(["ingest", "--landing", f"{base}/landing", "--raw", raw, "--checkpoint", ckpt, "--once"])
+        assert cli.main(["view", "--raw", raw, "--database", "transit", "--out", out, "--checkpoint", ckpt, "--once"])["trains"] == 764
+        cli.main(load)
+        assert cli.main(["refresh", "--raw", raw, "--database", "transit", "--out", out])["rewritten"] == 0
+        counts = cli.main(["health", "--raw", raw, "--database", "transit", "--out", out])["table_counts"]
+        assert (counts["REF_STATIONS"], counts["REF_LINE_ROUTES"], counts["REF_LINES"], counts["TRAIN_POSITIONS"]) == (25, 10, 11, 764)
+        with pytest.raises(SystemExit):
+            cli.main(["view", "--raw", raw, "--out", out, "--checkpoint", ckpt, "--once"])
+    finally:
+        spark.sql("DROP DATABASE transit CASCADE")

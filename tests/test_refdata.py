@@ -1,6 +1,7 @@
 """Reference loads."""
 
 import json
+import os
 import threading
 import time
 import uuid
@@ -152,3 +153,27 @@ def test_switch_keeps_the_table_of_a_failed_load_and_removes_old_folders(spark,
     assert spark.table(catalog_table).count() == 3 and spark.table(catalog_table + "s").count() == 11
     assert other
     spark.sql(f"DROP TABLE {catalog_table}s")
+
+
+def test_a_folder_stays_for_the_grace_after_the_table_left_it(spark, tmp_path, catalog_table):
+    """Daily loads: the rows are a day old when their folder is left, and its readers still have an hour."""
+    folder, hour = str(tmp_path), 3600.0
+
+    def aged(path, hours):
+        at = time.time() - hours * hour
+        os.utime(path, (at, at))
+
+    first, second = (R.switch_table(R.load_lines(spark).limit(n), catalog_table, folder) for n in (1, 2))
+    aged(first, 48), aged(second, 24)
+    reader = spark.table(catalog_table)
+    third = R.switch_table(R.load_lines(spark).limit(3), catalog_table, folder)
+    assert reader.count() == 2                                           # planned before the switch
+    left = {str(p) for p in tmp_path.glob("*@*")}
+    assert left == {second, third}                                       # the first one was left a day ago
+    aged(third, 0.5)
+    fourth = R.switch_table(R.load_lines(spark).limit(4), catalog_table, folder)
+    assert {str(p) for p in tmp_path.glob("*@*")} == {second, third, fourth}     # left half an hour ago
+    aged(third, 3), aged(fourth, 2)
+    fifth = R.switch_table(R.load_lines(spark).limit(5), catalog_table, folder)
+    assert {str(p) for p in tmp_path.glob("*@*")} == {fourth, fifth}
+    assert R.stored(spark, catalog_table).count() == 5 and R.stored_folder(spark, catalog_table).endswith(R._name(fifth))

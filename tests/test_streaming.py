@@ -4,6 +4,7 @@ import datetime as dt
 import json
 import os
 import random
+import uuid
 
 import pytest
 from pyspark.sql import functions as F
@@ -159,6 +160,29 @@ def test_a_reload_between_triggers_shows_in_all_rows(spark):
     assert _same(M.read_positions(spark, out), want)
 
 
+def test_the_live_view_follows_switched_catalog_tables(spark):
+    """Another session switches a table between triggers; the view's session sees it, and folders give the same rows."""
+    base, tag = scratch_path(spark, "switched"), uuid.uuid4().hex[:8]
+    raw_dir, out, ckpt, refs = f"{base}/raw", f"{base}/view", f"{base}/ckpt", f"{base}/refs"
+    names = f"stations_{tag}", f"lines_{tag}"
+    raw, late = standin.arrivals(spark, SF), F.col("event_id") % 50 == 0
+    I.append_raw(raw.where(~late), raw_dir)
+    R.switch_table(standin.stations(spark, SF).withColumn("latitude", F.col("latitude") + 1), names[0], refs)
+    R.switch_table(standin.lines(spark, SF), names[1], refs)
+    try:
+        M.run_available(M.start_positions(spark, raw_dir, *names, out, ckpt, NOW))
+        assert M.refresh(spark, raw_dir, *names, out) == []
+        R.switch_table(standin.stations(spark.newSession(), SF), names[0], refs)
+        I.append_raw(raw.where(late), raw_dir)
+        M.run_available(M.start_positions(spark, raw_dir, *names, out, ckpt, NOW))
+        want = train_positions(raw, standin.stations(spark, SF), standin.lines(spark, SF))
+        assert _same(M.read_positions(spark, out), want)
+        assert M.refresh(spark, raw_dir, *_references(spark, base), out) == []      # the same rows are the same version
+    finally:
+        for name in names:
+            spark.sql(f"DROP TABLE IF EXISTS {name}")
+
+
 def test_a_merge_that_fails_half_way_goes_on_from_its_staged_rows(spark, monkeypatch):
     base = scratch_path(spark, "crash")
     out = f"{base}/view"

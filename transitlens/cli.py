@@ -2,9 +2,9 @@
 
     python -m transitlens load-refs --stops DIR --routes DIR --out BASE
     python -m transitlens ingest    --landing DIR --raw DIR --checkpoint DIR [--once]
-    python -m transitlens view      --raw DIR --refs BASE --out DIR --checkpoint DIR [--once]
-    python -m transitlens refresh   --raw DIR --refs BASE --out DIR
-    python -m transitlens health    --raw DIR --refs BASE --out DIR
+    python -m transitlens view      --raw DIR (--refs BASE | --database DB) --out DIR --checkpoint DIR [--once]
+    python -m transitlens refresh   --raw DIR (--refs BASE | --database DB) --out DIR
+    python -m transitlens health    --raw DIR (--refs BASE | --database DB) --out DIR
 
 On a cluster run it with spark-submit; the session comes from the launcher
 (``getOrCreate``), so master, memory and ``spark.checkpoint.dir`` are the
@@ -55,10 +55,10 @@ def load_refs(spark: SparkSession, args) -> dict:
     for name, rows in (("ref_stations", stations), ("ref_line_routes", routes), ("ref_lines", R.load_lines(spark))):
         if args.database:
             R.switch_table(rows, f"{args.database}.{name}", args.out)
-            refs[name] = spark.table(f"{args.database}.{name}")
+            refs[name] = R.stored(spark, f"{args.database}.{name}")
         else:
             R.replace_table(rows, f"{args.out}/{name}")
-            refs[name] = spark.read.parquet(f"{args.out}/{name}")
+            refs[name] = R.stored(spark, f"{args.out}/{name}")
     row = R.load_summary(refs["ref_stations"], refs["ref_line_routes"], refs["ref_lines"]).first()
     return {"summary": row["summary"]}
 
@@ -73,14 +73,19 @@ def ingest(spark: SparkSession, args) -> dict:
     return q.commits.finished()
 
 
+def _reference(args, name: str) -> str:
+    """Where a reference table is: a catalog table of --database, else a folder below --refs."""
+    return f"{args.database}.{name}" if args.database else f"{args.refs}/{name}"
+
+
 def view(spark: SparkSession, args) -> dict:
-    M.run_available(M.start_positions(spark, args.raw, f"{args.refs}/ref_stations", f"{args.refs}/ref_lines", args.out,
+    M.run_available(M.start_positions(spark, args.raw, _reference(args, "ref_stations"), _reference(args, "ref_lines"), args.out,
                                       args.checkpoint, _trigger(args), unique=args.unique))
     return {"trains": M.read_positions(spark, args.out).count()}
 
 
 def refresh(spark: SparkSession, args) -> dict:
-    return {"rewritten": len(M.refresh(spark, args.raw, f"{args.refs}/ref_stations", f"{args.refs}/ref_lines",
+    return {"rewritten": len(M.refresh(spark, args.raw, _reference(args, "ref_stations"), _reference(args, "ref_lines"),
                                        args.out, unique=args.unique))}
 
 
@@ -90,9 +95,8 @@ def health(spark: SparkSession, args) -> dict:
     pos = M.read_positions(spark, args.out, max_age)
     counts = H.table_counts({
         "RAW_ARRIVALS": I.raw_footers(spark, args.raw),
-        "REF_STATIONS": footer_table(spark, f"{args.refs}/ref_stations"),
-        "REF_LINES": footer_table(spark, f"{args.refs}/ref_lines"),
-        "REF_LINE_ROUTES": footer_table(spark, f"{args.refs}/ref_line_routes"),
+        **{name.upper(): footer_table(spark, R.stored_folder(spark, _reference(args, name)))
+           for name in ("ref_stations", "ref_lines", "ref_line_routes")},
         "TRAIN_POSITIONS": pos,
     })
     fresh = H.stored_freshness(raw, I.raw_days(spark, args.raw)).first()
@@ -133,7 +137,9 @@ def parser() -> argparse.ArgumentParser:
         s = sub.choices.get(name) or sub.add_parser(name, help=helps[name])
         if name != "view":
             s.add_argument("--raw", required=True)
-        s.add_argument("--refs", required=True, help="folder of the reference tables")
+        at = s.add_mutually_exclusive_group(required=True)
+        at.add_argument("--refs", help="folder of the reference tables")
+        at.add_argument("--database", help="database of the reference tables, as load-refs --database keeps them")
         s.add_argument("--out", required=True, help="folder of the live positions table")
         if name != "health":
             s.add_argument("--unique", action="store_true")

@@ -132,12 +132,11 @@ def exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(place)
 
 
-def modified_before(spark: SparkSession, folder: str, prefix: str, seconds: float) -> list[str]:
-    """The entries of a folder with this prefix whose last change is longer ago than that."""
+def written_folders(spark: SparkSession, folder: str, prefix: str) -> list[tuple[float, str]]:
+    """(seconds of the last change, path) of the completely written tables in a folder with this prefix, oldest first."""
     fs, place = _hadoop(spark, folder)
-    limit = (time.time() - seconds) * 1000
-    return [s.getPath().toString() for s in fs.listStatus(place)
-            if s.getPath().getName().startswith(prefix) and s.getModificationTime() < limit]
+    return sorted((s.getModificationTime() / 1000, s.getPath().toString()) for s in fs.listStatus(place)
+                  if s.getPath().getName().startswith(prefix) and exists(spark, f"{s.getPath().toString()}/_SUCCESS"))
 
 
 def remove(spark: SparkSession, path: str) -> None:

@@ -6,6 +6,7 @@ documents as DataFrames; the HTTP fetch itself is not part of the package.
 
 from __future__ import annotations
 
+import time
 import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -13,7 +14,7 @@ from pyspark.sql import functions as F
 
 from ..functions.geometry import hex_channel
 from ..schemas import REF_LINES
-from ..session import modified_before, remove
+from ..session import remove, written_folders
 
 STOPS = "array<map<string,string>>"
 STOP_KEYS = ["naptanId", "commonName", "lat", "lon"]
@@ -130,13 +131,30 @@ def location(spark: SparkSession, name: str) -> str:
     return spark.sql(f"DESCRIBE TABLE EXTENDED {name}").where("col_name = 'Location'").first()["data_type"]
 
 
+def stored(spark: SparkSession, where: str) -> DataFrame:
+    """A reference table as it is now: ``where`` is a folder, or, without a slash, the name of a catalog table.
+
+    What this session remembers of a catalog table's location and files is dropped first, so a
+    switch made by another session is seen.
+    """
+    if "/" in where:
+        return spark.read.parquet(where)
+    spark.catalog.refreshTable(where)
+    return spark.table(where)
+
+
+def stored_folder(spark: SparkSession, where: str) -> str:
+    """The folder of such a table."""
+    return where if "/" in where else location(spark, where)
+
+
 def switch_table(df: DataFrame, name: str, folder: str, grace: float = 3600.0) -> str:
     """Full replace of a catalog table by one change of metadata.
 
     The rows are written to a folder of their own below ``folder`` and read back, then the table's location is
-    set to it. A reader has either the old rows or the new ones: the old folder stays until the first replace that
-    comes ``grace`` seconds after it was written, which is the time that a reader has. A failed load, or rows
-    of another schema than the table's, leave the table as it is.
+    set to it. A reader has either the old rows or the new ones: a folder stays until the first replace that
+    comes ``grace`` seconds after the table has left it, which is the time that a reader has, however old its rows are.
+    A failed load, or rows of another schema than the table's, leave the table as it is.
     """
     spark = df.sparkSession
     short = name.split(".")[-1]
@@ -144,6 +162,7 @@ def switch_table(df: DataFrame, name: str, folder: str, grace: float = 3600.0) -
         have = [(f.name, f.dataType) for f in spark.table(name).schema]
         if have != [(f.name, f.dataType) for f in df.schema]:
             raise ValueError(f"{name} has the columns {have}")
+        before = _name(location(spark, name))
     else:
         have = None
     path = f"{folder.rstrip('/')}/{short}@{uuid.uuid4().hex[:12]}"
@@ -153,12 +172,24 @@ def switch_table(df: DataFrame, name: str, folder: str, grace: float = 3600.0) -
         spark.catalog.createTable(name, path=path, source="parquet", schema=df.schema)
     else:
         spark.sql(f"ALTER TABLE {name} SET LOCATION '{path}'")
-        for old in modified_before(spark, folder, f"{short}@", grace):
-            if not old.endswith(path.rsplit("/", 1)[-1]):
-                remove(spark, old)
+        _remove_left(spark, folder, short, before, _name(path), grace)
     return path
 
 
+def _name(path: str) -> str:
+    return path.rstrip("/").rsplit("/", 1)[-1]
+
+
+def _remove_left(spark: SparkSession, folder: str, table: str, before: str, now: str, grace: float) -> None:
+    """Remove the folders that the table left for their successor ``grace`` seconds ago; ``before`` was left for ``now``."""
+    found = written_folders(spark, folder, f"{table}@")
+    written = {_name(p): at for at, p in found}
+    for (at, path), (next_at, _) in zip(found, [*found[1:], (time.time(), "")]):
+        left = written[now] if _name(path) == before else next_at
+        if _name(path) != now and left < time.time() - grace:
+            remove(spark, path)
+
+
 def replace_table(df: DataFrame, path: str) -> None:
     """Full replace of a reference table (the loaders' overwrite).
 

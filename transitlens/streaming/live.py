@@ -39,6 +39,7 @@ from ..plans.positions import is_placed, latest_for_view, placed, prune_raw
 from ..schemas import PARSED_BASE, RAW_WITH_TIE, TRAIN_POSITIONS
 from ..session import exists, materialised, remove, scratch_scope
 from ..sources import ingest as I
+from ..sources.refdata import stored
 from .commits import CommitLog
 
 # A new StructType: StructType.add would change RAW_WITH_TIE itself.
@@ -186,15 +187,15 @@ def start_view(spark: SparkSession, raw_dir: str, out_dir: str, checkpoint: str,
 
 
 class Places:
-    """The reference tables of the view, read again whenever ``reload`` is called."""
+    """The reference tables of the view, read again whenever ``reload`` is called; folders or catalog tables (``refdata.stored``)."""
 
-    def __init__(self, spark: SparkSession, stations_path: str, lines_path: str, unique: bool = False):
-        self.spark, self.paths, self.unique = spark, (stations_path, lines_path), unique
+    def __init__(self, spark: SparkSession, stations: str, lines: str, unique: bool = False):
+        self.spark, self.tables, self.unique = spark, (stations, lines), unique
 
     def reload(self) -> str:
         """Read the tables' file lists and give their version: counts and hash sums of the
         rows, so a reload of the same rows is no new version. One small aggregate."""
-        self.stations, self.lines = (self.spark.read.parquet(p) for p in self.paths)
+        self.stations, self.lines = (stored(self.spark, t) for t in self.tables)
         found = [t.agg(F.count(F.lit(1)).alias("n"), F.sum(F.xxhash64(*sorted(t.columns)).cast("decimal(38,0)")).alias("s"))
                  for t in (self.stations, self.lines)]
         counts = found[0].withColumn("t", F.lit(0)).unionByName(found[1].withColumn("t", F.lit(1))).orderBy("t").collect()
@@ -204,24 +205,25 @@ class Places:
         return placed(latest, self.stations, self.lines, self.unique)
 
 
-def start_positions(spark: SparkSession, raw_dir: str, stations_path: str, lines_path: str,
+def start_positions(spark: SparkSession, raw_dir: str, stations: str, lines: str,
                     out_dir: str, checkpoint: str, trigger: dict | None = None,
                     unique: bool = False, max_files_per_trigger: int | None = None, buckets: int = BUCKETS) -> StreamingQuery:
     """M3/M4: TRAIN_POSITIONS kept live; read it with ``read_positions``. A
-    reload of the reference tables (S8-S10) shows at the next trigger."""
-    places = Places(spark, stations_path, lines_path, unique)
+    reload of the reference tables (S8-S10) shows at the next trigger. ``stations``, ``lines``: folders, or catalog
+    tables, whose replace by ``refdata.switch_table`` leaves a trigger that reads them no moment without rows."""
+    places = Places(spark, stations, lines, unique)
     return start_view(spark, raw_dir, out_dir, checkpoint, places.build, trigger, PARSED_BASE,
                       max_files_per_trigger, places.reload, buckets)
 
 
-def refresh(spark: SparkSession, raw_dir: str, stations_path: str, lines_path: str,
+def refresh(spark: SparkSession, raw_dir: str, stations: str, lines: str,
             out_dir: str, unique: bool = False, buckets: int = BUCKETS) -> list[int]:
     """Bring the live table up to date without a stream; returns the rewritten buckets.
 
     Where there is a table, only rows of older reference versions are placed
     again, from the table (after a reload with no new raw rows). Where there is none, it is built from raw.
     """
-    places = Places(spark, stations_path, lines_path, unique)
+    places = Places(spark, stations, lines, unique)
     version = places.reload()
     if exists(spark, out_dir):
         changed = spark.read.parquet(out_dir).select(*PARSED_BASE).limit(0)
