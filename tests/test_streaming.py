@@ -261,6 +261,39 @@ def test_rejects_and_archive_lose_nothing(spark):
     assert commits == [(i, 2 * (i + 1), 1, 1, 1) for i in range(12)]
 
 
+def test_a_day_gets_few_files_however_many_tasks_parse_it(spark):
+    """Twelve landing files over three days, each read by a task of its own."""
+    base = scratch_path(spark, "by-day")
+    landing, raw_dir = f"{base}/landing", f"{base}/raw"
+    os.makedirs(landing)
+    for i in range(12):
+        with open(f"{landing}/f{i:02d}.json", "w") as f:
+            for day in (1, 2, 3):
+                body = [{"id": str(3 * i + day), "vehicleId": f"v{i}", "lineId": "x"}, {"id": str(i), "timeToStation": "soon"}]
+                f.write(json.dumps({"ingestion_id": "r", "timestamp_utc": f"2024-01-0{day}T00:00:00", "line_id": "x", "body": json.dumps(body)}) + "\n")
+    spark.conf.set("spark.sql.files.openCostInBytes", "128m")
+    try:
+        totals = M.ingest_available(spark, landing, raw_dir, f"{base}/ckpt")
+    finally:
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+    assert (totals["rows_inserted"], totals["rows_errored"]) == (36, 36)
+    days = [d for d, _, files in os.walk(raw_dir) for f in files if "ingest_date=" in d and f.endswith(".parquet")]
+    assert len(days) == len(set(days)) == 6
+    good = spark.read.parquet(raw_dir).where("NOT rejected")
+    assert good.count() == 36 and good.where("prediction_json IS NOT NULL OR reject_reason IS NOT NULL").count() == 0
+    assert I.read_rejects(spark, raw_dir).where("prediction_json LIKE '%soon%'").count() == 36
+
+
+def test_the_folded_query_reads_raw_in_several_batches(spark, monkeypatch):
+    from transitlens.plans.registry import QUERIES
+    merges, real = [], M.merge_changes
+    monkeypatch.setattr(M, "merge_changes", lambda *a: merges.append(real(*a)))
+    got = QUERIES["stream_positions_folded"](spark, SF)
+    assert 3 <= len(merges) <= 5
+    want = train_positions(standin.arrivals(spark, SF), standin.stations(spark, SF), standin.lines(spark, SF))
+    assert _same(got.select(*want.columns), want)
+
+
 def _land(landing, name, n):
     os.makedirs(landing, exist_ok=True)
     with open(f"{landing}/.{name}", "w") as f:

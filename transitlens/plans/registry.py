@@ -631,9 +631,10 @@ def view_reloaded_q(spark, sf_dir):
 
 @register("stream_positions_folded", with_ctes(["positions"], "SELECT * FROM positions"))
 def stream_positions_folded_q(spark, sf_dir):
-    """M2-M4 with raw read in several bounded micro-batches, each folded into the state."""
+    """M2-M4 with raw read in several bounded micro-batches, each folded into the state. The ingest writes about two
+    files a day (good and rejected rows) and more for large days only, so the batches grow with the bytes, not the tasks."""
     base, raw_dir = _ingested(spark, sf_dir)
     out = f"{base}/positions"
     M.run_available(M.start_positions(spark, raw_dir, *_reference_paths(spark, sf_dir, base), out, f"{base}/ckpt",
-                                      AVAILABLE_NOW, max_files_per_trigger=64))
+                                      AVAILABLE_NOW, max_files_per_trigger=16))
     return M.read_positions(spark, out)

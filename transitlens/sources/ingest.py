@@ -206,18 +206,23 @@ def raw_table(flat: DataFrame) -> DataFrame:
     and ``ingest_date``. Rejected rows are kept beside the good ones, so one
     write of one parse loses nothing; ``read_raw`` shows the good rows only."""
     lower = {c.lower(): c for c in flat.columns}
-    extra = [(F.col(f"`{lower[c]}`") if c in lower else F.lit(None)).cast("string").alias(c) for c in REJECT_COLUMNS]
+    reject = [(F.col(f"`{lower[c]}`") if c in lower else F.lit(None)).cast("string") for c in REJECT_COLUMNS]
+    extra = [F.when(reject[0].isNotNull(), col).alias(c) for c, col in zip(REJECT_COLUMNS, reject)]
     return (align_by_name(flat, extra)
             .withColumn("rejected", F.col("reject_reason").isNotNull())
             .withColumn("ingest_date", F.to_date("timestamp_utc")))
 
 
+def by_day(rows: DataFrame) -> DataFrame:
+    """The raw table's rows, those of a day gathered before they are written (adaptive execution splits large days,
+    on a stream without state too), so a day gets few files, whatever the number of tasks that parsed it."""
+    return rows.hint("rebalance", F.col("rejected"), F.col("ingest_date"))
+
+
 def append_raw(df: DataFrame, path: str, seen: Observation | None = None) -> None:
     """Append by name to the raw table, partitioned by ingest date so a
-    max_age filter prunes whole days. The rows of a day are gathered before
-    the write (large days are split), so a day gets few files. ``seen``
-    observes the counts of what is written."""
-    rows = raw_table(df).hint("rebalance", F.col("rejected"), F.col("ingest_date"))
+    max_age filter prunes whole days. ``seen`` observes the counts of what is written."""
+    rows = by_day(raw_table(df))
     if seen is not None:
         rows = rows.observe(seen, *counts())
     rows.write.mode("append").partitionBy("rejected", "ingest_date").parquet(path)

@@ -69,7 +69,7 @@ def start_ingest(spark: SparkSession, landing_dir: str, raw_dir: str, checkpoint
     landed = I.read_polls(spark, landing_dir, streaming=True) if polls else I.read_predictions(
         spark, landing_dir, streaming=True, max_files_per_trigger=max_files_per_trigger, clean_source=clean_source, archive_dir=archive_dir)
     flat = I.flatten_predictions(I.explode_predictions(landed))
-    rows = I.raw_table(flat.observe(CommitLog.METRICS, *I.counts()))
+    rows = I.by_day(I.raw_table(flat.observe(CommitLog.METRICS, *I.counts())))
     query = _trigger(rows.writeStream.queryName(name).format("parquet").partitionBy("rejected", "ingest_date")
                      .option("checkpointLocation", f"{checkpoint}/raw"), trigger).start(raw_dir)
     query.commits = commits
