@@ -110,3 +110,47 @@ def test_steps_of_words_without_spaces(tokenizer):
     steps = B.ENCODE_SURE[:B.ENCODE_SURE.rindex("SELECT w, tok FROM t JOIN")] + "SELECT max(step) AS w, max(step) AS tok FROM t"
     assert enc._run(words, steps)[1][0] <= 12
     enc.close()
+
+
+def test_words_in_use_are_not_encoded_again(tokenizer, monkeypatch):
+    """Many rare words go by; the common ones, none of them among the first, are encoded once."""
+    monkeypatch.setattr(B, "KNOWN_WORDS", 30)
+    ranks = B.vocabulary(PATH)
+    enc = B.Encoder(B.pair_table(ranks), np.array([ranks[bytes([b])] for b in range(256)], np.int32), P.PATTERN, "common words")
+    encoded, real = [], enc._run
+    monkeypatch.setattr(enc, "_run", lambda words, sql: encoded.extend(words) or real(words, sql))
+    common = [f" gewöhnlich{chr(97 + i)}" for i in range(20)]
+    for i in range(12):
+        words = [f" selten{chr(97 + i)}{chr(97 + k)}" for k in range(26)] + (common * 2 if i else [])
+        n, ids = enc.ids(words)
+        want = [tokenizer.encode_ordinary(w) for w in words]
+        assert n.tolist() == [len(x) for x in want] and ids.tolist() == [i for x in want for i in x]
+    assert len(enc.words.index) < 120
+    assert [encoded.count(w.encode()) for w in common] == [1] * len(common)
+    enc.close()
+
+
+def test_words_of_a_failed_recursion_are_not_known(tokenizer, monkeypatch):
+    ranks = B.vocabulary(PATH)
+    enc = B.Encoder(B.pair_table(ranks), np.array([ranks[bytes([b])] for b in range(256)], np.int32), P.PATTERN, "failed")
+    with monkeypatch.context() as m:
+        m.setattr(enc, "_run", lambda *a: (_ for _ in ()).throw(MemoryError()))
+        with pytest.raises(MemoryError):
+            enc.ids(["word"])
+    assert enc.ids(["word", "word"])[1].tolist() == tokenizer.encode_ordinary("word") * 2
+    enc.close()
+
+
+def test_splitting_is_the_patterns():
+    import regex
+    find, split = regex.compile(P.PATTERN).findall, B.splitter(P.PATTERN)
+    for lo in range(0, 0x3100, 0x80):
+        text = "".join(f"a{chr(c)}a {chr(c)} \n{chr(c)}{chr(c)}1" for c in range(lo, lo + 0x80))
+        assert split(text) == find(text)
+
+
+def test_ids_that_are_no_tokens_decode_to_nothing(spark):
+    rows = [(1, [0, None, -1, -2, 10**6, 2**31 - 1, -2**31, 1]), (2, []), (3, None), (4, [-5])]
+    got = {r.doc_id: bytes(r.bytes) for r in B.decoded(spark.createDataFrame(rows, "doc_id bigint, ids array<int>"), PATH).collect()}
+    tokens = {k: t for t, k in B.vocabulary(PATH).items()}
+    assert got == {1: tokens[0] + tokens[1], 2: b"", 3: b"", 4: b""}

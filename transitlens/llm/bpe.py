@@ -16,8 +16,8 @@ take l or r away before its turn, or meet the new token:
 
 So the order in which the pairs are contracted makes no difference, and a word
 takes a few steps in place of one for each token it loses. Words over LONG bytes do the same
-in a keyed recursion, which keeps one state instead of all steps. Decoding: the ids join the vocabulary
-and are put together by an ordered aggregation.
+in a keyed recursion, which keeps one state instead of all steps. Decoding: each id takes its place in the
+vocabulary's list, and an aggregation in the order of the ids puts a text's bytes together.
 
 The ranks file is read once on the driver; the pair table is broadcast and is
 bounded by the vocabulary, not by the data.
@@ -32,7 +32,8 @@ from __future__ import annotations
 
 import base64
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -51,7 +52,8 @@ NONE = 2**31 - 1        # the rank of a pair that is no token
 IDS_AT_ONCE = 1 << 20
 PIECE = 1 << 21         # code points
 MEMORY = "500MB"        # of a DuckDB connection
-KNOWN_WORDS = 100_000   # distinct words a worker remembers from task to task; twice as many within some texts
+KNOWN_WORDS = 100_000   # distinct words a worker remembers from task to task, the most used ones; twice as many within some texts
+NARROW = 0x3000         # code points; texts below it are split by the standard library's expressions
 
 ENCODE = """
 WITH RECURSIVE t(w, pos, tok, step) AS (
@@ -109,8 +111,9 @@ WITH RECURSIVE t(pos, w, tok, len) USING KEY (pos) AS (
 SELECT w, tok FROM t WHERE tok >= 0 ORDER BY w, pos
 """
 
+# A list is aggregated in its own order; nulls are left out.
 DECODE = """
-SELECT doc, string_agg(bytes, '' ORDER BY pos) AS text FROM ids JOIN vocab USING (tok) GROUP BY doc
+SELECT doc, coalesce(list_aggregate(list_select((SELECT bytes FROM vocab), places), 'string_agg', ''), '') AS text FROM ids
 """
 
 
@@ -174,46 +177,82 @@ def _load(con, name: str, rows: pa.Table) -> None:
     con.unregister("given")
 
 
+class _Numbers(dict):
+    """Words and their numbers; a new word gets the next one when it is looked up."""
+
+    def __missing__(self, word: str) -> int:
+        n = self[word] = len(self)
+        return n
+
+
 class Words:
-    """Words and their ids."""
+    """Words and their ids: those of word i are ``ids[lo[i]:lo[i] + n[i]]``."""
 
     def __init__(self):
-        self.index: dict[str, int] = {}
-        self.start, self.ids = np.zeros(1, np.int64), np.zeros(0, np.int32)
-
-    def add(self, words: list[str], n: np.ndarray, ids: np.ndarray) -> None:
-        """``ids``: those of all words, in turn; ``n``: how many each has."""
-        first = len(self.start) - 1
-        self.index.update(zip(words, range(first, first + len(words))))
-        self.start = np.concatenate((self.start, self.start[-1] + np.cumsum(n)))
+        self.index = _Numbers()
+        self.lo, self.n, self.used = (np.zeros(0, np.int64) for _ in range(3))
+        self.ids = np.zeros(0, np.int32)
+
+    def numbers(self, words: list[str]) -> tuple[np.ndarray, list[str]]:
+        """The words' numbers, and the words among them that were not known, in the order of their numbers."""
+        first = len(self.index)
+        at = np.fromiter(map(self.index.__getitem__, words), np.int64, len(words))
+        new = list(islice(reversed(self.index), len(self.index) - first))[::-1]
+        self.lo, self.n, self.used = (np.concatenate((x, np.zeros(len(new), np.int64))) for x in (self.lo, self.n, self.used))
+        self.used += np.bincount(at, minlength=len(self.index))
+        return at, new
+
+    def add(self, numbers: np.ndarray, n: np.ndarray, ids: np.ndarray) -> None:
+        """``ids``: those of all the words with these numbers, in turn; ``n``: how many each has."""
+        self.lo[numbers] = len(self.ids) + np.cumsum(n) - n
+        self.n[numbers] = n
         self.ids = np.concatenate((self.ids, ids))
 
     def shorten(self) -> None:
-        """Forgets all but the first KNOWN_WORDS words, once there are twice as many."""
+        """Forgets all but the KNOWN_WORDS words used most, of late rather than before, once there are twice as many."""
         if len(self.index) > 2 * KNOWN_WORDS:
-            self.index = {w: i for w, i in self.index.items() if i < KNOWN_WORDS}
-            self.start = self.start[:KNOWN_WORDS + 1]
-            self.ids = self.ids[:self.start[-1]]
-
-    def ids_of(self, words: list[str]) -> np.ndarray:
-        at = np.fromiter(map(self.index.__getitem__, words), np.int64, len(words))
-        lo, n = self.start[at], self.start[at + 1] - self.start[at]
+            kept = np.sort(np.argsort(-self.used, kind="stable")[:KNOWN_WORDS])
+            words = list(self.index)
+            self.index = _Numbers((words[i], k) for k, i in enumerate(kept.tolist()))
+            self.ids, self.n, self.used = self.ids_of(kept), self.n[kept], self.used[kept] // 2
+            self.lo = np.cumsum(self.n) - self.n
+
+    def ids_of(self, numbers: np.ndarray) -> np.ndarray:
+        lo, n = self.lo[numbers], self.n[numbers]
         return self.ids[np.arange(n.sum()) + np.repeat(lo - (np.cumsum(n) - n), n)]
 
 
-#: The pattern of most byte-level vocabularies for texts of ASCII only, where its classes are plain ranges.
-_ASCII = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?[A-Za-z]+| ?[0-9]+| ?[^\t-\r A-Za-z0-9]+|[\t-\r ]+(?![^\t-\r ])|[\t-\r ]+").findall
+#: The pattern of most byte-level vocabularies; {s}, {l} and {n} stand for white space, letters and numbers.
 _ITS_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+_BY_RANGES = "'s|'t|'re|'ve|'m|'ll|'d| ?[{l}]+| ?[{n}]+| ?[^{s}{l}{n}]+|[{s}]+(?![^{s}])|[{s}]+"
+
+
+def _class(member: Callable[[str], object], below: int) -> str:
+    """The code points whose character is a member, as ranges of a character class."""
+    found = np.array([c for c in range(below) if member(chr(c))])
+    cuts = np.flatnonzero(np.diff(found) > 1)
+    return "".join(f"\\U{a:08x}-\\U{b:08x}" for a, b in zip(found[[0, *(cuts + 1)]], found[[*cuts, -1]]))
+
+
+def splitter(pattern: str) -> Callable[[str], list[str]]:
+    """text -> words. The standard library's expressions are faster, but know no classes: texts of ASCII and those below
+    NARROW have theirs as ranges, which the pattern's own classes give."""
+    import regex
+
+    find = regex.compile(pattern).findall
+    if pattern != _ITS_PATTERN:
+        return find
+    classes = {k: regex.compile(c).match for k, c in (("s", r"\s"), ("l", r"\p{L}"), ("n", r"\p{N}"))}
+    ascii_, narrow = (re.compile(_BY_RANGES.format(**{k: _class(m, below) for k, m in classes.items()})).findall for below in (128, NARROW))
+    wide = re.compile(f"[\\U{NARROW:08x}-\\U0010ffff]").search
+    return lambda text: (ascii_ if text.isascii() else find if wide(text) else narrow)(text)
 
 
 class Encoder:
     """Words to ids in one task, through DuckDB."""
 
     def __init__(self, pairs: pa.Table, byte_ids: np.ndarray, pattern: str, ranks_path: str):
-        import regex
-
-        find = regex.compile(pattern).findall
-        self.find = find if pattern != _ITS_PATTERN else lambda text: _ASCII(text) if text.isascii() else find(text)
+        self.find = per_process(("bpe split", pattern), lambda: splitter(pattern))
         self.con = _connect({"merges": pairs.filter(pc.less(pairs["tok"], NONE)).select(["l", "r", "tok"])})
         self.pairs, self.byte_ids = pairs, byte_ids
         self.words = per_process(("bpe words", ranks_path, pattern), Words)
@@ -237,11 +276,19 @@ class Encoder:
         self.con.unregister("init")
         return np.bincount(got["w"], minlength=len(words)), np.asarray(got["tok"], np.int32)
 
-    def learn(self, words: list[str]) -> None:
-        """Encodes words that are not known yet."""
+    def ids(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """(ids per word, ids of all words in turn); words that are not known yet are encoded."""
         self.words.shorten()
-        known = self.words.index
-        new = [w for w in dict.fromkeys(words) if w not in known]
+        at, new = self.words.numbers(words)
+        try:
+            self._learn(len(self.words.index) - len(new), new)
+        except BaseException:
+            self.words.__init__()       # numbers without ids would be taken for known words
+            raise
+        return self.words.n[at], self.words.ids_of(at)
+
+    def _learn(self, first: int, new: list[str]) -> None:
+        """Encodes the words that have the numbers from ``first`` on."""
         raw = [w.encode() for w in new]
         size = np.fromiter(map(len, raw), np.int64, len(raw))
         long = size > LONG
@@ -254,24 +301,25 @@ class Encoder:
             cuts = np.flatnonzero(np.diff(np.cumsum(cost) // 1)) + 1
             for some in np.split(part, cuts):
                 if len(some):
-                    self.words.add([new[i] for i in some], *self._run([raw[i] for i in some], sql))
+                    self.words.add(first + some, *self._run([raw[i] for i in some], sql))
 
 
 def _ids(enc: Encoder, batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
     """(doc_id, text) -> (doc_id, ids), some texts at a time: their words, then their ids."""
     lo = 0
     while lo < batch.num_rows:
-        rows, size, hi = [], 0, lo
+        words, ends, size, hi = [], [0], 0, lo
         while hi < batch.num_rows and size < PIECE:
             text = batch.column(1)[hi].as_py() or ""
-            rows.append([enc.find(p) for p in pieces(text)])
+            for p in pieces(text):
+                words += enc.find(p)
+            ends.append(len(words))
             size += len(text)
             hi += 1
-        enc.learn([w for row in rows for words in row for w in words])
-        ids = [np.concatenate([enc.words.ids_of(words) for words in row]) for row in rows]
-        ends = np.concatenate(([0], np.cumsum([len(x) for x in ids]))).astype(np.int32)
+        n, ids = enc.ids(words)
+        ends = np.concatenate(([0], np.cumsum(n)))[ends].astype(np.int32)
         yield pa.RecordBatch.from_arrays(
-            [batch.column(0).slice(lo, hi - lo), pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(ids)))],
+            [batch.column(0).slice(lo, hi - lo), pa.ListArray.from_arrays(pa.array(ends), pa.array(ids))],
             names=["doc_id", "ids"])
         lo = hi
 
@@ -284,10 +332,12 @@ def _bytes(con, batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
     while lo < batch.num_rows:
         hi = max(lo + 1, lo + int(np.searchsorted(np.cumsum(n[lo:]), IDS_AT_ONCE, "right")))
         part, m = lists.slice(lo, hi - lo), n[lo:hi]
-        con.register("ids", pa.table({
-            "doc": np.repeat(np.arange(hi - lo, dtype=np.int32), m),
-            "pos": np.arange(m.sum(), dtype=np.int32), "tok": part.flatten()}))
-        found = con.execute(DECODE).to_arrow_table()
+        tok = part.flatten()
+        known = pc.fill_null(pc.and_(pc.greater_equal(tok, 0), pc.less(tok, NONE)), False)
+        places = pc.if_else(known, pc.add(tok, 1), NONE)        # a list's places count from 1; those past its end are null
+        ends = np.concatenate(([0], np.cumsum(m))).astype(np.int32)
+        con.register("ids", pa.table({"doc": np.arange(hi - lo, dtype=np.int32), "places": pa.ListArray.from_arrays(pa.array(ends), places)}))
+        found = con.sql(DECODE).to_arrow_table()
         con.unregister("ids")
         texts = [b""] * (hi - lo)
         for d, t in zip(found["doc"].to_numpy(), found["text"]):
@@ -298,8 +348,12 @@ def _bytes(con, batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
 
 
 def _vocabulary_table(ranks: dict[bytes, int]) -> pa.Table:
-    """(tok, bytes). A byte is a character of one byte's value, so string aggregation keeps bytes that are no whole character."""
-    return pa.table({"tok": pa.array(list(ranks.values()), pa.int32()), "bytes": [t.decode("latin-1") for t in ranks]})
+    """(bytes): one row with the list of all tokens by rank, null where there is none. A byte is a character of one byte's
+    value, so string aggregation keeps bytes that are no whole character."""
+    by_rank = [None] * (max(ranks.values()) + 1)
+    for t, k in ranks.items():
+        by_rank[k] = t.decode("latin-1")
+    return pa.table({"bytes": pa.array([by_rank], pa.list_(pa.string()))})
 
 
 def _encoding(docs: DataFrame, ranks_path: str, pattern: str, id_col: str, text_col: str, decode: bool) -> DataFrame:
